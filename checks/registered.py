@@ -1,95 +1,4 @@
-"""Registered queries: each runs one operator over whole sample tables."""
+"""All registered queries."""
 
-from __future__ import annotations
-
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from meterstar.operators import analyses
-from meterstar.sources import samples
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-
-
-def rounded(df: DataFrame, digits: int = 6, **by_column: int) -> DataFrame:
-    """Round doubles, so that results do not depend on the order of summation."""
-    return df.select(*[
-        F.round(F.col(f"`{f.name}`"), by_column.get(f.name, digits)).alias(f.name)
-        if isinstance(f.dataType, T.DoubleType) else F.col(f"`{f.name}`")
-        for f in df.schema
-    ])
-
-
-def register(name: str) -> Callable[[Query], Query]:
-    def add(query: Query) -> Query:
-        if name in QUERIES:
-            raise KeyError(f"query {name} is registered twice")
-        QUERIES[name] = query
-        return query
-    return add
-
-
-def shipped(spark: SparkSession, sf_dir: str, *dimensions: str) -> DataFrame:
-    """Line items as usage rows; customer places are joined only if asked for."""
-    place = bool({"region", "subscription"} & set(dimensions))
-    return samples.usage(samples.shipments(spark, sf_dir, place), *dimensions)
-
-
-def requested(spark: SparkSession, sf_dir: str, *dimensions: str) -> DataFrame:
-    """Events as usage rows."""
-    return samples.usage(samples.requests(spark, sf_dir), *dimensions)
-
-
-@register("q1_rolling_cost")
-def _(spark, sf_dir):
-    return rounded(analyses.rolling_model_cost(shipped(spark, sf_dir, "model")))
-
-
-@register("q2_cost_efficiency")
-def _(spark, sf_dir):
-    return rounded(analyses.model_cost_efficiency(shipped(spark, sf_dir, "model")))
-
-
-@register("q3_client_rfm")
-def _(spark, sf_dir):
-    return rounded(analyses.client_rfm(shipped(spark, sf_dir, "client")))
-
-
-@register("q4_feature_funnel")
-def _(spark, sf_dir):
-    return rounded(analyses.feature_adoption_funnel(shipped(spark, sf_dir, "feature")))
-
-
-@register("q5_region_growth")
-def _(spark, sf_dir):
-    return rounded(analyses.region_growth(shipped(spark, sf_dir, "region")), CostChangeUSD=4)
-
-
-@register("q6_upsell")
-def _(spark, sf_dir):
-    return rounded(analyses.upsell_candidates(shipped(spark, sf_dir, "client", "subscription")))
-
-
-@register("q7_model_substitution")
-def _(spark, sf_dir):
-    out = analyses.model_substitution(shipped(spark, sf_dir, "model"))
-    return rounded(out, CheapestEquivalentCostUSD=4, EstimatedSavingsUSD=4)
-
-
-@register("q8_correlation")
-def _(spark, sf_dir):
-    return rounded(analyses.cost_satisfaction_correlation(shipped(spark, sf_dir)))
-
-
-@register("q9_cost_anomalies")
-def _(spark, sf_dir):
-    return rounded(analyses.cost_anomalies(requested(spark, sf_dir, "client", "model")), 8)
-
-
-@register("q10_cohort_retention")
-def _(spark, sf_dir):
-    return rounded(analyses.cohort_retention(shipped(spark, sf_dir, "client")))
+from checks import queries_analyses, queries_quality, queries_usage  # noqa: F401
+from checks.registry import QUERIES  # noqa: F401

@@ -18,13 +18,13 @@ from meterstar.session import materialise
 def rolling_model_cost(usage: DataFrame, days: int = 7) -> DataFrame:
     """Daily cost per model, the previous observed day, and the average over calendar days."""
     daily = usage.groupBy("ModelKey", "ModelName", "Date").agg(C.total("CostUSD").alias("DailyCostUSD"))
-    by_day = W.partitionBy("ModelKey").orderBy("Date")
-    # A date range in days; the same sort serves both windows.
-    recent = W.partitionBy("ModelKey").orderBy(F.unix_date("Date")).rangeBetween(-(days - 1), 0)
+    # Days as numbers give both windows one order, so one sort serves them.
+    daily = daily.withColumn("_day", F.unix_date("Date"))
+    by_day = W.partitionBy("ModelKey").orderBy("_day")
     return daily.select(
         "ModelKey", "ModelName", "Date", "DailyCostUSD",
         F.lag("DailyCostUSD").over(by_day).alias("PriorDayCostUSD"),
-        F.avg("DailyCostUSD").over(recent).alias("Rolling7DayAvgCostUSD"),
+        F.avg("DailyCostUSD").over(by_day.rangeBetween(-(days - 1), 0)).alias("Rolling7DayAvgCostUSD"),
     )
 
 

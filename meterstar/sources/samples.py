@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from meterstar.functions import columns as C
 from meterstar.operators.enrich import star_join
@@ -32,12 +33,30 @@ EVENT_TYPES = (
 )
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One sample table; its schema is read from the footer only once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
+def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A large sample table. One file of one row group would be one task, so it
+    is spread over the cores; a table of many files is left as it is."""
+    df = table(spark, sf_dir, name)
+    if len(df.inputFiles()) == 1:
+        df = df.repartition(spark.sparkContext.defaultParallelism)
+    return df
 
 
 def _date_key(d: str) -> Column:
-    return F.date_format(d, "yyyyMMdd").cast("int")
+    """Date as the number yyyymmdd."""
+    day = F.to_date(d)
+    return F.year(day) * 10000 + F.month(day) * 100 + F.day(day)
 
 
 def _calendar(days: DataFrame) -> DataFrame:
@@ -114,7 +133,7 @@ def _client_place(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shipments(spark: SparkSession, sf_dir: str, place: bool = True) -> StarTables:
     """Star over line items; without ``place`` the region and tier keys are left out."""
-    item, order = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    item, order = fact_table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     fact = item.join(order, item.l_orderkey == order.o_orderkey).select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("UsageID"),
         _date_key("l_shipdate").alias("DateKey"),
@@ -125,7 +144,7 @@ def shipments(spark: SparkSession, sf_dir: str, place: bool = True) -> StarTable
         F.col("l_quantity").cast("bigint").alias("TokensInput"),
         (F.col("l_quantity") * F.col("l_linenumber")).cast("bigint").alias("TokensOutput"),
         (F.col("l_quantity") * (1 + F.col("l_linenumber"))).cast("bigint").alias("TotalTokens"),
-        (F.col("l_extendedprice") / 50).alias("LatencyMs"),
+        (F.col("l_extendedprice") / 49).alias("LatencyMs"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)").alias("CostUSD"),
         (F.col("l_returnflag") != "R").cast("int").alias("SuccessFlag"),
         F.when(F.col("l_linestatus") == "F", 1.0 + F.col("l_linenumber") % 5).alias("SatisfactionScore"),
@@ -138,7 +157,7 @@ def shipments(spark: SparkSession, sf_dir: str, place: bool = True) -> StarTable
     first = order.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.to_date(F.min("o_orderdate")).alias("OnboardingDate")
     )
-    days = item.select(F.to_date("l_shipdate").alias("Date"))
+    days = table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("Date"))
     return StarTables({"fact": fact, "date": _calendar(days), **_dimensions(spark, sf_dir, first, PRIORITIES, 4)})
 
 
@@ -172,6 +191,26 @@ def requests(spark: SparkSession, sf_dir: str) -> StarTables:
     return StarTables({"fact": fact, "date": _calendar(days), **_dimensions(spark, sf_dir, onboarding, EVENT_TYPES, 5)})
 
 
+def defective(spark: SparkSession, sf_dir: str) -> StarTables:
+    """The shipments star with planted defects: missing, unknown and repeated keys, negative measures."""
+    item, order = fact_table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    line, quantity = F.col("l_linenumber"), F.col("l_quantity")
+    fact = item.join(order, item.l_orderkey == order.o_orderkey).select(
+        (F.col("l_orderkey") * 8 + line).alias("UsageID"),
+        F.when(line == 7, F.lit(None)).when(line == 6, -F.col("o_custkey") - 1)
+        .otherwise(F.col("o_custkey")).alias("ClientKey"),
+        (F.col("l_partkey") + (F.col("l_returnflag") == "R").cast("int")).alias("ModelKey"),
+        (F.substring("o_orderpriority", 1, 1).cast("int") + 1).alias("FeatureKey"),
+        (quantity - 2).cast("bigint").alias("TokensInput"),
+        quantity.cast("bigint").alias("TokensOutput"),
+        F.when(quantity <= 48, quantity.cast("bigint")).alias("TotalTokens"),
+        (F.col("l_extendedprice") / 50 - 20).alias("LatencyMs"),
+        (F.pow(F.col("l_extendedprice") / 10000, 8) - (F.col("l_tax") == 0).cast("int")).alias("CostUSD"),
+        (F.col("l_returnflag") != "R").cast("int").alias("SuccessFlag"),
+    )
+    return shipments(spark, sf_dir, place=False).replace(fact=fact)
+
+
 def usage(tables: StarTables, *dimensions: str) -> DataFrame:
     """The fact inner-joined to its dates and the named dimensions, with its month label."""
     dated = tables.replace(date=tables["date"].select("DateKey", "Date"))
