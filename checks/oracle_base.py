@@ -25,7 +25,7 @@ usage AS (
     rate AS OverageRateMultiplier,
     CAST(l_quantity AS BIGINT) AS TokensInput, CAST(l_quantity * l_linenumber AS BIGINT) AS TokensOutput,
     CAST(l_quantity * (1 + l_linenumber) AS BIGINT) AS TotalTokens,
-    l_extendedprice / 49 AS LatencyMs,
+    sqrt(l_extendedprice) * 5 AS LatencyMs,
     CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18, 4)) AS CostUSD,
     CASE WHEN l_returnflag <> 'R' THEN 1 ELSE 0 END AS SuccessFlag,
     CASE WHEN l_linestatus = 'F' THEN 1.0::DOUBLE + l_linenumber % 5 END AS SatisfactionScore,

@@ -137,7 +137,7 @@ ORACLES = {
     ),
     "a19_flag_patterns": shipments(
         """SELECT CAST(CostUSD > 60000 AS INTEGER) AS HighCost, CAST(TotalTokens > 200 AS INTEGER) AS ManyTokens,
-             CAST(LatencyMs > 1500 AS INTEGER) AS Slow, count(*) AS Count FROM usage GROUP BY 1, 2, 3"""
+             CAST(LatencyMs > 1200 AS INTEGER) AS Slow, count(*) AS Count FROM usage GROUP BY 1, 2, 3"""
     ),
     "a20_client_feature_counts": shipments(
         "SELECT ClientName, FeatureName, count(*) AS Requests FROM usage GROUP BY ALL"
@@ -155,7 +155,7 @@ ORACLES = {
     "b_measures": shipments(
         """SELECT count(*) AS TotalRequests, round(sum(SuccessFlag) / count(*)::DOUBLE, 6) AS SuccessRate,
              count(*) FILTER (SuccessFlag = 0) AS FailedRequests, round(median(LatencyMs), 6) AS MedianLatency,
-             round(count(*) FILTER (LatencyMs > 1500) / count(*)::DOUBLE, 6) AS HighLatencyShare,
+             round(count(*) FILTER (LatencyMs > 1200) / count(*)::DOUBLE, 6) AS HighLatencyShare,
              CAST(sum(CostUSD) AS DOUBLE) AS TotalCost, round(CAST(sum(CostUSD) AS DOUBLE) / count(*), 6) AS CostPerRequest,
              round(CAST(sum(CostUSD) AS DOUBLE) / (CAST(sum(TotalTokens) AS DOUBLE) / 1000), 6) AS CostPer1KTokens
            FROM usage"""

@@ -1,5 +1,5 @@
 """All SQL counterparts by query name."""
 
-from checks import oracle_analyses, oracle_quality, oracle_usage
+from checks import oracle_analyses, oracle_quality, oracle_series, oracle_usage
 
-ORACLES: dict[str, str] = {**oracle_analyses.ORACLES, **oracle_quality.ORACLES, **oracle_usage.ORACLES}
+ORACLES: dict[str, str] = {**oracle_analyses.ORACLES, **oracle_quality.ORACLES, **oracle_usage.ORACLES, **oracle_series.ORACLES}

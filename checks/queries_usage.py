@@ -150,7 +150,7 @@ def _(spark, sf_dir):
     flags = usage.select(
         (F.col("CostUSD") > 60000).cast("int").alias("HighCost"),
         (F.col("TotalTokens") > 200).cast("int").alias("ManyTokens"),
-        (F.col("LatencyMs") > 1500).cast("int").alias("Slow"),
+        (F.col("LatencyMs") > 1200).cast("int").alias("Slow"),
     )
     return kpis.flag_patterns(flags, ["HighCost", "ManyTokens", "Slow"])
 
@@ -173,7 +173,7 @@ def _(spark, sf_dir):
 
 @register("b_measures")
 def _(spark, sf_dir):
-    return rounded(kpis.business_measures(shipped(spark, sf_dir), high_latency_ms=1500.0))
+    return rounded(kpis.business_measures(shipped(spark, sf_dir), high_latency_ms=1200.0))
 
 
 @register("v3_scorecard")

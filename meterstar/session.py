@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +22,7 @@ SETTINGS = {
 }
 
 _local_folders: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def build_session(app_name: str = "meterstar", master: str | None = None, **settings: str) -> SparkSession:
@@ -61,3 +64,16 @@ def materialise(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/meterstar/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once, for the few Python functions that run there."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = shutil.make_archive(
+        f"{tempfile.mkdtemp(prefix='meterstar-code-')}/{package.name}", "zip", package.parent, package.name
+    )
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)

@@ -144,7 +144,7 @@ def shipments(spark: SparkSession, sf_dir: str, place: bool = True) -> StarTable
         F.col("l_quantity").cast("bigint").alias("TokensInput"),
         (F.col("l_quantity") * F.col("l_linenumber")).cast("bigint").alias("TokensOutput"),
         (F.col("l_quantity") * (1 + F.col("l_linenumber"))).cast("bigint").alias("TotalTokens"),
-        (F.col("l_extendedprice") / 49).alias("LatencyMs"),
+        (F.sqrt("l_extendedprice") * 5).alias("LatencyMs"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)").alias("CostUSD"),
         (F.col("l_returnflag") != "R").cast("int").alias("SuccessFlag"),
         F.when(F.col("l_linestatus") == "F", 1.0 + F.col("l_linenumber") % 5).alias("SatisfactionScore"),
