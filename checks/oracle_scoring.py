@@ -71,7 +71,7 @@ COVER = """count(*) AS TotalRequests, count(SatisfactionScore) AS LabeledRequest
 ORACLES = {
     "ml1_client_features": shipments(
         """SELECT ClientKey, days AS DaysSinceLastRequest, round(ct, 6) AS AvgMonthlyCostTrend,
-             round(st, 6) AS SatisfactionTrend, round(recent, 6) AS SuccessRateLast30Days,
+             round(st, 9) AS SatisfactionTrend, round(recent, 6) AS SuccessRateLast30Days,
              round(overall, 6) AS SuccessRateOverall, round(quota, 6) AS QuotaUtilizationPct,
              round(premium, 6) AS PremiumFeatureUsagePct FROM feats""",
         *FEATURES),

@@ -33,7 +33,7 @@ def judged_satisfaction(spark, sf_dir):
 
 @register("ml1_client_features")
 def _(spark, sf_dir):
-    return rounded(client_features(spark, sf_dir))
+    return rounded(client_features(spark, sf_dir), SatisfactionTrend=9)
 
 
 @register("ml3_proxy_label")
