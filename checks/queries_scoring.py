@@ -6,12 +6,18 @@ from checks.registry import register, requested, rounded, shipped
 from meterstar.functions import columns as C
 from meterstar.operators import enrich, evaluate, features, isolation, scoring
 from meterstar.operators.ranking import tukey_fences
+from meterstar.session import materialise
 from meterstar.sources import samples
 
 
 def with_quota(spark, sf_dir):
-    usage = enrich.month_tokens(shipped(spark, sf_dir, "feature", "subscription"))
-    return usage.withColumn("QuotaUtilizationPct", C.ratio("MonthlyTokensUsed", "MonthlyQuotaTokens") * 100.0)
+    """Usage rows with the month's utilisation, stored as the master is."""
+    usage = enrich.month_tokens(shipped(spark, sf_dir, "feature", "subscription").select(
+        "ClientKey", "Date", "Month", "CostUSD", "SatisfactionScore", "SuccessFlag", "IsPremium", "TotalTokens",
+        "MonthlyQuotaTokens",
+    ))
+    used = C.ratio("MonthlyTokensUsed", "MonthlyQuotaTokens") * 100.0
+    return materialise(usage.withColumn("QuotaUtilizationPct", used).drop("MonthlyTokensUsed", "TotalTokens"))
 
 
 def client_features(spark, sf_dir):
@@ -127,7 +133,8 @@ def _(spark, sf_dir):
 
 @register("ml20_tukey_fences")
 def _(spark, sf_dir):
-    fences = tukey_fences(shipped(spark, sf_dir), scoring.ANOMALY_FEATURES)
+    stored = materialise(shipped(spark, sf_dir).select(*scoring.ANOMALY_FEATURES))
+    fences = tukey_fences(stored, scoring.ANOMALY_FEATURES)
     return rounded(spark.createDataFrame(list(fences.items()), "Feature string, UpperFence double"))
 
 
@@ -147,5 +154,6 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     # The statistical flag is a formula here, so that SQL can repeat the summary.
     usage = shipped(spark, sf_dir).withColumn("IsStatisticalAnomaly", F.col("CostUSD") > 95000)
-    flagged, fences = scoring.rule_outliers(usage.select(*scoring.ANOMALY_FEATURES, "IsStatisticalAnomaly"))
+    stored = materialise(usage.select(*scoring.ANOMALY_FEATURES, "IsStatisticalAnomaly"))
+    flagged, fences = scoring.rule_outliers(stored)
     return rounded(scoring.anomaly_summary(flagged, fences))

@@ -46,13 +46,13 @@ def _(spark, sf_dir):
 @register("f5_f11_model_comparison")
 def _(spark, sf_dir):
     return rounded(forecast.compare_models(
-        regional_series(spark, sf_dir), IDS, models=["Naive", "SeasonalNaive"], skip_short=True
+        materialise(regional_series(spark, sf_dir)), IDS, models=["Naive", "SeasonalNaive"], skip_short=True
     ))
 
 
 @register("f6_arima")
 def _(spark, sf_dir):
-    return rounded(forecast.arima(regional_series(spark, sf_dir), IDS))
+    return rounded(forecast.arima(materialise(regional_series(spark, sf_dir)), IDS))
 
 
 @register("f7_seasonal_regression")
@@ -68,8 +68,7 @@ def _(spark, sf_dir):
 
 @register("f12_selected_forecast")
 def _(spark, sf_dir):
-    history = materialise(regional_series(spark, sf_dir))
-    comparison, future = forecast.evaluate_and_forecast(history, IDS, skip_short=True)
+    comparison, future = forecast.evaluate_and_forecast(regional_series(spark, sf_dir), IDS, skip_short=True)
     return rounded(future)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,10 +15,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+def round_half_up(c: Column, digits: int) -> Column:
+    """Round a double by arithmetic, which stays in generated code."""
+    scale = F.lit(10.0**digits)
+    return F.signum(c) * F.floor(F.abs(c) * scale + 0.5).cast("double") / scale
+
+
 def rounded(df: DataFrame, digits: int = 6, **by_column: int) -> DataFrame:
     """Round doubles, so that results do not depend on the order of summation."""
     return df.select(*[
-        F.round(F.col(f"`{f.name}`"), by_column.get(f.name, digits)).alias(f.name)
+        round_half_up(F.col(f"`{f.name}`"), by_column.get(f.name, digits)).alias(f.name)
         if isinstance(f.dataType, T.DoubleType) else F.col(f"`{f.name}`")
         for f in df.schema
     ])
@@ -34,14 +40,13 @@ def register(name: str) -> Callable[[Query], Query]:
 
 
 def shipped(spark: SparkSession, sf_dir: str, *dimensions: str) -> DataFrame:
-    """Line items as usage rows; customer places are joined only if asked for."""
-    place = bool({"region", "subscription"} & set(dimensions))
-    return samples.usage(samples.shipments(spark, sf_dir, place), *dimensions)
+    """Line items as usage rows, joined to the named dimensions."""
+    return samples.usage(spark, sf_dir, "shipments", *dimensions)
 
 
 def requested(spark: SparkSession, sf_dir: str, *dimensions: str) -> DataFrame:
-    """Events as usage rows."""
-    return samples.usage(samples.requests(spark, sf_dir), *dimensions)
+    """Events as usage rows, joined to the named dimensions."""
+    return samples.usage(spark, sf_dir, "requests", *dimensions)
 
 
 def with_efficiency(usage: DataFrame) -> DataFrame:

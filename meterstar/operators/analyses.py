@@ -66,7 +66,7 @@ def client_rfm(usage: DataFrame) -> DataFrame:
 def feature_adoption_funnel(usage: DataFrame) -> DataFrame:
     """Share of all clients that used each feature."""
     pairs = usage.select("FeatureKey", "FeatureName", "ClientKey").distinct()
-    clients = usage.agg(F.count_distinct("ClientKey").alias("n"))
+    clients = pairs.agg(F.count_distinct("ClientKey").alias("n"))
     return pairs.groupBy("FeatureKey", "FeatureName").agg(F.count("ClientKey").alias("AdoptingClients")).withColumn(
         "AdoptionPct", C.ratio(F.col("AdoptingClients") * 100.0, clients.scalar())
     )
@@ -117,15 +117,16 @@ def model_substitution(usage: DataFrame) -> DataFrame:
     """Savings if each client's main model were replaced by the cheapest observed per feature.
 
     Repricing is linear in the tokens, so one pass to client-model-feature
-    totals is enough; the requests are never joined to anything.
+    totals is enough; they are written once and read three times, and the
+    requests are never joined to anything.
     """
     model = ["ModelKey", "ModelName", "CostPer1kInput", "CostPer1kOutput"]
-    totals = usage.groupBy("ClientKey", "FeatureKey", *model).agg(
+    totals = materialise(usage.groupBy("ClientKey", "FeatureKey", *model).agg(
         F.count(F.lit(1)).alias("_requests"),
         F.sum("CostUSD").alias("_cost"),
         F.sum("TokensInput").alias("_in"),
         F.sum("TokensOutput").alias("_out"),
-    )
+    ))
     primary = (
         totals.groupBy("ClientKey", "ModelKey", "ModelName").agg(F.sum("_requests").alias("_n"))
         .groupBy("ClientKey")

@@ -6,7 +6,7 @@ small per-series systems are solved in Python, one row per series.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 import numpy as np
@@ -29,15 +29,18 @@ MODELS = ("Naive", "SeasonalNaive", "ARIMA", "SeasonalRegression")
 
 # --- grouped least squares -------------------------------------------------------
 
-def normal_equations(df: DataFrame, ids: Sequence[str], xs: Sequence[Column], y: Column) -> DataFrame:
-    """Sums of products per group: ``xx`` (upper triangle), ``xy``, ``yy`` and ``n``."""
-    staged = df.select(*ids, *[x.cast("double").alias(f"x{i}") for i, x in enumerate(xs)], y.cast("double").alias("y"))
+def normal_equations(df: DataFrame, ids: Sequence[str], xs: Sequence[Column], y: Column,
+                     extra: Mapping[str, Column] | None = None) -> DataFrame:
+    """Sums of products per group: ``xx`` (upper triangle), ``xy``, ``yy`` and ``n``, and any extra aggregates."""
+    products = {f"_x{i}": x.cast("double") for i, x in enumerate(xs)}
+    staged = df.withColumns({**products, "_y": y.cast("double")})
     k = len(xs)
     return staged.groupBy(*ids).agg(
-        F.array(*[F.sum(F.col(f"x{i}") * F.col(f"x{j}")) for i in range(k) for j in range(i, k)]).alias("xx"),
-        F.array(*[F.sum(F.col(f"x{i}") * F.col("y")) for i in range(k)]).alias("xy"),
-        F.sum(F.col("y") * F.col("y")).alias("yy"),
-        F.count("y").alias("n"),
+        F.array(*[F.sum(F.col(f"_x{i}") * F.col(f"_x{j}")) for i in range(k) for j in range(i, k)]).alias("xx"),
+        F.array(*[F.sum(F.col(f"_x{i}") * F.col("_y")) for i in range(k)]).alias("xy"),
+        F.sum(F.col("_y") * F.col("_y")).alias("yy"),
+        F.count("_y").alias("n"),
+        *[c.alias(name) for name, c in (extra or {}).items()],
     )
 
 
@@ -177,10 +180,9 @@ def arima(train: DataFrame, ids: Sequence[str], horizon: int = S.HORIZON) -> Dat
     state = F.array(
         "y", "z", *[f"z{i}" for i in range(1, MAX_P)], "e", *[f"e{i}" for i in range(1, MAX_Q)]
     )
-    sums = normal_equations(shocks, by, xs, F.col("z"))
-    tails = shocks.groupBy(*by).agg(F.max("ds").alias("_last"), F.max_by(state, "ds").alias("_tail"))
-    fits = sums.withColumn("_m", _best_order("xx", "xy", "yy", "n", "d")).select(*by, "_m.p", "_m.q", "_m.beta", "_m.sigma2", "_m.aic", "_m.bic")
-    fits = fits.join(tails, by)
+    newest = {"_last": F.max("ds"), "_tail": F.max_by(state, "ds")}
+    fits = normal_equations(shocks, by, xs, F.col("z"), newest).withColumn("_m", _best_order("xx", "xy", "yy", "n", "d"))
+    fits = fits.select(*by, "_last", "_tail", "_m.p", "_m.q", "_m.beta", "_m.sigma2", "_m.aic", "_m.bic")
     fields = ["bic", "aic", "p", "d", "q", "beta", "sigma2", "_last", "_tail"]
     best = fits.groupBy(*ids).agg(F.min_by(F.struct(*fields), F.struct("bic", "aic", "d")).alias("m")).select(*ids, "m.*")
     path = best.withColumn("_path", _project("beta", "d", "sigma2", "_tail", F.lit(horizon)))

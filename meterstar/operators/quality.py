@@ -86,24 +86,77 @@ def _present(c: str, data_type: T.DataType) -> Column:
     return column.isNotNull()
 
 
-def wrong_types(tables: StarTables) -> DataFrame:
+Checks = tuple[list[Column], dict[str, str]]  # counting columns, and the text of each finding
+
+
+def _type_checks(df: DataFrame, wanted: Mapping[str, str]) -> tuple[Checks, list[tuple[str, int, str]]]:
+    """Checks that text columns hold numbers, and findings for columns of other types."""
+    types = {f.name: f.dataType for f in df.schema}
+    counts, details, fixed = [], {}, []
+    for c, name in wanted.items():
+        if c not in types:
+            continue
+        if isinstance(types[c], T.StringType):
+            bad = F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast("double").isNull()
+            counts.append(F.count_if(bad).alias(name))
+            details[name] = "values are not numeric"
+        elif not _is_number(types[c]):
+            fixed.append((name, 1, f"expected numeric data, found {types[c].simpleString()}"))
+    return (counts, details), fixed
+
+
+def _null_checks(fact: DataFrame) -> Checks:
+    types = {f.name: f.dataType for f in fact.schema}
+    columns = [c for c in NOT_NULL_FACT_COLUMNS if c in types]
+    return (
+        [F.count_if(~_present(c, types[c])).alias(f"null_{c}") for c in columns],
+        {f"null_{c}": "null values" for c in columns},
+    )
+
+
+def _negative_checks(fact: DataFrame) -> Checks:
+    types = {f.name: f.dataType for f in fact.schema}
+    columns = [c for c in NON_NEGATIVE_FACT_COLUMNS if c in types]
+
+    def number(c: str) -> Column:
+        return F.col(c).try_cast("double") if isinstance(types[c], T.StringType) else F.col(c)
+
+    return (
+        [F.count_if(number(c) < 0).alias(f"negative_{c}") for c in columns],
+        {f"negative_{c}": "negative values" for c in columns},
+    )
+
+
+def _run(df: DataFrame, *checks: Checks) -> DataFrame:
+    """Run several checks in one aggregate over ``df``."""
+    counts = [c for columns, _ in checks for c in columns]
+    details = {name: text for _, texts in checks for name, text in texts.items()}
+    return _from_counts(df.agg(*counts), details) if counts else _fixed(df.sparkSession, [])
+
+
+FACT_TYPES = {c: f"invalid_type_fact_{c}" for c in NUMERIC_FACT_COLUMNS}
+
+
+def wrong_types(df: DataFrame, wanted: Mapping[str, str] = FACT_TYPES) -> DataFrame:
     """Columns that should be numeric: text that is no number, or another type."""
-    wanted = [("fact", c, f"invalid_type_fact_{c}") for c in NUMERIC_FACT_COLUMNS]
-    wanted += [(d, k, f"invalid_type_{d}_{k}") for d, k in DIMENSION_KEYS.items()]
-    fixed, parts = [], []
-    for table in SCHEMAS:
-        types = {f.name: f.dataType for f in tables[table].schema}
-        counts, details = [], {}
-        for _, c, name in [w for w in wanted if w[0] == table and w[1] in types]:
-            if isinstance(types[c], T.StringType):
-                bad = F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast("double").isNull()
-                counts.append(F.count_if(bad).alias(name))
-                details[name] = "values are not numeric"
-            elif not _is_number(types[c]):
-                fixed.append((name, 1, f"expected numeric data, found {types[c].simpleString()}"))
-        if counts:
-            parts.append(_from_counts(tables[table].agg(*counts), details))
-    return reduce(DataFrame.unionByName, parts, _fixed(tables.fact.sparkSession, fixed))
+    checks, fixed = _type_checks(df, wanted)
+    return _run(df, checks).unionByName(_fixed(df.sparkSession, fixed))
+
+
+def null_values(fact: DataFrame) -> DataFrame:
+    """Missing values in the columns that must be filled."""
+    return _run(fact, _null_checks(fact))
+
+
+def negative_values(fact: DataFrame) -> DataFrame:
+    """Measures below zero."""
+    return _run(fact, _negative_checks(fact))
+
+
+def fact_columns(fact: DataFrame) -> DataFrame:
+    """Types, missing values and negative measures of the fact in one pass."""
+    checks, fixed = _type_checks(fact, FACT_TYPES)
+    return _run(fact, checks, _null_checks(fact), _negative_checks(fact)).unionByName(_fixed(fact.sparkSession, fixed))
 
 
 def dimension_keys(dimension: DataFrame, table: str, key: str) -> DataFrame:
@@ -144,22 +197,6 @@ def invalid_dates(tables: StarTables) -> DataFrame:
     return reduce(DataFrame.unionByName, parts, _fixed(tables.fact.sparkSession, []))
 
 
-def null_values(fact: DataFrame) -> DataFrame:
-    """Missing values in the columns that must be filled."""
-    types = {f.name: f.dataType for f in fact.schema}
-    columns = [c for c in NOT_NULL_FACT_COLUMNS if c in types]
-    counts = fact.agg(*[F.count_if(~_present(c, types[c])).alias(f"null_{c}") for c in columns])
-    return _from_counts(counts, {f"null_{c}": "null values" for c in columns})
-
-
-def negative_values(fact: DataFrame) -> DataFrame:
-    """Measures below zero."""
-    columns = [c for c in NON_NEGATIVE_FACT_COLUMNS if c in fact.columns]
-    numbers = typed_table(fact, "fact")
-    counts = numbers.agg(*[F.count_if(F.col(c) < 0).alias(f"negative_{c}") for c in columns])
-    return _from_counts(counts, {f"negative_{c}": "negative values" for c in columns})
-
-
 def _record_groups(fact: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Repeated ids with their counts, and the distinct records among their rows with theirs.
 
@@ -221,10 +258,12 @@ def cost_outliers(fact: DataFrame, deviations: float = 3) -> DataFrame:
 def validate(tables: StarTables) -> DataFrame:
     """All checks together."""
     fact = tables.fact
+    dimension_types = [
+        wrong_types(tables[d], {k: f"invalid_type_{d}_{k}"}) for d, k in DIMENSION_KEYS.items()
+    ]
     parts = [
-        missing_columns(tables), wrong_types(tables), all_dimension_keys(tables), invalid_dates(tables),
-        null_values(fact), duplicate_records(fact), referential_integrity(tables), negative_values(fact),
-        cost_outliers(fact),
+        missing_columns(tables), fact_columns(fact), *dimension_types, all_dimension_keys(tables),
+        invalid_dates(tables), duplicate_records(fact), referential_integrity(tables), cost_outliers(fact),
     ]
     return reduce(DataFrame.unionByName, parts)
 

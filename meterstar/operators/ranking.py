@@ -83,12 +83,23 @@ class _Search:
     value: object = None
 
     def __post_init__(self) -> None:
+        if not 0 <= self.rank < self.rows:
+            raise ValueError(f"rank {self.rank} is outside 0..{self.rows - 1}")
         self.inside = self.rows
 
-    def bracket(self) -> Column:
+    @property
+    def share(self) -> float:
+        """Place of the target inside the bracket; the half step keeps it clear of the neighbours."""
+        return (self.rank - self.below + 0.5) / self.inside
+
+    @property
+    def bracket(self) -> tuple:
+        return (id(self.column), self.low, self.high)
+
+    def bracketed(self) -> Column:
         column = self.column
         if self.low is not None:
-            column = F.when(column > F.lit(self.low), column)
+            column = F.when(self.column > F.lit(self.low), column)
         if self.high is not None:
             column = F.when(self.column < F.lit(self.high), column)
         return column
@@ -98,62 +109,71 @@ def _one_row(df: DataFrame, columns: Sequence[Column]) -> list:
     return list(df.agg(*[c.alias(f"c{i}") for i, c in enumerate(columns)]).first())
 
 
+def _by_bracket(searches: Sequence[_Search]) -> list[list[_Search]]:
+    groups: dict[tuple, list[_Search]] = {}
+    for s in searches:
+        groups.setdefault(s.bracket, []).append(s)
+    return list(groups.values())
+
+
 def order_statistics(df: DataFrame, wanted: Sequence[tuple[Column, int]], rows: Sequence[int],
                      buffer_rows: int | None = None) -> list:
     """Exact values at the given 0-based ranks, one per (column, rank).
 
-    ``rows`` gives each column's non-null row count. Every round is one or two
-    aggregates with map-side combine and a one-row result. A sketch proposes an
-    interval around the rank, a count proves it; heavy ties resolve at the
+    ``rows`` gives each column's non-null row count; pass the same Column object
+    for the same column, so that its ranks share their work. Every round is two
+    aggregates with map-side combine and a one-row result: a sketch proposes an
+    interval around each rank and counts prove it. Heavy ties resolve at the
     interval's ends, so each round keeps at most a thousandth of the rows. The
     last round reads at most ``buffer_rows`` values exactly.
     """
-    limit = EXACT_BUFFER_ROWS if buffer_rows is None else buffer_rows
+    limit = max(EXACT_BUFFER_ROWS if buffer_rows is None else buffer_rows, 1)
     searches = [_Search(c, r, n) for (c, r), n in zip(wanted, rows)]
-    for s in searches:
-        if not 0 <= s.rank < s.rows:
-            raise ValueError(f"rank {s.rank} is outside 0..{s.rows - 1}")
-    open_ = list(searches)
-    while large := [s for s in open_ if s.inside > max(limit, 1)]:
+    while large := [s for s in searches if s.value is None and s.inside > limit]:
         _narrow(df, large)
-        open_ = [s for s in open_ if s.value is None]
-    if open_:
-        # The half step keeps each fraction clear of the neighbouring ranks.
-        staged = df.select(*[s.bracket().alias(f"b{i}") for i, s in enumerate(open_)])
+    groups = _by_bracket([s for s in searches if s.value is None])
+    if groups:
+        staged = df.select(*[g[0].bracketed().alias(f"b{i}") for i, g in enumerate(groups)])
         exact = [
-            F.expr(f"percentile_disc({(s.rank - s.below + 0.5) / s.inside!r}D) WITHIN GROUP (ORDER BY b{i})")
-            for i, s in enumerate(open_)
+            F.expr(f"percentile_disc(array({', '.join(f'{s.share!r}D' for s in g)})) WITHIN GROUP (ORDER BY b{i})")
+            for i, g in enumerate(groups)
         ]
-        for s, value in zip(open_, _one_row(staged, exact)):
-            s.value = value
+        for group, values in zip(groups, _one_row(staged, exact)):
+            for s, value in zip(group, values):
+                s.value = value
     return [s.value for s in searches]
 
 
 def _narrow(df: DataFrame, searches: list[_Search]) -> None:
+    """One round: shrink each search's bracket, or settle its value."""
+    groups = _by_bracket(searches)
     sketches = []
-    for s in searches:
-        at = (s.rank - s.below + 0.5) / s.inside
-        points = F.array(F.lit(max(at - BRACKET_MARGIN, 0.0)), F.lit(min(at + BRACKET_MARGIN, 1.0)))
-        sketches.append(F.percentile_approx(s.bracket(), points, SKETCH_ACCURACY))
-    ends = _one_row(df, sketches)
-    counts = []
-    for s, (low, high) in zip(searches, ends):
-        for bound in (low, high):
-            counts += [F.count_if(s.column < F.lit(bound)), F.count_if(s.column <= F.lit(bound))]
-    found = _one_row(df, counts)
-    for i, (s, (low, high)) in enumerate(zip(searches, ends)):
-        under_low, upto_low, under_high, upto_high = found[4 * i : 4 * i + 4]
-        if under_low <= s.rank < upto_low:
+    for group in groups:
+        ends = [F.lit(min(max(s.share + side, 0.0), 1.0)) for s in group for side in (-BRACKET_MARGIN, BRACKET_MARGIN)]
+        sketches.append(F.percentile_approx(group[0].bracketed(), F.array(*ends), SKETCH_ACCURACY))
+    proposals = []
+    for group, values in zip(groups, _one_row(df, sketches)):
+        proposals += [(s, values[2 * i], values[2 * i + 1]) for i, s in enumerate(group)]
+    bounds = list(dict.fromkeys((id(s.column), v) for s, low, high in proposals for v in (low, high)))
+    columns = {id(s.column): s.column for s in searches}
+    counts = _one_row(df, [
+        f for key, v in bounds for f in (F.count_if(columns[key] < F.lit(v)), F.count_if(columns[key] <= F.lit(v)))
+    ])
+    under = {bound: counts[2 * i] for i, bound in enumerate(bounds)}
+    upto = {bound: counts[2 * i + 1] for i, bound in enumerate(bounds)}
+    for s, low, high in proposals:
+        at_low, at_high = (id(s.column), low), (id(s.column), high)
+        if under[at_low] <= s.rank < upto[at_low]:
             s.value = low
-        elif under_high <= s.rank < upto_high:
+        elif under[at_high] <= s.rank < upto[at_high]:
             s.value = high
-        elif s.rank < under_low:          # the sketch missed; the target is below its interval
-            s.high, s.inside = low, under_low - s.below
-        elif s.rank >= upto_high:         # or above it
-            s.inside -= upto_high - s.below
-            s.low, s.below = high, upto_high
+        elif s.rank < under[at_low]:      # the sketch missed: the target is below its interval
+            s.high, s.inside = low, under[at_low] - s.below
+        elif s.rank >= upto[at_high]:     # or above it
+            s.inside -= upto[at_high] - s.below
+            s.low, s.below = high, upto[at_high]
         else:
-            s.low, s.high, s.below, s.inside = low, high, upto_low, under_high - upto_low
+            s.low, s.high, s.below, s.inside = low, high, upto[at_low], under[at_high] - upto[at_low]
 
 
 def quantiles(df: DataFrame, probabilities: Mapping[str, Sequence[float]],
@@ -161,31 +181,27 @@ def quantiles(df: DataFrame, probabilities: Mapping[str, Sequence[float]],
     """Exact linearly interpolated quantiles of several numeric columns.
 
     The result is a handful of numbers; the rows never leave the executors.
+    Reads ``df`` a few times, so pass a stored table rather than a long plan.
     """
     names = list(probabilities)
     values = {n: F.when(~F.isnan(F.col(n).cast("double")), F.col(n).cast("double")) for n in names}
     counts = dict(zip(names, _one_row(df, [F.count(values[n]) for n in names])))
-    wanted, rows, slots = [], [], []
-    for n in names:
-        for p in probabilities[n]:
-            if counts[n]:
-                position = (counts[n] - 1) * p
-                for rank in {math.floor(position), math.ceil(position)}:
-                    wanted.append((values[n], rank))
-                    rows.append(counts[n])
-                    slots.append((n, rank))
-    found = dict(zip(slots, order_statistics(df, wanted, rows, buffer_rows)))
-    out: dict[str, dict[float, float | None]] = {}
-    for n in names:
-        out[n] = {}
-        for p in probabilities[n]:
-            if not counts[n]:
-                out[n][p] = None
-                continue
-            position = (counts[n] - 1) * p
-            low, high = found[n, math.floor(position)], found[n, math.ceil(position)]
-            out[n][p] = low + (high - low) * (position - math.floor(position))
-    return out
+    positions = {(n, p): (counts[n] - 1) * p for n in names for p in probabilities[n] if counts[n]}
+    slots = list(dict.fromkeys(
+        (n, rank) for (n, _), at in positions.items() for rank in (math.floor(at), math.ceil(at))
+    ))
+    found = dict(zip(slots, order_statistics(
+        df, [(values[n], rank) for n, rank in slots], [counts[n] for n, _ in slots], buffer_rows
+    )))
+
+    def interpolated(n: str, p: float) -> float | None:
+        if (n, p) not in positions:
+            return None
+        at = positions[n, p]
+        low, high = found[n, math.floor(at)], found[n, math.ceil(at)]
+        return low + (high - low) * (at - math.floor(at))
+
+    return {n: {p: interpolated(n, p) for p in probabilities[n]} for n in names}
 
 
 def tukey_fences(df: DataFrame, columns: Sequence[str], multiplier: float = 1.5,
@@ -227,8 +243,10 @@ def ntile(df: DataFrame, key: str, tiles: Sequence[Tiles], buffer_rows: int | No
     values = order_statistics(df, [(signed[t.name], r) for t, _, r in firsts], [rows] * len(firsts), buffer_rows)
     splits = []
     if firsts:
-        ties = _one_row(df, [c for (t, _, _), v in zip(firsts, values)
-                             for c in (F.count_if(signed[t.name] < F.lit(v)), F.count_if(signed[t.name] == F.lit(v)))])
+        ties = _one_row(df, [
+            c for (t, _, _), v in zip(firsts, values)
+            for c in (F.count_if(signed[t.name] < F.lit(v)), F.count_if(signed[t.name] == F.lit(v)))
+        ])
         wanted, tied_rows = [], []
         for i, ((t, _, rank), v) in enumerate(zip(firsts, values)):
             wanted.append((F.when(signed[t.name] == F.lit(v), F.col(key)), rank - ties[2 * i]))

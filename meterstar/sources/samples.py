@@ -7,12 +7,14 @@ unique ids and times of day over one month.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from meterstar.functions import columns as C
-from meterstar.operators.enrich import star_join
+from meterstar.sources.contracts import DIMENSION_KEYS
 from meterstar.sources.star import StarTables
 
 # Fixed values: (key, segment, tier name, overage multiplier, monthly quota per star).
@@ -34,6 +36,7 @@ EVENT_TYPES = (
 
 
 _schemas: dict[str, StructType] = {}
+_single_file: dict[str, bool] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,7 +51,10 @@ def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A large sample table. One file of one row group would be one task, so it
     is spread over the cores; a table of many files is left as it is."""
     df = table(spark, sf_dir, name)
-    if len(df.inputFiles()) == 1:
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _single_file:
+        _single_file[path] = len(df.inputFiles()) == 1
+    if _single_file[path]:
         df = df.repartition(spark.sparkContext.defaultParallelism)
     return df
 
@@ -82,9 +88,8 @@ def _tier_key(segment: Column) -> Column:
     return out
 
 
-def _dimensions(spark: SparkSession, sf_dir: str, onboarding: DataFrame, features, quota_at: int) -> dict:
-    customer = table(spark, sf_dir, "customer")
-    model = table(spark, sf_dir, "part").select(
+def _model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("ModelKey"),
         F.col("p_name").alias("ModelName"),
         F.col("p_brand").alias("Provider"),
@@ -94,7 +99,10 @@ def _dimensions(spark: SparkSession, sf_dir: str, onboarding: DataFrame, feature
         (F.col("p_retailprice") * 1.5).alias("CostPer1kOutput"),
         (F.col("p_size") > 25).alias("IsLatest"),
     )
-    client = customer.join(onboarding, "c_custkey", "left").select(
+
+
+def _client(spark: SparkSession, sf_dir: str, onboarding: DataFrame) -> DataFrame:
+    return table(spark, sf_dir, "customer").join(onboarding, "c_custkey", "left").select(
         F.col("c_custkey").alias("ClientKey"),
         F.concat(F.lit("CLI-"), F.col("c_custkey")).alias("ClientID"),
         F.col("c_name").alias("ClientName"),
@@ -104,22 +112,30 @@ def _dimensions(spark: SparkSession, sf_dir: str, onboarding: DataFrame, feature
         F.concat(F.lit("AM-"), F.col("c_nationkey")).alias("AccountManager"),
         F.lit("Active").alias("Status"),
     )
-    region = table(spark, sf_dir, "region").select(
+
+
+def _region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "region").select(
         F.col("r_regionkey").alias("RegionKey"),
         F.col("r_name").alias("RegionName"),
         F.col("r_name").alias("Country"),
         F.lit(0.0).alias("TimeZoneOffset"),
     )
-    feature = spark.createDataFrame(
+
+
+def _feature(spark: SparkSession, features) -> DataFrame:
+    return spark.createDataFrame(
         [(k, n, "premium" if p else "basic", p) for k, n, p in features],
         "FeatureKey int, FeatureName string, FeatureCategory string, IsPremium boolean",
     )
-    subscription = spark.createDataFrame(
+
+
+def _subscription(spark: SparkSession, quota_at: int) -> DataFrame:
+    return spark.createDataFrame(
         [(t[0], t[2], t[quota_at], t[3], "Email") for t in TIERS],
         "SubscriptionTierKey int, TierName string, MonthlyQuotaTokens bigint, "
         "OverageRateMultiplier double, SupportLevel string",
     )
-    return {"model": model, "client": client, "region": region, "feature": feature, "subscription": subscription}
 
 
 def _client_place(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,8 +147,7 @@ def _client_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def shipments(spark: SparkSession, sf_dir: str, place: bool = True) -> StarTables:
-    """Star over line items; without ``place`` the region and tier keys are left out."""
+def _shipped_fact(spark: SparkSession, sf_dir: str, place: bool) -> DataFrame:
     item, order = fact_table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     fact = item.join(order, item.l_orderkey == order.o_orderkey).select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("UsageID"),
@@ -151,23 +166,21 @@ def shipments(spark: SparkSession, sf_dir: str, place: bool = True) -> StarTable
         F.col("l_returnflag").alias("RequestType"),
     )
     if place:
-        fact = fact.join(_client_place(spark, sf_dir), "ClientKey")
-    else:
-        fact = fact.withColumns({"RegionKey": F.lit(0), "SubscriptionTierKey": F.lit(1)})
-    first = order.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.to_date(F.min("o_orderdate")).alias("OnboardingDate")
-    )
-    days = table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("Date"))
-    return StarTables({"fact": fact, "date": _calendar(days), **_dimensions(spark, sf_dir, first, PRIORITIES, 4)})
+        return fact.join(_client_place(spark, sf_dir), "ClientKey")
+    return fact.withColumns({"RegionKey": F.lit(0), "SubscriptionTierKey": F.lit(1)})
 
 
-def requests(spark: SparkSession, sf_dir: str) -> StarTables:
-    """Star over events; every UsageID is unique."""
-    k = F.regexp_extract("props", "([0-9]+)", 1).cast("bigint")
+def _first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = table(spark, sf_dir, "orders")
+    return order.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.to_date(F.min("o_orderdate")).alias("OnboardingDate"))
+
+
+def _requested_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     feature = F.lit(None).cast("int")
     for key, name, _ in EVENT_TYPES:
         feature = F.when(F.col("event_type") == name, key).otherwise(feature)
-    fact = table(spark, sf_dir, "events").withColumn("k", k).select(
+    k = F.regexp_extract("props", "([0-9]+)", 1).cast("bigint")
+    return table(spark, sf_dir, "events").withColumn("k", k).select(
         F.col("event_id").alias("UsageID"),
         _date_key("ts").alias("DateKey"),
         (F.hour("ts") * 100 + F.minute("ts")).alias("TimeKey"),
@@ -183,12 +196,41 @@ def requests(spark: SparkSession, sf_dir: str) -> StarTables:
         F.when(F.col("k") % 3 == 0, 1.0 + (F.col("k") % 9) * 0.5).alias("SatisfactionScore"),
         F.col("event_type").alias("RequestType"),
     ).join(_client_place(spark, sf_dir), "ClientKey")
+
+
+def _formula_onboarding(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = F.to_date(F.lit("2023-06-01"))
-    onboarding = table(spark, sf_dir, "customer").select(
+    return table(spark, sf_dir, "customer").select(
         "c_custkey", F.date_add(start, (F.col("c_custkey") * 37 % 240).cast("int")).alias("OnboardingDate")
     )
-    days = table(spark, sf_dir, "events").select(F.to_date("ts").alias("Date"))
-    return StarTables({"fact": fact, "date": _calendar(days), **_dimensions(spark, sf_dir, onboarding, EVENT_TYPES, 5)})
+
+
+def _builders(spark: SparkSession, sf_dir: str, star: str) -> dict[str, Callable[[], DataFrame]]:
+    """How to make each dimension of a star; a query builds only those it joins."""
+    source, stamp = ("lineitem", "l_shipdate") if star == "shipments" else ("events", "ts")
+    shipped = star == "shipments"
+    return {
+        "date": lambda: _calendar(table(spark, sf_dir, source).select(F.to_date(stamp).alias("Date"))),
+        "client": lambda: _client(spark, sf_dir, (_first_orders if shipped else _formula_onboarding)(spark, sf_dir)),
+        "model": lambda: _model(spark, sf_dir),
+        "feature": lambda: _feature(spark, PRIORITIES if shipped else EVENT_TYPES),
+        "region": lambda: _region(spark, sf_dir),
+        "subscription": lambda: _subscription(spark, 4 if shipped else 5),
+    }
+
+
+def _star(spark: SparkSession, sf_dir: str, star: str, fact: DataFrame) -> StarTables:
+    return StarTables({"fact": fact, **{n: build() for n, build in _builders(spark, sf_dir, star).items()}})
+
+
+def shipments(spark: SparkSession, sf_dir: str, place: bool = True) -> StarTables:
+    """Star over line items; without ``place`` the region and tier keys are constants."""
+    return _star(spark, sf_dir, "shipments", _shipped_fact(spark, sf_dir, place))
+
+
+def requests(spark: SparkSession, sf_dir: str) -> StarTables:
+    """Star over events; every UsageID is unique."""
+    return _star(spark, sf_dir, "requests", _requested_fact(spark, sf_dir))
 
 
 def defective(spark: SparkSession, sf_dir: str) -> StarTables:
@@ -208,11 +250,26 @@ def defective(spark: SparkSession, sf_dir: str) -> StarTables:
         (F.pow(F.col("l_extendedprice") / 10000, 8) - (F.col("l_tax") == 0).cast("int")).alias("CostUSD"),
         (F.col("l_returnflag") != "R").cast("int").alias("SuccessFlag"),
     )
-    return shipments(spark, sf_dir, place=False).replace(fact=fact)
+    return _star(spark, sf_dir, "shipments", fact)
 
 
-def usage(tables: StarTables, *dimensions: str) -> DataFrame:
-    """The fact inner-joined to its dates and the named dimensions, with its month label."""
-    dated = tables.replace(date=tables["date"].select("DateKey", "Date"))
-    joined = star_join(dated, ["date", *dimensions], how="inner", validate=False)
-    return joined.withColumn("Month", C.month_label("Date"))
+def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shipments star's date dimension."""
+    return _builders(spark, sf_dir, "shipments")["date"]()
+
+
+def usage(spark: SparkSession, sf_dir: str, star: str, *dimensions: str) -> DataFrame:
+    """A star's fact inner-joined to its dates and the named dimensions, with its month label.
+
+    Customer places are joined only if a dimension needs them.
+    """
+    builders = _builders(spark, sf_dir, star)
+    if star == "shipments":
+        fact = _shipped_fact(spark, sf_dir, place=bool({"region", "subscription"} & set(dimensions)))
+    else:
+        fact = _requested_fact(spark, sf_dir)
+    dates = builders["date"]().select("DateKey", "Date", C.month_label("Date").alias("Month"))
+    joined = fact.join(dates, "DateKey")
+    for name in dimensions:
+        joined = joined.join(builders[name](), DIMENSION_KEYS[name])
+    return joined

@@ -76,7 +76,7 @@ def test_text_that_is_no_number_is_counted_not_fatal(make_star):
 def test_other_types_are_reported_by_name(make_star):
     star = make_star()
     bad = star.replace(region=star["region"].withColumn("RegionKey", F.current_date()))
-    row = quality.wrong_types(bad).first()
+    row = quality.wrong_types(bad["region"], {"RegionKey": "invalid_type_region_RegionKey"}).first()
     assert row["name"] == "invalid_type_region_RegionKey" and "date" in row["detail"]
 
 
