@@ -89,12 +89,20 @@ SUMMARY = requests(
 
 ORACLES = {
     "dq4_dq5_dq6_dimension_keys": KEYS,
+    "dq2_wrong_types": """SELECT 'invalid_type_fact_CostUSD' AS name, 'critical' AS severity, count(*) AS n_rows,
+        count(*) || ' values are not numeric' AS detail FROM lineitem WHERE l_returnflag = 'R'
+        UNION ALL SELECT 'invalid_type_fact_LatencyMs', 'critical', 1, 'expected numeric data, found timestamp_ntz' """,
+    "dq7_invalid_dates": """SELECT * FROM (SELECT 'invalid_type_date_Date' AS name, 'critical' AS severity, count(*) AS n_rows,
+          count(*) || ' values are not valid dates' AS detail FROM orders WHERE o_orderstatus <> 'O'
+        UNION ALL SELECT 'invalid_type_client_OnboardingDate', 'critical', count(*), count(*) || ' values are not valid dates'
+          FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)) WHERE n_rows > 0""",
     "dq8_nulls": findings(*NULLS),
     "dq9_dq10_duplicates": FOLDED,
     "dq10_duplicate_ids": findings(DUPLICATE_IDS),
     "dq11_referential": findings(*ORPHANS),
     "dq12_negative": findings(*NEGATIVES),
     "dq13_cost_outliers": findings(OUTLIERS),
+    "dq16_row_conservation": "SELECT count(*) AS FactRows, count(*) AS EnrichedRows FROM events",
     "dq17_summary": SUMMARY,
     "dq_all_findings": findings(MISSING, BAD_DATES, DUPLICATES, *NULLS, *NEGATIVES, DUPLICATE_IDS, *ORPHANS, OUTLIERS),
 }

@@ -50,8 +50,9 @@ ORACLES = {
              round(sMAPE, 6) AS sMAPE,
              row_number() OVER (PARTITION BY RegionName, Metric ORDER BY sMAPE, RMSE, Model) = 1 AS Selected FROM m""",
         *SPLIT, METRICS),
-    "f10_forecast_dates": """SELECT r_name AS RegionName, r_name AS Metric, DATE '2000-01-01' AS _last, 0::BIGINT AS Days,
-        0::BIGINT AS DistinctDays, DATE '2000-01-01' AS FirstDay FROM region WHERE false""",
+    "f10_forecast_dates": shipments(
+        """SELECT RegionName, Metric, max(ds) AS _last, 29::BIGINT AS Days, 29::BIGINT AS DistinctDays,
+             CAST(max(ds) + 1 AS DATE) AS FirstDay FROM s WHERE Metric = 'TotalTokens' GROUP BY 1, 2""", *LONG),
     "f14_history_and_forecast": shipments(
         """SELECT RegionName, Metric, ds AS Date, y AS Value, 'history' AS Part, NULL::DOUBLE AS Lower, NULL::DOUBLE AS Upper FROM s
            UNION ALL SELECT RegionName, Metric, CAST(ds + step AS DATE), y, 'forecast', NULL, NULL

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks.registry import register
-from meterstar.operators import quality
+from meterstar.operators import enrich, quality
 from meterstar.sources import samples
 
 
@@ -58,3 +58,27 @@ def _(spark, sf_dir):
 @register("dq_all_findings")
 def _(spark, sf_dir):
     return quality.validate(samples.defective(spark, sf_dir))
+
+
+@register("dq2_wrong_types")
+def _(spark, sf_dir):
+    item = samples.fact_table(spark, sf_dir, "lineitem")
+    text = F.when(F.col("l_returnflag") == "R", F.col("l_returnflag")).otherwise(F.col("l_quantity").cast("string"))
+    return quality.wrong_types(item.select(text.alias("CostUSD"), F.col("l_shipdate").alias("LatencyMs")))
+
+
+@register("dq7_invalid_dates")
+def _(spark, sf_dir):
+    order = samples.fact_table(spark, sf_dir, "orders")
+    text = F.when(F.col("o_orderstatus") == "P", "2025-13-45").when(
+        F.col("o_orderstatus") == "O", F.col("o_orderdate").cast("string"))
+    star = samples.shipments(spark, sf_dir, place=False)
+    return quality.invalid_dates(star.replace(date=order.select(text.alias("Date"))))
+
+
+@register("dq16_row_conservation")
+def _(spark, sf_dir):
+    tables = samples.requests(spark, sf_dir)
+    counted = tables.fact.agg(F.count(F.lit(1)).alias("FactRows"))
+    enriched = enrich.enrich(tables).agg(F.count(F.lit(1)))
+    return counted.withColumn("EnrichedRows", enriched.scalar())

@@ -74,6 +74,11 @@ def risk_input(spark, sf_dir):
     return client_features(spark, sf_dir).withColumn("QuotaUtilizationPct", F.col("QuotaUtilizationPct") / 10)
 
 
+@register("ml15_coefficients")
+def _(spark, sf_dir):
+    return scoring.score_risk(risk_input(spark, sf_dir)).coefficients
+
+
 @register("ml9_classification_metrics")
 def _(spark, sf_dir):
     return rounded(evaluate.classification_metrics(judged_items(spark, sf_dir), "Formula", "Actual", "Predicted"))

@@ -199,7 +199,7 @@ def _(spark, sf_dir):
 @register("r1_global_rank")
 def _(spark, sf_dir):
     orders = samples.fact_table(spark, sf_dir, "orders").select("o_orderkey", F.round("o_totalprice", -3).alias("price"))
-    return ranking.global_rank(orders, "price", "PriceRank", descending=True)
+    return ranking.rank(orders, "price", "PriceRank", descending=True)
 
 
 @register("r2_quantiles")

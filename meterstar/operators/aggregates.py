@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterstar.functions import columns as C
-from meterstar.operators.ranking import global_rank
+from meterstar.operators.ranking import rank
 from meterstar.session import materialise
 
 
@@ -50,8 +50,8 @@ def model_performance(master: DataFrame) -> DataFrame:
         F.count("UsageID").alias("TotalRequests"),
         C.mean("TokenEfficiencyRatio").alias("AvgTokenEfficiency"),
     ))
-    ranked = global_rank(models, "TotalCost", "CostRank", descending=True)
-    return global_rank(ranked, "AvgLatency", "LatencyRank")
+    ranked = rank(models, "TotalCost", "CostRank", descending=True)
+    return rank(ranked, "AvgLatency", "LatencyRank")
 
 
 def region_monthly(master: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from meterstar.functions import columns as C
-from meterstar.operators.ranking import Tiles, ntile
+from meterstar.operators.ranking import Tiles, ntile, rank
 from meterstar.session import materialise
 
 
@@ -29,12 +29,11 @@ def rolling_model_cost(usage: DataFrame, days: int = 7) -> DataFrame:
 
 
 def model_cost_efficiency(usage: DataFrame) -> DataFrame:
-    """Cost per 1000 tokens per model, ranked within its provider."""
-    cost = usage.groupBy("ModelKey", "ModelName", "Provider").agg(
+    """Cost per 1000 tokens per model, ranked within its provider; a model without tokens ranks last."""
+    cost = materialise(usage.groupBy("ModelKey", "ModelName", "Provider").agg(
         (C.ratio(F.sum("CostUSD"), F.sum("TotalTokens")) * 1000.0).alias("CostPer1000Tokens")
-    )
-    rank = F.rank().over(W.partitionBy("Provider").orderBy("CostPer1000Tokens"))
-    return cost.withColumn("ProviderCostRank", rank)
+    ))
+    return rank(cost, "CostPer1000Tokens", "ProviderCostRank", by=["Provider"], rank_nulls=True)
 
 
 def client_rfm(usage: DataFrame) -> DataFrame:

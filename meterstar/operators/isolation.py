@@ -84,22 +84,29 @@ class Forest:
 
 def fit_forest(df: DataFrame, key: str = "UsageID", columns: Sequence[str] = ANOMALY_FEATURES, trees: int = TREES,
                sample: int = SAMPLE, seed: int = SEED) -> Forest:
-    """Grow the forest. The rows with the smallest key hashes are dealt to the trees.
+    """Grow the forest. The trees*sample rows with the smallest key hashes are dealt to the trees.
 
-    That needs one pass and at most trees*sample rows, and the same rows are
-    drawn however the data is partitioned. With fewer rows than that, every
-    tree draws its own subset of all of them by hash. Isolation is invariant to
-    scaling a feature, so none is scaled.
+    So the same rows are drawn however the data is partitioned. Only rows under
+    a hash cut that leaves about twice the wanted number are sorted. With fewer
+    rows than wanted, every tree draws its own subset of all of them. Isolation
+    is invariant to scaling a feature, so none is scaled.
     """
     ship_package(df.sparkSession)
     points = df.select(F.col(key).alias("_key"), *[F.col(c).cast("double").alias(c) for c in columns]).na.drop()
     hashed = points.withColumn("_hash", F.xxhash64("_key", F.lit(seed)))
-    pool = materialise(hashed.orderBy("_hash", "_key").limit(trees * sample))
-    rows = pool.count()
-    if not rows:
+    total, wanted = hashed.count(), trees * sample
+    if not total:
         raise ValueError("no complete rows to grow a forest from")
+    share = 2.0 * wanted / total
+    while True:
+        under = hashed.where(F.col("_hash") < F.lit(int(-(2**63) + share * 2**64))) if share < 1 else hashed
+        pool = materialise(under.orderBy("_hash", "_key").limit(wanted))
+        rows = pool.count()
+        if rows == min(wanted, total):
+            break
+        share *= 2
     size = min(sample, rows)
-    if rows == trees * sample:
+    if rows == wanted:
         place = F.row_number().over(W.orderBy("_hash", "_key"))  # at most trees*sample rows
         dealt = pool.withColumn("tree", (place % trees).cast("int"))
     else:

@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -18,19 +19,19 @@ from pyspark.sql import functions as F
 
 from meterstar.session import materialise
 
-# Rows whose exact values one aggregate may hold per requested statistic.
+# Rows whose exact values one aggregate may hold per bracket, and rows sampled to propose a bracket.
 EXACT_BUFFER_ROWS = 100_000
-SKETCH_ACCURACY = 10_000
-# Bracket half-width; twice the sketch's rank error, so the target stays inside.
-BRACKET_MARGIN = 2.0 / SKETCH_ACCURACY
+LEAST_SAMPLE = 1_000
+# Half-width of a proposed bracket in standard errors of the sample's quantile.
+BRACKET_ERRORS = 4.5
+SAMPLE_SEED = 42
 _PARTITION_SHIFT = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
 def ordered_prefix(df: DataFrame, order: Sequence[Column], sums: Mapping[str, Column | str]) -> DataFrame:
     """Add inclusive running sums over a global order.
 
-    ``order`` must be total, and coarse enough that equal keys were combined
-    before. The rows are range-sorted once and written; a running sum within
+    ``order`` must be total: combine rows of equal keys before. The rows are range-sorted once and written; a running sum within
     each sort partition plus the totals of the partitions before it (one row
     per partition, so safe to broadcast) gives the global value.
     """
@@ -60,13 +61,33 @@ def row_index(df: DataFrame, order: Sequence[Column], name: str = "RowIndex") ->
     return ordered_prefix(df, order, {name: F.lit(1).cast("bigint")})
 
 
-def global_rank(df: DataFrame, value: str, name: str, descending: bool = False) -> DataFrame:
-    """Add the rank of ``value`` over all rows; ties share the smallest rank, NULL has none."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_ties"))
-    order = F.col(value).desc() if descending else F.col(value).asc()
-    ranks = ordered_prefix(counts, [order], {"_up_to": "_ties"})
-    ranks = ranks.select(value, (F.col("_up_to") - F.col("_ties") + 1).cast("bigint").alias(name))
-    return df.join(ranks, value, "left").select(*df.columns, name)
+def rank(df: DataFrame, value: str, name: str, by: Sequence[str] = (), descending: bool = False,
+         rank_nulls: bool = False) -> DataFrame:
+    """Add the rank of ``value`` over all rows, or within the groups ``by``.
+
+    Ties share the smallest rank. A NULL value has no rank, or with
+    ``rank_nulls`` ranks after all others. Equal values combine first, so
+    neither a large group nor a frequent value ends up in one task.
+    """
+    counted = df if rank_nulls else df.where(F.col(value).isNotNull())
+    counts = counted.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_ties"))
+    order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
+    places = ordered_prefix(counts, [*[F.col(c) for c in by], order], {"_up_to": "_ties"})
+    places = places.withColumn("_before", F.col("_up_to") - F.col("_ties"))
+    if by:
+        starts = places.groupBy(*by).agg(F.min("_before").alias("_start"))
+        places = _null_safe_join(places, starts, by, "inner")
+    else:
+        places = places.withColumn("_start", F.lit(0))
+    places = places.select(*by, value, (F.col("_before") - F.col("_start") + 1).cast("bigint").alias(name))
+    return _null_safe_join(df, places, [*by, value], "left").select(*df.columns, name)
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on keys whose NULLs equal each other; the right side's keys are dropped."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
 @dataclass
@@ -122,15 +143,16 @@ def order_statistics(df: DataFrame, wanted: Sequence[tuple[Column, int]], rows:
 
     ``rows`` gives each column's non-null row count; pass the same Column object
     for the same column, so that its ranks share their work. Every round is two
-    aggregates with map-side combine and a one-row result: a sketch proposes an
-    interval around each rank and counts prove it. Heavy ties resolve at the
-    interval's ends, so each round keeps at most a thousandth of the rows. The
-    last round reads at most ``buffer_rows`` values exactly.
+    aggregates with a one-row result: a bounded sample proposes an interval
+    around each rank, and counts prove it or show where the target is instead.
+    The sample decides only how fast the search is, never its result. Heavy ties
+    resolve at the interval's ends, so a round keeps about a hundredth of the
+    rows. The last round reads at most ``buffer_rows`` values exactly.
     """
     limit = max(EXACT_BUFFER_ROWS if buffer_rows is None else buffer_rows, 1)
     searches = [_Search(c, r, n) for (c, r), n in zip(wanted, rows)]
     while large := [s for s in searches if s.value is None and s.inside > limit]:
-        _narrow(df, large)
+        _narrow(df, large, max(limit, LEAST_SAMPLE))
     groups = _by_bracket([s for s in searches if s.value is None])
     if groups:
         staged = df.select(*[g[0].bracketed().alias(f"b{i}") for i, g in enumerate(groups)])
@@ -144,15 +166,28 @@ def order_statistics(df: DataFrame, wanted: Sequence[tuple[Column, int]], rows:
     return [s.value for s in searches]
 
 
-def _narrow(df: DataFrame, searches: list[_Search]) -> None:
+def _narrow(df: DataFrame, searches: list[_Search], sample: int) -> None:
     """One round: shrink each search's bracket, or settle its value."""
     groups = _by_bracket(searches)
-    sketches = []
-    for group in groups:
-        ends = [F.lit(min(max(s.share + side, 0.0), 1.0)) for s in group for side in (-BRACKET_MARGIN, BRACKET_MARGIN)]
-        sketches.append(F.percentile_approx(group[0].bracketed(), F.array(*ends), SKETCH_ACCURACY))
+    drawn, points = [], []
+    for i, group in enumerate(groups):
+        share = min(sample / group[0].inside, 1.0)
+        drawn.append(F.when(F.rand(SAMPLE_SEED + i) < share, group[0].bracketed()).alias(f"b{i}"))
+        ends = []
+        for s in group:
+            margin = BRACKET_ERRORS * math.sqrt(s.share * (1 - s.share) / sample) + 1 / sample
+            ends += [max(s.share - margin, 0.0), min(s.share + margin, 1.0)]
+        points.append(F.expr(
+            f"percentile_disc(array({', '.join(f'{e!r}D' for e in ends)})) WITHIN GROUP (ORDER BY b{i})"
+        ))
+    sampled = _one_row(df.select(*drawn), points)
+    if any(values is None for values in sampled):  # an empty draw; its bracket holds at least one row
+        sampled = [
+            values or list(df.agg(F.min(g[0].bracketed()), F.max(g[0].bracketed())).first()) * len(g)
+            for g, values in zip(groups, sampled)
+        ]
     proposals = []
-    for group, values in zip(groups, _one_row(df, sketches)):
+    for group, values in zip(groups, sampled):
         proposals += [(s, values[2 * i], values[2 * i + 1]) for i, s in enumerate(group)]
     bounds = list(dict.fromkeys((id(s.column), v) for s, low, high in proposals for v in (low, high)))
     columns = {id(s.column): s.column for s in searches}
@@ -167,7 +202,7 @@ def _narrow(df: DataFrame, searches: list[_Search]) -> None:
             s.value = low
         elif under[at_high] <= s.rank < upto[at_high]:
             s.value = high
-        elif s.rank < under[at_low]:      # the sketch missed: the target is below its interval
+        elif s.rank < under[at_low]:      # the sample missed: the target is below its interval
             s.high, s.inside = low, under[at_low] - s.below
         elif s.rank >= upto[at_high]:     # or above it
             s.inside -= upto[at_high] - s.below

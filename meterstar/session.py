@@ -53,6 +53,10 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/meterstar/{spark.sparkContext.applicationId}"
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -61,11 +65,17 @@ def materialise(df: DataFrame) -> DataFrame:
     below ``spark.sql.autoBroadcastJoinThreshold``.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/meterstar/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = f"{_application_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_materialised(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; frames that read them are then unusable."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors once, for the few Python functions that run there."""
     context = spark.sparkContext

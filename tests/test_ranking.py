@@ -51,5 +51,15 @@ def test_prefix_sums_and_index_follow_the_global_order(spark, partitions):
 
 def test_rank_shares_places_among_ties(spark):
     df = spark.createDataFrame([(1, 5.0), (2, 5.0), (3, 1.0), (4, None)], "id int, v double")
-    got = {r["id"]: r["place"] for r in ranking.global_rank(df, "v", "place", descending=True).collect()}
+    got = {r["id"]: r["place"] for r in ranking.rank(df, "v", "place", descending=True).collect()}
     assert got == {1: 1, 2: 1, 3: 3, 4: None}
+
+
+@pytest.mark.parametrize("partitions", [1, 6])
+def test_rank_within_groups_equals_the_window_function(spark, partitions):
+    value = F.when(F.col("id") % 50 != 7, (F.col("id") * 31 % 17).cast("double"))
+    group = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 41 != 0, F.concat(F.lit("g"), F.col("id") % 5))
+    df = spark.range(2000).select("id", value.alias("v"), group.alias("g")).repartition(partitions)
+    got = ranking.rank(df, "v", "place", by=["g"], rank_nulls=True).orderBy("id").collect()
+    want = df.selectExpr("*", "cast(rank() over (partition by g order by v nulls last) as bigint) place").orderBy("id").collect()
+    assert got == want
