@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -13,8 +14,8 @@ from meterstar.session import materialise
 from meterstar.sources.contracts import DIMENSION_KEYS
 from meterstar.sources.star import StarTables
 
-# Span of request numbers in one window task. Numbers are unique, so no group
-# of the innermost window can hold more rows than this.
+# Largest group that one window task takes whole, and the span of request
+# numbers that cuts larger ones. Numbers are unique, so a span has no more rows.
 ID_SPAN = 1_000_000
 
 
@@ -74,18 +75,39 @@ def derive(joined: DataFrame) -> DataFrame:
 
 def running_total(df: DataFrame, group: Sequence[str], slot: Sequence[str], row_id: str, value: str,
                   name: str, id_span: int = ID_SPAN) -> DataFrame:
-    """Cumulative sum of ``value`` per ``group`` in (slot, row_id) order.
-
-    One group may hold a large part of all rows, so no window runs over a
-    group's rows. Rows are cut by slot and by spans of ``row_id`` (unique, so a
-    span has at most ``id_span`` rows); totals before the slot and before the
-    span come from aggregates. The fact moves once: the innermost window and
-    the join to the offsets share one partitioning. Rows with a NULL group or
-    slot key get NULL.
+    """Cumulative sum of ``value`` per ``group`` in (slot, row_id) order; NULL where a group key is NULL.
+
+    Groups of at most ``id_span`` rows take one window. Larger ones, which may
+    hold any part of the data, are cut (see ``_cut_running_total``). The list of
+    large groups has at most rows / id_span entries.
+    """
+    groups, slots = list(group), list(slot)
+    keyed = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in groups])
+    sizes = df.where(keyed).groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
+    large = materialise(sizes.where(F.col("_n") > id_span).select(*groups))
+    none_large = large.isEmpty()
+    small_rows = df if none_large else df.join(large, groups, "left_anti")
+    # Rows without a group get no total, so each may go to any task.
+    window = W.partitionBy(*groups, F.when(~keyed, F.col(row_id))).orderBy(*slots, row_id)
+    running = F.sum(value).over(window.rowsBetween(W.unboundedPreceding, 0))
+    small = small_rows.select(*[F.col(f"`{c}`") for c in df.columns], F.when(keyed, running).alias(name))
+    if none_large:
+        return small
+    return small.unionByName(
+        _cut_running_total(df.join(large, groups, "left_semi").select(*df.columns), groups, slots, row_id, value, name, id_span)
+    )
+
+
+def _cut_running_total(df: DataFrame, groups: list[str], slots: list[str], row_id: str, value: str, name: str,
+                       id_span: int) -> DataFrame:
+    """Running total of large groups, cut by slot and by spans of ``row_id``.
+
+    Totals before the slot and before the span come from aggregates. The rows
+    move once: the innermost window and the join to the offsets share one
+    partitioning.
     """
     span = "_span"
     cut = df.withColumn(span, F.floor(F.col(row_id) / id_span))
-    groups, slots = list(group), list(slot)
     by_span = cut.groupBy(*groups, *slots, span).agg(F.sum(value).alias("_sum"))
     by_slot = by_span.groupBy(*groups, *slots).agg(F.sum("_sum").alias("_sum"))
     earlier = (W.unboundedPreceding, -1)

@@ -83,6 +83,12 @@ def test_running_total_equals_cumsum(usage_star, id_span, partitions):
     assert dict(zip(want["UsageID"], want["used"])) == {r["UsageID"]: r["used"] for r in got.collect()}
 
 
+def test_rows_without_a_client_have_no_running_total(make_star):
+    star = make_star([{"ClientKey": None}, {"ClientKey": None}, {}])
+    rows = {r["UsageID"]: r["MonthlyTokensUsed"] for r in master(star).collect()}
+    assert rows == {1: None, 2: None, 3: 300}
+
+
 def test_missing_time_sorts_last_in_the_day(make_star):
     rows = master(make_star([{"TimeKey": None}, {"TimeKey": 2359}])).orderBy("UsageID").collect()
     assert [r["MonthlyTokensUsed"] for r in rows] == [600, 300]
