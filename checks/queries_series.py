@@ -90,3 +90,8 @@ def _(spark, sf_dir):
 @register("f16_unit_root")
 def _(spark, sf_dir):
     return rounded(series.unit_root_statistic(regional_series(spark, sf_dir), IDS))
+
+
+@register("f16_unit_root_test")
+def _(spark, sf_dir):
+    return rounded(forecast.unit_root_test(materialise(regional_series(spark, sf_dir)), IDS))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from meterstar.functions import columns as C
 
+# The model's inputs.
 CHURN_FEATURES = (
     "DaysSinceLastRequest", "AvgMonthlyCostTrend", "SatisfactionTrend", "SuccessRateLast30Days",
     "SuccessRateOverall", "QuotaUtilizationPct", "PremiumFeatureUsagePct",

@@ -6,6 +6,7 @@ small per-series systems are solved in Python, one row per series.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -194,6 +195,90 @@ def arima(train: DataFrame, ids: Sequence[str], horizon: int = S.HORIZON) -> Dat
     )
 
 
+# --- unit-root test ----------------------------------------------------------------
+
+# Published response-surface coefficients of the test's p-value (constant, one series).
+TAU_MIN, TAU_STAR, TAU_MAX = -18.83, -1.61, 2.74
+TAU_SMALL_P = (2.1659, 1.4412, 0.038269)
+TAU_LARGE_P = (1.7339, 0.93202, -0.12745, -0.010368)
+
+
+def unit_root_p_value(t: float) -> float:
+    """Approximate p-value of a Dickey-Fuller statistic with a constant."""
+    if t > TAU_MAX or t < TAU_MIN:
+        return float(t > TAU_MAX)
+    at = sum(c * t**i for i, c in enumerate(TAU_SMALL_P if t <= TAU_STAR else TAU_LARGE_P))
+    return 0.5 * math.erfc(-at / math.sqrt(2))
+
+
+@F.pandas_udf(T.IntegerType())
+def _best_lag(xx: pd.Series, xy: pd.Series, yy: pd.Series, n: pd.Series, most: pd.Series) -> pd.Series:
+    """Number of lagged differences with the lowest AIC; all fits share one product matrix."""
+    out = []
+    for upper, cross, square, size, limit in zip(xx, xy, yy, n, most):
+        cross = np.asarray(cross)
+        full = _symmetric(np.asarray(upper), len(cross))
+        scores = []
+        for lags in range(limit + 1):
+            k = 2 + lags
+            sse = _solve(full[:k, :k], cross[:k], square)[1]
+            scores.append(size * np.log(max(sse / size, 1e-300)) + 2 * k)
+        out.append(int(np.argmin(scores)))
+    return pd.Series(out)
+
+
+@F.pandas_udf(T.StructType().add("t", T.DoubleType()).add("p", T.DoubleType()))
+def _level_test(xx: pd.Series, xy: pd.Series, yy: pd.Series, n: pd.Series, lags: pd.Series) -> pd.DataFrame:
+    """t statistic of the lagged level and its p-value; NULL where the fit leaves no error."""
+    rows = []
+    for upper, cross, square, size, used in zip(xx, xy, yy, n, lags):
+        k = 2 + used
+        full, right = _symmetric(np.asarray(upper), len(cross))[:k, :k], np.asarray(cross)[:k]
+        beta, sse = _solve(full, right, square)
+        free = size - k
+        if free < 1 or sse <= 1e-12 * square:
+            rows.append((None, None))
+            continue
+        t = float(beta[1] / np.sqrt(sse / free * np.linalg.pinv(full)[1, 1]))
+        rows.append((t, unit_root_p_value(t)))
+    return pd.DataFrame(rows, columns=["t", "p"])
+
+
+def unit_root_test(series: DataFrame, ids: Sequence[str], level: float = 0.05) -> DataFrame:
+    """Augmented Dickey-Fuller test with a constant per series, its lags chosen by AIC.
+
+    Two grouped passes over the days: product sums with as many lagged
+    differences as a series' length allows, from which the lag is chosen, then
+    the sums of the chosen fit on all days it can use.
+    """
+    order = W.partitionBy(*ids).orderBy("ds")
+    sized = series.withColumn("_days", F.count(F.lit(1)).over(W.partitionBy(*ids)))
+    longest = sized.agg(F.max("_days")).first()[0]
+    if not longest:
+        raise ValueError("no series to test")
+    most = math.ceil(12 * (longest / 100) ** 0.25)
+    steps = sized.withColumns({"_x": F.lag("y").over(order), "_d": F.col("y") - F.lag("y").over(order)})
+    steps = steps.withColumns({f"_d{i}": F.lag("_d", i).over(order) for i in range(1, most + 1)})
+    allowed = F.least(F.ceil(12 * F.pow(F.col("_days") / 100, 0.25)), F.floor(F.col("_days") / 2) - 2)
+    steps = materialise(steps.withColumn("_most", F.greatest(allowed, F.lit(0)).cast("int")))
+
+    def sums(df: DataFrame, lags: Column, extra: Mapping[str, Column]) -> DataFrame:
+        # Differences beyond a series' lags are 0, and rows without all of its lags are left out.
+        differences = [F.when(lags >= i, F.col(f"_d{i}")).otherwise(0.0) for i in range(1, most + 1)]
+        deepest = F.element_at(F.array("_d", *[f"_d{i}" for i in range(1, most + 1)]), lags + 1)
+        return normal_equations(df.where(deepest.isNotNull()), ids, [F.lit(1.0), F.col("_x"), *differences], F.col("_d"), extra)
+
+    ship_package(series.sparkSession)
+    chosen = sums(steps, F.col("_most"), {"_limit": F.max("_most")}).select(
+        *ids, _best_lag("xx", "xy", "yy", "n", "_limit").alias("_lags")
+    )
+    final = sums(steps.join(materialise(chosen), list(ids)), F.col("_lags"), {"Lags": F.max("_lags")})
+    return final.withColumn("_test", _level_test("xx", "xy", "yy", "n", "Lags")).select(
+        *ids, "Lags", F.col("n").alias("Observations"), F.col("_test.t").alias("Statistic"),
+        F.col("_test.p").alias("PValue"), (F.col("_test.p") < level).alias("Stationary"),
+    )
+
+
 # --- comparison and selection --------------------------------------------------------
 
 def forecast_with(model: str, train: DataFrame, ids: Sequence[str], horizon: int = S.HORIZON) -> DataFrame:

@@ -31,6 +31,19 @@ WARNING_FINDINGS = ("cost_outliers",)
 MEASURES = ("CostUSD", "TotalTokens", "LatencyMs")
 
 
+# Texts of the findings, each after its number of rows.
+NOT_NUMERIC = "values are not numeric"
+NULL_KEYS = "null {key} values"
+DUPLICATE_KEYS = "rows have duplicate {key} values"
+NOT_MANY_TO_ONE = "rows prevent a many-to-one join on {key}"
+NOT_DATES = "values are not valid dates"
+NULL_VALUES = "null values"
+DUPLICATE_RECORDS = "rows are part of duplicate fact records"
+UNKNOWN_KEYS = "fact rows reference unknown dimension keys"
+NEGATIVE_VALUES = "negative values"
+COST_OUTLIERS = "values exceed mean + 3 standard deviations"
+
+
 class DataQualityError(ValueError):
     """Source data cannot safely be enriched."""
 
@@ -99,7 +112,7 @@ def _type_checks(df: DataFrame, wanted: Mapping[str, str]) -> tuple[Checks, list
         if isinstance(types[c], T.StringType):
             bad = F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast("double").isNull()
             counts.append(F.count_if(bad).alias(name))
-            details[name] = "values are not numeric"
+            details[name] = NOT_NUMERIC
         elif not _is_number(types[c]):
             fixed.append((name, 1, f"expected numeric data, found {types[c].simpleString()}"))
     return (counts, details), fixed
@@ -110,7 +123,7 @@ def _null_checks(fact: DataFrame) -> Checks:
     columns = [c for c in NOT_NULL_FACT_COLUMNS if c in types]
     return (
         [F.count_if(~_present(c, types[c])).alias(f"null_{c}") for c in columns],
-        {f"null_{c}": "null values" for c in columns},
+        {f"null_{c}": NULL_VALUES for c in columns},
     )
 
 
@@ -123,7 +136,7 @@ def _negative_checks(fact: DataFrame) -> Checks:
 
     return (
         [F.count_if(number(c) < 0).alias(f"negative_{c}") for c in columns],
-        {f"negative_{c}": "negative values" for c in columns},
+        {f"negative_{c}": NEGATIVE_VALUES for c in columns},
     )
 
 
@@ -170,9 +183,9 @@ def dimension_keys(dimension: DataFrame, table: str, key: str) -> DataFrame:
             repeated.alias(f"many_to_one_cardinality_{table}"),
         ),
         {
-            f"null_primary_key_{table}": f"null {key} values",
-            f"duplicate_primary_key_{table}": f"rows have duplicate {key} values",
-            f"many_to_one_cardinality_{table}": f"rows prevent a many-to-one join on {key}",
+            f"null_primary_key_{table}": NULL_KEYS.format(key=key),
+            f"duplicate_primary_key_{table}": DUPLICATE_KEYS.format(key=key),
+            f"many_to_one_cardinality_{table}": NOT_MANY_TO_ONE.format(key=key),
         },
     )
 
@@ -193,7 +206,7 @@ def invalid_dates(tables: StarTables) -> DataFrame:
             if isinstance(tables[table].schema[c].dataType, T.StringType):
                 column = column.try_cast("timestamp")
             counts = tables[table].agg(F.count_if(column.isNull()).alias(name))
-            parts.append(_from_counts(counts, {name: "values are not valid dates"}))
+            parts.append(_from_counts(counts, {name: NOT_DATES}))
     return reduce(DataFrame.unionByName, parts, _fixed(tables.fact.sparkSession, []))
 
 
@@ -216,8 +229,8 @@ def duplicate_records(fact: DataFrame) -> DataFrame:
     repeated, groups = _record_groups(fact)
     ids = repeated.agg(F.sum("n").alias("duplicate_fact_usage_ids"))
     records = groups.where("_n > 1").agg(F.sum("_n").alias("duplicate_fact_records"))
-    return _from_counts(records, {"duplicate_fact_records": "rows are part of duplicate fact records"}).unionByName(
-        _from_counts(ids, {"duplicate_fact_usage_ids": "rows have duplicate UsageID values"})
+    return _from_counts(records, {"duplicate_fact_records": DUPLICATE_RECORDS}).unionByName(
+        _from_counts(ids, {"duplicate_fact_usage_ids": DUPLICATE_KEYS.format(key="UsageID")})
     )
 
 
@@ -239,7 +252,7 @@ def orphan_keys(tables: StarTables, dimensions: Mapping[str, str] = DIMENSION_KE
 
 def referential_integrity(tables: StarTables) -> DataFrame:
     """Findings for foreign keys without a dimension row."""
-    text = F.concat(F.col("n").cast("string"), F.lit(" fact rows reference unknown dimension keys"))
+    text = F.concat(F.col("n").cast("string"), F.lit(f" {UNKNOWN_KEYS}"))
     name = F.concat(F.lit("referential_integrity_"), F.col("fk"))
     return _findings(orphan_keys(tables), name, F.col("n"), text)
 
@@ -252,7 +265,7 @@ def cost_outliers(fact: DataFrame, deviations: float = 3) -> DataFrame:
     deviation = F.stddev_samp("c")
     limit = cost.agg(F.when(deviation > 0, F.avg("c") + deviations * deviation))
     counts = cost.agg(F.count_if(F.col("c") > limit.scalar()).alias("cost_outliers"))
-    return _from_counts(counts, {"cost_outliers": "values exceed mean + 3 standard deviations"})
+    return _from_counts(counts, {"cost_outliers": COST_OUTLIERS})
 
 
 def validate(tables: StarTables) -> DataFrame:

@@ -22,8 +22,10 @@ from meterstar.session import materialise
 
 # --- disengagement risk -----------------------------------------------------------
 
+# Notes on how the holdout was drawn.
 HOLDOUT_NOTE = "Stratified 25% holdout; scaling and model fitting use training rows only."
-NO_HOLDOUT_NOTE = "Holdout unavailable: fewer than two observations in one class."
+NO_# Fixed values: notes on how the holdout was drawn.
+HOLDOUT_NOTE = "Holdout unavailable: fewer than two observations in one class."
 
 
 @dataclass
@@ -137,6 +139,7 @@ def score_risk(features: DataFrame) -> RiskResult:
 
 # --- satisfaction -----------------------------------------------------------------
 
+# Inputs of the satisfaction model and range of the scores.
 CATEGORICAL = ("ModelKey", "FeatureKey", "RegionKey", "SubscriptionTierKey", "RequestType")
 NUMERIC = ("TotalTokens", "LatencyMs", "CostUSD", "SuccessFlag", "HourOfDay", "IsWeekend")
 SATISFACTION_FEATURES = (*CATEGORICAL, *NUMERIC)
@@ -257,8 +260,11 @@ def score_satisfaction(master: DataFrame, key: str = "UsageID", trees: int = 250
 
 # --- anomalies ------------------------------------------------------------------------
 
+# Anomaly inputs, share flagged, and the notes of the summary.
 ANOMALY_FEATURES = ("CostUSD", "TotalTokens", "LatencyMs")
 CONTAMINATION = 0.02
+SHARE_NOTE = "Configured expected proportion; not a confirmed incident rate."
+FENCE_NOTE = "Rule baseline: value > Q3 + 1.5 * IQR."
 RULE_NOTE = "Features exceeding their transparent Tukey upper fences."
 
 
@@ -291,8 +297,7 @@ def anomaly_summary(scored: DataFrame, fences: Mapping[str, float | None], conta
         return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).cast("bigint")
 
     wanted = [
-        ("configuration", "Isolation Forest contamination", F.lit(0).cast("bigint"), F.lit(contamination),
-         "Configured expected proportion; not a confirmed incident rate."),
+        ("configuration", "Isolation Forest contamination", F.lit(0).cast("bigint"), F.lit(contamination), SHARE_NOTE),
         ("population", "Total scored requests", counted(F.lit(True)), none, ""),
         ("statistical_signal", "Statistical anomaly", counted(statistical), none, ""),
         ("rule_signal", "Rule-based outlier", counted(rule), none, ""),
@@ -301,7 +306,7 @@ def anomaly_summary(scored: DataFrame, fences: Mapping[str, float | None], conta
         ("comparison", "Rule-based outlier only", counted(rule & ~statistical), none, ""),
         *[
             ("rule_pattern", f"{c} above Tukey upper fence", counted(F.col(f"RuleOutlier_{c}")),
-             F.lit(fences[c]).cast("double"), "Rule baseline: value > Q3 + 1.5 * IQR.")
+             F.lit(fences[c]).cast("double"), FENCE_NOTE)
             for c in features
         ],
     ]

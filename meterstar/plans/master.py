@@ -16,7 +16,7 @@ from meterstar.sources.star import StarTables, load_star, typed
 ROW_COUNT_CHANGED = "fact_row_count_changed_after_enrichment"
 
 
-def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str, file_format: str = "csv") -> DataFrame:
+def run_master(spark: SparkSession, raw_dir: str, out_dir: str, file_format: str = "csv") -> DataFrame:
     """From the seven raw tables to the master and the four reporting tables.
 
     The quality report is written before a critical finding stops the job.
@@ -25,7 +25,7 @@ def run_pipeline(spark: SparkSession, raw_dir: str, out_dir: str, file_format: s
 
 
 def build_master(tables: StarTables, out_dir: str) -> DataFrame:
-    """``run_pipeline`` for tables already loaded. Returns the master as written."""
+    """``run_master`` for tables already loaded. Returns the master as written."""
     spark = tables.fact.sparkSession
     catalog = Catalog(spark, out_dir)
     findings = materialise(quality.validate(tables))

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterstar.operators import quality
-from meterstar.plans.pipeline import run_pipeline
+from meterstar.plans.master import run_master
 from meterstar.sources.catalog import ArtifactMissingError, Catalog
 from meterstar.sources.contracts import FILES
 from meterstar.sources.star import MissingFilesError, StarTables, load_star, typed
@@ -121,7 +121,7 @@ def test_pipeline_reports_before_it_stops(spark, make_star, tmp_path):
     raw = write_csv(make_star([{"CostUSD": -1.0}, {}]), tmp_path / "raw")
     out = str(tmp_path / "out")
     with pytest.raises(quality.DataQualityError, match="negative_CostUSD"):
-        run_pipeline(spark, raw, out)
+        run_master(spark, raw, out)
     report = Catalog(spark, out).load("data quality report").first()
     assert report["critical_failure"] and report["fact_rows"] == 2
     with pytest.raises(ArtifactMissingError):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from meterstar.functions import columns as C
 from meterstar.operators import enrich, evaluate, features, isolation, scoring
-from meterstar.plans.pipeline import build_master
+from meterstar.plans.master import build_master
 from meterstar.plans.predict import run_forecasting
 from meterstar.plans.score import detect_anomalies, run_scoring
 from meterstar.sources.catalog import Catalog

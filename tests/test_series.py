@@ -94,6 +94,52 @@ def test_unit_root_statistic(spark):
     assert got["noise"] < -10 < -4 < got["walk"]
 
 
+def brute_unit_root(y):
+    """Lag by AIC on the common sample, then the statistic on the longest one."""
+    d, n = np.diff(y), len(y)
+    most = min(int(np.ceil(12 * (n / 100) ** 0.25)), n // 2 - 2)
+
+    def design(lags, start):
+        rows = range(start, len(d))
+        x = np.array([[1.0, y[t], *[d[t - i] for i in range(1, lags + 1)]] for t in rows])
+        beta, *_ = np.linalg.lstsq(x, d[start:], rcond=None)
+        return x, beta, ((d[start:] - x @ beta) ** 2).sum()
+
+    def aic(lags):
+        x, _, sse = design(lags, most)
+        return len(x) * np.log(sse / len(x)) + 2 * x.shape[1]
+
+    best = min(range(most + 1), key=aic)
+    x, beta, sse = design(best, best)
+    return best, beta[1] / np.sqrt(sse / (len(x) - x.shape[1]) * np.linalg.inv(x.T @ x)[1, 1])
+
+
+def test_unit_root_test_matches_brute_force(spark):
+    rng = np.random.default_rng(19)
+    e = rng.normal(0, 1, 260)
+    walk = 50 + np.cumsum(e)
+    mixed = [0.0, 0.0]
+    for s in e:
+        mixed.append(0.5 * mixed[-1] - 0.3 * mixed[-2] + s)
+    frames = {"walk": walk, "mixed": np.array(mixed), "short": walk[:40]}
+    df = as_series(spark, frames["walk"], "walk")
+    for name in ("mixed", "short"):
+        df = df.union(as_series(spark, frames[name], name))
+    got = {r["Metric"]: r for r in forecast.unit_root_test(df, IDS).collect()}
+    for name, y in frames.items():
+        lags, t = brute_unit_root(y)
+        assert got[name]["Lags"] == lags and got[name]["Statistic"] == pytest.approx(t, rel=1e-5)
+    assert got["mixed"]["Stationary"] and not got["walk"]["Stationary"]
+    constant = forecast.unit_root_test(as_series(spark, [3.0] * 40), IDS).first()
+    assert constant["Statistic"] is None and constant["Stationary"] is None
+
+
+def test_unit_root_p_values_meet_the_published_critical_values():
+    for t, p in ((-3.43, 0.01), (-2.86, 0.05), (-2.57, 0.10)):
+        assert forecast.unit_root_p_value(t) == pytest.approx(p, abs=0.002)
+    assert forecast.unit_root_p_value(-30) == 0.0 and forecast.unit_root_p_value(5) == 1.0
+
+
 def test_grouped_least_squares(spark):
     rng = np.random.default_rng(7)
     rows, want = [], {}
