@@ -155,13 +155,15 @@ def score_rows(df: DataFrame, forest: Forest, name: str = "_score") -> DataFrame
 
 def statistical_anomalies(df: DataFrame, key: str = "UsageID", columns: Sequence[str] = ANOMALY_FEATURES,
                           contamination: float = CONTAMINATION, trees: int = TREES, sample: int = SAMPLE,
-                          seed: int = SEED) -> DataFrame:
+                          seed: int = SEED, fit_on: DataFrame | None = None) -> DataFrame:
     """Add ``IsStatisticalAnomaly`` and ``StatisticalAnomalyScore`` (above 0 is flagged).
 
-    The cut-off is the exact (1 - contamination) quantile of the scores. The
-    scored rows are written once, so that finding it does not score them again.
+    ``fit_on`` may name a stored table with the same rows, so that growing the
+    forest does not compute ``df``. The cut-off is the exact (1 - contamination)
+    quantile of the scores; the scored rows are written once, so that finding it
+    does not score them again.
     """
-    forest = fit_forest(df, key, columns, trees, sample, seed)
+    forest = fit_forest(df if fit_on is None else fit_on, key, columns, trees, sample, seed)
     scored = materialise(score_rows(df, forest))
     cut = quantiles(scored, {"_score": (1.0 - contamination,)})["_score"][1.0 - contamination]
     margin = F.col("_score") - F.lit(cut)

@@ -24,8 +24,7 @@ from meterstar.session import materialise
 
 # Notes on how the holdout was drawn.
 HOLDOUT_NOTE = "Stratified 25% holdout; scaling and model fitting use training rows only."
-NO_# Fixed values: notes on how the holdout was drawn.
-HOLDOUT_NOTE = "Holdout unavailable: fewer than two observations in one class."
+NO_HOLDOUT_NOTE = "Holdout unavailable: fewer than two observations in one class."
 
 
 @dataclass
@@ -145,6 +144,7 @@ NUMERIC = ("TotalTokens", "LatencyMs", "CostUSD", "SuccessFlag", "HourOfDay", "I
 SATISFACTION_FEATURES = (*CATEGORICAL, *NUMERIC)
 SCORE_RANGE = (1.0, 5.0)
 LEAST_RATED = 10
+FOREST = "Random forest regressor"
 
 
 def _typed_features(df: DataFrame) -> DataFrame:
@@ -194,9 +194,30 @@ class SatisfactionResult:
 
     scored: DataFrame
     model: tuple[PipelineModel, dict[str, str | None]]
-    evaluation: DataFrame
+    holdout: DataFrame
     coverage: DataFrame
 
+    def evaluation(self, stored: DataFrame | None = None) -> DataFrame:
+        """Holdout errors, and the prediction populations as read from the stored scored rows.
+
+        Without stored rows the predictions are computed again.
+        """
+        scored = self.scored if stored is None else stored
+        populations = E.population_summary(scored, "SatisfactionScore", "SatisfactionPredicted")
+        return self.holdout.unionByName(_evaluation_rows(
+            populations.withColumn("Model", F.lit(FOREST)), "prediction_population_summary", F.lit("Population"), F.col("Group")
+        ))
+
+
+def _evaluation_rows(df: DataFrame, kind: str, dimension: Column, group: Column, cv: float | None = None) -> DataFrame:
+    """Rows of the evaluation table; measures that do not apply are NULL."""
+    none = F.lit(None).cast("double")
+    measures = [F.col(c) if c in df.columns else none.alias(c) for c in ("MAE", "RMSE", "R2")]
+    return df.select(
+        F.lit(kind).alias("EvaluationType"), "Model", dimension.alias("GroupDimension"), group.alias("Group"),
+        "SampleSize", *measures, F.lit(cv).cast("double").alias("CV_RMSE"), "PredictionRangeValid",
+    )
+
 
 def cross_validated_rmse(rated: DataFrame, key: str, folds: int = 5, trees: int = 250, max_depth: int = 15) -> float:
     """Mean of the folds' RMSE; folds are drawn by key hash."""
@@ -227,35 +248,21 @@ def score_satisfaction(master: DataFrame, key: str = "UsageID", trees: int = 250
         predict_satisfaction(model, rated.where(flag)).withColumn("_mean", F.lit(baseline))
     )
     cv_rmse = cross_validated_rmse(rated, key, folds, trees, max_depth) if folds > 1 else None
-    forest, none = "Random forest regressor", F.lit(None).cast("double")
-
-    def tagged(df: DataFrame, kind: str, dimension: Column, group: Column, cv: float | None = None) -> DataFrame:
-        for c in ("MAE", "RMSE", "R2"):
-            if c not in df.columns:
-                df = df.withColumn(c, none)
-        return df.select(
-            F.lit(kind).alias("EvaluationType"), F.col("Model"), dimension.alias("GroupDimension"),
-            group.alias("Group"), "SampleSize", "MAE", "RMSE", "R2",
-            F.lit(cv).cast("double").alias("CV_RMSE"), "PredictionRangeValid",
-        )
-
-    overall, holdout = F.lit("Overall"), F.lit("Rated holdout")
+    overall, rows = F.lit("Overall"), F.lit("Rated holdout")
     comparison = "holdout_model_comparison"
+    holdout = reduce(DataFrame.unionByName, [
+        _evaluation_rows(E.regression_metrics(judged, "Training-mean baseline", "SatisfactionScore", "_mean"),
+                         comparison, overall, rows),
+        _evaluation_rows(E.regression_metrics(judged, FOREST, "SatisfactionScore", "SatisfactionPredicted"),
+                         comparison, overall, rows, cv_rmse),
+        _evaluation_rows(E.group_metrics(judged, FOREST, "SatisfactionScore", "SatisfactionPredicted", dimensions),
+                         "holdout_group_performance", F.col("GroupDimension"), F.col("Group")),
+    ])
+    population = F.when(F.col("SatisfactionScore").isNotNull(), "Observed score available")
     scored = predict_satisfaction(model, master).withColumn(
-        "SatisfactionPredictionPopulation",
-        F.when(F.col("SatisfactionScore").isNotNull(), "Observed score available").otherwise("Previously unrated request"),
+        "SatisfactionPredictionPopulation", population.otherwise("Previously unrated request")
     )
-    evaluation = reduce(DataFrame.unionByName, [
-        tagged(E.regression_metrics(judged, "Training-mean baseline", "SatisfactionScore", "_mean"),
-               comparison, overall, holdout),
-        tagged(E.regression_metrics(judged, forest, "SatisfactionScore", "SatisfactionPredicted"),
-               comparison, overall, holdout, cv_rmse),
-        tagged(E.group_metrics(judged, forest, "SatisfactionScore", "SatisfactionPredicted", dimensions),
-               "holdout_group_performance", F.col("GroupDimension"), F.col("Group")),
-        tagged(E.population_summary(scored, "SatisfactionScore", "SatisfactionPredicted").withColumn("Model", F.lit(forest)),
-               "prediction_population_summary", F.lit("Population"), F.col("Group")),
-    ])
-    return SatisfactionResult(scored, model, evaluation, E.label_coverage(master, dimensions=dimensions))
+    return SatisfactionResult(scored, model, holdout, E.label_coverage(master, dimensions=dimensions))
 
 
 # --- anomalies ------------------------------------------------------------------------

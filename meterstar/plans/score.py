@@ -18,9 +18,10 @@ REQUIRED = {
 
 
 def detect_anomalies(master: DataFrame, key: str = "UsageID",
-                     contamination: float = scoring.CONTAMINATION) -> tuple[DataFrame, DataFrame]:
+                     contamination: float = scoring.CONTAMINATION,
+                     fit_on: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Both anomaly signals on every row, and their summary."""
-    scored = statistical_anomalies(master, key, contamination=contamination)
+    scored = statistical_anomalies(master, key, contamination=contamination, fit_on=fit_on)
     flagged, fences = scoring.rule_outliers(scored)
     flagged = scoring.with_short_names(flagged)
     return flagged, scoring.anomaly_summary(flagged, fences, contamination)
@@ -34,11 +35,13 @@ def run_scoring(spark: SparkSession, out_dir: str, trees: int = 250, max_depth:
     satisfaction = scoring.score_satisfaction(master, trees=trees, max_depth=max_depth, folds=folds)
     write_table(risk.scores, catalog.path("client churn scores"))
     scores = catalog.load("client churn scores")
-    scored, summary = detect_anomalies(satisfaction.scored.join(scores, "ClientKey", "left"))
+    joined = satisfaction.scored.join(scores, "ClientKey", "left")
+    scored, summary = detect_anomalies(joined, fit_on=master)
     write_by_month(scored, catalog.path("usage data"))
+    stored = catalog.load("usage data")
     tables = {
         "anomaly summary": summary,
-        "satisfaction evaluation": satisfaction.evaluation,
+        "satisfaction evaluation": satisfaction.evaluation(stored),
         "satisfaction coverage": satisfaction.coverage,
         "churn evaluation": risk.evaluation,
         "churn class balance": risk.class_balance,
@@ -53,4 +56,4 @@ def run_scoring(spark: SparkSession, out_dir: str, trees: int = 250, max_depth:
     satisfaction.model[0].write().overwrite().save(f"{models}/satisfaction")
     if risk.model.classifier is not None:
         risk.model.classifier.write().overwrite().save(f"{models}/churn")
-    return catalog.load("usage data")
+    return stored

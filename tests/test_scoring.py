@@ -143,10 +143,12 @@ def test_satisfaction_is_bounded_and_audited(spark):
     scored = result.scored.collect()
     assert len(scored) == 60 and all(1 <= r["SatisfactionPredicted"] <= 5 for r in scored)
     assert {r["SatisfactionPredictionPopulation"] for r in scored} == {"Observed score available", "Previously unrated request"}
-    kinds = {(r["EvaluationType"], r["Model"]): r for r in result.evaluation.collect()}
+    kinds = {(r["EvaluationType"], r["Model"]): r for r in result.evaluation().collect()}
     forest = kinds["holdout_model_comparison", "Random forest regressor"]
     assert forest["RMSE"] > 0 and forest["CV_RMSE"] > 0 and forest["PredictionRangeValid"]
     assert kinds["holdout_model_comparison", "Training-mean baseline"]["CV_RMSE"] is None
+    populations = [(r["Group"], r["SampleSize"]) for r in result.evaluation(result.scored).where("GroupDimension = 'Population'").collect()]
+    assert sorted(populations) == [("Observed satisfaction scores", 45), ("Predictions for previously unrated requests", 15)]
     overall = result.coverage.where("Dimension = 'Overall'").first()
     assert (overall["TotalRequests"], overall["LabeledRequests"]) == (60, 45)
 
