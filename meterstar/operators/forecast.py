@@ -12,6 +12,8 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -32,23 +34,31 @@ MODELS = ("Naive", "SeasonalNaive", "ARIMA", "SeasonalRegression")
 
 def normal_equations(df: DataFrame, ids: Sequence[str], xs: Sequence[Column], y: Column,
                      extra: Mapping[str, Column] | None = None) -> DataFrame:
-    """Sums of products per group: ``xx`` (upper triangle), ``xy``, ``yy`` and ``n``, and any extra aggregates."""
-    products = {f"_x{i}": x.cast("double") for i, x in enumerate(xs)}
-    staged = df.withColumns({**products, "_y": y.cast("double")})
-    k = len(xs)
-    return staged.groupBy(*ids).agg(
-        F.array(*[F.sum(F.col(f"_x{i}") * F.col(f"_x{j}")) for i in range(k) for j in range(i, k)]).alias("xx"),
-        F.array(*[F.sum(F.col(f"_x{i}") * F.col("_y")) for i in range(k)]).alias("xy"),
-        F.sum(F.col("_y") * F.col("_y")).alias("yy"),
-        F.count("_y").alias("n"),
+    """Sums of products of (xs, y) per group as ``sums`` (upper triangle by rows), ``n``, and any extra aggregates.
+
+    The products are one vector per row, summed as such: one aggregate, however
+    many regressors there are.
+    """
+    size = len(xs) + 1
+    staged = df.withColumn("_v", F.array(*[x.cast("double") for x in xs], y.cast("double")))
+    products = F.flatten(F.transform(
+        F.sequence(F.lit(1), F.lit(size)),
+        lambda i: F.transform(F.slice("_v", i, F.lit(size + 1) - i), lambda v: v * F.element_at("_v", i)),
+    ))
+    return staged.withColumn("_p", array_to_vector(products)).groupBy(*ids).agg(
+        Summarizer.sum(F.col("_p")).alias("_sums"),
+        F.count(F.lit(1)).alias("n"),
         *[c.alias(name) for name, c in (extra or {}).items()],
-    )
+    ).withColumn("sums", vector_to_array("_sums")).drop("_sums")
 
 
-def _symmetric(upper: np.ndarray, k: int) -> np.ndarray:
-    out = np.zeros((k, k))
-    out[np.triu_indices(k)] = upper
-    return out + np.triu(out, 1).T
+def _system(upper: Sequence[float]) -> tuple[np.ndarray, np.ndarray, float]:
+    """Product matrix of the regressors, their products with y, and y's square."""
+    size = int((math.sqrt(8 * len(upper) + 1) - 1) / 2)
+    full = np.zeros((size, size))
+    full[np.triu_indices(size)] = upper
+    full += np.triu(full, 1).T
+    return full[:-1, :-1], full[:-1, -1], float(full[-1, -1])
 
 
 def _solve(gram: np.ndarray, xy: np.ndarray, yy: float) -> tuple[np.ndarray, float]:
@@ -59,10 +69,10 @@ def _solve(gram: np.ndarray, xy: np.ndarray, yy: float) -> tuple[np.ndarray, flo
 
 
 @F.pandas_udf(T.StructType().add("beta", _NUMBERS).add("sse", T.DoubleType()))
-def _solve_systems(xx: pd.Series, xy: pd.Series, yy: pd.Series) -> pd.DataFrame:
+def _solve_systems(sums: pd.Series) -> pd.DataFrame:
     rows = []
-    for upper, cross, square in zip(xx, xy, yy):
-        beta, sse = _solve(_symmetric(np.asarray(upper), len(cross)), np.asarray(cross), square)
+    for upper in sums:
+        beta, sse = _solve(*_system(upper))
         rows.append((beta.tolist(), sse))
     return pd.DataFrame(rows, columns=["beta", "sse"])
 
@@ -70,8 +80,7 @@ def _solve_systems(xx: pd.Series, xy: pd.Series, yy: pd.Series) -> pd.DataFrame:
 def grouped_ols(df: DataFrame, ids: Sequence[str], xs: Sequence[Column], y: Column) -> DataFrame:
     """Least squares per group: ``beta``, ``sse`` and ``n``."""
     ship_package(df.sparkSession)
-    sums = normal_equations(df, ids, xs, y)
-    return sums.withColumn("_fit", _solve_systems("xx", "xy", "yy")).select(*ids, "n", "_fit.beta", "_fit.sse")
+    return normal_equations(df, ids, xs, y).withColumn("_fit", _solve_systems("sums")).select(*ids, "n", "_fit.beta", "_fit.sse")
 
 
 def _dot(beta: str, xs: Sequence[Column]) -> Column:
@@ -113,12 +122,11 @@ _PATH = T.ArrayType(T.StructType([T.StructField(n, T.DoubleType()) for n in ("yh
 
 
 @F.pandas_udf(_ORDER)
-def _best_order(xx: pd.Series, xy: pd.Series, yy: pd.Series, n: pd.Series, d: pd.Series) -> pd.DataFrame:
+def _best_order(sums: pd.Series, n: pd.Series, d: pd.Series) -> pd.DataFrame:
     """Best (p, q) by (BIC, AIC) for one differencing; all fits share one product matrix."""
     rows = []
-    for upper, cross, square, size, diff in zip(xx, xy, yy, n, d):
-        cross = np.asarray(cross)
-        full = _symmetric(np.asarray(upper), len(cross))
+    for upper, size, diff in zip(sums, n, d):
+        full, cross, square = _system(upper)
         best = None
         for p in range(MAX_P + 1):
             for q in range(MAX_Q + 1):
@@ -182,7 +190,7 @@ def arima(train: DataFrame, ids: Sequence[str], horizon: int = S.HORIZON) -> Dat
         "y", "z", *[f"z{i}" for i in range(1, MAX_P)], "e", *[f"e{i}" for i in range(1, MAX_Q)]
     )
     newest = {"_last": F.max("ds"), "_tail": F.max_by(state, "ds")}
-    fits = normal_equations(shocks, by, xs, F.col("z"), newest).withColumn("_m", _best_order("xx", "xy", "yy", "n", "d"))
+    fits = normal_equations(shocks, by, xs, F.col("z"), newest).withColumn("_m", _best_order("sums", "n", "d"))
     fits = fits.select(*by, "_last", "_tail", "_m.p", "_m.q", "_m.beta", "_m.sigma2", "_m.aic", "_m.bic")
     fields = ["bic", "aic", "p", "d", "q", "beta", "sigma2", "_last", "_tail"]
     best = fits.groupBy(*ids).agg(F.min_by(F.struct(*fields), F.struct("bic", "aic", "d")).alias("m")).select(*ids, "m.*")
@@ -212,12 +220,11 @@ def unit_root_p_value(t: float) -> float:
 
 
 @F.pandas_udf(T.IntegerType())
-def _best_lag(xx: pd.Series, xy: pd.Series, yy: pd.Series, n: pd.Series, most: pd.Series) -> pd.Series:
+def _best_lag(sums: pd.Series, n: pd.Series, most: pd.Series) -> pd.Series:
     """Number of lagged differences with the lowest AIC; all fits share one product matrix."""
     out = []
-    for upper, cross, square, size, limit in zip(xx, xy, yy, n, most):
-        cross = np.asarray(cross)
-        full = _symmetric(np.asarray(upper), len(cross))
+    for upper, size, limit in zip(sums, n, most):
+        full, cross, square = _system(upper)
         scores = []
         for lags in range(limit + 1):
             k = 2 + lags
@@ -228,13 +235,14 @@ def _best_lag(xx: pd.Series, xy: pd.Series, yy: pd.Series, n: pd.Series, most: p
 
 
 @F.pandas_udf(T.StructType().add("t", T.DoubleType()).add("p", T.DoubleType()))
-def _level_test(xx: pd.Series, xy: pd.Series, yy: pd.Series, n: pd.Series, lags: pd.Series) -> pd.DataFrame:
+def _level_test(sums: pd.Series, n: pd.Series, lags: pd.Series) -> pd.DataFrame:
     """t statistic of the lagged level and its p-value; NULL where the fit leaves no error."""
     rows = []
-    for upper, cross, square, size, used in zip(xx, xy, yy, n, lags):
+    for upper, size, used in zip(sums, n, lags):
         k = 2 + used
-        full, right = _symmetric(np.asarray(upper), len(cross))[:k, :k], np.asarray(cross)[:k]
-        beta, sse = _solve(full, right, square)
+        full, cross, square = _system(upper)
+        full = full[:k, :k]
+        beta, sse = _solve(full, cross[:k], square)
         free = size - k
         if free < 1 or sse <= 1e-12 * square:
             rows.append((None, None))
@@ -262,18 +270,18 @@ def unit_root_test(series: DataFrame, ids: Sequence[str], level: float = 0.05) -
     allowed = F.least(F.ceil(12 * F.pow(F.col("_days") / 100, 0.25)), F.floor(F.col("_days") / 2) - 2)
     steps = materialise(steps.withColumn("_most", F.greatest(allowed, F.lit(0)).cast("int")))
 
-    def sums(df: DataFrame, lags: Column, extra: Mapping[str, Column]) -> DataFrame:
+    def equations(df: DataFrame, lags: Column, extra: Mapping[str, Column]) -> DataFrame:
         # Differences beyond a series' lags are 0, and rows without all of its lags are left out.
         differences = [F.when(lags >= i, F.col(f"_d{i}")).otherwise(0.0) for i in range(1, most + 1)]
         deepest = F.element_at(F.array("_d", *[f"_d{i}" for i in range(1, most + 1)]), lags + 1)
         return normal_equations(df.where(deepest.isNotNull()), ids, [F.lit(1.0), F.col("_x"), *differences], F.col("_d"), extra)
 
     ship_package(series.sparkSession)
-    chosen = sums(steps, F.col("_most"), {"_limit": F.max("_most")}).select(
-        *ids, _best_lag("xx", "xy", "yy", "n", "_limit").alias("_lags")
+    chosen = equations(steps, F.col("_most"), {"_limit": F.max("_most")}).select(
+        *ids, _best_lag("sums", "n", "_limit").alias("_lags")
     )
-    final = sums(steps.join(materialise(chosen), list(ids)), F.col("_lags"), {"Lags": F.max("_lags")})
-    return final.withColumn("_test", _level_test("xx", "xy", "yy", "n", "Lags")).select(
+    final = equations(steps.join(materialise(chosen), list(ids)), F.col("_lags"), {"Lags": F.max("_lags")})
+    return final.withColumn("_test", _level_test("sums", "n", "Lags")).select(
         *ids, "Lags", F.col("n").alias("Observations"), F.col("_test.t").alias("Statistic"),
         F.col("_test.p").alias("PValue"), (F.col("_test.p") < level).alias("Stationary"),
     )
