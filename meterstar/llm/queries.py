@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterstar.llm import fingerprints, mixing, packing, shards, token_codes
+from meterstar.llm import fingerprints, mixing, near_dup, packing, shards, substring, token_codes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,6 +24,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@register
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(documents(spark, sf_dir), 0.85)
+
+
 @register
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(documents(spark, sf_dir))
@@ -47,6 +52,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+@register
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_passages(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @register
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shards.assign(documents(spark, sf_dir), SHARDS, {**SHARDS, len(SHARDS): 1.0})
