@@ -46,4 +46,13 @@ copied AS (SELECT *, CAST(floor(k * rate + shift) - floor((k - 1) * rate + shift
 SELECT doc_id, size, source_size, target, copies, copies * size AS taken FROM copied
 """
 
-ORACLES: dict[str, str] = {"op5_mixing": MIXING}
+WARC = """
+WITH paged AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM paged)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN first_id END AS refers_to
+FROM firsts
+"""
+
+ORACLES: dict[str, str] = {"op5_mixing": MIXING, "op10_warc": WARC}

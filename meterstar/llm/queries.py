@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterstar.llm import fingerprints, mixing, near_dup, packing, shards, substring, token_codes
+from meterstar.llm import fingerprints, mixing, near_dup, packing, shards, substring, token_codes, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -61,3 +61,16 @@ def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shards.assign(documents(spark, sf_dir), SHARDS, {**SHARDS, len(SHARDS): 1.0})
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@register
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archived_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    page = lambda c: F.regexp_extract(c, r"(-?[0-9]+)$", 1).cast("bigint")
+    response = F.col("record_type") == "response"
+    return records.select(
+        page("record_id").alias("page_id"),
+        F.when(response, F.octet_length("payload")).otherwise(F.col("payload_length")).cast("bigint").alias("payload_bytes"),
+        F.when(response, F.sha2("payload", 256)).otherwise(F.substring_index("payload_digest", ":", -1)).alias("payload_digest"),
+        "record_type", F.when(~response, page("refers_to")).alias("refers_to"),
+    )
