@@ -1,8 +1,60 @@
-"""The corpus pipeline (stages are added below)."""
+"""From raw documents to packed training sequences, stage by stage.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
+last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from meterstar.llm import importance, mixing, near_dup, packing, substring
+from meterstar.session import materialise
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that importance resampling draws; the others go."""
+    return importance.good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: that with the smallest id."""
+    return near_dup.without_near_duplicates(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without passages of 50 words and more that an earlier document has."""
+    return substring.without_repeats(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's target weight asks; a repeat is a row of its own."""
+    return mixing.mix(docs)
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences: ids, and the place of each piece in its sequence."""
+    return packing.pack_texts(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("source_mix", source_mix),
+    ("packed_sequences", packed_sequences),
+]
+
+# Model scores, shingle similarity and tokenizers are beyond SQL; tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents; what a stage returns is written before the next reads it."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = materialise(docs)
+    return docs

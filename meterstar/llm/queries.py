@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterstar.llm import fingerprints, mixing, near_dup, packing, shards, substring, token_codes, warc
+from meterstar.llm import fingerprints, importance, mixing, near_dup, outliers, packing, shards, substring, token_codes, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,6 +52,16 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+@register
+def op6_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.selection(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@register
+def op7_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.judged(documents(spark, sf_dir)).drop("distance")
+
+
 @register
 def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeated_passages(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
