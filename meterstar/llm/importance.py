@@ -15,12 +15,14 @@ from meterstar.llm.inputs import picked
 from meterstar.operators.ranking import order_statistics
 from meterstar.session import materialise, ship_package
 
-WORD_BUCKETS = 1 << 16       # hashed single tokens
+WORD_BUCKETS = 1 << 20       # hashed single tokens
 SHAPE_BUCKETS = 1 << 14      # hashed pairs of token shapes
 BUCKETS = WORD_BUCKETS + SHAPE_BUCKETS
 LABELLED_ROWS = 20_000       # the most labelled rows that the target model and the cut are fitted on
-PRIOR = 1.0                  # added to every bucket's count
-TEMPERATURE = 0.25           # of the sampling; 1 samples by the plain ratio
+PRIOR = 1.0                  # added to a bucket's count and to the count expected in its place
+AVOIDED = -1.5               # log ratios above this count as 0: such n-grams say little about quality
+TEMPERATURE = 0.05           # of the sampling; 1 samples by the plain weight
+GOOD_COST = 3                # a good labelled row on the wrong side of the cut costs as much as so many bad ones
 
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 _SHAPE_BITS = 10
@@ -92,19 +94,25 @@ def _counts(rows: DataFrame) -> np.ndarray:
 
     summed = rows.select("text", "_good").mapInArrow(run, "bucket bigint, raw bigint, target bigint").groupBy("bucket").agg(
         F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    summed = summed.toArrow()  # at most BUCKETS rows
     out = np.zeros((2, BUCKETS))
-    for row in summed.collect():  # at most BUCKETS rows
-        out[:, row["bucket"]] = row["raw"], row["target"]
+    for k, name in enumerate(("raw", "target")):
+        out[k, summed["bucket"].to_numpy()] = summed[name].to_numpy()
     return out
 
 
-def log_ratio(counts: np.ndarray, prior: float = PRIOR) -> np.ndarray:
-    """log of target over raw probability per bucket; single tokens and pairs are a model each."""
+def log_ratio(counts: np.ndarray, prior: float = PRIOR, avoided: float = AVOIDED) -> np.ndarray:
+    """log of target over raw probability per bucket, where it is below ``avoided``; elsewhere 0.
+
+    Single tokens and pairs are a model each. A bucket's target count is compared with
+    the count it would have at the raw rate; the prior keeps rare n-grams near 0.
+    """
     out = np.zeros(BUCKETS)
     for part in (slice(0, WORD_BUCKETS), slice(WORD_BUCKETS, BUCKETS)):
-        raw, target = counts[0, part] + prior, counts[1, part] + prior
-        out[part] = np.log(target / target.sum()) - np.log(raw / raw.sum())
-    return out
+        raw, target = counts[0, part], counts[1, part]
+        expected = raw * (target.sum() / max(raw.sum(), 1.0))
+        out[part] = np.log((target + prior) / (expected + prior))
+    return np.where(out < avoided, out, 0.0).astype(np.float32)
 
 
 def gumbel(key: Column, seed: int) -> Column:
@@ -114,10 +122,10 @@ def gumbel(key: Column, seed: int) -> Column:
 
 
 def best_cut(weights: np.ndarray, good: np.ndarray) -> float:
-    """The weight that parts good from bad labelled rows with the fewest on the wrong side."""
+    """The weight that parts good from bad labelled rows at the least cost."""
     order = np.argsort(weights, kind="stable")
     w, g = weights[order], good[order]
-    wrong = np.concatenate([[0], np.cumsum(g)]) + np.concatenate([[(~g).sum()], (~g).sum() - np.cumsum(~g)])
+    wrong = GOOD_COST * np.concatenate([[0], np.cumsum(g)]) + np.concatenate([[0], np.cumsum(~g)])[-1] - np.concatenate([[0], np.cumsum(~g)])
     edges = np.concatenate([[True], w[1:] > w[:-1], [True]])
     places = np.nonzero(edges & (wrong == wrong[edges].min()))[0]
     at = int(places[len(places) // 2])
@@ -132,7 +140,8 @@ def selection(df: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_RO
 
     The target model counts the n-grams of labelled good documents (quality 1,
     not toxic; at most ``labelled_rows`` labels are used), the raw model those of all documents.
-    A document's log weight is the sum of its n-grams' log ratios. The
+    A document's log weight is the sum of its n-grams' log ratios, of those that the target clearly avoids, over the
+    root of its length, so that neither plain words nor length decide. The
     number to draw, k, is the number of documents whose weight is above the cut that
     best parts the labelled rows; the k largest of weight / temperature plus Gumbel noise are drawn, which is a
     sample without replacement in proportion to the (tempered) weights.
@@ -154,7 +163,7 @@ def selection(df: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_RO
             for t in batch.column(1):
                 found = features(t.as_py())
                 n.append(len(found))
-                weights.append(float(sent.value[found].sum()))
+                weights.append(float(sent.value[found].sum(dtype=np.float64)) / max(len(found), 1) ** 0.5)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(weights, pa.float64())],
                 ["doc_id", "_good", "n_features", "log_weight"])
