@@ -83,12 +83,26 @@ def _counts(rows: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, BUCKETS), np.int64)
+        held: list[list[np.ndarray]] = [[], []]
+
+        def add() -> None:
+            for k, found in enumerate(held):
+                if found:
+                    total[k] += np.bincount(np.concatenate(found), minlength=BUCKETS)
+                    found.clear()
+
+        waiting = 0
         for batch in batches:
             for text, good in zip(batch.column(0), batch.column(1).to_pylist()):
-                found = np.bincount(features(text.as_py()), minlength=BUCKETS)
-                total[0] += found
+                found = features(text.as_py())
+                held[0].append(found)
                 if good:
-                    total[1] += found
+                    held[1].append(found)
+                waiting += len(found)
+                if waiting >= BUCKETS:
+                    add()
+                    waiting = 0
+        add()
         on = np.nonzero(total[0])[0]
         yield pa.RecordBatch.from_pydict({"bucket": pa.array(on), "raw": pa.array(total[0][on]), "target": pa.array(total[1][on])})
 
