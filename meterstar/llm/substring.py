@@ -21,7 +21,8 @@ COVERS = {7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8
 
 LENGTH = 50
 PERIOD = 31
-FILTER_BITS_EACH = 16
+FILTER_BITS_EACH = 32
+_PROBES = (0, 12, 23, 34)   # each probe reads the anchor's 64 bits from another place
 LEAST_FILTER_BITS, MOST_FILTER_BITS = 1 << 16, 1 << 30   # at most 128 MB are sent to the executors
 _PAGE_BITS = 32768      # of Spark's bitmap functions
 _LAST = (1 << 63) - 1   # a missing key comes after all others
@@ -50,7 +51,9 @@ def _filter(shared: DataFrame) -> tuple[np.ndarray, int]:
     rows = shared.count()
     while bits < min(FILTER_BITS_EACH * rows, MOST_FILTER_BITS):
         bits *= 2
-    at = (F.pmod("anchor", F.lit(bits)) + 1).alias("at")
+    # Each probe is another cut of the anchor's 64 bits.
+    cuts = [F.shiftrightunsigned("anchor", shift).bitwiseAND(F.lit(bits - 1)) for shift in _PROBES]
+    at = (F.explode(F.array(*cuts)) + 1).alias("at")
     pages = shared.select(at).groupBy(F.bitmap_bucket_number("at").alias("page")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
     out = np.zeros(bits // 8, np.uint8)
@@ -65,8 +68,11 @@ def _candidates(h: np.ndarray, bitmap: np.ndarray, bits: int, length: int, perio
     at, found = _anchors(h, length, period)
     if not len(at):
         return at
-    bit = found & np.uint64(bits - 1)
-    at = at[(bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+    on = np.ones(len(at), bool)
+    for shift in _PROBES:
+        bit = (found >> np.uint64(shift)) & np.uint64(bits - 1)
+        on &= (bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    at = at[on]
     if not len(at):
         return at
     last = len(h) - length
