@@ -52,8 +52,8 @@ def _filter(shared: DataFrame) -> tuple[np.ndarray, int]:
     while bits < min(FILTER_BITS_EACH * rows, MOST_FILTER_BITS):
         bits *= 2
     # Each probe is another cut of the anchor's 64 bits.
-    cuts = [F.shiftrightunsigned("anchor", shift).bitwiseAND(F.lit(bits - 1)) for shift in _PROBES]
-    at = (F.explode(F.array(*cuts)) + 1).alias("at")
+    cuts = [F.shiftrightunsigned("anchor", shift).bitwiseAND(F.lit(bits - 1)) + 1 for shift in _PROBES]
+    at = F.explode(F.array(*cuts)).alias("at")
     pages = shared.select(at).groupBy(F.bitmap_bucket_number("at").alias("page")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
     out = np.zeros(bits // 8, np.uint8)
