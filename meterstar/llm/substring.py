@@ -109,7 +109,7 @@ def repeated_passages(df: DataFrame, length: int = LENGTH, period: int = PERIOD,
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.unique(_anchors(hashes(words(t.as_py())), length, period)[1]) for t in batch.column(1)]
+            found = [np.unique(_anchors(hashes(t.as_py()), length, period)[1]) for t in batch.column(1)]
             joined = np.concatenate(found) if found else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_pydict({"anchor": pa.array(joined.view(np.int64))})
 
@@ -123,7 +123,7 @@ def repeated_passages(df: DataFrame, length: int = LENGTH, period: int = PERIOD,
         for batch in batches:
             ids, prints, places, found = [], [], [], []
             for doc_id, t in zip(batch.column(0).to_pylist(), batch.column(1)):
-                h = hashes(words(t.as_py()))
+                h = hashes(t.as_py())
                 at = _candidates(h, own, bits, length, period)
                 if len(at):
                     ids.append(np.full(len(at), _LAST if doc_id is None else doc_id, np.int64))
@@ -149,7 +149,7 @@ def repeated_passages(df: DataFrame, length: int = LENGTH, period: int = PERIOD,
             for t in batch.column(1):
                 text = t.as_py()
                 found = words(text)
-                h = hashes(found)
+                h = hashes(text)
                 counts.append(len(found))
                 prints.append(xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63))
                 sums.append(hashlib.sha256(b" ".join(found)).hexdigest())

@@ -5,32 +5,59 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-KNOWN_WORDS = 1_000_000
-_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_STEP = np.uint64(0x9E3779B97F4A7C15)   # odd, so that every word keeps all its bits
+_STEP = np.uint64(0x9E3779B97F4A7C15)   # odd, so that it has an inverse and every word keeps all its bits
+_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
+_BLANK = b" \t\n\x0b\x0c\r"
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+# A random number per byte, 0 for blanks; with A-Z folded in the second table.
+_BYTES = np.array([0 if b in _BLANK else xxhash.xxh3_64_intdigest(bytes([b])) for b in range(256)], np.uint64)
+_FOLDED = _BYTES[list(_LOWER)]
+_AT_ONCE = 1 << 22
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-class _Known(dict):
-    def __missing__(self, word: bytes) -> int:
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
-
+def _power_tables(n: int) -> list[np.ndarray]:
+    """Powers of the step and of its inverse, at least ``n`` of each."""
+    while len(_powers[0]) < n:
+        for k, step in enumerate((_STEP, _BACK)):
+            own = _powers[k]
+            _powers[k] = np.concatenate([own, own * (own[-1:] * step)])
+    return _powers
 
-_known = _Known()
 
+def words(text: str | None) -> list[bytes]:
+    """Runs of characters other than space and tab to carriage return."""
+    return (text or "").encode().split()
 
-def words(text: str | None, lower: bool = False) -> list[bytes]:
-    """Runs of characters other than space and tab to carriage return; ``lower`` folds A-Z."""
-    data = (text or "").encode()
-    return (data.translate(_LOWER) if lower else data).split()
 
+def hashes(text: str | None, lower: bool = False) -> np.ndarray:
+    """64-bit hashes of a text's words; ``lower`` folds A-Z.
 
-def hashes(found: list[bytes]) -> np.ndarray:
-    """64-bit hashes of words; a bounded number of words is remembered."""
-    if len(_known) > KNOWN_WORDS:
-        _known.clear()
-    return np.fromiter(map(_known.__getitem__, found), np.uint64, len(found))
+    All bytes of the text are weighed by powers of one step at once, added up by word, and the power at
+    the word's start is taken off again, so equal words have equal hashes wherever they stand.
+    """
+    whole = np.frombuffer((text or "").encode(), np.uint8)
+    parts, at = [], 0
+    while at < len(whole):  # long texts go in parts that end with a word
+        end = at + _AT_ONCE
+        while end < len(whole) and _BYTES[whole[end]]:
+            end += 1
+        parts.append(_hashes(whole[at:end], lower))
+        at = end
+    return parts[0] if len(parts) == 1 else np.concatenate([np.zeros(0, np.uint64), *parts])
+
+
+def _hashes(data: np.ndarray, lower: bool) -> np.ndarray:
+    up, down = _power_tables(len(data))
+    values = (_FOLDED if lower else _BYTES)[data]
+    inside = values != 0
+    starts = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1
+    if inside[0]:
+        starts = np.concatenate([[0], starts])
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    return mixed(np.add.reduceat(values * up[:len(data)], starts) * down[starts])
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -63,5 +90,5 @@ def windows(h: np.ndarray, width: int) -> np.ndarray:
 
 def shingle_set(text: str | None, width: int = 5) -> np.ndarray:
     """Sorted distinct shingle hashes; a shorter text is one shingle, an empty one has none."""
-    h = hashes(words(text, lower=True))
+    h = hashes(text, lower=True)
     return np.unique(windows(h, min(width, len(h)))) if len(h) else h
