@@ -18,7 +18,7 @@ from meterstar.session import materialise, ship_package
 
 SHINGLE_WORDS = 5
 BANDS, ROWS = 24, 4       # a pair of similarity 0.8 misses all bands once in 300,000, one of 0.85 once in 50 million
-CENTRE_GROWTH = 8         # how many times more centres each round gives the buckets that are still open
+BLOCK = 256               # documents of an open bucket that meet as many others in one task
 CHUNK = 64                # documents that share one copy of their centre's text
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -115,9 +115,8 @@ def near_duplicates(df: DataFrame, similarity: float = 0.8, width: int = SHINGLE
     at least ``similarity``, checked on the full sets. Equal sets become one first.
     Candidates are documents that share a band of their MinHash; inside a bucket
     they are compared with a centre only, a star. Buckets whose documents
-    are then still in several components get ``CENTRE_GROWTH`` times as many
-    centres, again only across components, until every document of an open bucket
-    has been a centre. So no pair in a bucket is left unsettled, yet groups of copies cost one star.
+    are then still in several components are settled block by block, only across components.
+    So no pair in a bucket is left unsettled, yet groups of copies cost one star.
 
     ``component_id`` is the smallest id reachable, ``kept`` marks it. Keys are whole numbers.
     A text without words links with nothing. A NULL key links with nothing either and is kept (component NULL). Rows that repeat a key
@@ -137,8 +136,8 @@ def near_duplicates(df: DataFrame, similarity: float = 0.8, width: int = SHINGLE
     buckets = entries.groupBy("band").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("size")).where("size > 1")
     entries = materialise(entries.join(buckets, "band"))
 
-    links = _links(entries, rows_in, width, least)
-    found = components(same.unionByName(links) if links is not None else same)
+    links = _links(entries, rows_in, width, bands, rows, least)
+    found = components(same.unionByName(links))
     return (
         signed.select("doc_id", "n_shingles").join(found, F.col("doc_id") == F.col("node"), "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
@@ -146,41 +145,95 @@ def near_duplicates(df: DataFrame, similarity: float = 0.8, width: int = SHINGLE
     )
 
 
-def _links(entries: DataFrame, rows: DataFrame, width: int, least: Fraction) -> DataFrame | None:
-    """Confirmed links among the bucket entries ``band, doc_id, n_shingles, least, size``."""
+def _shared(a: np.ndarray, b: np.ndarray) -> int:
+    """How many values two sorted sets share."""
+    small, large = (a, b) if len(a) <= len(b) else (b, a)
+    return int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
+
+
+def _settled(members: DataFrame, texts: DataFrame, width: int, bands: int, rows: int, least: Fraction) -> DataFrame:
+    """All links between different components within the open buckets ``band, doc_id, component, size``.
+
+    A bucket is cut into parts of about ``BLOCK`` documents, and every two parts meet in one
+    task, so no pair is a row of its own. Documents join as links are found, and those that are
+    joined are not compared again. A pair is compared only in the first band that it shares.
+    """
+    parts = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = members.withColumn("_parts", parts).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("_parts")).cast("int"))
+    own = own.select("band", "doc_id", "component", "own", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("with"))
+    own = own.select("band", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "component",
+                     F.col("doc_id").alias("member"))
+    up, down = least.numerator, least.denominator
+
+    def compare(block: list) -> list[tuple[int, int]]:
+        group = {component: component for _, component, _, _, _ in block}
+
+        def root(c: int) -> int:
+            while group[c] != c:
+                group[c] = group[group[c]]
+                c = group[c]
+            return c
+
+        found = []
+        for x, (side, component, doc, shingles, keys) in enumerate(block):
+            for side_y, component_y, doc_y, shingles_y, keys_y in block[:x]:
+                if between and side == side_y:
+                    continue
+                n, m = len(shingles), len(shingles_y)
+                if down * min(n, m) < up * max(n, m) or root(component) == root(component_y):
+                    continue
+                if keys[np.argmax(keys == keys_y)] != band:
+                    continue
+                both = _shared(shingles, shingles_y)
+                if down * both >= up * (n + m - both):
+                    found.append((doc, doc_y))
+                    group[root(component)] = root(component_y)
+        return found
+
+    between, band = False, 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nonlocal between, band
+        at, block = None, []
+        for batch in batches:
+            links = []
+            for own_band, i, j, side, component, doc, text in zip(*[c.to_pylist() for c in batch.columns]):
+                if at != (own_band, i, j):
+                    links += compare(block) if block else []
+                    at, block, band, between = (own_band, i, j), [], own_band, i != j
+                shingles = shingle_set(text, width)
+                block.append((side, component, doc, shingles, band_keys(shingles, bands, rows)))
+            if links:
+                yield _link_batch(links)
+        if block:
+            yield _link_batch(compare(block))
+
+    dealt = own.join(texts, F.col("member") == F.col("doc_id")).select("band", "i", "j", "own", "component", "doc_id", "text")
+    dealt = dealt.repartition(shuffle_partitions(members.sparkSession), "band", "i", "j").sortWithinPartitions("band", "i", "j", "doc_id")
+    return dealt.mapInArrow(run, "a bigint, b bigint")
+
+
+def _link_batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+
+def _links(entries: DataFrame, rows_in: DataFrame, width: int, bands: int, rows: int, least: Fraction) -> DataFrame:
+    """Confirmed links among the bucket entries ``band, doc_id, n_shingles, least, size``; enough of them to join all that belong together."""
     wanted = entries.select("doc_id").distinct()
     # Rows that repeat a key would be read as one document: its least text stands for it.
-    texts = materialise(rows.join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-                        if _repeats(rows) else rows.join(wanted, "doc_id", "left_semi"))
+    texts = rows_in.join(wanted, "doc_id", "left_semi")
+    texts = materialise(texts.groupBy("doc_id").agg(F.min("text").alias("text")) if _repeats(rows_in) else texts)
     fits = (F.least("n_shingles", "centre_shingles") * least.denominator
             >= F.greatest("n_shingles", "centre_shingles") * least.numerator)
     centres = entries.where("doc_id = least").select("band", F.col("doc_id").alias("centre"), F.col("n_shingles").alias("centre_shingles"))
-    others = entries.where("doc_id <> least")
-    links, centres_each = None, 1
-    while True:
-        pairs = others.join(centres, "band").where(F.col("doc_id") != F.col("centre")).where(fits)
-        if links is not None:
-            pairs = pairs.where(F.col("component") != F.col("centre_component")).where(
-                ~F.col("is_centre") | (F.col("centre") < F.col("doc_id")))
-        pairs = pairs.select("centre", F.col("doc_id").alias("other")).distinct()
-        pairs = materialise(pairs)
-        new = materialise(_confirmed(pairs, texts, width, least))
-        links = new if links is None else links.unionByName(new)
-        found = materialise(components(links))
-        now = entries.join(found, F.col("doc_id") == F.col("node"), "left").select(
-            "band", "doc_id", "n_shingles", "size", F.coalesce("component", "doc_id").alias("component"))
-        open_bands = now.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where(
-            (F.col("_low") < F.col("_high")) & F.lit(True))
-        centres_before, centres_each = centres_each, centres_each * CENTRE_GROWTH
-        now = now.where(F.col("size") > (centres_before if centres_before > 1 else 2))  # smaller buckets are settled
-        now = materialise(now.join(open_bands.select("band"), "band", "left_semi"))
-        if now.isEmpty():
-            return links
-        drawn = F.pmod(F.xxhash64("doc_id", "band"), F.lit(1 << 20)) / float(1 << 20)
-        others = now.withColumn("is_centre", drawn < F.lit(float(centres_each)) / F.col("size"))
-        centres = others.where("is_centre").select(
-            "band", F.col("doc_id").alias("centre"), F.col("n_shingles").alias("centre_shingles"),
-            F.col("component").alias("centre_component"))
+    pairs = entries.where("doc_id <> least").join(centres, "band").where(fits).select("centre", F.col("doc_id").alias("other")).distinct()
+    links = materialise(_confirmed(materialise(pairs), texts, width, least))
+    found = materialise(components(links))
+    now = entries.where("size > 2").join(found, F.col("doc_id") == F.col("node"), "left").select(
+        "band", "doc_id", "size", F.coalesce("component", "doc_id").alias("component"))
+    open_bands = now.groupBy("band").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).where("_low < _high")
+    now = now.join(open_bands.select("band"), "band", "left_semi")
+    return links.unionByName(materialise(_settled(now, texts, width, bands, rows, least)))
 
 
 def _repeats(rows: DataFrame) -> bool:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 ID_BYTES = 4
-CACHED_PIECES = 400_000
+CACHED_PIECES = 900_000
 TEXT_CHARS_AT_ONCE = 4_000_000
 
 # The code points of the Unicode property White_Space.
