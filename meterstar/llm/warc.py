@@ -251,7 +251,9 @@ class WarcReader(DataSourceReader):
         found = system.get_file_info(arrow_fs.FileSelector(path, recursive=True))
         return [WarcFile(f.path) for f in found if f.path.endswith((".warc", ".warc.gz"))]
 
-    def read(self, partition: WarcFile) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: WarcFile | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # what Spark passes where there is no file
+            return
         system, _ = file_system(self.path)
         zipped = partition.path.endswith(".gz")
         raw = system.open_input_file(partition.path)
