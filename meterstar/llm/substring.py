@@ -138,7 +138,9 @@ def repeated_passages(df: DataFrame, length: int = LENGTH, period: int = PERIOD,
                     yield whole.slice(at, 100_000)
 
     runs = rows.mapInArrow(candidates, "id bigint, print bigint, place int, run bigint")
-    first = runs.groupBy("run").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("run", "low")
+    # Written first: a join of two plain inputs can have a very common run split over tasks.
+    first = materialise(
+        runs.groupBy("run").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("run", "low"))
     repeats = runs.join(first, "run").where("id > low")
     spans = repeats.groupBy("id", "print").agg(F.collect_list("place").alias("places"))  # at most one per word of the document
 
