@@ -128,7 +128,8 @@ def near_duplicates(df: DataFrame, similarity: float = 0.8, width: int = SHINGLE
     rows_in = picked(df, doc_id=key, text=text).withColumn("doc_id", F.col("doc_id").cast("bigint"))
     signed = materialise(_signatures(rows_in, width, bands, rows))
     sets = signed.where("doc_id IS NOT NULL AND set_key IS NOT NULL")
-    own = sets.groupBy("set_key").agg(F.min("doc_id").alias("rep"))
+    # Written first: a join of two plain inputs can have a large group of copies split over tasks.
+    own = materialise(sets.groupBy("set_key").agg(F.min("doc_id").alias("rep")))
     same = sets.select("doc_id", "set_key").join(own, "set_key").where("doc_id <> rep").select(
         F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     reps = sets.join(own, (sets["set_key"] == own["set_key"]) & (sets["doc_id"] == own["rep"]), "left_semi")
