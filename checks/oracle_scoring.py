@@ -69,6 +69,8 @@ COVER = """count(*) AS TotalRequests, count(SatisfactionScore) AS LabeledRequest
     round(avg(SatisfactionScore), 6) AS ObservedSatisfactionMean"""
 
 ORACLES = {
+    "ml5_stratified_holdout": """SELECT o_orderstatus, CAST(ceil(count(*) * 0.25) AS BIGINT) AS "Holdout",
+        count(*) AS "Total" FROM orders GROUP BY o_orderstatus""",
     "ml1_client_features": shipments(
         """SELECT ClientKey, days AS DaysSinceLastRequest, round(ct, 6) AS AvgMonthlyCostTrend,
              round(st, 9) AS SatisfactionTrend, round(recent, 6) AS SuccessRateLast30Days,

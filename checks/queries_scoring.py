@@ -55,7 +55,7 @@ def _(spark, sf_dir):
 @register("ml5_stratified_holdout")
 def _(spark, sf_dir):
     items = samples.fact_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    flagged = items.withColumn("IsHoldout", evaluate.holdout_flag("o_orderkey", "o_orderstatus"))
+    flagged = evaluate.with_holdout(items, "o_orderkey", "o_orderstatus")
     return flagged.groupBy("o_orderstatus").agg(F.count_if("IsHoldout").alias("Holdout"), F.count(F.lit(1)).alias("Total"))
 
 

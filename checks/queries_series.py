@@ -19,7 +19,7 @@ def regional_series(spark, sf_dir):
 
 
 def training(spark, sf_dir):
-    return series.split_holdout(regional_series(spark, sf_dir), IDS, skip_short=True).where(~F.col("IsTest"))
+    return series.split_holdout(regional_series(spark, sf_dir), IDS).where(~F.col("IsTest"))
 
 
 @register("f1_daily_calendar")
@@ -29,7 +29,7 @@ def _(spark, sf_dir):
 
 @register("f2_holdout_split")
 def _(spark, sf_dir):
-    marked = series.split_holdout(regional_series(spark, sf_dir), IDS, skip_short=True)
+    marked = series.split_holdout(regional_series(spark, sf_dir), IDS)
     return rounded(marked)
 
 
@@ -46,10 +46,15 @@ def _(spark, sf_dir):
 @register("f5_f11_model_comparison")
 def _(spark, sf_dir):
     return rounded(forecast.compare_models(
-        materialise(regional_series(spark, sf_dir)), IDS, models=["Naive", "SeasonalNaive"], skip_short=True
+        materialise(regional_series(spark, sf_dir)), IDS, models=["Naive", "SeasonalNaive"]
     ))
 
 
+@register("f11_all_models")
+def _(spark, sf_dir):
+    return rounded(forecast.compare_models(materialise(regional_series(spark, sf_dir)), IDS))
+
+
 @register("f6_arima")
 def _(spark, sf_dir):
     return rounded(forecast.arima(materialise(regional_series(spark, sf_dir)), IDS))
@@ -71,7 +76,7 @@ def _(spark, sf_dir):
 
 @register("f12_selected_forecast")
 def _(spark, sf_dir):
-    comparison, future = forecast.evaluate_and_forecast(regional_series(spark, sf_dir), IDS, skip_short=True)
+    comparison, future = forecast.evaluate_and_forecast(regional_series(spark, sf_dir), IDS)
     return rounded(future)
 
 

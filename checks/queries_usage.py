@@ -117,10 +117,10 @@ def _(spark, sf_dir):
 
 
 def formula_scores(usage):
-    """A score per client that SQL can repeat: its share of failed requests."""
+    """A score per client that SQL can repeat: its share of failed requests; some have none."""
     return usage.groupBy("ClientKey").agg(
-        F.round((1.0 - F.avg("SuccessFlag")) * 150, 2).alias("ChurnRiskScore")
-    ).where("ClientKey % 10 <> 3")
+        F.when(F.col("ClientKey") % 10 != 3, F.round((1.0 - F.avg("SuccessFlag")) * 150, 2)).alias("ChurnRiskScore")
+    )
 
 
 @register("a10_client_health")

@@ -10,14 +10,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from meterstar.functions import columns as C
+from meterstar.operators.ranking import PARTITION_SHIFT
 from meterstar.session import materialise
 from meterstar.sources.contracts import DIMENSION_KEYS
 from meterstar.sources.star import StarTables
 
-# Largest group that one window task takes whole, and the span of request
-# numbers that cuts larger ones. Numbers are unique, so a span has no more rows.
-ID_SPAN = 1_000_000
-
+FACT_MASTER = "fact_master"  # fixed value: the view's name
 
 class CardinalityError(ValueError):
     """A dimension key is not unique, so a join would multiply fact rows."""
@@ -74,61 +72,30 @@ def derive(joined: DataFrame) -> DataFrame:
 
 
 def running_total(df: DataFrame, group: Sequence[str], slot: Sequence[str], row_id: str, value: str,
-                  name: str, id_span: int = ID_SPAN) -> DataFrame:
-    """Cumulative sum of ``value`` per ``group`` in (slot, row_id) order; NULL where a group key is NULL.
-
-    Groups of at most ``id_span`` rows take one window. Larger ones, which may
-    hold any part of the data, are cut (see ``_cut_running_total``). The list of
-    large groups has at most rows / id_span entries.
+                  name: str) -> DataFrame:
+    """Cumulative sum of ``value`` per ``group`` in (slot, row_id) order.
+
+    NULL where a group key or the row's own value is NULL. One way for groups of
+    any size: the rows are range-sorted once and written; each sort partition
+    sums its part of a group, and a group that began in an earlier partition
+    adds what those hold. Only the first group of a partition can have begun
+    before it, so there is at most one such offset per partition.
     """
-    groups, slots = list(group), list(slot)
+    groups = list(group)
     keyed = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in groups])
-    sizes = df.where(keyed).groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
-    large = materialise(sizes.where(F.col("_n") > id_span).select(*groups))
-    none_large = large.isEmpty()
-    small_rows = df if none_large else df.join(large, groups, "left_anti")
-    # Rows without a group get no total, so each may go to any task.
-    window = W.partitionBy(*groups, F.when(~keyed, F.col(row_id))).orderBy(*slots, row_id)
-    running = F.sum(value).over(window.rowsBetween(W.unboundedPreceding, 0))
-    small = small_rows.select(*[F.col(f"`{c}`") for c in df.columns], F.when(keyed, running).alias(name))
-    if none_large:
-        return small
-    return small.unionByName(
-        _cut_running_total(df.join(large, groups, "left_semi").select(*df.columns), groups, slots, row_id, value, name, id_span)
-    )
-
-
-def _cut_running_total(df: DataFrame, groups: list[str], slots: list[str], row_id: str, value: str, name: str,
-                       id_span: int) -> DataFrame:
-    """Running total of large groups, cut by slot and by spans of ``row_id``.
-
-    Totals before the slot and before the span come from aggregates. The rows
-    move once: the innermost window and the join to the offsets share one
-    partitioning.
-    """
-    span = "_span"
-    cut = df.withColumn(span, F.floor(F.col(row_id) / id_span))
-    by_span = cut.groupBy(*groups, *slots, span).agg(F.sum(value).alias("_sum"))
-    by_slot = by_span.groupBy(*groups, *slots).agg(F.sum("_sum").alias("_sum"))
-    earlier = (W.unboundedPreceding, -1)
-    slot_before = by_slot.select(
-        *groups, *slots,
-        F.sum("_sum").over(W.partitionBy(*groups).orderBy(*slots).rowsBetween(*earlier)).alias("_slot_before"),
-    )
-    span_before = by_span.select(
-        *groups, *slots, span,
-        F.sum("_sum").over(W.partitionBy(*groups, *slots).orderBy(span).rowsBetween(*earlier)).alias("_span_before"),
-    )
-    offsets = span_before.join(slot_before, [*groups, *slots]).select(
-        *groups, *slots, span,
-        (F.coalesce("_slot_before", F.lit(0)) + F.coalesce("_span_before", F.lit(0))).alias("_offset"),
-    )
-    within = W.partitionBy(*groups, *slots, span).orderBy(row_id).rowsBetween(W.unboundedPreceding, 0)
-    return (
-        cut.withColumn("_within", F.sum(value).over(within))
-        .join(offsets, [*groups, *slots, span], "left")
-        .select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_offset") + F.col("_within")).alias(name))
+    staged = materialise(
+        df.orderBy(*groups, *slot, row_id)
+        .withColumn("_at", F.monotonically_increasing_id())
+        .withColumn("_part", F.shiftright("_at", PARTITION_SHIFT))
     )
+    parts = staged.where(keyed).groupBy(*groups, "_part").agg(F.sum(value).alias("_sum"))
+    earlier = W.partitionBy(*groups).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)  # at most one row per sort partition
+    offsets = parts.withColumn("_before", F.sum("_sum").over(earlier)).where("_before IS NOT NULL").select(*groups, "_part", "_before")
+    # Rows without a group get no total, so each may go to any task.
+    within = W.partitionBy("_part", *groups, F.when(~keyed, F.col("_at"))).orderBy("_at").rowsBetween(W.unboundedPreceding, 0)
+    running = staged.withColumn("_within", F.sum(value).over(within)).join(F.broadcast(offsets), [*groups, "_part"], "left")
+    total = F.when(keyed & F.col(value).isNotNull(), F.col("_within") + F.coalesce("_before", F.lit(0)))
+    return running.select(*[F.col(f"`{c}`") for c in df.columns], total.alias(name))
 
 
 def running_monthly_tokens(df: DataFrame) -> DataFrame:
@@ -200,3 +167,9 @@ def fact_view(tables: StarTables) -> DataFrame:
     )
     rows = month_tokens(rows)
     return rows.withColumn("QuotaUtilizationPct", C.ratio("MonthlyTokensUsed", "MonthlyQuotaTokens") * 100.0)
+
+
+def register_views(tables: StarTables) -> None:
+    """Expose the seven tables and the joined view to SQL."""
+    tables.register_views()
+    fact_view(tables).createOrReplaceTempView(FACT_MASTER)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterstar.functions import columns as C
-from meterstar.operators.ranking import ordered_prefix
+from meterstar.operators.ranking import ordered_prefix, row_index
+from meterstar.session import materialise
 
 HASH_SLOTS = 10_000
 SEED = 42
@@ -35,14 +37,18 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
     )
 
 
-def holdout_flag(key: str, label: str | None = None, share: float = 0.25, seed: int = SEED) -> Column:
-    """Whether a row belongs to the holdout.
+def with_holdout(df: DataFrame, key: str, label: str | None = None, share: float = 0.25, seed: int = SEED) -> DataFrame:
+    """Add ``IsHoldout``: true for exactly ceil(share * rows) rows of each class.
 
-    The hash of (key, label) draws each class separately, so both classes lose
-    close to ``share`` of their rows whatever their size.
+    Each class gives the rows whose unique keys have the smallest hashes, so the draw does not
+    depend on the partitions. Their places come from one range sort.
     """
-    seeded = F.struct(F.col(key), F.col(label)) if label else F.col(key)
-    return hash_slot(seeded, seed) < int(share * HASH_SLOTS)
+    drawn = df.withColumns({"_class": F.col(label) if label else F.lit(0), "_draw": F.xxhash64(F.lit(seed), F.col(key))})
+    placed = row_index(drawn, [F.col("_class").asc_nulls_last(), F.col("_draw"), F.col(key)], "_place")
+    classes = materialise(placed.groupBy(F.col("_class").alias("_of")).agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows")))
+    joined = placed.join(classes, F.col("_class").eqNullSafe(F.col("_of")))
+    held = F.col("_place") - F.col("_first") < F.ceil(F.col("_rows") * F.lit(Decimal(str(share))))
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], held.alias("IsHoldout"))
 
 
 # --- classification ----------------------------------------------------------------

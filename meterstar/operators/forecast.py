@@ -174,6 +174,7 @@ def arima(train: DataFrame, ids: Sequence[str], horizon: int = S.HORIZON) -> Dat
     estimates the shocks, a regression on lagged values and shocks the model.
     Both differencings of every series are fitted side by side.
     """
+    S.require_days(train, ids, LONG_LAGS + MAX_Q + 2, "ARIMA")
     by = [*ids, "d"]
     order = W.partitionBy(*by).orderBy("ds")
     both = train.select(*ids, "ds", "y", F.explode(F.array(F.lit(0), F.lit(1))).alias("d"))
@@ -306,9 +307,9 @@ def select_models(metrics: DataFrame, ids: Sequence[str]) -> DataFrame:
 
 
 def compare_models(series: DataFrame, ids: Sequence[str], horizon: int = S.HORIZON,
-                   models: Sequence[str] = MODELS, skip_short: bool = False) -> DataFrame:
+                   models: Sequence[str] = MODELS) -> DataFrame:
     """Holdout metrics of every model on every series, the best one marked."""
-    marked = S.split_holdout(series, ids, horizon, skip_short)
+    marked = materialise(S.split_holdout(series, ids, horizon))
     train, test = marked.where(~F.col("IsTest")), marked.where("IsTest").select(*ids, "ds", "y")
     predicted = reduce(DataFrame.unionByName, [forecast_with(m, train, ids, horizon) for m in models])
     metrics = S.forecast_metrics(predicted.join(test, [*ids, "ds"]), [*ids, "Model"])
@@ -334,9 +335,8 @@ def selected_models(comparison: DataFrame, ids: Sequence[str]) -> DataFrame:
     return comparison.where("Selected").select(*ids, F.col("Model").alias("SelectedModel"))
 
 
-def evaluate_and_forecast(series: DataFrame, ids: Sequence[str], horizon: int = S.HORIZON,
-                          skip_short: bool = False) -> tuple[DataFrame, DataFrame]:
+def evaluate_and_forecast(series: DataFrame, ids: Sequence[str], horizon: int = S.HORIZON) -> tuple[DataFrame, DataFrame]:
     """Comparison and final forecasts; the series and the comparison are written once and reused."""
     series = materialise(series)
-    comparison = materialise(compare_models(series, ids, horizon, skip_short=skip_short))
+    comparison = materialise(compare_models(series, ids, horizon))
     return comparison, forecast_selected(series, comparison, ids, horizon)

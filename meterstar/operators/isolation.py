@@ -13,7 +13,6 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from meterstar.operators.evaluate import SEED
@@ -84,41 +83,35 @@ class Forest:
 
 def fit_forest(df: DataFrame, key: str = "UsageID", columns: Sequence[str] = ANOMALY_FEATURES, trees: int = TREES,
                sample: int = SAMPLE, seed: int = SEED) -> Forest:
-    """Grow the forest. The trees*sample rows with the smallest key hashes are dealt to the trees.
+    """Grow the forest; each tree has the ``sample`` rows with the smallest hashes of (key, tree).
 
-    So the same rows are drawn however the data is partitioned. Only rows under
-    a hash cut that leaves about twice the wanted number are sorted. With fewer
-    rows than wanted, every tree draws its own subset of all of them. Isolation
+    So the same rows are drawn however the data is partitioned and whatever its
+    size. A hash cut that leaves about twice the wanted number comes before
+    the rows are multiplied by the trees; it is doubled until every tree has enough. Isolation
     is invariant to scaling a feature, so none is scaled.
     """
     ship_package(df.sparkSession)
     points = df.select(F.col(key).alias("_key"), *[F.col(c).cast("double").alias(c) for c in columns]).na.drop()
-    hashed = points.withColumn("_hash", F.xxhash64("_key", F.lit(seed)))
-    total, wanted = hashed.count(), trees * sample
+    total = points.count()
     if not total:
         raise ValueError("no complete rows to grow a forest from")
-    share = 2.0 * wanted / total
+    size = min(sample, total)
+    draws = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
+        t.alias("tree"), F.xxhash64(F.col("_key"), t, F.lit(seed)).alias("_hash")))
+    share = 2.0 * sample / total
     while True:
-        under = hashed.where(F.col("_hash") < F.lit(int(-(2**63) + share * 2**64))) if share < 1 else hashed
-        pool = materialise(under.orderBy("_hash", "_key").limit(wanted))
-        rows = pool.count()
-        if rows == min(wanted, total):
+        limit = F.lit(min(int(-(2**63) + share * 2**64), 2**63 - 1))
+        drawn = points.withColumn("_draw", F.explode(F.filter(draws, lambda d: d["_hash"] <= limit)))
+        dealt = materialise(drawn.select("_key", *columns, "_draw.tree", "_draw._hash"))
+        counts = dealt.groupBy("tree").count().agg(F.count(F.lit(1)), F.min("count")).first()
+        if share >= 1 or (counts[0] == trees and counts[1] >= size):
             break
         share *= 2
-    size = min(sample, rows)
-    if rows == wanted:
-        place = F.row_number().over(W.orderBy("_hash", "_key"))  # at most trees*sample rows
-        dealt = pool.withColumn("tree", (place % trees).cast("int"))
-    else:
-        dealt = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
     names = list(columns)
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
         tree = int(group["tree"].iloc[0])
-        ordered = group.sort_values(["_hash", "_key"])
-        points = ordered[names].to_numpy()
-        if len(points) > size:
-            points = points[np.random.default_rng((seed + 1, tree)).permutation(len(points))[:size]]
+        points = group.sort_values(["_hash", "_key"])[names].to_numpy()[:size]
         return pd.DataFrame(_grow(points, tree, seed), columns=[c.split()[0] for c in NODE_SCHEMA.split(", ")])
 
     nodes = dealt.groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()

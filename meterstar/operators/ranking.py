@@ -25,7 +25,7 @@ LEAST_SAMPLE = 1_000
 # Half-width of a proposed bracket in standard errors of the sample's quantile.
 BRACKET_ERRORS = 4.5
 SAMPLE_SEED = 42
-_PARTITION_SHIFT = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
+PARTITION_SHIFT = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
 def ordered_prefix(df: DataFrame, order: Sequence[Column], sums: Mapping[str, Column | str]) -> DataFrame:
@@ -40,7 +40,7 @@ def ordered_prefix(df: DataFrame, order: Sequence[Column], sums: Mapping[str, Co
     staged = materialise(
         staged.orderBy(*order)
         .withColumn("_at", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_at", _PARTITION_SHIFT))
+        .withColumn("_part", F.shiftright("_at", PARTITION_SHIFT))
     )
     before_window = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     before = (
@@ -262,9 +262,10 @@ class Tiles:
 def ntile(df: DataFrame, key: str, tiles: Sequence[Tiles], buffer_rows: int | None = None) -> DataFrame:
     """Add NTILE columns over all rows, without sorting or moving them.
 
-    ``key`` must be a unique whole number below 2**53, ``value`` numeric and not NULL. The
-    first row of each bucket is found by exact selection, first on the value,
-    then on the key among its ties; a row's bucket is then a comparison.
+    ``key`` must be a unique whole number, ``value`` numeric and not NULL. The
+    first row of each bucket is found by exact selection, first on the value, then
+    among its ties on the upper and on the lower half of the key (each exact as a
+    double, whatever the key); a row's bucket is then a comparison.
     """
     rows = df.count()
     firsts: list[tuple[Tiles, int, int]] = []
@@ -274,26 +275,30 @@ def ntile(df: DataFrame, key: str, tiles: Sequence[Tiles], buffer_rows: int | No
             rank = (bucket - 1) * size + min(bucket - 1, extra)
             if rank < rows:
                 firsts.append((t, bucket, rank))
-    signed = {t.name: F.col(t.value).cast("double") * (-1.0 if t.descending else 1.0) for t in tiles}
-    values = order_statistics(df, [(signed[t.name], r) for t, _, r in firsts], [rows] * len(firsts), buffer_rows)
-    splits = []
-    if firsts:
-        ties = _one_row(df, [
-            c for (t, _, _), v in zip(firsts, values)
-            for c in (F.count_if(signed[t.name] < F.lit(v)), F.count_if(signed[t.name] == F.lit(v)))
-        ])
-        wanted, tied_rows = [], []
-        for i, ((t, _, rank), v) in enumerate(zip(firsts, values)):
-            wanted.append((F.when(signed[t.name] == F.lit(v), F.col(key)), rank - ties[2 * i]))
-            tied_rows.append(ties[2 * i + 1])
-        splits = order_statistics(df, wanted, tied_rows, buffer_rows)
+    number = F.col(key).cast("bigint")
+    halves = [F.shiftright(number, 32), number.bitwiseAND(F.lit((1 << 32) - 1))]
+    levels = {t.name: [F.col(t.value).cast("double") * (-1.0 if t.descending else 1.0), *halves] for t in tiles}
+    tied: list[Column | None] = [None] * len(firsts)
+    ranks, sizes = [rank for _, _, rank in firsts], [rows] * len(firsts)
+    splits: list[list] = [[] for _ in firsts]
+    for level in range(3 if firsts else 0):
+        own = [levels[t.name][level] for t, _, _ in firsts]
+        among = [c if on is None else F.when(on, c) for c, on in zip(own, tied)]
+        values = order_statistics(df, list(zip(among, ranks)), sizes, buffer_rows)
+        counts = _one_row(df, [f for c, v in zip(among, values) for f in (F.count_if(c < F.lit(v)), F.count_if(c == F.lit(v)))])
+        for i, v in enumerate(values):
+            splits[i].append(v)
+            ranks[i], sizes[i] = ranks[i] - counts[2 * i], counts[2 * i + 1]
+            same = own[i] == F.lit(v)
+            tied[i] = same if tied[i] is None else tied[i] & same
     out = {}
     for t in tiles:
         bucket_column = F.lit(1)
-        for (other, bucket, _), v, k in zip(firsts, values, splits):
+        for (other, bucket, _), split in zip(firsts, splits):
             if other.name == t.name:
-                c = signed[t.name]
-                reached = (c > F.lit(v)) | ((c == F.lit(v)) & (F.col(key) >= F.lit(k)))
+                a, b, c = levels[t.name]
+                v, high, low = (F.lit(s) for s in split)
+                reached = (a > v) | ((a == v) & ((b > high) | ((b == high) & (c >= low))))
                 bucket_column = F.when(reached, F.lit(bucket)).otherwise(bucket_column)
         out[t.name] = bucket_column.cast("int")
     return df.withColumns(out)

@@ -23,7 +23,7 @@ from meterstar.session import materialise
 # --- disengagement risk -----------------------------------------------------------
 
 # Notes on how the holdout was drawn.
-HOLDOUT_NOTE = "Stratified 25% holdout; scaling and model fitting use training rows only."
+HOLDOUT_NOTE = "A quarter of each class was held out; scaling and fitting saw the other rows."
 NO_HOLDOUT_NOTE = "Holdout unavailable: fewer than two observations in one class."
 
 
@@ -98,9 +98,10 @@ def score_risk(features: DataFrame) -> RiskResult:
     balance = E.class_balance(labelled, "ChurnSignal")
     counts = balance.first()
     held_out = min(counts["PositiveCount"], counts["NegativeCount"]) >= 2
-    flag = E.holdout_flag("ClientKey", "ChurnSignal")
-    train = labelled.where(~flag) if held_out else labelled
-    holdout = labelled.where(flag) if held_out else labelled
+    train = holdout = labelled
+    if held_out:
+        parted = materialise(E.with_holdout(labelled, "ClientKey", "ChurnSignal"))
+        train, holdout = parted.where("NOT IsHoldout"), parted.where("IsHoldout")
     trained = fit_risk_model(train)
     judged = trained.probability(holdout).withColumns({
         "Predicted": (F.col("Probability") > 0.5).cast("int"), "Baseline": proxy_label(),
@@ -173,10 +174,18 @@ def _with_modes(df: DataFrame, modes: Mapping[str, str | None]) -> DataFrame:
     return df.na.fill({f"_c_{c}": m for c, m in modes.items() if m is not None})
 
 
+def _most_frequent(df: DataFrame, column: str) -> str | None:
+    """The most frequent value, the smallest of equals; counts come before the choice."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    # The greatest count, then the first in text order.
+    best = counts.orderBy(F.desc("_n"), column).limit(1).collect()
+    return best[0][0] if best else None
+
+
 def fit_satisfaction(rated: DataFrame, trees: int = 250, max_depth: int = 15) -> tuple[PipelineModel, dict[str, str | None]]:
     """Fit on rated rows; also returns the most frequent value per categorical column."""
     typed = _typed_features(rated)
-    modes = typed.agg(*[F.mode(f"_c_{c}", True).alias(c) for c in CATEGORICAL]).first().asDict()
+    modes = {c: _most_frequent(typed, f"_c_{c}") for c in CATEGORICAL}
     return satisfaction_pipeline(trees, max_depth).fit(_with_modes(typed, modes)), modes
 
 
@@ -240,12 +249,12 @@ def score_satisfaction(master: DataFrame, key: str = "UsageID", trees: int = 250
     rated = materialise(rated.select(*columns))
     if rated.count() < LEAST_RATED:
         raise ValueError(f"at least {LEAST_RATED} rated requests are required for satisfaction modelling")
-    flag = E.holdout_flag(key, share=0.2)
-    train = rated.where(~flag)
+    rated = materialise(E.with_holdout(rated, key, share=0.2))
+    train = rated.where("NOT IsHoldout")
     model = fit_satisfaction(train, trees, max_depth)
     baseline = train.agg(F.avg("SatisfactionScore")).first()[0]
     judged = materialise(
-        predict_satisfaction(model, rated.where(flag)).withColumn("_mean", F.lit(baseline))
+        predict_satisfaction(model, rated.where("IsHoldout")).withColumn("_mean", F.lit(baseline))
     )
     cv_rmse = cross_validated_rmse(rated, key, folds, trees, max_depth) if folds > 1 else None
     overall, rows = F.lit("Overall"), F.lit("Rated holdout")

@@ -62,21 +62,29 @@ def _span(ids: Sequence[str]):
     return W.partitionBy(*ids)
 
 
-def split_holdout(series: DataFrame, ids: Sequence[str], horizon: int = HORIZON, skip_short: bool = False) -> DataFrame:
+def split_holdout(series: DataFrame, ids: Sequence[str], horizon: int = HORIZON) -> DataFrame:
     """Mark the last ``horizon`` days of each series as ``IsTest``.
 
-    A series needs more than twice the horizon; a shorter one is an error, or
-    is left out with ``skip_short``.
+    A series needs more than twice the horizon; a shorter one is an error (see ``part_short``).
     """
-    days = F.count(F.lit(1)).over(_span(ids))
-    marked = series.withColumns({
-        "_days": days,
-        "IsTest": F.col("ds") > F.date_sub(F.max("ds").over(_span(ids)), horizon),
-    })
+    marked = series.withColumn("IsTest", F.col("ds") > F.date_sub(F.max("ds").over(_span(ids)), horizon))
+    require_days(series, ids, 2 * horizon + 1, "the holdout")
+    return marked
+
+
+def require_days(series: DataFrame, ids: Sequence[str], least: int, purpose: str) -> None:
+    """Fail if any series has fewer than ``least`` days."""
+    if not series.groupBy(*ids).count().where(F.col("count") < least).isEmpty():
+        raise ShortSeriesError(f"at least {least} daily observations are required for {purpose}")
+
+
+def part_short(series: DataFrame, ids: Sequence[str], horizon: int = HORIZON) -> tuple[DataFrame, DataFrame]:
+    """The series long enough for a holdout, and one row with the reason for each other one."""
+    sized = series.withColumn("_days", F.count(F.lit(1)).over(_span(ids)))
     enough = F.col("_days") > 2 * horizon
-    if not skip_short and not marked.where(~enough).isEmpty():
-        raise ShortSeriesError(f"at least {2 * horizon + 1} daily observations are required for the holdout")
-    return marked.where(enough).drop("_days")
+    short = sized.where(~enough).groupBy(*ids).agg(F.first("_days").alias("Days")).withColumn(
+        "Reason", F.lit(f"fewer than {2 * horizon + 1} days"))
+    return sized.where(enough).drop("_days"), short
 
 
 def naive(train: DataFrame, ids: Sequence[str], horizon: int = HORIZON) -> DataFrame:
@@ -145,19 +153,20 @@ def require_forecast_dates(forecast: DataFrame, history: DataFrame, ids: Sequenc
 
 
 def decompose_weekly(series: DataFrame, ids: Sequence[str], period: int = PERIOD) -> DataFrame:
-    """Additive trend, seasonal and residual parts per series of at least 2*period+1 days.
+    """Additive trend, seasonal and residual parts per series; each needs at least 2*period+1 days.
 
     The trend is a centred moving average; its open ends continue the line
     through its first and last ``period`` points.
     """
     if period % 2 == 0:
         raise ValueError("the period must be odd, so that a centred average exists")
+    require_days(series, ids, 2 * period + 1, "a decomposition")
     half = period // 2
     days = F.count(F.lit(1)).over(_span(ids))
     start = F.min("ds").over(_span(ids))
     by_day = _span(ids).orderBy("_t")
     around = by_day.rowsBetween(-half, half)
-    base = series.withColumns({"_n": days, "_t": F.datediff("ds", start)}).where(F.col("_n") >= 2 * period + 1)
+    base = series.withColumns({"_n": days, "_t": F.datediff("ds", start)})
     inner = F.col("_t").between(half, F.col("_n") - 1 - half)
     base = base.withColumn("_mid", F.when(inner, F.avg("y").over(around)))
     head = F.col("_t").between(half, half + period - 1)

@@ -35,10 +35,7 @@ EVENT_TYPES = (
 )
 
 
-SPREAD_KEYS = {"lineitem": ("l_orderkey", "l_linenumber"), "orders": ("o_orderkey",)}
-
 _schemas: dict[str, StructType] = {}
-_single_file: dict[str, bool] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,15 +47,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A large sample table. One file of one row group would be one task, so it
-    is spread over the cores by its keys; a table of many files is left as it is."""
-    df = table(spark, sf_dir, name)
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _single_file:
-        _single_file[path] = len(df.inputFiles()) == 1
-    if _single_file[path]:
-        df = df.repartition(spark.sparkContext.defaultParallelism, *SPREAD_KEYS[name])
-    return df
+    """A large sample table, as it is stored: joins and groupings move it where they need it."""
+    return table(spark, sf_dir, name)
 
 
 def _date_key(d: str) -> Column:

@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 from meterstar.sources.contracts import DIMENSION_KEYS, FACT, FILES, contract
 
 
+MASTER_DATES = ("Date", "OnboardingDate")
+
+
 class MissingFilesError(FileNotFoundError):
     """One or more of the seven table files are absent."""
 
@@ -123,6 +126,8 @@ def load_master(spark: SparkSession, path: str, columns: Iterable[str], file_for
     if not path_exists(spark, path):
         raise FileNotFoundError(f"enriched master was not found: {path}")
     df = spark.read.format(file_format).option("header", True).load(path)
+    texts = [f.name for f in df.schema if f.name in MASTER_DATES and isinstance(f.dataType, T.StringType)]
+    df = df.withColumns({c: F.col(c).try_cast("date") for c in texts})
     return require_columns(df, columns, "enriched master")
 
 

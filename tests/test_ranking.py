@@ -40,6 +40,13 @@ def test_ntile_equals_the_window_function(spark, rows, buffer_rows):
     assert got == want
 
 
+def test_ntile_of_keys_beyond_the_doubles(spark):
+    df = spark.range(9).select((F.col("id") + 2**60).alias("id"), F.lit(1.0).alias("v"))
+    df = df.union(spark.createDataFrame([(-(2**62), 1.0)], "id bigint, v double"))
+    got = ranking.ntile(df, "id", [ranking.Tiles("a", "v")], 2).orderBy("id").collect()
+    assert [r["a"] for r in got] == [1, 1, 1, 2, 2, 2, 3, 3, 4, 4]
+
+
 @pytest.mark.parametrize("partitions", [1, 4, 37])
 def test_prefix_sums_and_index_follow_the_global_order(spark, partitions):
     df = spark.range(5000).select("id", (F.col("id") * 7919 % 5003).alias("v")).repartition(partitions)

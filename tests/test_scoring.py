@@ -118,10 +118,13 @@ def test_areas_match_brute_force(spark, partitions):
     assert evaluate.roc_auc(only, "y", "s").first()[0] is None and evaluate.average_precision(only, "y", "s").first()[0] is None
 
 
-def test_holdout_draws_each_class_alike(spark):
-    df = spark.range(40_000).withColumn("y", (F.col("id") % 20 == 0).cast("int"))
-    shares = df.groupBy("y").agg(F.avg(evaluate.holdout_flag("id", "y").cast("int")).alias("s")).collect()
-    assert all(abs(r["s"] - 0.25) < 0.03 for r in shares)
+def test_holdout_takes_an_exact_share_of_each_class(spark):
+    df = spark.range(4001).withColumn("y", (F.col("id") % 20 == 0).cast("int")).union(spark.createDataFrame([(-1, 2), (-2, 2)], "id bigint, y int"))
+    drawn = evaluate.with_holdout(df, "id", "y").groupBy("y").agg(F.count_if("IsHoldout"), F.count("y")).collect()
+    assert {tuple(r) for r in drawn} == {(0, 950, 3800), (1, 51, 201), (2, 1, 2)}
+    again = evaluate.with_holdout(df.repartition(7), "id", "y").where("IsHoldout").select("id")
+    assert again.exceptAll(evaluate.with_holdout(df, "id", "y").where("IsHoldout").select("id")).count() == 0
+    assert evaluate.with_holdout(df, "id", share=0.2).where("IsHoldout").count() == 801
 
 
 def test_regression_metrics_of_constant_target(spark):

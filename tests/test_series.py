@@ -40,7 +40,10 @@ def test_split_needs_more_than_two_horizons(spark):
     with pytest.raises(series.ShortSeriesError):
         series.split_holdout(as_series(spark, range(60)), IDS)
     both = as_series(spark, range(61)).union(as_series(spark, range(60), "short"))
-    assert series.split_holdout(both, IDS, skip_short=True).select("Metric").distinct().count() == 1
+    with pytest.raises(series.ShortSeriesError):
+        series.split_holdout(both, IDS)
+    long, short = series.part_short(both, IDS)
+    assert long.count() == 61 and [tuple(r) for r in short.collect()] == [("short", 60, "fewer than 61 days")]
 
 
 def test_metrics(spark):
@@ -78,7 +81,10 @@ def test_decomposition_matches_brute_force(spark):
     np.testing.assert_allclose(got["Trend"], trend, atol=1e-9)
     np.testing.assert_allclose(got["Seasonal"], seasonal, atol=1e-9)
     np.testing.assert_allclose(got["Residual"], y - trend - seasonal, atol=1e-9)
-    assert series.decompose_weekly(as_series(spark, y[:14]), IDS).count() == 0
+    with pytest.raises(series.ShortSeriesError):
+        series.decompose_weekly(as_series(spark, y[:14]), IDS)
+    with pytest.raises(series.ShortSeriesError):
+        forecast.arima(as_series(spark, y[:8]), IDS)
 
 
 def test_unit_root_statistic(spark):
