@@ -2,32 +2,73 @@
 
 Both kinds of tokenizer used here split a text at white space before anything
 else, so a text is encoded piece by piece and each distinct piece only once
-per worker; the ids are those of the whole text.
+per worker; the ids are those of the whole text. They also keep a run of
+letters apart from the punctuation after it, so a piece that is such a word is
+looked up as word and punctuation, and a new word goes to the tokenizer's model at once.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 ID_BYTES = 4
 CACHED_PIECES = 900_000
-TEXT_CHARS_AT_ONCE = 4_000_000
 
 # The code points of the Unicode property White_Space.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 # With byte-level BPE a space belongs to the word after it, and other white space stands alone.
 _SPACED_PIECE = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 _BARE_PIECE = re.compile(f"[^{_SPACE}]+")
+# Latin-1 letters, which no normaliser joins with others, then punctuation without an apostrophe, which would take letters.
+_PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@[-`{-~]*)")
 
 _encoders: dict[tuple[str, bool], PieceEncoder] = {}
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level tokenizers write for each byte: itself if it is visible, else the next from U+0100."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = (b for b in range(256) if b not in visible)
+    return {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+class _Words(dict):
+    """The ids of words and of runs of punctuation, straight from the tokenizer's model."""
+
+    def __init__(self, tokenizer, lower: bool):
+        super().__init__()
+        self.model, self.lower, self.letters = tokenizer.model, lower, _byte_letters()
+
+    def __missing__(self, word: str) -> bytes:
+        seen = (word.lower() if self.lower else word).encode().decode("latin-1").translate(self.letters)
+        self[word] = ids = array("I", [t.id for t in self.model.tokenize(seen)]).tobytes()
+        return ids
+
+
+class _Pieces(dict):
+    """The ids of pieces between white space."""
+
+    def __init__(self, tokenizer, words: _Words):
+        super().__init__()
+        self.tokenizer, self.words = tokenizer, words
+
+    def __missing__(self, piece: str) -> bytes:
+        plain = _PLAIN.fullmatch(piece)
+        if plain is None:
+            ids = array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+        else:
+            word, marks = plain.groups()
+            ids = self.words[word] + self.words[marks] if marks else self.words[word]
+        self[piece] = ids
+        return ids
+
+
 class PieceEncoder:
     """Encodes texts with a tokenizer file; holds a bounded number of pieces."""
 
@@ -35,33 +76,22 @@ class PieceEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks already fill the cores
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.pieces = _SPACED_PIECE if spaces_count else _BARE_PIECE
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.split = (_SPACED_PIECE if spaces_count else _BARE_PIECE).findall
         self.cached = cached
-        self.known: dict[str, bytes] = {}
+        normalizer = tokenizer.normalizer
+        self.words = _Words(tokenizer, lower=normalizer is not None and normalizer.normalize_str("A") == "a")
+        self.pieces = _Pieces(tokenizer, self.words)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        start = 0
-        while start < len(texts):
-            chars, end = 0, start
-            while end < len(texts) and (end == start or chars + len(texts[end]) <= TEXT_CHARS_AT_ONCE):
-                chars += len(texts[end])
-                end += 1
-            out += self._encode_some(texts[start:end])
-            start = end
-        return out
-
-    def _encode_some(self, texts: list[str]) -> list[bytes]:
-        split = [self.pieces.findall(t) for t in texts]
-        if len(self.known) > self.cached:
-            self.known = {}
-        new = list(set().union(*split) - self.known.keys())
-        for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[piece] = np.array(found.ids, "<u4").tobytes()
-        look_up = self.known.__getitem__
-        return [b"".join(map(look_up, pieces)) for pieces in split]
+        return [self._ids(text) for text in texts]
+
+    def _ids(self, text: str) -> bytes:
+        for held in (self.words, self.pieces):
+            if len(held) > self.cached:
+                held.clear()
+        return b"".join(map(self.pieces.__getitem__, self.split(text)))
 
 
 def encoder(path: str, spaces_count: bool) -> PieceEncoder:
