@@ -141,7 +141,8 @@ def test_fingerprints_of_edits(spark, texts):
     assert fingerprints.fingerprints(make(spark, ["a", "b", "c"], [None, 4, 4])).count() == 3
 
 
-ODD = ["a  b\n\n c", "don't  stop ", "  x y\x1cz\x85w", "ÀÉ ñ 12,345!! <|endoftext|> é", "　漢字 かな", "", " ", "\r\n\t a"]
+ODD = ["a  b\n\n c", "don't  stop ", "  x y\x1cz\x85w", "ÀÉ ñ 12,345!! <|endoftext|> é", "　漢字 かな", "", " ", "\r\n\t a",
+       "Straße, À'll x!'s _a_ b__ µm ªº", "İstanbul ΣΑΣ é́ e\u0301!", "×÷ a×b word… 's"]
 
 
 @pytest.mark.parametrize("name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
@@ -152,6 +153,7 @@ def test_pieces_give_the_ids_of_whole_texts(name, spaced, texts):
     body = ODD + [t or "" for t in texts] + ["".join(random.Random(i).choices("ab ,.'\n\t é1!", k=300)) for i in range(40)]
     wanted = [np.array(e.ids, "<u4").tobytes() for e in whole.encode_batch(body, add_special_tokens=False)]
     assert tokens.PieceEncoder(path, spaced).encode(body) == wanted
+    assert tokens.PieceEncoder(path, spaced, cached=3).encode(body) == wanted
 
 
 def test_first_fit_decreasing_is_what_it_says():
