@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 ID_BYTES = 4
-CACHED_PIECES = 900_000
+CACHED_PIECES = 600_000
 
 # The code points of the Unicode property White_Space.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
