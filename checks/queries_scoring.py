@@ -104,14 +104,21 @@ def _(spark, sf_dir):
     return rounded(evaluate.threshold_sweep(judged_items(spark, sf_dir), "Actual", "Score"))
 
 
+def satisfaction(spark, sf_dir):
+    """The whole satisfaction job, with its defaults: 250 trees, holdout and five folds."""
+    return scoring.score_satisfaction(requested(spark, sf_dir).withColumns({
+        "HourOfDay": F.floor(F.col("TimeKey") / 100), "IsWeekend": C.is_weekend("Date"),
+    }))
+
+
 @register("ml17_satisfaction_scores")
 def _(spark, sf_dir):
-    # A small forest keeps the check short; every rated row trains it and every row is scored.
-    master = requested(spark, sf_dir).withColumns({
-        "HourOfDay": F.floor(F.col("TimeKey") / 100), "IsWeekend": C.is_weekend("Date"),
-    })
-    model = scoring.fit_satisfaction(master.where("SatisfactionScore IS NOT NULL"), trees=20, max_depth=6)
-    return scoring.predict_satisfaction(model, master).select("UsageID", "SatisfactionScore", "SatisfactionPredicted")
+    return satisfaction(spark, sf_dir).scored.select("UsageID", "SatisfactionScore", "SatisfactionPredicted")
+
+
+@register("ml18_satisfaction_evaluation")
+def _(spark, sf_dir):
+    return rounded(satisfaction(spark, sf_dir).evaluation())
 
 
 @register("ml19_regression_metrics")

@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from meterstar.functions import columns as C
 from meterstar.operators import evaluate as E
 from meterstar.operators.features import CHURN_FEATURES, proxy_label
-from meterstar.operators.ranking import tukey_fences
+from meterstar.operators.ranking import quantiles, row_index, tukey_fences
 from meterstar.session import materialise
 
 # --- disengagement risk -----------------------------------------------------------
@@ -145,6 +145,7 @@ NUMERIC = ("TotalTokens", "LatencyMs", "CostUSD", "SuccessFlag", "HourOfDay", "I
 SATISFACTION_FEATURES = (*CATEGORICAL, *NUMERIC)
 SCORE_RANGE = (1.0, 5.0)
 LEAST_RATED = 10
+MAX_DEPTH = 30      # the most that the forest takes
 FOREST = "Random forest regressor"
 
 
@@ -154,12 +155,25 @@ def _typed_features(df: DataFrame) -> DataFrame:
     return df.withColumns({**texts, **numbers})
 
 
-def satisfaction_pipeline(trees: int = 250, max_depth: int = 15, seed: int = E.SEED) -> Pipeline:
-    """Median and mode imputation, one-hot keys (unseen ones ignored), and a random forest."""
+@dataclass
+class SatisfactionModel:
+    """A fitted satisfaction model: medians, labels numbered by frequency (with their number), encoder and forest."""
+
+    medians: dict[str, float]
+    labels: dict[str, tuple[DataFrame, int]]
+    pipeline: PipelineModel
+
+    def label_table(self) -> DataFrame:
+        """``Column, Label, Index`` of all categorical columns; the label with index 0 stands in for missing ones."""
+        return reduce(DataFrame.unionByName, [
+            table.select(F.lit(c).alias("Column"), F.col("_label").alias("Label"), F.col("_index").alias("Index"))
+            for c, (table, _) in self.labels.items()
+        ])
+
+
+def satisfaction_pipeline(trees: int = 250, max_depth: int = MAX_DEPTH, seed: int = E.SEED) -> Pipeline:
+    """One-hot keys (unseen ones ignored) and a random forest, over filled numbers and numbered labels."""
     return Pipeline(stages=[
-        Imputer(strategy="median", inputCols=[f"_n_{c}" for c in NUMERIC], outputCols=[f"_i_{c}" for c in NUMERIC]),
-        StringIndexer(inputCols=[f"_c_{c}" for c in CATEGORICAL], outputCols=[f"_x_{c}" for c in CATEGORICAL],
-                      handleInvalid="keep", stringOrderType="frequencyDesc"),
         OneHotEncoder(inputCols=[f"_x_{c}" for c in CATEGORICAL], outputCols=[f"_h_{c}" for c in CATEGORICAL],
                       handleInvalid="keep"),
         VectorAssembler(inputCols=[f"_i_{c}" for c in NUMERIC] + [f"_h_{c}" for c in CATEGORICAL], outputCol="_features"),
@@ -170,30 +184,42 @@ def satisfaction_pipeline(trees: int = 250, max_depth: int = 15, seed: int = E.S
     ])
 
 
-def _with_modes(df: DataFrame, modes: Mapping[str, str | None]) -> DataFrame:
-    return df.na.fill({f"_c_{c}": m for c, m in modes.items() if m is not None})
+def _numbered_labels(df: DataFrame, column: str) -> tuple[DataFrame, int]:
+    """``_label, _index``: the most frequent label has index 0, equals go in text order; and the number of labels.
 
-
-def _most_frequent(df: DataFrame, column: str) -> str | None:
-    """The most frequent value, the smallest of equals; counts come before the choice."""
+    Counts come before the order, and no label reaches the driver.
+    """
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    # The greatest count, then the first in text order.
-    best = counts.orderBy(F.desc("_n"), column).limit(1).collect()
-    return best[0][0] if best else None
+    numbered = row_index(counts, [F.desc("_n"), F.col(column)], "_place")
+    table = materialise(numbered.select(F.col(column).alias("_label"), (F.col("_place") - 1).cast("double").alias("_index")))
+    return table, table.count()
+
+
+def _encoded(df: DataFrame, medians: Mapping[str, float], labels: Mapping[str, tuple[DataFrame, int]]) -> DataFrame:
+    """Filled numbers and label indices; a missing label becomes the most frequent one, an unseen one comes after all others."""
+    out = _typed_features(df).withColumns({
+        f"_i_{c}": F.coalesce(F.when(~F.isnan(f"_n_{c}"), F.col(f"_n_{c}")), F.lit(medians[c])) for c in NUMERIC
+    })
+    for c, (table, size) in labels.items():
+        numbered = table.select(F.col("_label").alias(f"_l_{c}"), F.col("_index").alias(f"_k_{c}"))
+        out = out.join(numbered, F.col(f"_c_{c}") == F.col(f"_l_{c}"), "left")
+        index = F.coalesce(F.col(f"_k_{c}"), F.lit(float(size)))
+        out = out.withColumn(f"_x_{c}", F.when(F.col(f"_c_{c}").isNull(), F.lit(0.0)).otherwise(index))
+    return out
 
 
-def fit_satisfaction(rated: DataFrame, trees: int = 250, max_depth: int = 15) -> tuple[PipelineModel, dict[str, str | None]]:
-    """Fit on rated rows; also returns the most frequent value per categorical column."""
+def fit_satisfaction(rated: DataFrame, trees: int = 250, max_depth: int = MAX_DEPTH) -> SatisfactionModel:
+    """Fit on rated rows, with exact medians and the most frequent labels in place of missing values."""
     typed = _typed_features(rated)
-    modes = {c: _most_frequent(typed, f"_c_{c}") for c in CATEGORICAL}
-    return satisfaction_pipeline(trees, max_depth).fit(_with_modes(typed, modes)), modes
+    found = quantiles(typed, {f"_n_{c}": (0.5,) for c in NUMERIC})
+    medians = {c: found[f"_n_{c}"][0.5] or 0.0 for c in NUMERIC}  # a column without values is constant
+    labels = {c: _numbered_labels(typed, f"_c_{c}") for c in CATEGORICAL}
+    return SatisfactionModel(medians, labels, satisfaction_pipeline(trees, max_depth).fit(_encoded(rated, medians, labels)))
 
 
-def predict_satisfaction(model: tuple[PipelineModel, Mapping[str, str | None]], df: DataFrame,
-                         name: str = "SatisfactionPredicted") -> DataFrame:
+def predict_satisfaction(model: SatisfactionModel, df: DataFrame, name: str = "SatisfactionPredicted") -> DataFrame:
     """Add predictions, kept within the score range."""
-    pipeline, modes = model
-    scored = pipeline.transform(_with_modes(_typed_features(df), modes))
+    scored = model.pipeline.transform(_encoded(df, model.medians, model.labels))
     return scored.withColumn(name, C.clip("_raw", *SCORE_RANGE)).select(*df.columns, name)
 
 
@@ -202,7 +228,7 @@ class SatisfactionResult:
     """Scored requests and the evaluation tables."""
 
     scored: DataFrame
-    model: tuple[PipelineModel, dict[str, str | None]]
+    model: SatisfactionModel
     holdout: DataFrame
     coverage: DataFrame
 
@@ -228,7 +254,7 @@ def _evaluation_rows(df: DataFrame, kind: str, dimension: Column, group: Column,
     )
 
 
-def cross_validated_rmse(rated: DataFrame, key: str, folds: int = 5, trees: int = 250, max_depth: int = 15) -> float:
+def cross_validated_rmse(rated: DataFrame, key: str, folds: int = 5, trees: int = 250, max_depth: int = MAX_DEPTH) -> float:
     """Mean of the folds' RMSE; folds are drawn by key hash."""
     slot = E.hash_slot(key, seed=E.SEED + 1, slots=folds)
     errors = []
@@ -241,7 +267,7 @@ def cross_validated_rmse(rated: DataFrame, key: str, folds: int = 5, trees: int
     return sum(errors) / len(errors)
 
 
-def score_satisfaction(master: DataFrame, key: str = "UsageID", trees: int = 250, max_depth: int = 15,
+def score_satisfaction(master: DataFrame, key: str = "UsageID", trees: int = 250, max_depth: int = MAX_DEPTH,
                        folds: int = 5, dimensions: Sequence[str] = E.GROUP_DIMENSIONS) -> SatisfactionResult:
     """Predict satisfaction for all requests; audit on a 20 % holdout of the rated ones."""
     rated = master.where(F.col("SatisfactionScore").isNotNull())

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -168,6 +170,38 @@ def test_unseen_category_is_scored(spark):
     assert scoring.predict_satisfaction(model, new).first()["SatisfactionPredicted"] is not None
 
 
+def test_satisfaction_fills_with_exact_medians_and_frequent_labels(spark):
+    rated = satisfaction_rows(spark, 400).where("SatisfactionScore IS NOT NULL").withColumn(
+        "ModelKey", F.when(F.col("UsageID") % 5 > 0, F.col("ModelKey")))
+    model = scoring.fit_satisfaction(rated, trees=2, max_depth=2)
+    pdf = rated.toPandas()
+    assert model.medians["LatencyMs"] == pdf.LatencyMs.median() and model.medians["TotalTokens"] == pdf.TotalTokens.median()
+    counts = pdf.ModelKey.dropna().astype(int).astype(str).value_counts()
+    expected = sorted(counts.items(), key=lambda x: (-x[1], x[0]))
+    found = model.label_table().where("Column = 'ModelKey'").orderBy("Index").collect()
+    assert [(r["Label"], r["Index"]) for r in found] == [(k, float(i)) for i, (k, _) in enumerate(expected)]
+    gaps = scoring._encoded(rated.withColumn("RequestType", F.lit("new")), model.medians, model.labels)
+    assert gaps.count() == rated.count() and gaps.where("_x_RequestType <> 2").count() == 0
+    assert gaps.where("ModelKey IS NULL AND _x_ModelKey <> 0").count() == 0
+
+
+def test_registered_satisfaction_is_the_whole_job(spark, monkeypatch):
+    from checks.registered import QUERIES
+
+    asked = []
+
+    def fit(rated, trees=250, max_depth=scoring.MAX_DEPTH, real=scoring.fit_satisfaction):
+        asked.append((trees, max_depth, rated.count()))
+        return real(rated, 2, 2)
+
+    monkeypatch.setattr(scoring, "fit_satisfaction", fit)
+    scored = QUERIES["ml17_satisfaction_scores"](spark, "/root/testdata/sf0.001")
+    rated, rows = scored.where("SatisfactionScore IS NOT NULL").count(), scored.count()
+    assert rows > rated and scored.where("SatisfactionPredicted IS NULL").count() == 0
+    assert len(asked) == 6 and all(a[:2] == (250, 30) for a in asked)
+    assert asked[0][2] == rated - math.ceil(rated * 0.2) and sum(a[2] for a in asked[1:]) == 4 * rated
+
+
 def anomaly_rows(spark, rows=4000):
     df = spark.range(rows).select(
         F.col("id").alias("UsageID"), (1 + F.col("id") * 7919 % 101 / 100).alias("CostUSD"),
