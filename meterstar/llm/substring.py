@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterstar.llm.inputs import picked
@@ -82,12 +82,17 @@ def _candidates(h: np.ndarray, bitmap: np.ndarray, bits: int, length: int, perio
     return np.nonzero(np.cumsum(edges[:-1]) > 0)[0]
 
 
+def text_mark(text: str) -> Column:
+    """Tells the texts of rows apart that share a key."""
+    return F.xxhash64(F.col(f"`{text}`"))
+
+
 def repeated_passages(df: DataFrame, length: int = LENGTH, period: int = PERIOD, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Words to remove from each document, and what is left.
 
     A word goes if one of the windows of ``length`` words over it also starts in a document
-    with a smaller key; windows are judged on the input. Returns ``doc_id, n_words,
-    n_removed, kept_sha256, kept_text`` (the kept words joined by a space; NULL if nothing is removed).
+    with a smaller key; windows are judged on the input. Returns ``doc_id, text_mark, n_words,
+    n_removed, kept_sha256, kept_text`` (``text_mark`` of the input; the kept words joined by a space, NULL if nothing is removed).
 
     Windows of ``length - period + 1`` words are hashed only at the positions of a
     difference cover. Two equal runs of ``length`` words have such an anchor at
@@ -105,7 +110,7 @@ def repeated_passages(df: DataFrame, length: int = LENGTH, period: int = PERIOD,
         raise ValueError(f"the period must be one of {sorted(COVERS)} and shorter than the length")
     spark = df.sparkSession
     ship_package(spark)
-    rows = picked(df, doc_id=key, text=text).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    rows = picked(df, doc_id=key, text=text).withColumns({"doc_id": F.col("doc_id").cast("bigint"), "text_mark": text_mark("text")})
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,22 +162,23 @@ def repeated_passages(df: DataFrame, length: int = LENGTH, period: int = PERIOD,
                 sums.append(hashlib.sha256(b" ".join(found)).hexdigest())
                 texts.append(text if len(_candidates(h, own, bits, length, period)) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(prints, pa.int64()), pa.array(sums), pa.array(texts, pa.string())],
-                ["doc_id", "n_words", "print", "kept_sha256", "text"])
+                [batch.column(0), batch.column(2), pa.array(counts, pa.int64()), pa.array(prints, pa.int64()), pa.array(sums),
+                 pa.array(texts, pa.string())],
+                ["doc_id", "text_mark", "n_words", "print", "kept_sha256", "text"])
 
-    whole = rows.mapInArrow(bodies, "doc_id bigint, n_words bigint, print bigint, kept_sha256 string, text string")
+    whole = rows.mapInArrow(bodies, "doc_id bigint, text_mark bigint, n_words bigint, print bigint, kept_sha256 string, text string")
     spans = spans.select(F.col("id").alias("_id"), F.col("print").bitwiseXOR(F.lit(-(1 << 63))).alias("_print"), "places")
     joined = whole.join(spans, (F.coalesce("doc_id", F.lit(_LAST)) == F.col("_id")) & (F.col("print") == F.col("_print")), "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gone, sums, texts = [], batch.column(2).to_pylist(), []
-            for i, places in enumerate(batch.column(4)):
+            gone, sums, texts = [], batch.column(3).to_pylist(), []
+            for i, places in enumerate(batch.column(5)):
                 if not places.is_valid:
                     gone.append(0)
                     texts.append(None)
                     continue
-                found = words(batch.column(3)[i].as_py())
+                found = words(batch.column(4)[i].as_py())
                 edges = np.zeros(len(found) + 1, np.int64)
                 starts = np.unique(places.values.to_numpy())
                 np.add.at(edges, starts, 1)
@@ -183,21 +189,24 @@ def repeated_passages(df: DataFrame, length: int = LENGTH, period: int = PERIOD,
                 sums[i] = hashlib.sha256(left).hexdigest()
                 texts.append(left.decode())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(gone, pa.int64()), pa.array(sums, pa.string()), pa.array(texts, pa.string())],
-                ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
+                [batch.column(0), batch.column(1), batch.column(2), pa.array(gone, pa.int64()), pa.array(sums, pa.string()),
+                 pa.array(texts, pa.string())],
+                ["doc_id", "text_mark", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
-    return joined.select("doc_id", "n_words", "kept_sha256", "text", "places").mapInArrow(
-        cut, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string")
+    return joined.select("doc_id", "text_mark", "n_words", "kept_sha256", "text", "places").mapInArrow(
+        cut, "doc_id bigint, text_mark bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string")
 
 
 def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", length_column: str | None = "n_chars", **options) -> DataFrame:
     """``df`` with repeated passages cut from its texts, and ``length_column``, if it has one, brought up to date.
 
-    Rows that repeat a key must not differ in text.
+    Rows that share a key, or have none, are each cut by their own text.
     """
     cut = repeated_passages(df, key=key, text=text, **options).where("kept_text IS NOT NULL").select(
-        F.col("doc_id").alias("_cut_id"), F.col("kept_text").alias("_cut_text")).dropDuplicates(["_cut_id"])
-    joined = df.join(cut, F.col(f"`{key}`").eqNullSafe(F.col("_cut_id")), "left")
+        F.col("doc_id").alias("_cut_id"), F.col("text_mark").alias("_cut_mark"), F.col("kept_text").alias("_cut_text"),
+    ).dropDuplicates(["_cut_id", "_cut_mark"])
+    same = F.col(f"`{key}`").cast("bigint").eqNullSafe(F.col("_cut_id")) & (text_mark(text) == F.col("_cut_mark"))
+    joined = df.join(cut, same, "left")
     changed = {text: F.coalesce("_cut_text", F.col(f"`{text}`"))}
     if length_column in df.columns:
         old = F.col(f"`{length_column}`")

@@ -333,6 +333,16 @@ def test_repeated_passages_of_awkward_rows(spark):
     assert substring.repeated_passages(df.limit(0)).count() == 0
 
 
+def test_without_repeats_cuts_each_row_by_its_own_text(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, long), (None, f"a {long} b"), (None, "own text"), (None, "own text"), (None, None), (None, f"c {long}"), (7, f"d {long}"), (7, "of  seven")]
+    cut = substring.without_repeats(make(spark, [t for _, t in rows], [i for i, _ in rows]).repartition(3))
+    expected = [(1, long), (None, "a b"), (None, "own text"), (None, "own text"), (None, None), (None, "c"), (7, "d"), (7, "of  seven")]
+    order = lambda x: (x[0] or -1, x[1] or "")
+    assert sorted(((r.doc_id, r.text) for r in cut.collect()), key=order) == sorted(expected, key=order)
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in cut.collect())
+
+
 def test_shards_are_stable_and_even(spark):
     df = spark.range(4000).selectExpr("id AS doc_id", "cast(id AS string) AS text")
     weights = {i: 1.0 for i in range(8)}
