@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterstar.llm.inputs import picked
+from meterstar.llm.inputs import picked, text_mark
 from meterstar.operators.ranking import order_statistics
 from meterstar.session import materialise, ship_package
 
@@ -164,9 +164,15 @@ def selection(df: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_RO
     tokens has weight 0. NULL keys draw noise of their own common key. Rows that repeat key and text share their fate.
     Without labels of both kinds everything is kept. An empty table gives no rows.
     """
+    return _marked_selection(df, labels, labelled_rows, temperature, seed, key, text).drop("text_mark")
+
+
+def _marked_selection(df: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS, temperature: float = TEMPERATURE,
+                      seed: int = 6, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``selection`` with the ``text_mark`` of each row."""
     spark = df.sparkSession
     ship_package(spark)
-    rows = picked(df, doc_id=key, text=text).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    rows = picked(df, doc_id=key, text=text).withColumns({"doc_id": F.col("doc_id").cast("bigint"), "text_mark": text_mark("text")})
     sample = F.broadcast(materialise(labelled_sample(labels, labelled_rows, seed)))  # at most labelled_rows rows
     rows = rows.join(sample, F.col("doc_id") == F.col("_id"), "left")
     sent = spark.sparkContext.broadcast(log_ratio(_counts(rows)))
@@ -179,18 +185,18 @@ def selection(df: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_RO
                 n.append(len(found))
                 weights.append(float(sent.value[found].sum(dtype=np.float64)) / max(len(found), 1) ** 0.5)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(weights, pa.float64())],
-                ["doc_id", "_good", "n_features", "log_weight"])
+                [batch.column(0), batch.column(2), batch.column(3), pa.array(n, pa.int64()), pa.array(weights, pa.float64())],
+                ["doc_id", "_good", "text_mark", "n_features", "log_weight"])
 
-    weighed = materialise(rows.select("doc_id", "text", "_good").mapInArrow(
-        weigh, "doc_id bigint, _good boolean, n_features bigint, log_weight double"))
+    weighed = materialise(rows.select("doc_id", "text", "_good", "text_mark").mapInArrow(
+        weigh, "doc_id bigint, _good boolean, text_mark bigint, n_features bigint, log_weight double"))
     known = weighed.where("_good IS NOT NULL").groupBy("doc_id").agg(
         F.min("log_weight").alias("log_weight"), F.first("_good").alias("_good")).collect()  # at most labelled_rows rows
     good = np.array([r["_good"] for r in known], bool)
     cut = best_cut(np.array([r["log_weight"] for r in known]), good) if good.any() and not good.all() else -np.inf
     drawn = weighed.withColumn("sampling_key", F.col("log_weight") / F.lit(temperature) + gumbel(F.col("doc_id"), seed))
     total, k = drawn.agg(F.count(F.lit(1)), F.count_if(F.col("log_weight") >= F.lit(cut))).first()
-    names = ["doc_id", "n_features", "log_weight", "sampling_key"]
+    names = ["doc_id", "text_mark", "n_features", "log_weight", "sampling_key"]
     if k == total:
         return drawn.select(*names, F.lit(True).alias("kept"))
     if k == 0:
@@ -200,6 +206,8 @@ def selection(df: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_RO
 
 
 def good_documents(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``df`` that are drawn, all columns included."""
-    gone = selection(df, labels, key=key, text=text, **options).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return df.join(gone, F.col(f"`{key}`").eqNullSafe(F.col("_gone")), "left_anti")
+    """The rows of ``df`` that are drawn, all columns included; rows that share a key, or have none, are judged one by one."""
+    gone = _marked_selection(df, labels, key=key, text=text, **options).where("NOT kept").select(
+        F.col("doc_id").alias("_gone"), F.col("text_mark").alias("_gone_mark")).distinct()
+    same = F.col(f"`{key}`").cast("bigint").eqNullSafe(F.col("_gone")) & (text_mark(text) == F.col("_gone_mark"))
+    return df.join(gone, same, "left_anti")

@@ -8,10 +8,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterstar.llm.inputs import picked
+from meterstar.llm.inputs import picked, text_mark
 from meterstar.llm.words import hashes, windows, words
 from meterstar.session import materialise, ship_package
 
@@ -82,11 +82,6 @@ def _candidates(h: np.ndarray, bitmap: np.ndarray, bits: int, length: int, perio
     return np.nonzero(np.cumsum(edges[:-1]) > 0)[0]
 
 
-def text_mark(text: str) -> Column:
-    """Tells the texts of rows apart that share a key."""
-    return F.xxhash64(F.col(f"`{text}`"))
-
-
 def repeated_passages(df: DataFrame, length: int = LENGTH, period: int = PERIOD, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Words to remove from each document, and what is left.
 

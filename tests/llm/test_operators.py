@@ -262,6 +262,17 @@ def test_importance_parts_noise_from_text(spark):
     assert importance.selection(make(spark, ["a", "a"], [None, None]), labels).count() == 2
 
 
+def test_good_documents_judges_each_text(spark):
+    rng = random.Random(7)
+    plain = [" ".join(rng.choices(["the", "sea", "was", "calm", "and", "grey", "today"], k=40)) for _ in range(160)]
+    noise = [" ".join(rng.choices(["buy", "now!!", "&&&", "$$$", "cheap"], k=40)) for _ in range(54)]
+    ids = [*range(150), *[None] * 9, 999, *range(1000, 1050), None, None, 999, 999]
+    df = make(spark, [*plain, *noise], ids)
+    labels = spark.createDataFrame([(i, int(i < 150), 0) for i in (*range(0, 150, 2), *range(1000, 1050, 2))], "doc_id bigint, quality int, toxic int")
+    kept = sorted(r.text for r in importance.good_documents(df, labels).collect())
+    assert kept == sorted(plain)
+
+
 def brute_statistics(text):
     w = (text or "").split()
     lines = [x for x in (text or "").split("\n") if x.split()]
