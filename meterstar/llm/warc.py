@@ -137,8 +137,14 @@ def _test(f: Filter) -> Callable[[dict], bool] | None:
     """The filter as a test of the parsed header, or None if the header can't decide it."""
     if isinstance(f, Not):
         inner = _test(f.child)
+        if inner is None or isinstance(f.child, (EqualNullSafe, IsNull, IsNotNull)):  # never unknown
+            return inner and (lambda row: not inner(row))
         known = _column(f.child)
-        return inner and (lambda row: row.get(known) is not None and not inner(row))
+        if known is None:
+            return None
+        if isinstance(f.child, In) and None in f.child.value:  # false or unknown for every row
+            return lambda row: False
+        return lambda row: row.get(known) is not None and not inner(row)
     column = _column(f)
     if column is None or column in (PAYLOAD, "payload_length"):
         return None

@@ -397,3 +397,25 @@ def test_header_filters_skip_blocks():
     assert is_response({"record_type": "response"}) and not is_response({"record_type": None})
     assert warc._test(Not(EqualTo(("record_type",), "response")))({"record_type": "revisit"})
     assert warc._test(GreaterThan(("payload_length",), 5)) is None
+
+
+def test_negated_header_filters_agree_with_the_scan(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"http://h{i}/", "x" * 200 if i in (1, 4) else f"page {i}") for i in range(6)], "page_id bigint, url string, html string")
+    path = str(tmp_path / "a")
+    warc.write_warc(warc.page_records(df), path, "none")
+    read = warc.read_warc(spark, path)
+    whole = spark.createDataFrame(read.collect(), read.schema)
+    c = F.col("refers_to")
+    first = whole.where("refers_to IS NOT NULL").first().refers_to
+    conditions = [c.eqNullSafe(first), c.eqNullSafe(F.lit(None)), c.isNull(), c.isNotNull(), c == first, c.isin(first, "urn:page:9"), c.isin("urn:page:9"),
+                  c > "urn:page:0", c >= first, c < first, c <= first, c.startswith("urn"), c.endswith("9"), c.contains("page")]
+    for condition in [x for k in conditions for x in (k, ~k)]:
+        ids = [sorted(r.record_id for r in d.where(condition).select("record_id").collect()) for d in (warc.read_warc(spark, path), whole)]
+        assert ids[0] == ids[1], condition
+    assert warc.read_warc(spark, path).where(~c.eqNullSafe(first)).count() == 5
+
+
+def test_negated_list_with_a_null_is_never_true():
+    from pyspark.sql.datasource import In, Not
+
+    assert not warc._test(Not(In(("record_type",), ("response", None))))({"record_type": "revisit"})
