@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterstar.llm import fingerprints, importance, mixing, near_dup, outliers, packing, shards, substring, token_codes, warc
+from meterstar.llm import (
+    clusters,
+    fingerprints,
+    importance,
+    lexical,
+    mixing,
+    near_dup,
+    outliers,
+    packing,
+    shards,
+    substring,
+    token_codes,
+    topk,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -84,3 +98,19 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(response, F.sha2("payload", 256)).otherwise(F.substring_index("payload_digest", ":", -1)).alias("payload_digest"),
         "record_type", F.when(~response, page("refers_to")).alias("refers_to"),
     )
+
+
+@register
+def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0, 5, 256)
+
+
+@register
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical.build_index(documents(spark, sf_dir))
+    return lexical.search(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@register
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.clustered(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 16, 3, 64, 64, 1)
