@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterstar.llm.held import Held, bounded, releasing
 from meterstar.llm.inputs import picked, text_mark
 from meterstar.operators.ranking import order_statistics
 from meterstar.session import materialise, ship_package
@@ -28,8 +29,6 @@ _TOKEN = re.compile(r"\w+|[^\w\s]+")
 _SHAPE_BITS = 10
 _SAME = 0                    # the shape of a token that repeats the one before it
 _MARKS = 8                   # shapes below are those of words
-_known: dict[str, int] = {}
-_KNOWN_TOKENS = 1_000_000
 
 
 def _shape(token: str) -> int:
@@ -42,12 +41,12 @@ def _shape(token: str) -> int:
     return _MARKS + xxhash.xxh3_64_intdigest(token) % ((1 << _SHAPE_BITS) - _MARKS)
 
 
-def _code(token: str) -> int:
-    found = _known.get(token)
-    if found is None:
-        found = xxhash.xxh3_64_intdigest(token.lower()) >> _SHAPE_BITS << _SHAPE_BITS | _shape(token)
-        _known[token] = found
-    return found
+class _Codes(Held):
+    def make(self, token: str) -> int:
+        return xxhash.xxh3_64_intdigest(token.lower()) >> _SHAPE_BITS << _SHAPE_BITS | _shape(token)
+
+
+_codes = _Codes()
 
 
 def features(text: str | None) -> np.ndarray:
@@ -56,10 +55,9 @@ def features(text: str | None) -> np.ndarray:
     Shapes tell digits, capitals, single marks and runs of marks apart and mark a token that repeats the last one, so
     that noise is known by its form even where its words are new.
     """
-    if len(_known) > _KNOWN_TOKENS:
-        _known.clear()
+    bounded()
     tokens = _TOKEN.findall(text or "")
-    codes = np.fromiter(map(_code, tokens), np.uint64, len(tokens))
+    codes = np.fromiter(map(_codes.__getitem__, tokens), np.uint64, len(tokens))
     if not len(codes):
         return np.zeros(0, np.int64)
     names = codes >> np.uint64(_SHAPE_BITS)
@@ -106,7 +104,7 @@ def _counts(rows: DataFrame) -> np.ndarray:
         on = np.nonzero(total[0])[0]
         yield pa.RecordBatch.from_pydict({"bucket": pa.array(on), "raw": pa.array(total[0][on]), "target": pa.array(total[1][on])})
 
-    summed = rows.select("text", "_good").mapInArrow(run, "bucket bigint, raw bigint, target bigint").groupBy("bucket").agg(
+    summed = rows.select("text", "_good").mapInArrow(releasing(run), "bucket bigint, raw bigint, target bigint").groupBy("bucket").agg(
         F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     summed = summed.toArrow()  # at most BUCKETS rows
     out = np.zeros((2, BUCKETS))
@@ -189,7 +187,7 @@ def _marked_selection(df: DataFrame, labels: DataFrame, labelled_rows: int = LAB
                 ["doc_id", "_good", "text_mark", "n_features", "log_weight"])
 
     weighed = materialise(rows.select("doc_id", "text", "_good", "text_mark").mapInArrow(
-        weigh, "doc_id bigint, _good boolean, text_mark bigint, n_features bigint, log_weight double"))
+        releasing(weigh), "doc_id bigint, _good boolean, text_mark bigint, n_features bigint, log_weight double"))
     known = weighed.where("_good IS NOT NULL").groupBy("doc_id").agg(
         F.min("log_weight").alias("log_weight"), F.first("_good").alias("_good")).collect()  # at most labelled_rows rows
     good = np.array([r["_good"] for r in known], bool)

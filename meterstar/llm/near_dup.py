@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterstar.llm.components import components
+from meterstar.llm.held import releasing
 from meterstar.llm.inputs import picked, shuffle_partitions
 from meterstar.llm.words import mixed, shingle_set
 from meterstar.session import materialise, ship_package
@@ -67,7 +68,7 @@ def _signatures(rows: DataFrame, width: int, bands: int, band_rows: int) -> Data
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(banded, pa.list_(pa.int64()))],
                 ["doc_id", "n_shingles", "set_key", "bands"])
 
-    return rows.mapInArrow(run, "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>")
+    return rows.mapInArrow(releasing(run), "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, least: Fraction) -> DataFrame:
@@ -103,7 +104,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, least: Fraction)
 
     parts = shuffle_partitions(pairs.sparkSession)
     dealt = centres.unionByName(others).repartition(parts, "centre", "chunk").sortWithinPartitions("centre", "chunk", "turn")
-    return dealt.mapInArrow(run, "a bigint, b bigint")
+    return dealt.mapInArrow(releasing(run), "a bigint, b bigint")
 
 
 def near_duplicates(df: DataFrame, similarity: float = 0.8, width: int = SHINGLE_WORDS, bands: int = BANDS, rows: int = ROWS,
@@ -211,7 +212,7 @@ def _settled(members: DataFrame, texts: DataFrame, width: int, bands: int, rows:
 
     dealt = own.join(texts, F.col("member") == F.col("doc_id")).select("band", "i", "j", "own", "component", "doc_id", "text")
     dealt = dealt.repartition(shuffle_partitions(members.sparkSession), "band", "i", "j").sortWithinPartitions("band", "i", "j", "doc_id")
-    return dealt.mapInArrow(run, "a bigint, b bigint")
+    return dealt.mapInArrow(releasing(run), "a bigint, b bigint")
 
 
 def _link_batch(links: list[tuple[int, int]]) -> pa.RecordBatch:

@@ -10,7 +10,8 @@ from meterstar.llm.inputs import picked
 from meterstar.llm.tokens import ID_BYTES, tokenized
 from meterstar.session import ship_package
 
-GROUP_DOCUMENTS = 4096
+GROUP_DOCUMENTS = 4096      # about as many documents in a group at most,
+GROUP_BYTES = 8 << 20       # and about as many bytes of text
 _GROUP_SHIFT = 32  # a sequence id is the group above these bits, the bin below
 
 
@@ -55,21 +56,21 @@ def first_fit_decreasing(lengths: list[int], capacity: int) -> list[tuple[int, i
 
 
 def pack(tokens: DataFrame, capacity: int = 2048, group_documents: int = GROUP_DOCUMENTS, documents: int | None = None,
-         seed: int = 3) -> DataFrame:
+         seed: int = 3, text_bytes: int = 0, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """Pack rows ``doc_id, ids`` into sequences of at most ``capacity`` tokens.
 
     Returns one row per piece: ``doc_id, start, length, ids, doc_tokens,
     sequence_id, offset``. A document longer than the capacity is cut into full
     pieces and a rest. Documents are dealt to groups by a hash of their id and ids; the
-    number of groups follows ``documents``, so that a group has about
-    ``group_documents`` of them whatever the size of the corpus. A task holds
+    number of groups follows ``documents`` and ``text_bytes``, so that a group has about
+    ``group_documents`` of them and ``group_bytes`` of text at most, whatever the size of the corpus. A task holds
     one group's ids. The groups of a rerun are the same. A document without
     ids gives no piece; rows that repeat an id are packed one by one; NULL ids
     are packed like others; an empty table gives no rows.
     """
     if documents is None:
         documents = tokens.count()
-    groups = max(1, -(-documents // group_documents))
+    groups = max(1, -(-documents // group_documents), -(-text_bytes // group_bytes))
     dealt = tokens.withColumn("_group", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "ids"), F.lit(groups)))
     id_type = tokens.schema["doc_id"].dataType.simpleString()
 
@@ -108,4 +109,5 @@ def pack_texts(df: DataFrame, tokenizer: str, spaces_count: bool = True, end_id:
     """Tokenize texts with the tokenizer file ``tokenizer`` and pack them; see ``pack``."""
     ship_package(df.sparkSession)
     rows = picked(df, doc_id=key, text=text)
-    return pack(tokenized(rows, tokenizer, spaces_count, end_id), capacity, documents=df.count(), **options)
+    size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    return pack(tokenized(rows, tokenizer, spaces_count, end_id), capacity, documents=size[0], text_bytes=size[1], **options)

@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterstar.llm.held import releasing
 from meterstar.llm.inputs import picked, text_mark
 from meterstar.llm.words import hashes, windows, words
 from meterstar.session import materialise, ship_package
@@ -114,7 +115,7 @@ def repeated_passages(df: DataFrame, length: int = LENGTH, period: int = PERIOD,
             yield pa.RecordBatch.from_pydict({"anchor": pa.array(joined.view(np.int64))})
 
     shared = materialise(
-        rows.mapInArrow(anchors, "anchor bigint").groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("anchor"))
+        rows.mapInArrow(releasing(anchors), "anchor bigint").groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("anchor"))
     bitmap, bits = _filter(shared)
     sent = spark.sparkContext.broadcast(bitmap.tobytes())
 
@@ -137,7 +138,7 @@ def repeated_passages(df: DataFrame, length: int = LENGTH, period: int = PERIOD,
                 for at in range(0, whole.num_rows, 100_000):
                     yield whole.slice(at, 100_000)
 
-    runs = rows.mapInArrow(candidates, "id bigint, print bigint, place int, run bigint")
+    runs = rows.mapInArrow(releasing(candidates), "id bigint, print bigint, place int, run bigint")
     # Written first: a join of two plain inputs can have a very common run split over tasks.
     first = materialise(
         runs.groupBy("run").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("run", "low"))
@@ -161,7 +162,7 @@ def repeated_passages(df: DataFrame, length: int = LENGTH, period: int = PERIOD,
                  pa.array(texts, pa.string())],
                 ["doc_id", "text_mark", "n_words", "print", "kept_sha256", "text"])
 
-    whole = rows.mapInArrow(bodies, "doc_id bigint, text_mark bigint, n_words bigint, print bigint, kept_sha256 string, text string")
+    whole = rows.mapInArrow(releasing(bodies), "doc_id bigint, text_mark bigint, n_words bigint, print bigint, kept_sha256 string, text string")
     spans = spans.select(F.col("id").alias("_id"), F.col("print").bitwiseXOR(F.lit(-(1 << 63))).alias("_print"), "places")
     joined = whole.join(spans, (F.coalesce("doc_id", F.lit(_LAST)) == F.col("_id")) & (F.col("print") == F.col("_print")), "left")
 
@@ -189,7 +190,7 @@ def repeated_passages(df: DataFrame, length: int = LENGTH, period: int = PERIOD,
                 ["doc_id", "text_mark", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
     return joined.select("doc_id", "text_mark", "n_words", "kept_sha256", "text", "places").mapInArrow(
-        cut, "doc_id bigint, text_mark bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string")
+        releasing(cut), "doc_id bigint, text_mark bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string")
 
 
 def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", length_column: str | None = "n_chars", **options) -> DataFrame:

@@ -4,7 +4,8 @@ Both kinds of tokenizer used here split a text at white space before anything
 else, so a text is encoded piece by piece and each distinct piece only once
 per worker; the ids are those of the whole text. They also keep a run of
 letters apart from the punctuation after it, so a piece that is such a word is
-looked up as word and punctuation, and a new word goes to the tokenizer's model at once.
+looked up as word and punctuation, and a new word goes to the tokenizer's model at once. A text that holds
+the string of an added token, such as an end mark, is encoded as a whole.
 """
 
 from __future__ import annotations
@@ -17,16 +18,21 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from meterstar.llm.held import Held, bounded, pieces
+
 ID_BYTES = 4
-CACHED_PIECES = 600_000
 
 # The code points of the Unicode property White_Space.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+# Latin-1 letters, which no normaliser joins with others, then punctuation without an apostrophe, which would take letters,
+# up to white space: the letters and the punctuation are pieces of their own.
+_MARKS = "[!-&(-/:-@[-`{-~]"
+_ENDS = f"(?=[{_SPACE}]|\\Z)"
+_WORD = f"[A-Za-zÀ-ÖØ-öø-ÿ]+(?={_MARKS}*(?:[{_SPACE}]|\\Z))|{_MARKS}+{_ENDS}"
 # With byte-level BPE a space belongs to the word after it, and other white space stands alone.
-_SPACED_PIECE = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
-_BARE_PIECE = re.compile(f"[^{_SPACE}]+")
-# Latin-1 letters, which no normaliser joins with others, then punctuation without an apostrophe, which would take letters.
-_PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@[-`{-~]*)")
+_SPACED_PIECE = re.compile(f" ?(?:{_WORD})| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+_BARE_PIECE = re.compile(f"{_WORD}|[^{_SPACE}]+")
+_PLAIN = re.compile(f" ?(?:[A-Za-zÀ-ÖØ-öø-ÿ]+|{_MARKS}+)")
 
 _encoders: dict[tuple[str, bool], PieceEncoder] = {}
 
@@ -38,59 +44,43 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
-class _Words(dict):
-    """The ids of words and of runs of punctuation, straight from the tokenizer's model."""
+class _Pieces(Held):
+    """The ids of pieces; those of words and of runs of punctuation come straight from the tokenizer's model."""
 
     def __init__(self, tokenizer, lower: bool):
         super().__init__()
-        self.model, self.lower, self.letters = tokenizer.model, lower, _byte_letters()
-
-    def __missing__(self, word: str) -> bytes:
-        seen = (word.lower() if self.lower else word).encode().decode("latin-1").translate(self.letters)
-        self[word] = ids = array("I", [t.id for t in self.model.tokenize(seen)]).tobytes()
-        return ids
-
-
-class _Pieces(dict):
-    """The ids of pieces between white space."""
-
-    def __init__(self, tokenizer, words: _Words):
-        super().__init__()
-        self.tokenizer, self.words = tokenizer, words
+        self.tokenizer, self.model, self.lower, self.letters = tokenizer, tokenizer.model, lower, _byte_letters()
 
-    def __missing__(self, piece: str) -> bytes:
-        plain = _PLAIN.fullmatch(piece)
-        if plain is None:
-            ids = array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
-        else:
-            word, marks = plain.groups()
-            ids = self.words[word] + self.words[marks] if marks else self.words[word]
-        self[piece] = ids
-        return ids
+    def make(self, piece: str) -> bytes:
+        if _PLAIN.fullmatch(piece) is None:
+            return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+        seen = (piece.lower() if self.lower else piece).encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(seen)]).tobytes()
 
 
 class PieceEncoder:
-    """Encodes texts with a tokenizer file; holds a bounded number of pieces."""
+    """Encodes texts with a tokenizer file; its pieces count against the worker's budget."""
 
-    def __init__(self, path: str, spaces_count: bool, cached: int = CACHED_PIECES):
+    def __init__(self, path: str, spaces_count: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks already fill the cores
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.split = (_SPACED_PIECE if spaces_count else _BARE_PIECE).findall
-        self.cached = cached
         normalizer = tokenizer.normalizer
-        self.words = _Words(tokenizer, lower=normalizer is not None and normalizer.normalize_str("A") == "a")
-        self.pieces = _Pieces(tokenizer, self.words)
+        self.pieces = _Pieces(tokenizer, lower=normalizer is not None and normalizer.normalize_str("A") == "a")
+        self.tokenizer = tokenizer
+        # The strings of added tokens (in any case, should the tokenizer fold it) are found before a text is split.
+        added = [re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.added = re.compile("|".join(added), re.IGNORECASE).search if added else lambda text: None
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [self._ids(text) for text in texts]
 
     def _ids(self, text: str) -> bytes:
-        for held in (self.words, self.pieces):
-            if len(held) > self.cached:
-                held.clear()
+        bounded()
+        if self.added(text):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         return b"".join(map(self.pieces.__getitem__, self.split(text)))
 
 
@@ -108,8 +98,9 @@ def tokenized(rows: DataFrame, path: str, spaces_count: bool, end_id: int | None
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, spaces_count)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            ids = [b + end for b in own.encode(texts)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            for part in pieces(batch, 1):
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                ids = [b + end for b in own.encode(texts)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     return rows.select("doc_id", "text").mapInArrow(encode, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary")

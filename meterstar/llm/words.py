@@ -13,7 +13,7 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 # A random number per byte, 0 for blanks; with A-Z folded in the second table.
 _BYTES = np.array([0 if b in _BLANK else xxhash.xxh3_64_intdigest(bytes([b])) for b in range(256)], np.uint64)
 _FOLDED = _BYTES[list(_LOWER)]
-_AT_ONCE = 1 << 22
+_AT_ONCE = 1 << 18
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 

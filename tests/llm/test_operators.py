@@ -11,6 +11,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -18,6 +19,7 @@ from tokenizers import Tokenizer
 from meterstar.llm import (
     components,
     fingerprints,
+    held,
     importance,
     mixing,
     near_dup,
@@ -146,14 +148,24 @@ ODD = ["a  b\n\n c", "don't  stop ", "  x y\x1cz\x85w", "ÀÉ ñ 12,345!! <|e
 
 
 @pytest.mark.parametrize("name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
-def test_pieces_give_the_ids_of_whole_texts(name, spaced, texts):
+def test_pieces_give_the_ids_of_whole_texts(name, spaced, texts, monkeypatch):
     path = public_tokenizers.path(name)
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
-    body = ODD + [t or "" for t in texts] + ["".join(random.Random(i).choices("ab ,.'\n\t é1!", k=300)) for i in range(40)]
+    marks = [t.content for t in whole.get_added_tokens_decoder().values()]
+    body = ODD + marks + [f"a {m}b  {m.upper()} {m}{m} c" for m in marks] + [t or "" for t in texts] + ["".join(random.Random(i).choices("ab ,.'\n\t é1!", k=300)) for i in range(40)]
     wanted = [np.array(e.ids, "<u4").tobytes() for e in whole.encode_batch(body, add_special_tokens=False)]
     assert tokens.PieceEncoder(path, spaced).encode(body) == wanted
-    assert tokens.PieceEncoder(path, spaced, cached=3).encode(body) == wanted
+    monkeypatch.setattr(held, "BUDGET_BYTES", 700)
+    assert tokens.PieceEncoder(path, spaced).encode(body) == wanted
+    held.release()
+    assert all(not c and not c.bytes for c in held._caches)
+
+
+def test_batches_are_cut_by_bytes():
+    batch = pa.RecordBatch.from_pydict({"id": list(range(6)), "text": ["aaaa", None, "", "bbbbbbbbbb", "c", "dd"]})
+    cut = [p.column(0).to_pylist() for p in held.pieces(batch, 1, 5)]
+    assert cut == [[0, 1, 2], [3], [4, 5]]
+    assert [p.num_rows for p in held.pieces(batch.slice(0, 0), 1)] == [0]
 
 
 def test_first_fit_decreasing_is_what_it_says():
