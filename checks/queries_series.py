@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks.registry import register, rounded, shipped
-from meterstar.operators import forecast, series
+from meterstar.operators import arima, forecast, series, trend
 from meterstar.session import materialise
 
 KEYS = ["RegionName"]
@@ -60,6 +60,30 @@ def _(spark, sf_dir):
     return rounded(forecast.arima(materialise(regional_series(spark, sf_dir)), IDS))
 
 
+@register("f6_arima_models")
+def _(spark, sf_dir):
+    """Order, coefficients and likelihoods (of the fit, and of its least-squares start) per series."""
+    found = arima.arima_models(materialise(regional_series(spark, sf_dir)), IDS)
+    return rounded(found.select(*IDS, "p", "d", "q", "phi", "theta", "mean", "sigma2", "loglik", "least_squares_loglik", "aic", "bic"))
+
+
+@register("f6_arima_methods")
+def _(spark, sf_dir):
+    """Holdout errors of the exact and of the least-squares fit."""
+    return rounded(forecast.compare_models(
+        materialise(regional_series(spark, sf_dir)), IDS, models=["ARIMA", "LeastSquaresARIMA"]
+    ))
+
+
+@register("f7_trend_breaks")
+def _(spark, sf_dir):
+    """Changes of slope of each series' trend, by the day of the break."""
+    found = trend.trend_models(materialise(regional_series(spark, sf_dir)), IDS)
+    day = F.round((F.floor(F.col("_days") * trend.BREAK_SHARE) - 1) * (F.col("at") + 1) / trend.BREAKS).cast("int")
+    changes = found.select("*", F.posexplode(F.slice("beta", trend.PLAIN + 1, trend.BREAKS)).alias("at", "change")).where("change <> 0")
+    return rounded(changes.select(*IDS, F.date_add("_start", day).alias("ds"), "change", "noise"))
+
+
 @register("f7_seasonal_regression")
 def _(spark, sf_dir):
     return rounded(forecast.seasonal_regression(regional_series(spark, sf_dir), IDS))

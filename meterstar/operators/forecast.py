@@ -1,7 +1,8 @@
-"""Model forecasts for many series: least squares from grouped sums, comparison, selection.
+"""Model forecasts for many series: comparison, selection, least-squares ARIMA, unit-root test.
 
-Every fit is a grouped aggregate of products (the normal equations); only the
-small per-series systems are solved in Python, one row per series.
+Least-squares fits are grouped aggregates of products (the normal equations); only the
+small per-series systems are solved in Python, one row per series. Exact-likelihood ARIMA is in ``arima``, the
+regression with a broken trend in ``trend``.
 """
 
 from __future__ import annotations
@@ -12,15 +13,15 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterstar.functions.holidays import is_us_holiday
 from meterstar.operators import series as S
+from meterstar.operators.arima import arima
+from meterstar.operators.least_squares import grouped_ols, normal_equations, solve, system
+from meterstar.operators.trend import seasonal_regression
 from meterstar.session import materialise, ship_package
 
 NORMAL_95 = 1.959963984540054
@@ -30,87 +31,10 @@ _NUMBERS = T.ArrayType(T.DoubleType())
 MODELS = ("Naive", "SeasonalNaive", "ARIMA", "SeasonalRegression")
 
 
-# --- grouped least squares -------------------------------------------------------
-
-def normal_equations(df: DataFrame, ids: Sequence[str], xs: Sequence[Column], y: Column,
-                     extra: Mapping[str, Column] | None = None) -> DataFrame:
-    """Sums of products of (xs, y) per group as ``sums`` (upper triangle by rows), ``n``, and any extra aggregates.
-
-    The products are one vector per row, summed as such: one aggregate, however
-    many regressors there are.
-    """
-    size = len(xs) + 1
-    staged = df.withColumn("_v", F.array(*[x.cast("double") for x in xs], y.cast("double")))
-    products = F.flatten(F.transform(
-        F.sequence(F.lit(1), F.lit(size)),
-        lambda i: F.transform(F.slice("_v", i, F.lit(size + 1) - i), lambda v: v * F.element_at("_v", i)),
-    ))
-    return staged.withColumn("_p", array_to_vector(products)).groupBy(*ids).agg(
-        Summarizer.sum(F.col("_p")).alias("_sums"),
-        F.count(F.lit(1)).alias("n"),
-        *[c.alias(name) for name, c in (extra or {}).items()],
-    ).withColumn("sums", vector_to_array("_sums")).drop("_sums")
-
-
-def _system(upper: Sequence[float]) -> tuple[np.ndarray, np.ndarray, float]:
-    """Product matrix of the regressors, their products with y, and y's square."""
-    size = int((math.sqrt(8 * len(upper) + 1) - 1) / 2)
-    full = np.zeros((size, size))
-    full[np.triu_indices(size)] = upper
-    full += np.triu(full, 1).T
-    return full[:-1, :-1], full[:-1, -1], float(full[-1, -1])
-
-
-def _solve(gram: np.ndarray, xy: np.ndarray, yy: float) -> tuple[np.ndarray, float]:
-    """Coefficients and residual sum of squares; a redundant column gets weight 0 or shares it."""
-    scale = np.sqrt(np.where(np.diag(gram) > 0, np.diag(gram), 1.0))
-    beta = np.linalg.lstsq(gram / np.outer(scale, scale), xy / scale, rcond=1e-11)[0] / scale
-    return beta, max(float(yy - beta @ xy), 0.0)
-
-
-@F.pandas_udf(T.StructType().add("beta", _NUMBERS).add("sse", T.DoubleType()))
-def _solve_systems(sums: pd.Series) -> pd.DataFrame:
-    rows = []
-    for upper in sums:
-        beta, sse = _solve(*_system(upper))
-        rows.append((beta.tolist(), sse))
-    return pd.DataFrame(rows, columns=["beta", "sse"])
-
-
-def grouped_ols(df: DataFrame, ids: Sequence[str], xs: Sequence[Column], y: Column) -> DataFrame:
-    """Least squares per group: ``beta``, ``sse`` and ``n``."""
-    ship_package(df.sparkSession)
-    return normal_equations(df, ids, xs, y).withColumn("_fit", _solve_systems("sums")).select(*ids, "n", "_fit.beta", "_fit.sse")
-
-
 def _dot(beta: str, xs: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a + b, [F.col(beta)[i] * x.cast("double") for i, x in enumerate(xs)])
 
 
-# --- trend, weekday and holiday regression -----------------------------------------
-
-def _calendar_design(ds: str, start: Column, span: Column) -> list[Column]:
-    # Six weekday indicators: the weekend indicator is their sum, so it adds nothing.
-    weekdays = [(F.weekday(ds) == d).cast("double") for d in range(1, 7)]
-    trend = F.datediff(F.col(ds), start) / span
-    return [F.lit(1.0), trend, *weekdays, is_us_holiday(ds).cast("double")]
-
-
-def seasonal_regression(train: DataFrame, ids: Sequence[str], horizon: int = S.HORIZON) -> DataFrame:
-    """Linear trend, weekday and US-holiday effects per series, with a 95 % interval."""
-    ends = W.partitionBy(*ids)
-    framed = train.withColumns({"_start": F.min("ds").over(ends), "_last": F.max("ds").over(ends)})
-    span = F.greatest(F.datediff("_last", "_start"), F.lit(1)).cast("double")
-    xs = _calendar_design("ds", F.col("_start"), span)
-    fit = grouped_ols(framed, [*ids, "_start", "_last"], xs, F.col("y"))
-    future = S.future_days(fit, horizon)
-    yhat = _dot("beta", _calendar_design("ds", F.col("_start"), span))
-    margin = NORMAL_95 * F.sqrt(F.col("sse") / F.greatest(F.col("n") - len(xs), F.lit(1)))
-    return future.select(
-        *ids, "ds", yhat.alias("yhat"), (yhat - margin).alias("yhat_lower"), (yhat + margin).alias("yhat_upper")
-    )
-
-
 # --- ARIMA by two-stage least squares -------------------------------------------------
 
 _ORDER = T.StructType([
@@ -126,13 +50,13 @@ def _best_order(sums: pd.Series, n: pd.Series, d: pd.Series) -> pd.DataFrame:
     """Best (p, q) by (BIC, AIC) for one differencing; all fits share one product matrix."""
     rows = []
     for upper, size, diff in zip(sums, n, d):
-        full, cross, square = _system(upper)
+        full, cross, square = system(upper)
         best = None
         for p in range(MAX_P + 1):
             for q in range(MAX_Q + 1):
                 # Columns: constant (only undifferenced), lags of the value, lags of the shock.
                 use = ([0] if diff == 0 else []) + list(range(1, 1 + p)) + list(range(1 + MAX_P, 1 + MAX_P + q))
-                beta, sse = _solve(full[np.ix_(use, use)], cross[use], square) if use else (np.array([]), square)
+                beta, sse = solve(full[np.ix_(use, use)], cross[use], square) if use else (np.array([]), square)
                 sigma2 = max(sse / size, 1e-12 * square / size, 1e-300)
                 loglik = -0.5 * size * (np.log(2 * np.pi * sigma2) + 1)
                 params = len(use) + 1
@@ -167,8 +91,8 @@ def _project(beta: pd.Series, d: pd.Series, sigma2: pd.Series, tail: pd.Series,
     return pd.Series(out)
 
 
-def arima(train: DataFrame, ids: Sequence[str], horizon: int = S.HORIZON) -> DataFrame:
-    """ARIMA forecasts with 95 % intervals; orders p, q up to 2 and d up to 1 by (BIC, AIC).
+def least_squares_arima(train: DataFrame, ids: Sequence[str], horizon: int = S.HORIZON) -> DataFrame:
+    """ARIMA forecasts with 95 % intervals, without a likelihood search; orders p, q up to 2 and d up to 1 by (BIC, AIC).
 
     Two-stage least squares (Hannan and Rissanen): a long autoregression
     estimates the shocks, a regression on lagged values and shocks the model.
@@ -225,11 +149,11 @@ def _best_lag(sums: pd.Series, n: pd.Series, most: pd.Series) -> pd.Series:
     """Number of lagged differences with the lowest AIC; all fits share one product matrix."""
     out = []
     for upper, size, limit in zip(sums, n, most):
-        full, cross, square = _system(upper)
+        full, cross, square = system(upper)
         scores = []
         for lags in range(limit + 1):
             k = 2 + lags
-            sse = _solve(full[:k, :k], cross[:k], square)[1]
+            sse = solve(full[:k, :k], cross[:k], square)[1]
             scores.append(size * np.log(max(sse / size, 1e-300)) + 2 * k)
         out.append(int(np.argmin(scores)))
     return pd.Series(out)
@@ -241,9 +165,9 @@ def _level_test(sums: pd.Series, n: pd.Series, lags: pd.Series) -> pd.DataFrame:
     rows = []
     for upper, size, used in zip(sums, n, lags):
         k = 2 + used
-        full, cross, square = _system(upper)
+        full, cross, square = system(upper)
         full = full[:k, :k]
-        beta, sse = _solve(full, cross[:k], square)
+        beta, sse = solve(full, cross[:k], square)
         free = size - k
         if free < 1 or sse <= 1e-12 * square:
             rows.append((None, None))
@@ -293,7 +217,7 @@ def unit_root_test(series: DataFrame, ids: Sequence[str], level: float = 0.05) -
 def forecast_with(model: str, train: DataFrame, ids: Sequence[str], horizon: int = S.HORIZON) -> DataFrame:
     """Forecasts of one model by name, tagged with it."""
     fit = {"Naive": S.naive, "SeasonalNaive": S.seasonal_naive, "ARIMA": arima,
-           "SeasonalRegression": seasonal_regression}[model]
+           "LeastSquaresARIMA": least_squares_arima, "SeasonalRegression": seasonal_regression}[model]
     out = fit(train, ids, horizon)
     if "order" not in out.columns:
         out = out.withColumn("order", F.lit(None).cast("string"))
