@@ -1,30 +1,33 @@
 """Data-quality checks. Each returns findings: name, severity, n_rows, detail.
 
-A finding appears only if it affects rows. Checks count with map-side combined
-aggregates; the fact is read once for the column checks, once for its keys and
-once for its ids, whatever the number of rules.
+A finding appears only if it affects rows. ``survey`` reads the fact once: all
+column checks are metrics of the pass that stores it. What needs groups then reads a few stored columns:
+keys and costs together, ids, and the rows of repeated ids. Each dimension is read once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterstar.operators.ranking import tukey_fences
+from meterstar.session import materialise
 from meterstar.sources.contracts import (
     DATE_COLUMNS,
     DIMENSION_KEYS,
+    FACT,
     NON_NEGATIVE_FACT_COLUMNS,
     NOT_NULL_FACT_COLUMNS,
     NUMERIC_FACT_COLUMNS,
     SCHEMAS,
     contract,
 )
-from meterstar.sources.star import StarTables, typed_table
+from meterstar.sources.star import StarTables
 
 FINDING_SCHEMA = "name string, severity string, n_rows bigint, detail string"
 WARNING_FINDINGS = ("cost_outliers",)
@@ -166,10 +169,55 @@ def negative_values(fact: DataFrame) -> DataFrame:
     return _run(fact, _negative_checks(fact))
 
 
+@dataclass
+class Survey:
+    """A fact and what one pass over it found."""
+
+    fact: DataFrame
+    rows: int
+    findings: list[tuple[str, int, str]]    # name, rows, detail
+    missing: dict[str, int]                 # missing values by column
+    cost_limit: float | None                # mean plus deviations; None if costs don't deviate
+
+
+def _cost(fact: DataFrame) -> Column:
+    """Costs as doubles; text that is no number and NaN are missing."""
+    cost = F.col("CostUSD").try_cast("double") if isinstance(fact.schema["CostUSD"].dataType, T.StringType) else F.col("CostUSD").cast("double")
+    return F.when(~F.isnan(cost), cost)
+
+
+def survey(fact: DataFrame, store: bool = True, deviations: float = 3) -> Survey:
+    """Count rows, wrong types, missing and negative values and the spread of costs, all in one pass.
+
+    With ``store`` the pass is the one that writes the fact to the shared folder, where later checks read single columns, so
+    the counts cost no pass of their own. A fact that already lies stored by column needs no copy: then
+    the pass is one aggregate.
+    """
+    (columns, texts), fixed = _type_checks(fact, FACT_TYPES)
+    for more, details in (_null_checks(fact), _negative_checks(fact)):
+        columns, texts = columns + more, {**texts, **details}
+    metrics = [F.count(F.lit(1)).alias("rows"), *columns,
+               *[F.count_if(~_present(f.name, f.dataType)).alias(f"missing {f.name}") for f in fact.schema]]
+    if "CostUSD" in fact.columns:
+        metrics += [F.avg(_cost(fact)).alias("mean cost"), F.stddev_samp(_cost(fact)).alias("cost deviation")]
+    if store:
+        seen = Observation()
+        stored = materialise(fact.observe(seen, *metrics))
+        got = seen.get
+    else:
+        stored, got = fact, fact.agg(*metrics).first().asDict()
+    counted = [(name, got.get(name) or 0, text) for name, text in texts.items()]
+    deviation = got.get("cost deviation")
+    return Survey(
+        stored, got.get("rows") or 0, [*fixed, *[(name, n, f"{n} {text}") for name, n, text in counted if n]],
+        {f.name: got.get(f"missing {f.name}") or 0 for f in fact.schema},
+        got["mean cost"] + deviations * deviation if deviation else None,
+    )
+
+
 def fact_columns(fact: DataFrame) -> DataFrame:
     """Types, missing values and negative measures of the fact in one pass."""
-    checks, fixed = _type_checks(fact, FACT_TYPES)
-    return _run(fact, checks, _null_checks(fact), _negative_checks(fact)).unionByName(_fixed(fact.sparkSession, fixed))
+    return _fixed(fact.sparkSession, survey(fact, store=False).findings)
 
 
 def dimension_keys(dimension: DataFrame, table: str, key: str) -> DataFrame:
@@ -196,22 +244,49 @@ def all_dimension_keys(tables: StarTables) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _bad_dates(df: DataFrame, c: str) -> Column:
+    column = F.col(c)
+    return (column.try_cast("timestamp") if isinstance(df.schema[c].dataType, T.StringType) else column).isNull()
+
+
+def dimension_findings(dimension: DataFrame, table: str, key: str) -> DataFrame:
+    """Key types, null and repeated keys and unreadable dates of one dimension, in one pass."""
+    (types, texts), fixed = _type_checks(dimension, {key: f"invalid_type_{table}_{key}"})
+    counts, details = [*types], {**texts}
+    date = DATE_COLUMNS.get(table)
+    if date in dimension.columns:
+        name = f"invalid_type_{table}_{date}"
+        counts.append(F.count_if(_bad_dates(dimension, date)).alias(name))
+        details[name] = NOT_DATES
+    fixed = _fixed(dimension.sparkSession, fixed)
+    if key not in dimension.columns:
+        return fixed.unionByName(_run(dimension, (counts, details)))
+    groups = dimension.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"), *counts)
+    repeated = F.sum(F.when(F.col("_n") > 1, F.col("_n")))
+    totals = groups.agg(
+        F.sum(F.when(F.col("_k").isNull(), F.col("_n"))).alias(f"null_primary_key_{table}"),
+        repeated.alias(f"duplicate_primary_key_{table}"), repeated.alias(f"many_to_one_cardinality_{table}"),
+        *[F.sum(f"`{name}`").alias(name) for name in details],
+    )
+    return fixed.unionByName(_from_counts(totals, {
+        f"null_primary_key_{table}": NULL_KEYS.format(key=key), f"duplicate_primary_key_{table}": DUPLICATE_KEYS.format(key=key),
+        f"many_to_one_cardinality_{table}": NOT_MANY_TO_ONE.format(key=key), **details,
+    }))
+
+
 def invalid_dates(tables: StarTables) -> DataFrame:
     """Dates that are missing or cannot be read."""
     parts = []
     for table, c in DATE_COLUMNS.items():
         if c in tables[table].columns:
             name = f"invalid_type_{table}_{c}"
-            column = F.col(c)
-            if isinstance(tables[table].schema[c].dataType, T.StringType):
-                column = column.try_cast("timestamp")
-            counts = tables[table].agg(F.count_if(column.isNull()).alias(name))
+            counts = tables[table].agg(F.count_if(_bad_dates(tables[table], c)).alias(name))
             parts.append(_from_counts(counts, {name: NOT_DATES}))
     return reduce(DataFrame.unionByName, parts, _fixed(tables.fact.sparkSession, []))
 
 
-def _record_groups(fact: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Repeated ids with their counts, and the distinct records among their rows with theirs.
+def _record_groups(fact: DataFrame) -> DataFrame:
+    """The distinct records among the rows that share a UsageID, with their counts as ``_n``.
 
     Equal records share their UsageID, so only rows with a repeated id are
     compared in full; the fact itself is shuffled by the id column alone.
@@ -219,19 +294,40 @@ def _record_groups(fact: DataFrame) -> tuple[DataFrame, DataFrame]:
     repeated = fact.groupBy("UsageID").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     keys = repeated.select(F.col("UsageID").alias("_id"))
     suspects = fact.join(keys, F.col("UsageID").eqNullSafe(F.col("_id")), "left_semi")
-    return repeated, suspects.groupBy(*[f"`{c}`" for c in fact.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    return suspects.groupBy(*[f"`{c}`" for c in fact.columns]).agg(F.count(F.lit(1)).alias("_n"))
 
 
 def duplicate_records(fact: DataFrame) -> DataFrame:
-    """Rows in groups of equal records, and rows that share a UsageID."""
+    """Rows in groups of equal records, and rows that share a UsageID; both from the same groups."""
     if "UsageID" not in fact.columns:
         return _fixed(fact.sparkSession, [])
-    repeated, groups = _record_groups(fact)
-    ids = repeated.agg(F.sum("n").alias("duplicate_fact_usage_ids"))
-    records = groups.where("_n > 1").agg(F.sum("_n").alias("duplicate_fact_records"))
-    return _from_counts(records, {"duplicate_fact_records": DUPLICATE_RECORDS}).unionByName(
-        _from_counts(ids, {"duplicate_fact_usage_ids": DUPLICATE_KEYS.format(key="UsageID")})
-    )
+    counts = _record_groups(fact).agg(
+        F.sum(F.when(F.col("_n") > 1, F.col("_n"))).alias("duplicate_fact_records"), F.sum("_n").alias("duplicate_fact_usage_ids"))
+    return _from_counts(counts, {
+        "duplicate_fact_records": DUPLICATE_RECORDS, "duplicate_fact_usage_ids": DUPLICATE_KEYS.format(key="UsageID"),
+    })
+
+
+_OUTLIER = "cost outlier"
+
+
+def _used_keys(tables: StarTables, dimensions: Mapping[str, str], limit: float | None = None) -> DataFrame:
+    """``fk, key, n``: the fact's distinct key values with their counts, and with a ``limit`` the costs above it, in one pass."""
+    usable = {d: k for d, k in dimensions.items() if k in tables.fact.columns and k in tables[d].columns}
+    cells = [F.struct(F.lit(k).alias("fk"), F.col(k).try_cast("bigint").alias("key")) for k in usable.values()]
+    if limit is not None:
+        above = _cost(tables.fact) > F.lit(limit)
+        cells.append(F.struct(F.when(above, F.lit(_OUTLIER)).alias("fk"), F.lit(None).cast("bigint").alias("key")))
+    used = tables.fact.select(F.explode(F.array(*cells)).alias("u")).select("u.*") if cells else tables.fact.select(
+        F.lit(None).cast("string").alias("fk"), F.lit(None).cast("bigint").alias("key"))
+    return used.where("fk IS NOT NULL").groupBy("fk", "key").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _unanswered(used: DataFrame, tables: StarTables, dimensions: Mapping[str, str]) -> DataFrame:
+    known = reduce(DataFrame.unionByName, [
+        tables[d].select(F.lit(k).alias("fk"), F.col(k).try_cast("bigint").alias("key")) for d, k in dimensions.items() if k in tables[d].columns
+    ])
+    return used.join(known, ["fk", "key"], "left_anti").groupBy("fk").agg(F.sum("n").alias("n"))
 
 
 def orphan_keys(tables: StarTables, dimensions: Mapping[str, str] = DIMENSION_KEYS) -> DataFrame:
@@ -240,43 +336,41 @@ def orphan_keys(tables: StarTables, dimensions: Mapping[str, str] = DIMENSION_KE
     The fact is first reduced to its distinct key values with their counts, so
     only those meet the dimensions, however hot a key is.
     """
-    usable = {d: k for d, k in dimensions.items() if k in tables.fact.columns and k in tables[d].columns}
-    used = tables.fact.select(F.explode(F.array(*[
-        F.struct(F.lit(k).alias("fk"), F.col(k).try_cast("bigint").alias("key")) for k in usable.values()
-    ])).alias("u")).select("u.*").groupBy("fk", "key").agg(F.count(F.lit(1)).alias("n"))
-    known = reduce(DataFrame.unionByName, [
-        tables[d].select(F.lit(k).alias("fk"), F.col(k).try_cast("bigint").alias("key")) for d, k in usable.items()
-    ])
-    return used.join(known, ["fk", "key"], "left_anti").groupBy("fk").agg(F.sum("n").alias("n"))
+    return _unanswered(_used_keys(tables, dimensions), tables, dimensions)
+
+
+def _orphan_findings(orphans: DataFrame) -> DataFrame:
+    text = F.concat(F.col("n").cast("string"), F.lit(f" {UNKNOWN_KEYS}"))
+    return _findings(orphans, F.concat(F.lit("referential_integrity_"), F.col("fk")), F.col("n"), text)
 
 
 def referential_integrity(tables: StarTables) -> DataFrame:
     """Findings for foreign keys without a dimension row."""
-    text = F.concat(F.col("n").cast("string"), F.lit(f" {UNKNOWN_KEYS}"))
-    name = F.concat(F.lit("referential_integrity_"), F.col("fk"))
-    return _findings(orphan_keys(tables), name, F.col("n"), text)
+    return _orphan_findings(orphan_keys(tables))
 
 
 def cost_outliers(fact: DataFrame, deviations: float = 3) -> DataFrame:
     """Costs above the mean plus three sample deviations; only if there is any deviation."""
     if "CostUSD" not in fact.columns:
         return _fixed(fact.sparkSession, [])
-    cost = typed_table(fact.select("CostUSD"), "fact").select(F.col("CostUSD").cast("double").alias("c"))
+    cost = fact.select(_cost(fact).alias("c"))
     deviation = F.stddev_samp("c")
     limit = cost.agg(F.when(deviation > 0, F.avg("c") + deviations * deviation))
     counts = cost.agg(F.count_if(F.col("c") > limit.scalar()).alias("cost_outliers"))
     return _from_counts(counts, {"cost_outliers": COST_OUTLIERS})
 
 
-def validate(tables: StarTables) -> DataFrame:
-    """All checks together."""
-    fact = tables.fact
-    dimension_types = [
-        wrong_types(tables[d], {k: f"invalid_type_{d}_{k}"}) for d, k in DIMENSION_KEYS.items()
-    ]
+def validate(tables: StarTables, surveyed: Survey | None = None) -> DataFrame:
+    """All checks together. The fact is read by ``survey``, which also gives the stored rows for the checks that need groups."""
+    surveyed = surveyed or survey(tables.fact)
+    stored = tables.replace(fact=surveyed.fact)
+    used = materialise(_used_keys(stored, DIMENSION_KEYS, surveyed.cost_limit))
+    outliers = used.where(F.col("fk") == _OUTLIER).agg(F.sum("n").alias("cost_outliers"))
     parts = [
-        missing_columns(tables), fact_columns(fact), *dimension_types, all_dimension_keys(tables),
-        invalid_dates(tables), duplicate_records(fact), referential_integrity(tables), cost_outliers(fact),
+        missing_columns(tables), _fixed(tables.fact.sparkSession, surveyed.findings),
+        *[dimension_findings(tables[d], d, k) for d, k in DIMENSION_KEYS.items()], duplicate_records(surveyed.fact),
+        _orphan_findings(_unanswered(used.where(F.col("fk") != _OUTLIER), tables, DIMENSION_KEYS)),
+        _from_counts(outliers, {"cost_outliers": COST_OUTLIERS}),
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -301,33 +395,49 @@ def quality_report(findings: DataFrame, fact_rows: int, dimension_tables: int =
     )
 
 
-def quality_summary(tables: StarTables) -> DataFrame:
-    """Row counts, missing values, repeated rows, orphan keys and upper outliers: section, item, value."""
-    fact = tables.fact
+def quality_summary(tables: StarTables, surveyed: Survey | None = None) -> DataFrame:
+    """Row counts, missing values, repeated rows, orphan keys and upper outliers: section, item, value.
+
+    Counts of the fact come from its survey; the rest reads the stored columns it needs.
+    """
+    surveyed = surveyed or survey(tables.fact)
+    fact = surveyed.fact
+    spark = fact.sparkSession
 
-    def section(df: DataFrame, name: str, item: Column, value: Column) -> DataFrame:
-        return df.select(F.lit(name).alias("section"), item.alias("item"), value.cast("bigint").alias("value"))
+    def known(name: str, values: Mapping[str, int]) -> DataFrame:
+        return spark.createDataFrame([(name, item, int(n)) for item, n in values.items()], "section string, item string, value bigint")
 
-    def unpivot(counts: DataFrame, name: str) -> DataFrame:
-        cells = F.array(*[F.struct(F.lit(c).alias("i"), F.col(f"`{c}`").cast("bigint").alias("v")) for c in counts.columns])
-        return section(counts.select(F.explode(cells).alias("x")), name, F.col("x.i"), F.col("x.v"))
+    def section(df: DataFrame, name: str, item: str) -> DataFrame:
+        return df.select(F.lit(name).alias("section"), F.lit(item).alias("item"), F.col("n").cast("bigint").alias("value"))
 
     rows = [
-        section(df.agg(F.count(F.lit(1)).alias("n")), "row_counts", F.lit(name), F.col("n"))
-        for name, df in tables.items() if name != "date"
+        section(df.agg(F.count(F.lit(1)).alias("n")), "row_counts", name) for name, df in tables.items() if name not in ("date", FACT)
     ]
-    missing = unpivot(
-        fact.agg(*[F.count_if(~_present(f.name, f.dataType)).alias(f.name) for f in fact.schema]), "missing_values"
-    ).where("value > 0")
-    _, groups = _record_groups(fact)
-    surplus = section(groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("n")), "duplicate_count", F.lit("fact"), F.col("n"))
+    groups = _record_groups(fact)
+    surplus = groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("n"))
     keyed = {d: k for d, k in DIMENSION_KEYS.items() if d != "date"}
-    orphans = section(
-        orphan_keys(tables, keyed).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")),
-        "foreign_key_violations", F.lit("fact"), F.col("n"),
-    )
+    orphans = orphan_keys(tables.replace(fact=fact), keyed).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
     fences = tukey_fences(fact, MEASURES)
-    outliers = unpivot(fact.agg(*[
-        F.count_if(F.col(c).cast("double") > F.lit(fences[c])).alias(c) for c in MEASURES
-    ]), "outliers")
-    return reduce(DataFrame.unionByName, [*rows, missing, surplus, orphans, outliers])
+    above = fact.agg(*[F.count_if(F.col(c).cast("double") > F.lit(fences[c])).alias(c) for c in MEASURES]).first().asDict()
+    parts = [
+        known("row_counts", {FACT: surveyed.rows}), *rows, known("missing_values", {c: n for c, n in surveyed.missing.items() if n}),
+        section(surplus, "duplicate_count", FACT), section(orphans, "foreign_key_violations", FACT), known("outliers", above),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def markdown_report(report: DataFrame) -> DataFrame:
+    """The one-row ``quality_report`` as Markdown, one text in column ``value``: a summary, then a line for each finding."""
+    number = lambda c: F.format_number(c, 0)
+    critical = F.size(F.filter("findings", lambda f: f["severity"] == "critical"))
+    summary = F.array(
+        F.lit("# Data quality report"), F.lit(""), F.lit("## Summary"), F.lit(""),
+        F.concat(F.lit("- Fact rows: "), number(F.col("fact_rows"))),
+        F.concat(F.lit("- Dimension tables: "), number(F.col("dimension_tables"))),
+        F.concat(F.lit("- Checks with findings: "), number(F.col("finding_count"))),
+        F.concat(F.lit("- Critical findings: "), number(critical)), F.lit(""), F.lit("## Findings"), F.lit(""),
+    )
+    lines = F.transform("findings", lambda f: F.concat(
+        F.lit("- **"), f["name"], F.lit("** ("), f["severity"], F.lit("): "), F.array_join(f["details"], "; ")))
+    found = F.when(F.size("findings") == 0, F.array(F.lit("No findings."))).otherwise(lines)
+    return report.select(F.array_join(F.concat(summary, found), "\n").alias("value"))

@@ -33,3 +33,8 @@ def write_tables(tables: Mapping[str, DataFrame], folder: str, file_format: str
 def write_report(report: DataFrame, path: str) -> None:
     """Write the one-row quality report as JSON."""
     report.coalesce(1).write.mode("overwrite").json(path)
+
+
+def write_text(df: DataFrame, path: str) -> None:
+    """Write a one-row frame with one text column as a text file."""
+    df.coalesce(1).write.mode("overwrite").text(path)

@@ -128,9 +128,56 @@ def test_pipeline_reports_before_it_stops(spark, make_star, tmp_path):
         Catalog(spark, out).load("usage data")
     with pytest.raises(KeyError):
         Catalog(spark, out).load("unknown")
+    markdown = spark.read.text(f"{out}/processed/data_quality_report_markdown", wholetext=True).first()[0]
+    assert "- Fact rows: 2" in markdown and "negative_CostUSD" in markdown
     assert json.loads(spark.read.text(Catalog(spark, out).path("data quality report")).first()[0])["finding_count"] == 1
 
 
+def test_the_survey_counts_while_it_stores(make_star, spark):
+    star = make_star([{"CostUSD": 1.0}] * 30 + [{"CostUSD": 100.0, "ClientKey": None}, {"TokensInput": -1, "SatisfactionScore": None}])
+    for store in (True, False):
+        got = quality.survey(star.fact, store)
+        assert got.rows == 32 and {name: n for name, n, _ in got.findings} == {"null_ClientKey": 1, "negative_TokensInput": 1}
+        assert got.missing["ClientKey"] == got.missing["SatisfactionScore"] == 1 and got.missing["CostUSD"] == 0
+        costs = star.fact.agg(F.avg("CostUSD"), F.stddev_samp("CostUSD")).first()
+        assert got.cost_limit == pytest.approx(costs[0] + 3 * costs[1])
+        assert got.fact.count() == 32
+    empty = quality.survey(star.fact.limit(0))
+    assert empty.rows == 0 and empty.findings == [] and empty.cost_limit is None and empty.fact.count() == 0
+
+
+def test_findings_are_those_of_the_single_checks(make_star):
+    region = [(1, "US", "US", 0.0), (1, "US", "US", 0.0), (None, "?", "?", 0.0)]
+    facts = [{"CostUSD": 1.0}] * 30 + [{"CostUSD": 100.0}, {"UsageID": 9}, {"UsageID": 9}, {"RegionKey": 5}, {"LatencyMs": -2.0, "ClientKey": None}]
+    star = make_star(facts, region=region)
+    star = star.replace(date=star["date"].withColumn("Date", F.lit("no day")), client=star["client"].withColumn("ClientKey", F.lit("x")))
+    single = [quality.fact_columns(star.fact), quality.all_dimension_keys(star), quality.invalid_dates(star), quality.duplicate_records(star.fact),
+              quality.referential_integrity(star), quality.cost_outliers(star.fact), quality.wrong_types(star["client"], {"ClientKey": "invalid_type_client_ClientKey"})]
+    wanted = sorted(tuple(r) for df in single for r in df.collect())
+    assert sorted(map(tuple, quality.validate(star).collect())) == wanted and len(wanted) > 8
+
+
+def test_validation_reads_the_fact_once(make_star, spark, tmp_path):
+    star = make_star([{}, {}, {"UsageID": 1}])
+    path = str(tmp_path / "fact")
+    star.fact.write.parquet(path)
+    fact = spark.read.parquet(path)
+    surveyed = quality.survey(fact)
+    assert path not in str(surveyed.fact.inputFiles()) and len(surveyed.findings) == 0
+    stored = set(surveyed.fact.inputFiles())
+    read = set(quality.validate(star.replace(fact=fact), surveyed).inputFiles())
+    assert not any(f.startswith(f"file://{path}") for f in read) and stored & read
+
+
+def test_markdown_report(make_star, spark):
+    findings = quality.validate(make_star([{"CostUSD": -1.0}, {}]))
+    text = quality.markdown_report(quality.quality_report(findings, 1234)).first()["value"]
+    assert "- Fact rows: 1,234\n- Dimension tables: 6\n- Checks with findings: 1\n- Critical findings: 1\n" in text
+    assert text.endswith("- **negative_CostUSD** (critical): 1 negative values")
+    clean = quality.markdown_report(quality.quality_report(findings.limit(0), 0)).first()["value"]
+    assert clean.endswith("## Findings\n\nNo findings.")
+
+
 def test_summary_counts(usage_star):
     rows = {(r["section"], r["item"]): r["value"] for r in quality.quality_summary(usage_star).collect()}
     fact = usage_star.fact.toPandas()
