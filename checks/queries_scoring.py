@@ -104,16 +104,16 @@ def _(spark, sf_dir):
     return rounded(evaluate.threshold_sweep(judged_items(spark, sf_dir), "Actual", "Score"))
 
 
-def satisfaction(spark, sf_dir):
-    """The whole satisfaction job, with its defaults: 250 trees, holdout and five folds."""
+def satisfaction(spark, sf_dir, folds=5):
+    """The whole satisfaction job, with its defaults: 250 trees, holdout and five folds. Scores don't depend on the folds."""
     return scoring.score_satisfaction(requested(spark, sf_dir).withColumns({
         "HourOfDay": F.floor(F.col("TimeKey") / 100), "IsWeekend": C.is_weekend("Date"),
-    }))
+    }), folds=folds)
 
 
 @register("ml17_satisfaction_scores")
 def _(spark, sf_dir):
-    return satisfaction(spark, sf_dir).scored.select("UsageID", "SatisfactionScore", "SatisfactionPredicted")
+    return satisfaction(spark, sf_dir, folds=0).scored.select("UsageID", "SatisfactionScore", "SatisfactionPredicted")
 
 
 @register("ml18_satisfaction_evaluation")

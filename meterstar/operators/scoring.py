@@ -6,17 +6,17 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml import Transformer
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterstar.functions import columns as C
 from meterstar.operators import evaluate as E
 from meterstar.operators.features import CHURN_FEATURES, proxy_label
+from meterstar.operators.forest import LEAST_LEAF, Forest, fit_forest, predict_forest
 from meterstar.operators.ranking import quantiles, row_index, tukey_fences
 from meterstar.session import materialise
 
@@ -145,7 +145,6 @@ NUMERIC = ("TotalTokens", "LatencyMs", "CostUSD", "SuccessFlag", "HourOfDay", "I
 SATISFACTION_FEATURES = (*CATEGORICAL, *NUMERIC)
 SCORE_RANGE = (1.0, 5.0)
 LEAST_RATED = 10
-MAX_DEPTH = 30      # the most that the forest takes
 FOREST = "Random forest regressor"
 
 
@@ -157,11 +156,11 @@ def _typed_features(df: DataFrame) -> DataFrame:
 
 @dataclass
 class SatisfactionModel:
-    """A fitted satisfaction model: medians, labels numbered by frequency (with their number), encoder and forest."""
+    """A fitted satisfaction model: medians, labels numbered by frequency (with their number), and forest."""
 
     medians: dict[str, float]
     labels: dict[str, tuple[DataFrame, int]]
-    pipeline: PipelineModel
+    forest: Forest
 
     def label_table(self) -> DataFrame:
         """``Column, Label, Index`` of all categorical columns; the label with index 0 stands in for missing ones."""
@@ -171,32 +170,25 @@ class SatisfactionModel:
         ])
 
 
-def satisfaction_pipeline(trees: int = 250, max_depth: int = MAX_DEPTH, seed: int = E.SEED) -> Pipeline:
-    """One-hot keys (unseen ones ignored) and a random forest, over filled numbers and numbered labels."""
-    return Pipeline(stages=[
-        OneHotEncoder(inputCols=[f"_x_{c}" for c in CATEGORICAL], outputCols=[f"_h_{c}" for c in CATEGORICAL],
-                      handleInvalid="keep"),
-        VectorAssembler(inputCols=[f"_i_{c}" for c in NUMERIC] + [f"_h_{c}" for c in CATEGORICAL], outputCol="_features"),
-        RandomForestRegressor(
-            featuresCol="_features", labelCol="SatisfactionScore", predictionCol="_raw", numTrees=trees,
-            maxDepth=max_depth, minInstancesPerNode=2, featureSubsetStrategy="all", seed=seed,
-        ),
-    ])
-
+def _numbered_labels(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[DataFrame, int]]:
+    """Per column ``_label, _index``: the most frequent label has index 0, equals go in text order; and the number of labels.
 
-def _numbered_labels(df: DataFrame, column: str) -> tuple[DataFrame, int]:
-    """``_label, _index``: the most frequent label has index 0, equals go in text order; and the number of labels.
-
-    Counts come before the order, and no label reaches the driver.
+    All columns are counted in one pass and numbered by one sort; no label reaches the driver.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    numbered = row_index(counts, [F.desc("_n"), F.col(column)], "_place")
-    table = materialise(numbered.select(F.col(column).alias("_label"), (F.col("_place") - 1).cast("double").alias("_index")))
-    return table, table.count()
+    cells = F.array(*[F.struct(F.lit(i).alias("_column"), F.col(c).alias("_label")) for i, c in enumerate(columns)])
+    counts = df.select(F.explode(cells).alias("c")).select("c.*").where("_label IS NOT NULL").groupBy("_column", "_label").agg(F.count(F.lit(1)).alias("_n"))
+    numbered = materialise(row_index(counts, [F.col("_column"), F.desc("_n"), F.col("_label")], "_place"))
+    first = {r["_column"]: (r["first"], r["n"]) for r in numbered.groupBy("_column").agg(F.min("_place").alias("first"), F.count(F.lit(1)).alias("n")).collect()}
+    out = {}
+    for i, c in enumerate(columns):
+        start, size = first.get(i, (0, 0))
+        table = numbered.where(F.col("_column") == i).select("_label", (F.col("_place") - start).cast("double").alias("_index"))
+        out[c] = table, size
+    return out
 
 
 def _encoded(df: DataFrame, medians: Mapping[str, float], labels: Mapping[str, tuple[DataFrame, int]]) -> DataFrame:
-    """Filled numbers and label indices; a missing label becomes the most frequent one, an unseen one comes after all others."""
+    """Filled numbers and label numbers, and both as ``_x``; a missing label becomes the most frequent one, an unseen one comes after all others."""
     out = _typed_features(df).withColumns({
         f"_i_{c}": F.coalesce(F.when(~F.isnan(f"_n_{c}"), F.col(f"_n_{c}")), F.lit(medians[c])) for c in NUMERIC
     })
@@ -205,21 +197,25 @@ def _encoded(df: DataFrame, medians: Mapping[str, float], labels: Mapping[str, t
         out = out.join(numbered, F.col(f"_c_{c}") == F.col(f"_l_{c}"), "left")
         index = F.coalesce(F.col(f"_k_{c}"), F.lit(float(size)))
         out = out.withColumn(f"_x_{c}", F.when(F.col(f"_c_{c}").isNull(), F.lit(0.0)).otherwise(index))
-    return out
+    return out.withColumn("_x", F.array(*[F.col(f"_i_{c}") for c in NUMERIC], *[F.col(f"_x_{c}") for c in CATEGORICAL]))
+
 
+def fit_satisfaction(rated: DataFrame, trees: int = 250, max_depth: int | None = None, key: str = "UsageID") -> SatisfactionModel:
+    """Fit on rated rows, with exact medians and the most frequent labels in place of missing values.
 
-def fit_satisfaction(rated: DataFrame, trees: int = 250, max_depth: int = MAX_DEPTH) -> SatisfactionModel:
-    """Fit on rated rows, with exact medians and the most frequent labels in place of missing values."""
+    Each label is split off against all others, and every boundary between numbers is tried.
+    """
     typed = _typed_features(rated)
     found = quantiles(typed, {f"_n_{c}": (0.5,) for c in NUMERIC})
     medians = {c: found[f"_n_{c}"][0.5] or 0.0 for c in NUMERIC}  # a column without values is constant
-    labels = {c: _numbered_labels(typed, f"_c_{c}") for c in CATEGORICAL}
-    return SatisfactionModel(medians, labels, satisfaction_pipeline(trees, max_depth).fit(_encoded(rated, medians, labels)))
+    labels = dict(zip(CATEGORICAL, _numbered_labels(typed, [f"_c_{c}" for c in CATEGORICAL]).values()))
+    rows = _encoded(rated, medians, labels).select(key, F.col("SatisfactionScore").cast("double").alias("y"), F.col("_x").alias("x"))
+    return SatisfactionModel(medians, labels, fit_forest(rows, len(NUMERIC), trees, LEAST_LEAF, max_depth, key))
 
 
 def predict_satisfaction(model: SatisfactionModel, df: DataFrame, name: str = "SatisfactionPredicted") -> DataFrame:
     """Add predictions, kept within the score range."""
-    scored = model.pipeline.transform(_encoded(df, model.medians, model.labels))
+    scored = predict_forest(model.forest, _encoded(df, model.medians, model.labels), "_x", "_raw")
     return scored.withColumn(name, C.clip("_raw", *SCORE_RANGE)).select(*df.columns, name)
 
 
@@ -254,12 +250,12 @@ def _evaluation_rows(df: DataFrame, kind: str, dimension: Column, group: Column,
     )
 
 
-def cross_validated_rmse(rated: DataFrame, key: str, folds: int = 5, trees: int = 250, max_depth: int = MAX_DEPTH) -> float:
+def cross_validated_rmse(rated: DataFrame, key: str, folds: int = 5, trees: int = 250, max_depth: int | None = None) -> float:
     """Mean of the folds' RMSE; folds are drawn by key hash."""
     slot = E.hash_slot(key, seed=E.SEED + 1, slots=folds)
     errors = []
     for fold in range(folds):
-        model = fit_satisfaction(rated.where(slot != fold), trees, max_depth)
+        model = fit_satisfaction(rated.where(slot != fold), trees, max_depth, key)
         judged = predict_satisfaction(model, rated.where(slot == fold), "_predicted")
         squared = (F.col("_predicted") - F.col("SatisfactionScore")) ** 2
         errors.append(judged.agg(F.sqrt(F.avg(squared))).first()[0])
@@ -267,7 +263,7 @@ def cross_validated_rmse(rated: DataFrame, key: str, folds: int = 5, trees: int
     return sum(errors) / len(errors)
 
 
-def score_satisfaction(master: DataFrame, key: str = "UsageID", trees: int = 250, max_depth: int = MAX_DEPTH,
+def score_satisfaction(master: DataFrame, key: str = "UsageID", trees: int = 250, max_depth: int | None = None,
                        folds: int = 5, dimensions: Sequence[str] = E.GROUP_DIMENSIONS) -> SatisfactionResult:
     """Predict satisfaction for all requests; audit on a 20 % holdout of the rated ones."""
     rated = master.where(F.col("SatisfactionScore").isNotNull())
@@ -277,7 +273,7 @@ def score_satisfaction(master: DataFrame, key: str = "UsageID", trees: int = 250
         raise ValueError(f"at least {LEAST_RATED} rated requests are required for satisfaction modelling")
     rated = materialise(E.with_holdout(rated, key, share=0.2))
     train = rated.where("NOT IsHoldout")
-    model = fit_satisfaction(train, trees, max_depth)
+    model = fit_satisfaction(train, trees, max_depth, key)
     baseline = train.agg(F.avg("SatisfactionScore")).first()[0]
     judged = materialise(
         predict_satisfaction(model, rated.where("IsHoldout")).withColumn("_mean", F.lit(baseline))

@@ -27,7 +27,7 @@ def detect_anomalies(master: DataFrame, key: str = "UsageID",
     return flagged, scoring.anomaly_summary(flagged, fences, contamination)
 
 
-def run_scoring(spark: SparkSession, out_dir: str, trees: int = 250, max_depth: int = scoring.MAX_DEPTH, folds: int = 5) -> DataFrame:
+def run_scoring(spark: SparkSession, out_dir: str, trees: int = 250, max_depth: int | None = None, folds: int = 5) -> DataFrame:
     """Read the written master, score it, write the scored fact, the models and the evaluation tables."""
     catalog = Catalog(spark, out_dir)
     master = load_master(spark, catalog.path("enriched master"), REQUIRED)
@@ -53,7 +53,9 @@ def run_scoring(spark: SparkSession, out_dir: str, trees: int = 250, max_depth:
         if table is not None:
             write_table(table, catalog.path(name))
     models = f"{out_dir.rstrip('/')}/models"
-    satisfaction.model.pipeline.write().overwrite().save(f"{models}/satisfaction")
+    write_table(satisfaction.model.forest.subtrees, f"{models}/satisfaction_trees")
+    if satisfaction.model.forest.splits is not None:
+        write_table(satisfaction.model.forest.splits, f"{models}/satisfaction_splits")
     write_table(satisfaction.model.label_table(), f"{models}/satisfaction_labels")
     medians = spark.createDataFrame(list(satisfaction.model.medians.items()), "Feature string, Median double")
     write_table(medians, f"{models}/satisfaction_medians")

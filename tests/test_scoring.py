@@ -190,7 +190,7 @@ def test_registered_satisfaction_is_the_whole_job(spark, monkeypatch):
 
     asked = []
 
-    def fit(rated, trees=250, max_depth=scoring.MAX_DEPTH, real=scoring.fit_satisfaction):
+    def fit(rated, trees=250, max_depth=None, key="UsageID", real=scoring.fit_satisfaction):
         asked.append((trees, max_depth, rated.count()))
         return real(rated, 2, 2)
 
@@ -198,8 +198,9 @@ def test_registered_satisfaction_is_the_whole_job(spark, monkeypatch):
     scored = QUERIES["ml17_satisfaction_scores"](spark, "/root/testdata/sf0.001")
     rated, rows = scored.where("SatisfactionScore IS NOT NULL").count(), scored.count()
     assert rows > rated and scored.where("SatisfactionPredicted IS NULL").count() == 0
-    assert len(asked) == 6 and all(a[:2] == (250, 30) for a in asked)
-    assert asked[0][2] == rated - math.ceil(rated * 0.2) and sum(a[2] for a in asked[1:]) == 4 * rated
+    assert len(asked) == 1 and QUERIES["ml18_satisfaction_evaluation"](spark, "/root/testdata/sf0.001").count() > 3
+    assert len(asked) == 7 and all(a[:2] == (250, None) for a in asked)
+    assert asked[0][2] == asked[1][2] == rated - math.ceil(rated * 0.2) and sum(a[2] for a in asked[2:]) == 4 * rated
 
 
 def anomaly_rows(spark, rows=4000):
