@@ -90,7 +90,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.archived_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
-    page = lambda c: F.regexp_extract(c, r"(-?[0-9]+)$", 1).cast("bigint")
+    page = lambda c: F.regexp_extract(c, r"(-?[0-9]+)$", 1).try_cast("bigint")  # noqa: E731  a page without an id has none
     response = F.col("record_type") == "response"
     return records.select(
         page("record_id").alias("page_id"),

@@ -124,7 +124,8 @@ class WarcWriter(DataSourceArrowWriter):
     def commit(self, messages: list) -> None:
         system, folder = file_system(self.folder)
         system.create_dir(folder, recursive=True)
-        with system.open_output_stream(f"{folder}/{MANIFEST}") as out:
+        # One list per write: an archive that is appended to keeps what it has.
+        with system.open_output_stream(f"{folder}/{uuid.uuid4().hex}{MANIFEST}") as out:
             out.write(json.dumps(sorted(f for m in messages if m for f in m.files)).encode())
 
     def abort(self, messages: list) -> None:
@@ -251,9 +252,13 @@ class WarcReader(DataSourceReader):
         system, path = file_system(self.path)
         if system.get_file_info(path).type == arrow_fs.FileType.File:
             return [WarcFile(path)]
-        if system.get_file_info(f"{path}/{MANIFEST}").type == arrow_fs.FileType.File:
-            with system.open_input_stream(f"{path}/{MANIFEST}") as source:
-                return [WarcFile(f"{path}/{name}") for name in json.loads(source.read())]
+        lists = [f.path for f in system.get_file_info(arrow_fs.FileSelector(path)) if f.path.endswith(MANIFEST)]
+        if lists:
+            names = []
+            for one in sorted(lists):
+                with system.open_input_stream(one) as source:
+                    names += json.loads(source.read())
+            return [WarcFile(f"{path}/{name}") for name in names]
         found = system.get_file_info(arrow_fs.FileSelector(path, recursive=True))
         return [WarcFile(f.path) for f in found if f.path.endswith((".warc", ".warc.gz"))]
 
