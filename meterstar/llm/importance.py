@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterstar.llm.held import Held, bounded, releasing
-from meterstar.llm.inputs import picked, text_mark
+from meterstar.llm.inputs import carried, picked, text_mark
 from meterstar.operators.ranking import order_statistics
 from meterstar.session import materialise, ship_package
 
@@ -207,5 +207,5 @@ def good_documents(df: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     """The rows of ``df`` that are drawn, all columns included; rows that share a key, or have none, are judged one by one."""
     gone = _marked_selection(df, labels, key=key, text=text, **options).where("NOT kept").select(
         F.col("doc_id").alias("_gone"), F.col("text_mark").alias("_gone_mark")).distinct()
-    same = F.col(f"`{key}`").cast("bigint").eqNullSafe(F.col("_gone")) & (text_mark(text) == F.col("_gone_mark"))
-    return df.join(gone, same, "left_anti")
+    same = F.col("_own_key").eqNullSafe(F.col("_gone")) & (F.col("_own_mark") == F.col("_gone_mark"))
+    return carried(df, key, text).join(gone, same, "left_anti").select("_row.*")

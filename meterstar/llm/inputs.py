@@ -16,6 +16,12 @@ def picked(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
 
 
+def carried(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``_row`` (all columns as one struct, so that no name can clash), ``_own_key`` and ``_own_mark``; ``select("_row.*")`` undoes it."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(f"`{key}`").cast("bigint").alias("_own_key"),
+                     text_mark(text).alias("_own_mark"))
+
+
 def text_mark(text: str) -> Column:
     """Tells the texts of rows apart that share a key."""
     return F.xxhash64(F.col(f"`{text}`"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from meterstar.llm.components import components
 from meterstar.llm.held import releasing
-from meterstar.llm.inputs import picked, shuffle_partitions
+from meterstar.llm.inputs import carried, picked, shuffle_partitions
 from meterstar.llm.words import mixed, shingle_set
 from meterstar.session import materialise, ship_package
 
@@ -247,4 +247,4 @@ def _repeats(rows: DataFrame) -> bool:
 def without_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``df`` whose key is kept, all columns included; of rows that repeat a key all stay."""
     gone = near_duplicates(df, key=key, text=text, **options).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return df.join(gone, F.col(f"`{key}`") == F.col("_gone"), "left_anti")
+    return carried(df, key, text).join(gone, F.col("_own_key") == F.col("_gone"), "left_anti").select("_row.*")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterstar.llm.held import releasing
-from meterstar.llm.inputs import picked, text_mark
+from meterstar.llm.inputs import carried, picked, text_mark
 from meterstar.llm.words import hashes, windows, words
 from meterstar.session import materialise, ship_package
 
@@ -201,10 +201,10 @@ def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", leng
     cut = repeated_passages(df, key=key, text=text, **options).where("kept_text IS NOT NULL").select(
         F.col("doc_id").alias("_cut_id"), F.col("text_mark").alias("_cut_mark"), F.col("kept_text").alias("_cut_text"),
     ).dropDuplicates(["_cut_id", "_cut_mark"])
-    same = F.col(f"`{key}`").cast("bigint").eqNullSafe(F.col("_cut_id")) & (text_mark(text) == F.col("_cut_mark"))
-    joined = df.join(cut, same, "left")
-    changed = {text: F.coalesce("_cut_text", F.col(f"`{text}`"))}
+    same = F.col("_own_key").eqNullSafe(F.col("_cut_id")) & (F.col("_own_mark") == F.col("_cut_mark"))
+    joined = carried(df, key, text).join(cut, same, "left")
+    changed = {text: F.coalesce("_cut_text", F.col("_row")[text])}
     if length_column in df.columns:
-        old = F.col(f"`{length_column}`")
+        old = F.col("_row")[length_column]
         changed[length_column] = F.when(F.col("_cut_text").isNull(), old).otherwise(F.length("_cut_text")).cast(df.schema[length_column].dataType)
-    return joined.withColumns(changed).select(*[F.col(f"`{c}`") for c in df.columns])
+    return joined.select(*[changed.get(c, F.col("_row")[c]).alias(c) for c in df.columns])

@@ -25,6 +25,7 @@ from meterstar.llm import (
     near_dup,
     outliers,
     packing,
+    queries,
     shards,
     substring,
     token_codes,
@@ -431,3 +432,50 @@ def test_negated_list_with_a_null_is_never_true():
     from pyspark.sql.datasource import In, Not
 
     assert not warc._test(Not(In(("record_type",), ("response", None))))({"record_type": "revisit"})
+
+
+def test_an_archive_that_is_written_to_twice_keeps_both(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"u{i}", f"page {i}" * 30) for i in range(6)], "page_id bigint, url string, html string")
+    records = warc.page_records(pages)
+    for low in (0, 3):
+        warc.write_warc(records.where(F.col("record_id").isin(*[f"urn:page:{i}" for i in range(low, low + 3)])), str(tmp_path / "a"))
+    assert sorted(r.record_id for r in warc.read_warc(spark, str(tmp_path / "a")).collect()) == [f"urn:page:{i}" for i in range(6)]
+
+
+def test_pages_without_an_id_stay_in_the_query(spark, tmp_path):
+    rows = [(None, "u", "x" * 200), (3, None, "x" * 200), (4, "u", None), (-5, "u", "y")]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r.page_id: r for r in queries.op10_warc(spark, str(tmp_path)).collect()}
+    assert set(got) == {None, 3, 4, -5} and got[None].record_type == "revisit" and got[None].refers_to == 3
+    assert got[4].payload_bytes == 0 and got[-5].record_type == "response"
+
+
+def test_rows_that_repeat_key_and_size_are_planned_one_by_one(spark):
+    texts = ["w " * 10] * 200 + ["v " * (5 + i % 7) for i in range(1000)]
+    df = make(spark, texts, [7] * 200 + list(range(100, 1100)))
+    planned = mixing.plan(df).collect()
+    size = sum(len(t.split()) for t in texts)
+    assert len(planned) == 1200 and all(r.taken <= 2 * r.size for r in planned)
+    assert sum(r.taken for r in planned) == pytest.approx(1.5 * size, rel=0.02)
+    same = [r.copies for r in planned if r.doc_id == 7]
+    assert len(same) == 200 and sum(same) == pytest.approx(300, abs=2) and set(same) == {1, 2}
+    mixed = mixing.mix(df)
+    assert sum(len(r.text.split()) for r in mixed.collect()) == sum(r.taken for r in planned)
+    assert mixing.mix(df).where("doc_id = 7").count() == sum(same)
+    alike = make(spark, [f"a{i} b" for i in range(40)], [None] * 40)
+    found = [r.text for r in mixing.mix(alike.repartition(5)).collect()]
+    assert sorted(found) == sorted(r.text for r in mixing.mix(alike).collect()) and len(found) == 60 and len(set(found)) == 40
+
+
+CLASHING = ["_gone", "_gone_mark", "_cut_text", "_cut_id", "_row", "_own_key", "_copies", "_mark", "_key"]
+
+
+def test_columns_of_any_name_pass_through(spark, texts):
+    df = make(spark, texts)
+    for name in CLASHING:
+        df = df.withColumn(name, F.concat(F.lit(f"{name} "), F.col("doc_id").cast("string")))
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(20)], "doc_id bigint, quality int, toxic int")
+    for out in (near_dup.without_near_duplicates(df), substring.without_repeats(df), importance.good_documents(df, labels), mixing.mix(df)):
+        assert out.columns == df.columns
+        rows = out.collect()
+        assert rows and all(r[name] == f"{name} {r.doc_id}" for r in rows for name in CLASHING)
