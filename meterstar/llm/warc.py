@@ -348,9 +348,9 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame
     return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
 
 
-def archived_pages(df: DataFrame, **options) -> DataFrame:
-    """Write the pages to archives in the shared folder and read them back."""
+def archived_pages(df: DataFrame, compression: str = "gzip", **options) -> DataFrame:
+    """Write the pages to archives in the shared folder, a compressed member for each record, and read them back."""
     spark = df.sparkSession
     folder = new_folder(spark, "warc")
-    write_warc(page_records(df, **options), folder)
+    write_warc(page_records(df, **options), folder, compression)
     return read_warc(spark, folder)
