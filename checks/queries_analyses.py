@@ -1,6 +1,7 @@
 """Registered: the ten analyses."""
 
 from meterstar.operators import analyses
+from meterstar.sources import samples
 
 from checks.registry import register, requested, rounded, shipped
 
@@ -48,7 +49,8 @@ def _(spark, sf_dir):
 
 @register("q9_cost_anomalies")
 def _(spark, sf_dir):
-    return rounded(analyses.cost_anomalies(requested(spark, sf_dir, "client", "model")), 8)
+    clients, models = (samples.dimension(spark, sf_dir, "requests", name) for name in ("client", "model"))
+    return rounded(analyses.cost_anomalies(requested(spark, sf_dir), clients, models), 8)
 
 
 @register("q10_cohort_retention")

@@ -50,6 +50,11 @@ def model_performance(master: DataFrame) -> DataFrame:
         F.count("UsageID").alias("TotalRequests"),
         C.mean("TokenEfficiencyRatio").alias("AvgTokenEfficiency"),
     ))
+    return ranked_models(models)
+
+
+def ranked_models(models: DataFrame) -> DataFrame:
+    """Models with their rank by cost and by latency."""
     ranked = rank(models, "TotalCost", "CostRank", descending=True)
     return rank(ranked, "AvgLatency", "LatencyRank")
 

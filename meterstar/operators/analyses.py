@@ -159,30 +159,37 @@ def cost_satisfaction_correlation(usage: DataFrame) -> DataFrame:
     )
 
 
-def cost_anomalies(usage: DataFrame, deviations: float = 2, limit: int = 20) -> DataFrame:
+def cost_anomalies(usage: DataFrame, clients: DataFrame, models: DataFrame, deviations: float = 2, limit: int = 20) -> DataFrame:
     """Requests costing more than their model's mean plus some deviations, largest excess first.
 
-    The per-model figures are written first, so that their exact size decides
+    ``usage`` needs no names: the dimensions only filter it by key, and the rows that are left
+    after the limit get their names. The per-model figures are written first, so that their exact size decides
     between a broadcast and a skew-splitting join.
     """
     cost = C.as_double("CostUSD")
-    models = materialise(
-        usage.groupBy("ModelKey").agg(
-            F.avg(cost).alias("ModelAvgCostUSD"), F.stddev_pop(cost).alias("ModelStdDevCostUSD")
+    known = usage.select("UsageID", "Date", "ClientKey", "ModelKey", cost.alias("CostUSD"))
+    known = known.join(clients, "ClientKey", "left_semi").join(models, "ModelKey", "left_semi")
+    figures = materialise(
+        known.groupBy("ModelKey").agg(
+            F.avg("CostUSD").alias("ModelAvgCostUSD"), F.stddev_pop("CostUSD").alias("ModelStdDevCostUSD")
         )
     )
     threshold = F.col("ModelAvgCostUSD") + deviations * F.col("ModelStdDevCostUSD")
-    excess = cost - F.col("AnomalyThresholdUSD")
-    return (
-        usage.select("UsageID", "Date", "ClientKey", "ClientName", "ModelKey", "ModelName", cost.alias("CostUSD"))
-        .join(models, "ModelKey")
+    order = [F.desc("ExcessCostUSD"), F.asc("UsageID")]
+    found = (
+        known.join(figures, "ModelKey")
         .withColumn("AnomalyThresholdUSD", threshold)
         .where(F.col("CostUSD") > F.col("AnomalyThresholdUSD"))
-        .withColumn("ExcessCostUSD", excess)
-        .orderBy(F.desc("ExcessCostUSD"), "UsageID")
+        .withColumn("ExcessCostUSD", F.col("CostUSD") - F.col("AnomalyThresholdUSD"))
+        .orderBy(*order)
         .limit(limit)
-        .drop("ModelKey")
     )
+    named = materialise(found).join(clients.select("ClientKey", "ClientName"), "ClientKey").join(
+        models.select("ModelKey", "ModelName"), "ModelKey")
+    return named.select(
+        "UsageID", "Date", "ClientKey", "ClientName", "ModelName", "CostUSD", "ModelAvgCostUSD", "ModelStdDevCostUSD",
+        "AnomalyThresholdUSD", "ExcessCostUSD",
+    ).orderBy(*order)
 
 
 def cohort_retention(usage: DataFrame) -> DataFrame:

@@ -57,6 +57,11 @@ def _application_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/meterstar/{spark.sparkContext.applicationId}"
 
 
+def fresh_folder(spark: SparkSession) -> str:
+    """A path in the shared folder that nothing uses yet."""
+    return f"{_application_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -65,7 +70,7 @@ def materialise(df: DataFrame) -> DataFrame:
     below ``spark.sql.autoBroadcastJoinThreshold``.
     """
     spark = df.sparkSession
-    path = f"{_application_folder(spark)}/{uuid.uuid4().hex}"
+    path = fresh_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -245,9 +245,14 @@ def defective(spark: SparkSession, sf_dir: str) -> StarTables:
     return _star(spark, sf_dir, "shipments", fact)
 
 
+def dimension(spark: SparkSession, sf_dir: str, star: str, name: str) -> DataFrame:
+    """One dimension of a star."""
+    return _builders(spark, sf_dir, star)[name]()
+
+
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shipments star's date dimension."""
-    return _builders(spark, sf_dir, "shipments")["date"]()
+    return dimension(spark, sf_dir, "shipments", "date")
 
 
 def usage(spark: SparkSession, sf_dir: str, star: str, *dimensions: str) -> DataFrame:
