@@ -121,12 +121,18 @@ def near_duplicates(df: DataFrame, similarity: float = 0.8, width: int = SHINGLE
 
     ``component_id`` is the smallest id reachable, ``kept`` marks it. Keys are whole numbers.
     A text without words links with nothing. A NULL key links with nothing either and is kept (component NULL). Rows that repeat a key
-    share its component. An empty table gives no rows.
+    share its component, whichever of their texts has the link. An empty table gives no rows.
     """
     spark = df.sparkSession
     ship_package(spark)
     least = Fraction(str(similarity))
     rows_in = picked(df, doc_id=key, text=text).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    keys = None
+    if _repeats(rows_in):
+        # Each row is a document of its own until the links are known.
+        numbered = materialise(rows_in.withColumn("row", F.monotonically_increasing_id()))
+        keys = numbered.select("row", F.col("doc_id").alias("key"))
+        rows_in = numbered.select(F.when(F.col("doc_id").isNotNull(), F.col("row")).alias("doc_id"), "text")
     signed = materialise(_signatures(rows_in, width, bands, rows))
     sets = signed.where("doc_id IS NOT NULL AND set_key IS NOT NULL")
     # Written first: a join of two plain inputs can have a large group of copies split over tasks.
@@ -139,7 +145,14 @@ def near_duplicates(df: DataFrame, similarity: float = 0.8, width: int = SHINGLE
     entries = materialise(entries.join(buckets, "band"))
 
     links = _links(entries, rows_in, width, bands, rows, least)
-    found = components(same.unionByName(links))
+    links = same.unionByName(links)
+    if keys is not None:
+        links = links.join(keys.select(F.col("row").alias("a"), F.col("key").alias("x")), "a").join(
+            keys.select(F.col("row").alias("b"), F.col("key").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+        # Rows without a key have no number here and stay as they are.
+        of_rows = signed.join(keys, signed["doc_id"] == keys["row"], "left")
+        signed = of_rows.select(F.col("key").alias("doc_id"), "n_shingles")
+    found = components(links)
     return (
         signed.select("doc_id", "n_shingles").join(found, F.col("doc_id") == F.col("node"), "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
@@ -222,9 +235,7 @@ def _link_batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
 def _links(entries: DataFrame, rows_in: DataFrame, width: int, bands: int, rows: int, least: Fraction) -> DataFrame:
     """Confirmed links among the bucket entries ``band, doc_id, n_shingles, least, size``; enough of them to join all that belong together."""
     wanted = entries.select("doc_id").distinct()
-    # Rows that repeat a key would be read as one document: its least text stands for it.
-    texts = rows_in.join(wanted, "doc_id", "left_semi")
-    texts = materialise(texts.groupBy("doc_id").agg(F.min("text").alias("text")) if _repeats(rows_in) else texts)
+    texts = materialise(rows_in.join(wanted, "doc_id", "left_semi"))
     fits = (F.least("n_shingles", "centre_shingles") * least.denominator
             >= F.greatest("n_shingles", "centre_shingles") * least.numerator)
     centres = entries.where("doc_id = least").select("band", F.col("doc_id").alias("centre"), F.col("n_shingles").alias("centre_shingles"))

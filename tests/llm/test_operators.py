@@ -117,6 +117,18 @@ def test_near_duplicates_of_awkward_rows(spark):
     assert near_dup.without_near_duplicates(df).columns == df.columns
 
 
+def test_rows_that_share_a_key_keep_the_links_of_each_text(spark):
+    a = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, a), (2, "something else that no other text says"), (2, a + " more"), (3, a + " more"), (4, "far away from all of them"), (None, a)]
+    found = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found if r.doc_id) == [
+        (1, 56, 1), (2, 3, 1), (2, 57, 1), (3, 57, 1), (4, 2, 4)]
+    assert [(r.component_id, r.kept) for r in found if r.doc_id is None] == [(None, True)]
+    chain = [(k % 3, " ".join(f"w{i}" for i in range(k, k + 40))) for k in range(0, 12)]
+    found = near_dup.near_duplicates(spark.createDataFrame(chain, "doc_id long, text string")).collect()
+    assert len(found) == 12 and {r.component_id for r in found} == {0}
+
+
 def test_fingerprint_is_a_sum_over_paragraphs():
     of = fingerprints.Fingerprint.of_text
     assert of("a.\nb, c\nd") == of("d\na.\nb, c") != of("a.\nb, c")
