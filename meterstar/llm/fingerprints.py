@@ -1,7 +1,7 @@
 """Document fingerprints: sums of wide vectors hashed from paragraphs.
 
 A paragraph (line) is hashed to a vector with two parts: 4 numbers modulo 2**64
-that are uniform, and 256 numbers modulo 2**16 that add +1 or -1 for each of
+that are uniform, and 256 numbers modulo 2**32 that add +1 or -1 for each of
 the paragraph's clauses. A document's fingerprint is the sum over its paragraphs, so it
 does not depend on their order, equal multisets of paragraphs have equal
 fingerprints, and a paragraph is inserted or deleted by adding or subtracting
@@ -25,7 +25,7 @@ from meterstar.llm.inputs import picked, shuffle_partitions
 from meterstar.session import ship_package
 
 EXACT_LANES = 4     # modulo 2**64
-SIGN_LANES = 256    # modulo 2**16
+SIGN_LANES = 256    # modulo 2**32: a text of 2 GB, the longest there is, has fewer clauses than would wrap a lane
 _AT_ONCE = 4096
 _CLAUSE = re.compile(r"[^.!?;:,|]+")
 
@@ -37,7 +37,7 @@ class Fingerprint:
 
     def __init__(self, exact: np.ndarray | None = None, signs: np.ndarray | None = None):
         self.exact = np.zeros(EXACT_LANES, np.uint64) if exact is None else exact
-        self.signs = np.zeros(SIGN_LANES, np.uint16) if signs is None else signs
+        self.signs = np.zeros(SIGN_LANES, np.uint32) if signs is None else signs
 
     @classmethod
     def of_paragraphs(cls, paragraphs: Sequence[str]) -> Fingerprint:
@@ -51,7 +51,7 @@ class Fingerprint:
                 part = clauses[first:first + _AT_ONCE]
                 drawn = b"".join([hashlib.blake2b(c.encode(), digest_size=SIGN_LANES // 8, person=b"clause").digest() for c in part])
                 ones = np.unpackbits(np.frombuffer(drawn, np.uint8).reshape(len(part), -1), axis=1).sum(0, dtype=np.int64)
-                out.signs = out.signs + (2 * ones - len(part)).astype(np.uint16)
+                out.signs = out.signs + (2 * ones - len(part)).astype(np.uint32)
         return out
 
     @classmethod
@@ -71,16 +71,16 @@ class Fingerprint:
     __hash__ = None
 
     def hex(self) -> str:
-        return self.exact.astype("<u8").tobytes().hex() + self.signs.astype("<u2").tobytes().hex()
+        return self.exact.astype("<u8").tobytes().hex() + self.signs.astype("<u4").tobytes().hex()
 
     @classmethod
     def from_hex(cls, text: str) -> Fingerprint:
         data = bytes.fromhex(text)
         return cls(np.frombuffer(data, "<u8", EXACT_LANES).astype(np.uint64),
-                   np.frombuffer(data, "<u2", SIGN_LANES, 8 * EXACT_LANES).astype(np.uint16))
+                   np.frombuffer(data, "<u4", SIGN_LANES, 8 * EXACT_LANES).astype(np.uint32))
 
     def _length(self) -> float:
-        return float(np.mean(np.square(self.signs.astype(np.int16).astype(np.float64))))
+        return float(np.mean(np.square(self.signs.astype(np.int32).astype(np.float64))))
 
     def likeness(self, other: Fingerprint) -> float:
         """1 for equal fingerprints; otherwise the estimated share of clauses in common, 0 to 1."""
