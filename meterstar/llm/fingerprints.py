@@ -107,34 +107,51 @@ def replaced_end(text: str, fingerprint: Fingerprint, keep: int, new_end: str) -
 
 
 def with_neighbours(rows: DataFrame) -> DataFrame:
-    """Rows ``doc_id, text`` dealt so that a task streams neighbours by descending id.
+    """Rows ``doc_id, text`` dealt so that a task streams neighbours by descending id (then by hash of the text, then by text).
 
     Adds ``part`` and ``head``: after a part's rows comes, with ``head`` true, a copy of
     the next part's first row (after the last part: the first's). Texts are
-    shuffled once; parts are cut at quantiles of the ids, and only one id per part visits the driver.
+    shuffled once, each part to a task of its own. Parts are cut at quantiles of the ids; an id that fills several quantiles, and rows
+    without an id, are cut further by the hash of their texts. Only one id and hash per part visits the driver.
     """
     spark = rows.sparkSession
     parts = shuffle_partitions(spark)
-    cuts = rows.agg(F.percentile_approx("doc_id", F.lit([(i + 1) / parts for i in range(parts - 1)] or [0.5]), 10_000)).first()[0]
-    bounds = np.array(sorted(set(cuts or []), reverse=True), np.int64)
-    ascending = np.sort(bounds)
+    at = F.lit([(i + 1) / parts for i in range(parts - 1)] or [0.5])
+    cuts, without, total = rows.agg(
+        F.percentile_approx("doc_id", at, 10_000), F.count_if(F.col("doc_id").isNull()), F.count(F.lit(1))).first()
+    bounds, filled = np.unique(np.array(cuts or [], np.int64), return_counts=True)
+    filled = np.append(np.where(filled > 1, filled, 0), 0)  # parts of a bound's own rows; above the highest bound there are none
+    steps = np.append(filled[::-1] + 1, 0).cumsum()
+    starts = steps - np.append(filled[::-1] + 1, 0)           # first part of each interval, the highest ids first
+    last = int(steps[-1])
+    for_none = max(1, -(-without * parts // total)) if total else 1
+
+    def cut_by(marks: np.ndarray, pieces: np.ndarray | int) -> np.ndarray:
+        return np.minimum((marks / 2.0**64 + 0.5) * pieces, pieces - 1).astype(np.int64)
 
     @F.pandas_udf("int")
-    def part_of(ids):
-        # ids above the highest bound are part 0
-        return pd.Series((len(ascending) - np.searchsorted(ascending, ids.to_numpy(), side="left")).astype(np.int32))
-
-    # A NULL id would turn its batch into doubles, so it goes apart.
-    part = F.when(F.col("doc_id").isNull(), len(ascending) + 1).otherwise(part_of(F.coalesce("doc_id", F.lit(0))))
-    dealt = rows.select("doc_id", "text", part.alias("part"))
-    firsts = dealt.groupBy("part").agg(F.max("doc_id").alias("doc_id")).orderBy("part").collect()  # one row per part
-    if not firsts:
-        return dealt.withColumn("head", F.lit(False))
-    heads = [(firsts[(i + 1) % len(firsts)]["doc_id"], firsts[i]["part"]) for i in range(len(firsts))]
-    heads = spark.createDataFrame(heads, "_id bigint, _part int")
-    first = rows.join(F.broadcast(heads), F.col("doc_id").eqNullSafe(F.col("_id"))).select("doc_id", "text", F.col("_part").alias("part"))
-    both = dealt.withColumn("head", F.lit(False)).unionByName(first.withColumn("head", F.lit(True)))
-    return both.repartition(parts, "part").sortWithinPartitions("part", "head", F.col("doc_id").desc_nulls_last(), "text")
+    def part_of(ids: pd.Series, known: pd.Series, marks: pd.Series) -> pd.Series:
+        ids, marks = ids.to_numpy(), marks.to_numpy().astype(np.float64)
+        interval = np.searchsorted(bounds, ids, side="left")
+        pieces = filled[interval]
+        own = (pieces > 0) & (np.append(bounds, 0)[interval] == ids)
+        found = starts[len(bounds) - interval] + np.where(own, cut_by(marks, pieces), pieces)
+        return pd.Series(np.where(known.to_numpy(), found, last + cut_by(marks, for_none)).astype(np.int32))
+
+    mark = F.xxhash64("text")
+    part = part_of(F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNotNull(), mark)
+    dealt = rows.select("doc_id", "text", mark.alias("mark"), part.alias("part"))
+    # The complement of a hash is largest where the hash is least. One row per part.
+    firsts = dealt.groupBy("part").agg(F.max(F.struct("doc_id", F.bitwise_not("mark").alias("rest"))).alias("first")).orderBy("part").collect()
+    heads = [(firsts[(i + 1) % len(firsts)]["first"]["doc_id"], ~firsts[(i + 1) % len(firsts)]["first"]["rest"], firsts[i]["part"])
+             for i in range(len(firsts))]
+    heads = spark.createDataFrame(heads, "_id bigint, _mark bigint, _part int")
+    first = rows.join(F.broadcast(heads), F.col("doc_id").eqNullSafe(F.col("_id")) & (mark == F.col("_mark")))
+    first = first.groupBy("doc_id", "_mark", "_part").agg(F.min("text").alias("text"))
+    both = dealt.withColumn("head", F.lit(False)).unionByName(
+        first.select("doc_id", "text", F.col("_mark").alias("mark"), F.col("_part").alias("part"), F.lit(True).alias("head")))
+    order = ["part", "head", F.col("doc_id").desc_nulls_last(), "mark", "text"]
+    return both.repartitionById(last + for_none, F.col("part")).sortWithinPartitions(*order).select("doc_id", "text", "part", "head")
 
 
 def fingerprints(df: DataFrame, edited_share: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -144,7 +161,7 @@ def fingerprints(df: DataFrame, edited_share: int = 3, key: str = "doc_id", text
     (or all) of the next document, by descending key, after the last the first.
     Returns ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next``. Keys are whole numbers; NULL keys come last; rows that repeat a key
-    are neighbours in the order of their texts; a NULL text is empty; a single row is its own next; an empty table
+    are neighbours in the order of their texts' hashes; a NULL text is empty; a single row is its own next; an empty table
     gives no rows. A task holds two documents at a time.
     """
     ship_package(df.sparkSession)

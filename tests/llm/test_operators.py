@@ -33,6 +33,7 @@ from meterstar.llm import (
     warc,
     words,
 )
+from meterstar.llm.inputs import picked
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, shard string, component_id string, size string"
 
@@ -140,6 +141,36 @@ def test_fingerprint_is_a_sum_over_paragraphs():
     assert 0.4 < of("\n".join(many)).likeness(of("\n".join(many[:200] + [f"new {i}" for i in range(200)]))) < 0.6
 
 
+def test_likeness_of_very_many_clauses():
+    """Counts that agree modulo 2**16 are not alike."""
+    tail = [f"clause {i}" for i in range(50)]
+    many, few = (fingerprints.Fingerprint.of_paragraphs(["again"] * n + tail) for n in (70_000, 70_000 - 65_536))
+    counts = np.array([70_000.0, 4_464.0])
+    wanted = 1 - (counts[0] - counts[1]) ** 2 / ((counts ** 2).sum() + 100)
+    assert abs(many.likeness(few) - wanted) < 0.02
+    assert fingerprints.Fingerprint.from_hex(many.hex()) == many
+
+
+def test_neighbours_of_hot_keys_are_dealt(spark):
+    """Rows without an id, and of one id, are cut into parts; all have the right neighbour."""
+    ids = [None] * 40 + [7] * 40 + list(range(8, 28))
+    df = make(spark, [f"text {i}" for i in range(100)], ids)
+    dealt = [(r.part, r.head, r.doc_id, r.text) for r in fingerprints.with_neighbours(picked(df, doc_id="doc_id", text="text")).collect()]
+    assert len({p for p, head, i, _ in dealt if i is None and not head}) > 1
+    assert len({p for p, head, i, _ in dealt if i == 7 and not head}) > 1
+    found = fingerprints.fingerprints(df).collect()
+    of = {t: fingerprints.Fingerprint.of_text(t) for t in (f"text {i}" for i in range(100))}
+    texts = {of[t].hex(): t for t in of}
+    assert sorted(texts[r.fingerprint] for r in found) == sorted(of)
+    order = [(i, t) for _, head, i, t in sorted(dealt, key=lambda d: d[0]) if not head]
+    assert [i for i, _ in order] == sorted([i for i in ids if i], reverse=True) + [None] * 40
+    following = {t: order[(n + 1) % 100][1] for n, (_, t) in enumerate(order)}
+    for r in found:
+        t = texts[r.fingerprint]
+        cut = len(t) // 3
+        assert r.edited_sha256 == hashlib.sha256((t[:len(t) - cut] + following[t][:cut]).encode()).hexdigest()
+
+
 def test_fingerprints_of_edits(spark, texts):
     found = {r.doc_id: r for r in fingerprints.fingerprints(make(spark, texts)).collect()}
     body = [t or "" for t in texts]
