@@ -48,6 +48,23 @@ ORPHANS = [
 OUTLIERS = """SELECT 'cost_outliers', count(*), 'values exceed mean + 3 standard deviations' FROM defect
   WHERE CostUSD > (SELECT avg(CostUSD) + 3 * stddev_samp(CostUSD) FROM defect)"""
 
+# Keys of every dimension, folded in pairs; every fifth is missing.
+ALL_KEYS = """WITH days AS (SELECT unnest(generate_series(min(CAST(l_shipdate AS DATE)), max(CAST(l_shipdate AS DATE)), INTERVAL 1 DAY)) AS d
+    FROM lineitem),
+  source(t, name, k) AS (
+    SELECT 'date', 'DateKey', CAST(strftime(d, '%Y%m%d') AS BIGINT) FROM days
+    UNION ALL SELECT 'client', 'ClientKey', c_custkey FROM customer UNION ALL SELECT 'model', 'ModelKey', p_partkey FROM part
+    UNION ALL SELECT 'feature', 'FeatureKey', range FROM range(1, 6) UNION ALL SELECT 'region', 'RegionKey', r_regionkey FROM region
+    UNION ALL SELECT 'subscription', 'SubscriptionTierKey', range FROM range(1, 6)),
+  g AS (SELECT t, name, CASE WHEN k % 5 <> 1 THEN k - k % 2 END AS k, count(*) AS n FROM source GROUP BY ALL),
+  f(name, n, text) AS (
+    SELECT 'null_primary_key_' || t, sum(n) FILTER (k IS NULL), 'null ' || name || ' values' FROM g GROUP BY t, name
+    UNION ALL SELECT 'duplicate_primary_key_' || t, sum(n) FILTER (n > 1), 'rows have duplicate ' || name || ' values' FROM g GROUP BY t, name
+    UNION ALL SELECT 'many_to_one_cardinality_' || t, sum(n) FILTER (n > 1),
+      'rows prevent a many-to-one join on ' || name FROM g GROUP BY t, name)
+  SELECT name, 'critical' AS severity, CAST(n AS BIGINT) AS n_rows, CAST(n AS BIGINT) || ' ' || text AS detail
+  FROM f WHERE n > 0"""
+
 # Dimension keys: nations keyed by their region repeat; part sizes above 45 become NULL.
 KEYS = """WITH part_key AS (SELECT CASE WHEN p_size <= 45 THEN p_size END AS k, count(*) AS n FROM part GROUP BY 1),
   f(name, n, text) AS (
@@ -96,6 +113,7 @@ ORACLES = {
           count(*) || ' values are not valid dates' AS detail FROM orders WHERE o_orderstatus <> 'O'
         UNION ALL SELECT 'invalid_type_client_OnboardingDate', 'critical', count(*), count(*) || ' values are not valid dates'
           FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)) WHERE n_rows > 0""",
+    "dq4_dq6_all_dimensions": ALL_KEYS,
     "dq8_nulls": findings(*NULLS),
     "dq9_dq10_duplicates": FOLDED,
     "dq10_duplicate_ids": findings(DUPLICATE_IDS),

@@ -60,6 +60,11 @@ ORACLES = {
                 WHEN {DAYS} <= 180 THEN '91-180 days' ELSE '180+ days' END AS ClientAgeCohort, Month FROM usage"""
     ),
     "e14_running_tokens": requests("SELECT UsageID, ClientKey, Month, MonthlyTokensUsed FROM r", RUNNING),
+    "e14_running_tokens_by_months": shipments(
+        """SELECT UsageID, ClientKey, Month, Date, TimeKey, CAST(sum(tokens) OVER (PARTITION BY ClientKey, Month
+             ORDER BY Date, TimeKey, UsageID ROWS UNBOUNDED PRECEDING) AS BIGINT) AS MonthlyTokensUsed
+           FROM (SELECT UsageID, ClientKey, Month, Date, TimeKey, sum(TotalTokens) AS tokens FROM usage GROUP BY ALL)"""
+    ),
     "e14b_month_tokens": shipments(
         """SELECT UsageID, ClientKey, Month, TotalTokens,
              CAST(sum(TotalTokens) OVER (PARTITION BY ClientKey, Month) AS BIGINT) AS MonthlyTokensUsed FROM usage"""
@@ -71,6 +76,13 @@ ORACLES = {
                AS EffectiveCostWithOverage FROM q""",
         QUOTA,
     ),
+    "e15_zero_quota": requests(
+        """SELECT UsageID, TierName = 'Free' AND MonthlyTokensUsed > 0 AS IsInfinite,
+             CASE WHEN TierName = 'Free' THEN MonthlyTokensUsed > 0 ELSE QuotaUtilizationPct > 100 END AS IsOverQuota,
+             round(CAST(CostUSD AS DOUBLE) * CASE WHEN CASE WHEN TierName = 'Free' THEN MonthlyTokensUsed > 0
+               ELSE QuotaUtilizationPct > 100 END THEN OverageRateMultiplier ELSE 1 END, 7) AS EffectiveCostWithOverage FROM q""",
+        QUOTA,
+    ),
     "p1_cascade_filter": requests(
         """SELECT UsageID, RegionName, Provider, ModelName, ClientName FROM usage
            WHERE RegionName IN ('ASIA', 'EUROPE') AND Provider IN ('Brand#2', 'Brand#17', 'Brand#5')"""
@@ -171,6 +183,10 @@ ORACLES = {
         """SELECT round(LatencyMs, 6) AS LatencyMs, SatisfactionScore, ModelName FROM usage
            WHERE SatisfactionScore IS NOT NULL"""
     ),
+    "v5_cost_scatter_points": requests(
+        """SELECT CAST(CostUSD AS DOUBLE) AS CostUSD, TotalTokens, round(LatencyMs, 6) AS LatencyMs, ModelName FROM usage
+           WHERE CostUSD IS NOT NULL AND TotalTokens IS NOT NULL AND LatencyMs IS NOT NULL"""
+    ),
     "r1_row_index": """SELECT o_orderkey, o_totalprice,
         row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS RowIndex FROM orders""",
     "r1_global_rank": """SELECT o_orderkey, round(o_totalprice, -3) AS price,

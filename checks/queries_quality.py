@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from checks.registry import register
 from meterstar.operators import enrich, quality
 from meterstar.sources import samples
+from meterstar.sources.contracts import DIMENSION_KEYS
 
 
 @register("dq4_dq5_dq6_dimension_keys")
@@ -14,6 +15,17 @@ def _(spark, sf_dir):
     return quality.dimension_keys(sized, "model", "ModelKey")
 
 
+@register("dq4_dq6_all_dimensions")
+def _(spark, sf_dir):
+    """Every dimension with keys that repeat and keys that are missing."""
+    tables = samples.shipments(spark, sf_dir, place=False)
+    folded = {
+        name: tables[name].withColumn(key, F.when(F.col(key) % 5 != 1, F.col(key) - F.col(key) % 2).cast(tables[name].schema[key].dataType))
+        for name, key in DIMENSION_KEYS.items()
+    }
+    return quality.all_dimension_keys(tables.replace(**folded))
+
+
 @register("dq8_nulls")
 def _(spark, sf_dir):
     return quality.null_values(samples.defective(spark, sf_dir).fact)

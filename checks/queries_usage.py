@@ -45,6 +45,14 @@ def _(spark, sf_dir):
     return enrich.running_monthly_tokens(usage).select("UsageID", "ClientKey", "Month", "MonthlyTokensUsed")
 
 
+@register("e14_running_tokens_by_months")
+def _(spark, sf_dir):
+    """Over seven years; lines that share id and time are one step."""
+    steps = shipped(spark, sf_dir).groupBy("UsageID", "ClientKey", "Month", "Date", "TimeKey").agg(
+        F.sum("TotalTokens").alias("TotalTokens"))
+    return enrich.running_monthly_tokens(steps).select("UsageID", "ClientKey", "Month", "Date", "TimeKey", "MonthlyTokensUsed")
+
+
 @register("e14b_month_tokens")
 def _(spark, sf_dir):
     usage = shipped(spark, sf_dir).select("UsageID", "ClientKey", "Month", "TotalTokens")
@@ -57,6 +65,17 @@ def _(spark, sf_dir):
     return rounded(master.select("UsageID", "QuotaUtilizationPct", "IsOverQuota", "EffectiveCostWithOverage"), 7)
 
 
+@register("e15_zero_quota")
+def _(spark, sf_dir):
+    """One tier without quota, whose use counts as over."""
+    tables = samples.requests(spark, sf_dir)
+    quota = F.when(F.col("TierName") == "Free", 0).otherwise(F.col("MonthlyQuotaTokens")).cast("bigint")
+    tables = tables.replace(subscription=tables["subscription"].withColumn("MonthlyQuotaTokens", quota))
+    master = enrich.enrich(tables, validate=False, zero_quota_is_over=True)
+    infinite = F.col("QuotaUtilizationPct") == float("inf")
+    return rounded(master.select("UsageID", infinite.alias("IsInfinite"), "IsOverQuota", "EffectiveCostWithOverage"), 7)
+
+
 @register("p1_cascade_filter")
 def _(spark, sf_dir):
     usage = requested(spark, sf_dir, "client", "model", "region")
@@ -190,6 +209,12 @@ def _(spark, sf_dir):
     return rounded(kpis.scatter_points(requested(spark, sf_dir, "model"), "LatencyMs", "SatisfactionScore", "ModelName"))
 
 
+@register("v5_cost_scatter_points")
+def _(spark, sf_dir):
+    usage = requested(spark, sf_dir, "model").withColumn("CostUSD", F.col("CostUSD").cast("double"))
+    return rounded(kpis.scatter_points(usage, "CostUSD", "TotalTokens", "LatencyMs", "ModelName"))
+
+
 @register("r1_row_index")
 def _(spark, sf_dir):
     orders = samples.fact_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")

@@ -106,12 +106,16 @@ def running_monthly_tokens(df: DataFrame) -> DataFrame:
     return out.drop("_time")
 
 
-def quota_columns(df: DataFrame) -> DataFrame:
+def quota_columns(df: DataFrame, zero_quota_is_over: bool = False) -> DataFrame:
     """Add utilisation, the over-quota flag and the cost with overage.
 
-    A zero quota gives no utilisation (NULL) and is not over quota.
+    A zero quota gives no utilisation (NULL) and is not over quota. With
+    ``zero_quota_is_over`` any use of a zero quota is infinite utilisation, so over quota; no use of it still gives NULL.
     """
     utilisation = C.ratio("MonthlyTokensUsed", "MonthlyQuotaTokens") * 100.0
+    if zero_quota_is_over:
+        unlimited = (F.col("MonthlyQuotaTokens") == 0) & (F.col("MonthlyTokensUsed") > 0)
+        utilisation = F.when(unlimited, F.lit(float("inf"))).otherwise(utilisation)
     over = F.coalesce(utilisation > 100, F.lit(False))
     return df.withColumns({
         "QuotaUtilizationPct": utilisation,
@@ -121,7 +125,7 @@ def quota_columns(df: DataFrame) -> DataFrame:
     })
 
 
-def enrich(tables: StarTables, validate: bool = True) -> DataFrame:
+def enrich(tables: StarTables, validate: bool = True, zero_quota_is_over: bool = False) -> DataFrame:
     """The enriched master: one row per fact row, all attributes, running quota use.
 
     The running total is taken on the raw fact with only the date attached, so
@@ -136,7 +140,7 @@ def enrich(tables: StarTables, validate: bool = True) -> DataFrame:
     others = [d for d in DIMENSION_KEYS if d != "date"]
     joined = star_join(tables, ["date"], validate=False, fact=used).drop("Month")
     joined = star_join(tables, others, validate=validate, fact=joined)
-    return quota_columns(derive(joined))
+    return quota_columns(derive(joined), zero_quota_is_over)
 
 
 def month_tokens(df: DataFrame) -> DataFrame:

@@ -186,3 +186,13 @@ def test_holidays(spark):
 def test_number_format(spark):
     row = spark.range(1).select(C.format_number(F.lit(1234567.891), 2), C.format_number(F.lit(12.5))).first()
     assert (row[0], row[1]) == ("1,234,567.89", "12")
+
+
+def test_use_of_a_zero_quota_counts_as_over_on_request(make_star):
+    star = make_star([{"TotalTokens": 0}, {"DateKey": 20250101, "TotalTokens": 5}],
+                     subscription=[(1, "None", 0, 1.5, "Mail")])
+    rows = enrich.enrich(star, zero_quota_is_over=True).orderBy("UsageID").collect()
+    assert [r["QuotaUtilizationPct"] for r in rows] == [None, float("inf")]
+    assert [r["IsOverQuota"] for r in rows] == [False, True]
+    assert [r["EffectiveCostWithOverage"] for r in rows] == [pytest.approx(0.12), pytest.approx(0.18)]
+    assert [r["QuotaUtilizationPct"] for r in enrich.enrich(star).orderBy("UsageID").collect()] == [None, None]
