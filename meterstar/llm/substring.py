@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from meterstar.llm.held import releasing
 from meterstar.llm.inputs import carried, picked, text_mark
-from meterstar.llm.words import hashes, windows, words
+from meterstar.llm.words import hashes, mixed, windows, words
 from meterstar.session import materialise, ship_package
 
 # Perfect difference sets, by period. Any two positions modulo the
@@ -26,6 +26,7 @@ FILTER_BITS_EACH = 32
 _PROBES = (0, 12, 23, 34)   # each probe reads the anchor's 64 bits from another place
 LEAST_FILTER_BITS, MOST_FILTER_BITS = 1 << 16, 1 << 30   # at most 128 MB are sent to the executors
 _PAGE_BITS = 32768      # of Spark's bitmap functions
+_SECOND = np.uint64(0xD6E8FEB86659FD93)   # makes the other half of a run's hash independent of the first
 _LAST = (1 << 63) - 1   # a missing key comes after all others
 
 
@@ -46,13 +47,18 @@ def _anchors(h: np.ndarray, length: int, period: int) -> tuple[np.ndarray, np.nd
     return at, found[at]
 
 
+def _runs(h: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Both halves of the 128-bit hash of each run of ``length`` words."""
+    return windows(h, length), windows(mixed(h ^ _SECOND), length)
+
+
 def _filter(shared: DataFrame) -> tuple[np.ndarray, int]:
-    """A bitmap that has the bit of every shared anchor; its size is bounded, whatever the corpus."""
+    """A bitmap that has the bit of every hash in column ``anchor``; its size is bounded, whatever the corpus."""
     bits = LEAST_FILTER_BITS
     rows = shared.count()
     while bits < min(FILTER_BITS_EACH * rows, MOST_FILTER_BITS):
         bits *= 2
-    # Each probe is another cut of the anchor's 64 bits.
+    # Each probe is another cut of the hash's 64 bits.
     cuts = [F.shiftrightunsigned("anchor", shift).bitwiseAND(F.lit(bits - 1)) + 1 for shift in _PROBES]
     at = F.explode(F.array(*cuts)).alias("at")
     pages = shared.select(at).groupBy(F.bitmap_bucket_number("at").alias("page")).agg(
@@ -64,16 +70,19 @@ def _filter(shared: DataFrame) -> tuple[np.ndarray, int]:
     return out, bits
 
 
-def _candidates(h: np.ndarray, bitmap: np.ndarray, bits: int, length: int, period: int) -> np.ndarray:
-    """Starts of the windows of ``length`` words that hold a shared anchor."""
-    at, found = _anchors(h, length, period)
-    if not len(at):
-        return at
-    on = np.ones(len(at), bool)
+def _passing(found: np.ndarray, bitmap: np.ndarray, bits: int) -> np.ndarray:
+    """Which hashes the bitmap may hold: all that it does hold, and a few others."""
+    on = np.ones(len(found), bool)
     for shift in _PROBES:
         bit = (found >> np.uint64(shift)) & np.uint64(bits - 1)
         on &= (bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-    at = at[on]
+    return on
+
+
+def _candidates(h: np.ndarray, bitmap: np.ndarray, bits: int, length: int, period: int) -> np.ndarray:
+    """Starts of the windows of ``length`` words that hold a shared anchor."""
+    at, found = _anchors(h, length, period)
+    at = at[_passing(found, bitmap, bits)]
     if not len(at):
         return at
     last = len(h) - length
@@ -93,12 +102,12 @@ def repeated_passages(df: DataFrame, length: int = LENGTH, period: int = PERIOD,
     Windows of ``length - period + 1`` words are hashed only at the positions of a
     difference cover. Two equal runs of ``length`` words have such an anchor at
     a common place, whatever their positions, so a run without an anchor that occurs in two documents is not
-    repeated. Runs around shared anchors are extended word by word: each is
-    hashed whole, and the least key of each hash decides. No pairs of
+    repeated. A shared anchor is extended to every run of ``length`` words around it; each such run is
+    hashed whole to 128 bits (no words are compared again), and the least key of each hash decides. No pairs of
     documents are made, however many share a passage.
 
-    The shared anchors go to the executors as a bitmap that is at most
-    ``MOST_FILTER_BITS`` large; beyond that it lets more runs through to the exact comparison, and the result is the same.
+    First the shared anchors, then the repeated runs go to the executors as a bitmap that is at most
+    ``MOST_FILTER_BITS`` large; beyond that it lets more runs through to the join, which decides, and the result is the same.
     Keys are whole numbers; a missing key counts as larger than all others. Rows that repeat a
     key do not remove from each other. A NULL text has no words. An empty table gives no rows.
     """
@@ -119,34 +128,45 @@ def repeated_passages(df: DataFrame, length: int = LENGTH, period: int = PERIOD,
     bitmap, bits = _filter(shared)
     sent = spark.sparkContext.broadcast(bitmap.tobytes())
 
-    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.frombuffer(sent.value, np.uint8)
+    def emitted(batches: Iterator[pa.RecordBatch], places_of) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, prints, places, found = [], [], [], []
+            columns: list[list[np.ndarray]] = [[], [], [], [], []]
             for doc_id, t in zip(batch.column(0).to_pylist(), batch.column(1)):
                 h = hashes(t.as_py())
-                at = _candidates(h, own, bits, length, period)
+                run, more = _runs(h, length)
+                at = places_of(h, run)
                 if len(at):
-                    ids.append(np.full(len(at), _LAST if doc_id is None else doc_id, np.int64))
-                    prints.append(np.full(len(at), xxhash.xxh3_64_intdigest(h.tobytes()), np.uint64).view(np.int64))
-                    places.append(at.astype(np.int32))
-                    found.append(windows(h, length)[at].view(np.int64))
-            if ids:
-                whole = pa.RecordBatch.from_pydict({
-                    "id": pa.array(np.concatenate(ids)), "print": pa.array(np.concatenate(prints)),
-                    "place": pa.array(np.concatenate(places)), "run": pa.array(np.concatenate(found))})
+                    own = (np.full(len(at), _LAST if doc_id is None else doc_id, np.int64),
+                           np.full(len(at), xxhash.xxh3_64_intdigest(h.tobytes()), np.uint64).view(np.int64),
+                           at.astype(np.int32), run[at].view(np.int64), more[at].view(np.int64))
+                    for column, values in zip(columns, own):
+                        column.append(values)
+            if columns[0]:
+                whole = pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["id", "print", "place", "run", "more"])
                 for at in range(0, whole.num_rows, 100_000):
                     yield whole.slice(at, 100_000)
 
-    runs = rows.mapInArrow(releasing(candidates), "id bigint, print bigint, place int, run bigint")
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.frombuffer(sent.value, np.uint8)
+        return emitted(batches, lambda h, run: _candidates(h, own, bits, length, period))
+
+    schema = "id bigint, print bigint, place int, run bigint, more bigint"
     # Written first: a join of two plain inputs can have a very common run split over tasks.
-    first = materialise(
-        runs.groupBy("run").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("run", "low"))
-    repeats = runs.join(first, "run").where("id > low")
-    spans = repeats.groupBy("id", "print").agg(F.collect_list("place").alias("places"))  # at most one per word of the document
+    first = materialise(rows.mapInArrow(releasing(candidates), schema).groupBy("run", "more").agg(
+        F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("run", "more", "low"))
+    known, known_bits = _filter(first.select(F.col("run").alias("anchor")))
+    sent_runs = spark.sparkContext.broadcast(known.tobytes())
+    sent.unpersist()
+
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.frombuffer(sent_runs.value, np.uint8)
+        return emitted(batches, lambda h, run: np.nonzero(_passing(run, own, known_bits))[0])
+
+    repeats = rows.mapInArrow(releasing(repeated), schema).join(first, ["run", "more"]).where("id > low")
+    spans = repeats.groupBy("id", "print").agg(F.collect_set("place").alias("places"))  # at most one per word of the document
 
     def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.frombuffer(sent.value, np.uint8)
+        own = np.frombuffer(sent_runs.value, np.uint8)
         for batch in batches:
             counts, prints, sums, texts = [], [], [], []
             for t in batch.column(1):
@@ -156,7 +176,7 @@ def repeated_passages(df: DataFrame, length: int = LENGTH, period: int = PERIOD,
                 counts.append(len(found))
                 prints.append(xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63))
                 sums.append(hashlib.sha256(b" ".join(found)).hexdigest())
-                texts.append(text if len(_candidates(h, own, bits, length, period)) else None)
+                texts.append(text if _passing(windows(h, length), own, known_bits).any() else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(counts, pa.int64()), pa.array(prints, pa.int64()), pa.array(sums),
                  pa.array(texts, pa.string())],
