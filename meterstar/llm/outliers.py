@@ -22,11 +22,11 @@ LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 
 DIMENSIONS = 5
-# Least standard deviation per statistic: most documents have no symbol, no repeated line and no
-# repeated phrase, and without a floor the first of each would be infinitely far.
-FLOORS = (0.6, 0.2, 0.7, 0.8, 0.9)
+SPARSE = (2, 3, 4)      # symbols, repeated lines, repeated phrases: most documents have none
 HALF = 0.75             # share of a group that the covariance is minimised over
-STEPS = 3               # concentration steps
+STARTS = 3              # first estimates that the search begins from
+MOST_STEPS = 30         # concentration steps, if the determinants keep falling
+LEAST_FALL = 1e-2       # a log determinant that falls by less has stopped: about what the bins resolve
 PRIOR_ROWS = 50.0       # weight of all groups together in each group's estimate
 CONFIDENCE = 0.9999     # of the chi-squared cut
 _BINS = 64              # per unit, for medians of statistics and of log distances
@@ -106,8 +106,11 @@ def _place_at(counts: DataFrame, by: list[str], share: float, name: str) -> Data
     return counts.select(*by, "bin", (upto >= F.ceil(F.lit(share) * total)).alias("_in")).where("_in").groupBy(*by).agg(F.min("bin").alias(name))
 
 
-def _inverse_root(moments: DataFrame, scale: float) -> DataFrame:
-    """Location ``_m*`` and inverse Cholesky factor ``_l*_*`` per group from ``_n``, sums ``_s*`` and ``_s*_*``."""
+def _inverse_root(moments: DataFrame, scale: float, least: list[float]) -> DataFrame:
+    """Location ``_m*``, inverse Cholesky factor ``_l*_*`` and log determinant per group and start from ``_n``, sums ``_s*`` and ``_s*_*``.
+
+    No variance is below the square of ``least``: raising a diagonal keeps a covariance positive.
+    """
     d = range(DIMENSIONS)
     out = moments.withColumns({f"_m{i}": F.col(f"_s{i}") / F.col("_n") for i in d})
     for i in d:
@@ -115,7 +118,8 @@ def _inverse_root(moments: DataFrame, scale: float) -> DataFrame:
             cov = (F.col(f"_s{i}_{j}") / F.col("_n") - F.col(f"_m{i}") * F.col(f"_m{j}")) * scale
             rest = reduce(lambda a, b: a + b, [F.col(f"_c{i}_{k}") * F.col(f"_c{j}_{k}") for k in range(j)], F.lit(0.0))
             if i == j:
-                out = out.withColumn(f"_c{i}_{i}", F.sqrt(F.greatest(cov, F.lit(0.0)) + FLOORS[i] ** 2 - rest))
+                # Rounding may leave less than the least residual variance, never less than a thousandth of the least one.
+                out = out.withColumn(f"_c{i}_{i}", F.sqrt(F.greatest(F.greatest(cov, F.lit(least[i] ** 2)) - rest, F.lit(least[i] ** 2 / 1000))))
             else:
                 out = out.withColumn(f"_c{i}_{j}", (cov - rest) / F.col(f"_c{j}_{j}"))
     for j in d:
@@ -125,8 +129,13 @@ def _inverse_root(moments: DataFrame, scale: float) -> DataFrame:
             else:
                 rest = reduce(lambda a, b: a + b, [F.col(f"_c{i}_{k}") * F.col(f"_l{k}_{j}") for k in range(j, i)])
                 out = out.withColumn(f"_l{i}_{j}", -rest / F.col(f"_c{i}_{i}"))
-    names = [f"_m{i}" for i in d] + [f"_l{i}_{j}" for i in d for j in range(i + 1)]
-    return out.select("_glang", "_gsource", *names)
+    size = reduce(lambda a, b: a + b, [2 * F.log(f"_c{i}_{i}") for i in d])
+    return out.select("_glang", "_gsource", "_start", size.alias("_det"), *_estimate())
+
+
+def _estimate() -> list[str]:
+    d = range(DIMENSIONS)
+    return [f"_m{i}" for i in d] + [f"_l{i}_{j}" for i in d for j in range(i + 1)]
 
 
 def _distance() -> Column:
@@ -138,11 +147,38 @@ def _distance() -> Column:
     return reduce(lambda a, b: a + b, [p * p for p in parts])
 
 
-def _start(rows: DataFrame) -> DataFrame:
-    """First estimate per group: medians, and quartile ranges as independent spreads."""
+def _counted(rows: DataFrame) -> DataFrame:
+    """``lang, source, dim, bin, n``: how many rows of a group have a statistic in each bin; exactly 0 is bin -1."""
+    bins = [F.when(F.col(f"_x{i}") == 0, F.lit(-1)).otherwise(F.floor(F.col(f"_x{i}") * _BINS)).cast("bigint") for i in range(DIMENSIONS)]
+    cells = rows.select("lang", "source", F.posexplode(F.array(*bins)).alias("dim", "bin"))
+    return cells.groupBy("lang", "source", "dim", "bin").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _least_spreads(counts: DataFrame) -> list[float] | None:
+    """The least standard deviation of each statistic, from the data; None without rows.
+
+    It is what one more word, character, symbol, repeated line or repeated word changes in a document of the median
+    length. Where most documents have none of something, the nearest rows can't show how it spreads among those that have some:
+    there it is at least the median deviation, as a normal's, of all groups' non-zero values from their median.
+    """
+    pooled = materialise(counts.where("dim = 0 OR bin >= 0").groupBy("dim", "bin").agg(F.sum("n").alias("n")))
+    middle = materialise(_place_at(pooled, ["dim"], 0.5, "mid"))
+    apart = pooled.join(middle, "dim").select("dim", F.abs(F.col("bin") - F.col("mid")).alias("bin"), "n")
+    spread = _place_at(apart.groupBy("dim", "bin").agg(F.sum("n").alias("n")), ["dim"], 0.5, "mad")
+    found = {r["dim"]: r for r in middle.join(spread, "dim").collect()}  # a row per statistic
+    if 0 not in found:
+        return None
+    words = math.expm1((found[0]["mid"] + 0.5) / _BINS)
+    chars = math.expm1((found[1]["mid"] + 0.5) / _BINS)
+    unit = [1 / (1 + words), 1 / (words * (1 + chars)), math.log1p(100 / words), math.log1p(1), math.log1p(100 / words)]
+    mad = [1.4826 * found[i]["mad"] / _BINS if i in SPARSE and i in found else 0.0 for i in range(DIMENSIONS)]
+    return [max(u, m, 1 / _BINS) for u, m in zip(unit, mad)]
+
+
+def _starts(rows: DataFrame, counts: DataFrame, least: list[float]) -> DataFrame:
+    """First estimates per group: medians with quartile ranges as independent spreads, medians with the
+    least spreads, and the mean and covariance of all rows."""
     by = ["lang", "source", "dim"]
-    cells = rows.select("lang", "source", F.posexplode(F.array(*[F.floor(F.col(f"_x{i}") * _BINS) for i in range(DIMENSIONS)])).alias("dim", "bin"))
-    counts = materialise(cells.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n")))
     window = W.partitionBy(*by)
     upto, total = F.sum("n").over(window.orderBy("bin")), F.sum("n").over(window)
     reached = lambda p: F.min(F.when(F.col("upto") >= F.ceil(F.lit(p) * F.col("total")), F.col("bin")))
@@ -151,29 +187,62 @@ def _start(rows: DataFrame) -> DataFrame:
     d = range(DIMENSIONS)
     at = lambda name, i: F.max(F.when(F.col("dim") == i, F.col(name)))
     spread = lambda i: (at("high", i) - at("low", i)) / (_BINS * 1.349)  # noqa: E731  a normal's quartile range
-    return _grouped(joined.groupBy("lang", "source").agg(
-        *[((at("mid", i) + 0.5) / _BINS).alias(f"_m{i}") for i in d],
-        *[(1.0 / F.sqrt(spread(i) * spread(i) + FLOORS[i] ** 2) if i == j else F.lit(0.0)).alias(f"_l{i}_{j}") for i in d for j in range(i + 1)],
-    ))
+    middles = [(F.greatest(at("mid", i) + 0.5, F.lit(0)) / _BINS).alias(f"_m{i}") for i in d]
 
+    def independent(number: int, spreads: list[Column]) -> DataFrame:
+        lower = [(1.0 / spreads[i] if i == j else F.lit(0.0)).alias(f"_l{i}_{j}") for i in d for j in range(i + 1)]
+        size = reduce(lambda a, b: a + b, [2 * F.log(s) for s in spreads])
+        found = _grouped(joined.groupBy("lang", "source").agg(*middles, *lower, size.alias("_det")))
+        return found.select("_glang", "_gsource", F.lit(number).alias("_start"), "_det", *_estimate())
 
-def _concentrated(rows: DataFrame, fit: DataFrame) -> DataFrame:
-    """One step: the covariance of each group's nearest rows under the last estimate, which never has a larger determinant."""
-    near = rows.join(fit, _same_group()).withColumn("bin", F.floor(F.log1p(_distance()) * _BINS)).select(
-        "lang", "source", "bin", *[f"_x{i}" for i in range(DIMENSIONS)])
-    counts = near.groupBy("lang", "source", "bin").agg(F.count(F.lit(1)).alias("n"))
-    edges = _grouped(materialise(_place_at(counts, ["lang", "source"], HALF, "_edge")))
+    whole = _grouped(_moments(rows.withColumn("_start", F.lit(2))))
+    return independent(0, [F.greatest(spread(i), F.lit(least[i])) for i in d]).unionByName(
+        independent(1, [F.max(F.lit(x)) for x in least])).unionByName(_inverse_root(whole, 1.0, least))
+
+
+def _moments(rows: DataFrame) -> DataFrame:
     d = range(DIMENSIONS)
-    sums = near.join(edges, _same_group()).where("bin <= _edge").groupBy("lang", "source").agg(
+    return rows.groupBy("lang", "source", "_start").agg(
         F.count(F.lit(1)).cast("double").alias("_n"), *[F.sum(f"_x{i}").alias(f"_s{i}") for i in d],
         *[F.sum(F.col(f"_x{i}") * F.col(f"_x{j}")).alias(f"_s{i}_{j}") for i in d for j in range(i + 1)])
-    sums = materialise(_grouped(sums))
-    names = [c for c in sums.columns if c.startswith("_s") or c == "_n"]
-    pooled = sums.agg(*[F.sum(c).alias(c) for c in names]).first()
-    if not pooled["_n"]:
-        return fit
-    prior = {c: PRIOR_ROWS * pooled[c] / pooled["_n"] for c in names}
-    return materialise(_inverse_root(sums.withColumns({c: F.col(c) + F.lit(prior[c]) for c in names}), consistency()))
+
+
+def _concentrated(rows: DataFrame, fit: DataFrame, least: list[float]) -> DataFrame:
+    """One step of every start: the covariance of each group's nearest rows under the last estimate."""
+    near = rows.join(fit, _same_group()).withColumn("bin", F.floor(F.log1p(_distance()) * _BINS)).select(
+        "lang", "source", "_start", "bin", *[f"_x{i}" for i in range(DIMENSIONS)])
+    by = ["lang", "source", "_start"]
+    counts = near.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n"))
+    edges = _grouped(materialise(_place_at(counts, by, HALF, "_edge"))).withColumnRenamed("_start", "_of")
+    inner = near.join(edges, _same_group() & (F.col("_start") == F.col("_of"))).where("bin <= _edge")
+    sums = materialise(_grouped(_moments(inner)))
+    names = [c for c in sums.columns if c.startswith("_s") and c != "_start" or c == "_n"]
+    pooled = sums.groupBy("_start").agg(*[(F.sum(c) * PRIOR_ROWS / F.sum("_n")).alias(f"_p{c}") for c in names])
+    both = sums.join(pooled, "_start").withColumns({c: F.col(c) + F.col(f"_p{c}") for c in names})
+    return materialise(_inverse_root(both, consistency(), least))
+
+
+def _fitted(sound: DataFrame) -> DataFrame:
+    """Per group the estimate with the least determinant that any start leads to.
+
+    Every start is improved until no group's determinant falls any more.
+    """
+    counts = materialise(_counted(sound))
+    least = _least_spreads(counts)
+    if least is None:
+        names = ", ".join(f"{c} double" for c in _estimate())
+        return sound.sparkSession.createDataFrame([], f"_glang string, _gsource string, {names}")
+    fit = _concentrated(sound, materialise(_starts(sound, counts, least)), least)
+    for _ in range(MOST_STEPS):
+        better = _concentrated(sound, fit, least)
+        old = fit.select(*[F.col(c).alias(f"_o{c}") for c in ("_glang", "_gsource", "_start", "_det")])
+        same = F.col("_glang").eqNullSafe(F.col("_o_glang")) & F.col("_gsource").eqNullSafe(F.col("_o_gsource")) & (F.col("_start") == F.col("_o_start"))
+        fall = better.join(old, same).agg(F.max(F.col("_o_det") - F.col("_det"))).first()[0]
+        fit = better
+        if fall is None or fall < LEAST_FALL:
+            break
+    best = F.min(F.struct("_det", "_start", *_estimate())).alias("_best")
+    return materialise(fit.groupBy("_glang", "_gsource").agg(best).select("_glang", "_gsource", *[f"_best.{c}" for c in _estimate()]))
 
 
 def judged(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -183,7 +252,7 @@ def judged(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "
     Rows with under 50 words, or with over half their words in repeated 3-word phrases, fail at once.
     The others' transformed statistics are compared with the robust centre of
     their language and source: the minimum-covariance-determinant estimate, found by concentration
-    steps from medians and quartile ranges, with a floor on each spread. Rows beyond the
+    steps from several starts until no determinant falls. A spread is never below what the data can resolve (``_least_spreads``). Rows beyond the
     chi-squared cut are rejected. Every group's moments include ``PRIOR_ROWS`` rows' worth of all groups', so that
     a small group is judged by common measure without a size limit.
 
@@ -195,10 +264,7 @@ def judged(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "
     percent = 100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")
     rows = text_statistics(rows).withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | percent)
     rows = materialise(rows).withColumns(transformed())
-    sound = rows.where("NOT base_failed")
-    fit = materialise(_start(sound))
-    for _ in range(STEPS):
-        fit = _concentrated(sound, fit)
+    fit = _fitted(rows.where("NOT base_failed"))
     cut = chi_squared_quantile(CONFIDENCE, DIMENSIONS)
     joined = rows.join(fit, _same_group(), "left").withColumn("distance", F.when(~F.col("base_failed"), F.sqrt(_distance())))
     return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance",

@@ -357,6 +357,36 @@ def test_outliers_statistics_and_verdict(spark):
     assert outliers.judged(nulls).where("kept").count() == 80
 
 
+def test_moderate_outliers_are_rejected(spark):
+    rng = random.Random(12)
+    vocabulary = [f"wort{i}" for i in range(3000)]
+    drawn = lambda n: rng.choices(vocabulary, k=n)
+    plain = []
+    for i in range(300):  # a few have a repeated phrase or a symbol, as real texts do
+        w = drawn(rng.randint(100, 300))
+        plain.append(" ".join(w + w[:3] if i % 6 == 0 else [*w, "&"] if i % 20 == 1 else w))
+    symbols = [" ".join(drawn(150)) + " #" * 30 for _ in range(4)]
+    phrases = [" ".join(drawn(120) + drawn(5) * 16) for _ in range(4)]  # two fifths of the words
+    found = {r.doc_id: r for r in outliers.judged(make(spark, plain + symbols + phrases)).collect()}
+    assert all(not found[300 + i].base_failed and not found[300 + i].kept for i in range(8))
+    assert sum(found[i].kept for i in range(300)) >= 297
+
+
+def test_fit_recovers_a_covariance_behind_outliers(spark):
+    rng = np.random.default_rng(3)
+    lower = np.tril(rng.uniform(-0.4, 0.4, (5, 5)), -1) + np.diag([0.5, 0.8, 1.2, 1.5, 1.1])
+    clean = rng.normal(size=(4000, 5)) @ lower.T + 6
+    away = rng.normal(size=(200, 5)) * 0.1 + 12
+    rows = [("en", "a", *map(float, x)) for x in np.concatenate([clean, away])]
+    df = spark.createDataFrame(rows, "lang string, source string, " + ", ".join(f"_x{i} double" for i in range(5)))
+    fit = outliers._fitted(df).first()
+    inverse = np.array([[fit[f"_l{i}_{j}"] if j <= i else 0.0 for j in range(5)] for i in range(5)])
+    assert np.allclose([fit[f"_m{i}"] for i in range(5)], 6, atol=0.15)
+    # Whitening the clean rows by the estimate must leave about unit spreads without correlation.
+    white = (clean - clean.mean(0)) @ inverse.T
+    assert np.allclose(np.cov(white.T), np.eye(5), atol=0.25)
+
+
 def test_consistency_of_the_inner_share():
     assert outliers.chi_squared_quantile(0.95, 5) == pytest.approx(11.0705, abs=1e-3)
     assert outliers.chi_squared(9.0, 7) == pytest.approx(0.7473, abs=1e-3)
@@ -390,6 +420,19 @@ def test_repeated_passages_against_brute_force(spark, texts):
         assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in found} == brute_cut(list(zip(ids, texts)), length)
 
 
+def test_repeated_passages_behind_a_full_bitmap(spark, texts, monkeypatch):
+    monkeypatch.setattr(substring, "LEAST_FILTER_BITS", 64)
+    monkeypatch.setattr(substring, "MOST_FILTER_BITS", 64)  # lets nearly every run through
+    found = substring.repeated_passages(make(spark, texts)).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in found} == brute_cut(list(enumerate(texts)), 50)
+
+
+def test_halves_of_a_run_hash_are_independent():
+    a, b = substring._runs(hashes(" ".join(f"w{i}" for i in range(5000))), 50)
+    assert len(np.unique(a)) == len(np.unique(b)) == 4951 and not np.intersect1d(a, b).size
+    assert abs(np.corrcoef(a.astype(float), b.astype(float))[0, 1]) < 0.06
+
+
 def test_repeated_passages_of_awkward_rows(spark):
     long = " ".join(f"w{i}" for i in range(60))
     df = make(spark, [long, long, long + " x", None, long], [None, 4, 4, 2, 9])
