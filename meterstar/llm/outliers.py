@@ -26,7 +26,8 @@ SPARSE = (2, 3, 4)      # symbols, repeated lines, repeated phrases: most docume
 HALF = 0.75             # share of a group that the covariance is minimised over
 STARTS = 3              # first estimates that the search begins from
 MOST_STEPS = 30         # concentration steps, if the determinants keep falling
-LEAST_FALL = 1e-2       # a log determinant that falls by less has stopped: about what the bins resolve
+FIRST_STEPS = 2         # steps of every start; then each group's best start goes on alone
+LEAST_FALL = 1e-2       # a mean log determinant that falls by less has stopped: about what the bins resolve
 PRIOR_ROWS = 50.0       # weight of all groups together in each group's estimate
 CONFIDENCE = 0.9999     # of the chi-squared cut
 _BINS = 64              # per unit, for medians of statistics and of log distances
@@ -130,7 +131,7 @@ def _inverse_root(moments: DataFrame, scale: float, least: list[float]) -> DataF
                 rest = reduce(lambda a, b: a + b, [F.col(f"_c{i}_{k}") * F.col(f"_l{k}_{j}") for k in range(j, i)])
                 out = out.withColumn(f"_l{i}_{j}", -rest / F.col(f"_c{i}_{i}"))
     size = reduce(lambda a, b: a + b, [2 * F.log(f"_c{i}_{i}") for i in d])
-    return out.select("_glang", "_gsource", "_start", size.alias("_det"), *_estimate())
+    return out.select("_glang", "_gsource", "_start", "_n", size.alias("_det"), *_estimate())
 
 
 def _estimate() -> list[str]:
@@ -193,7 +194,7 @@ def _starts(rows: DataFrame, counts: DataFrame, least: list[float]) -> DataFrame
         lower = [(1.0 / spreads[i] if i == j else F.lit(0.0)).alias(f"_l{i}_{j}") for i in d for j in range(i + 1)]
         size = reduce(lambda a, b: a + b, [2 * F.log(s) for s in spreads])
         found = _grouped(joined.groupBy("lang", "source").agg(*middles, *lower, size.alias("_det")))
-        return found.select("_glang", "_gsource", F.lit(number).alias("_start"), "_det", *_estimate())
+        return found.select("_glang", "_gsource", F.lit(number).alias("_start"), F.lit(0.0).alias("_n"), "_det", *_estimate())
 
     whole = _grouped(_moments(rows.withColumn("_start", F.lit(2))))
     return independent(0, [F.greatest(spread(i), F.lit(least[i])) for i in d]).unionByName(
@@ -217,32 +218,35 @@ def _concentrated(rows: DataFrame, fit: DataFrame, least: list[float]) -> DataFr
     inner = near.join(edges, _same_group() & (F.col("_start") == F.col("_of"))).where("bin <= _edge")
     sums = materialise(_grouped(_moments(inner)))
     names = [c for c in sums.columns if c.startswith("_s") and c != "_start" or c == "_n"]
-    pooled = sums.groupBy("_start").agg(*[(F.sum(c) * PRIOR_ROWS / F.sum("_n")).alias(f"_p{c}") for c in names])
-    both = sums.join(pooled, "_start").withColumns({c: F.col(c) + F.col(f"_p{c}") for c in names})
-    return materialise(_inverse_root(both, consistency(), least))
+    # One prior for all starts: they come to nearly the same rows.
+    pooled = sums.agg(*[(F.sum(c) * PRIOR_ROWS / F.sum("_n")).alias(c) for c in names]).first()
+    return materialise(_inverse_root(sums.withColumns({c: F.col(c) + F.lit(pooled[c]) for c in names}), consistency(), least))
 
 
 def _fitted(sound: DataFrame) -> DataFrame:
     """Per group the estimate with the least determinant that any start leads to.
 
-    Every start is improved until no group's determinant falls any more.
+    All starts take a few steps, and the best of each group goes on until the mean log determinant, weighed by rows, stops falling.
     """
     counts = materialise(_counted(sound))
     least = _least_spreads(counts)
     if least is None:
         names = ", ".join(f"{c} double" for c in _estimate())
         return sound.sparkSession.createDataFrame([], f"_glang string, _gsource string, {names}")
-    fit = _concentrated(sound, materialise(_starts(sound, counts, least)), least)
+    fit = materialise(_starts(sound, counts, least))
+    for _ in range(FIRST_STEPS):
+        fit = _concentrated(sound, fit, least)
+    best = F.min(F.struct("_det", "_start", "_n", *_estimate())).alias("_best")
+    fit = materialise(fit.groupBy("_glang", "_gsource").agg(best).select("_glang", "_gsource", "_best.*"))
+    size = (F.sum(F.col("_det") * F.col("_n")) / F.sum("_n")).alias("_size")  # every step has the same rows
+    before = fit.agg(size).first()[0]
     for _ in range(MOST_STEPS):
-        better = _concentrated(sound, fit, least)
-        old = fit.select(*[F.col(c).alias(f"_o{c}") for c in ("_glang", "_gsource", "_start", "_det")])
-        same = F.col("_glang").eqNullSafe(F.col("_o_glang")) & F.col("_gsource").eqNullSafe(F.col("_o_gsource")) & (F.col("_start") == F.col("_o_start"))
-        fall = better.join(old, same).agg(F.max(F.col("_o_det") - F.col("_det"))).first()[0]
-        fit = better
-        if fall is None or fall < LEAST_FALL:
+        fit = _concentrated(sound, fit, least)
+        now = fit.agg(size).first()[0]
+        if before - now < LEAST_FALL:
             break
-    best = F.min(F.struct("_det", "_start", *_estimate())).alias("_best")
-    return materialise(fit.groupBy("_glang", "_gsource").agg(best).select("_glang", "_gsource", *[f"_best.{c}" for c in _estimate()]))
+        before = now
+    return fit.select("_glang", "_gsource", *_estimate())
 
 
 def judged(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
@@ -252,7 +256,7 @@ def judged(df: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "
     Rows with under 50 words, or with over half their words in repeated 3-word phrases, fail at once.
     The others' transformed statistics are compared with the robust centre of
     their language and source: the minimum-covariance-determinant estimate, found by concentration
-    steps from several starts until no determinant falls. A spread is never below what the data can resolve (``_least_spreads``). Rows beyond the
+    steps from several starts until the determinants stop falling. A spread is never below what the data can resolve (``_least_spreads``). Rows beyond the
     chi-squared cut are rejected. Every group's moments include ``PRIOR_ROWS`` rows' worth of all groups', so that
     a small group is judged by common measure without a size limit.
 
