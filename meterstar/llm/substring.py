@@ -47,9 +47,9 @@ def _anchors(h: np.ndarray, length: int, period: int) -> tuple[np.ndarray, np.nd
     return at, found[at]
 
 
-def _runs(h: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Both halves of the 128-bit hash of each run of ``length`` words."""
-    return windows(h, length), windows(mixed(h ^ _SECOND), length)
+def _second(h: np.ndarray, length: int) -> np.ndarray:
+    """The other 64 bits of the 128 that tell runs of ``length`` words apart; ``windows`` gives the first."""
+    return windows(mixed(h ^ _SECOND), length)
 
 
 def _filter(shared: DataFrame) -> tuple[np.ndarray, int]:
@@ -133,9 +133,9 @@ def repeated_passages(df: DataFrame, length: int = LENGTH, period: int = PERIOD,
             columns: list[list[np.ndarray]] = [[], [], [], [], []]
             for doc_id, t in zip(batch.column(0).to_pylist(), batch.column(1)):
                 h = hashes(t.as_py())
-                run, more = _runs(h, length)
-                at = places_of(h, run)
+                at = places_of(h)
                 if len(at):
+                    run, more = windows(h, length), _second(h, length)
                     own = (np.full(len(at), _LAST if doc_id is None else doc_id, np.int64),
                            np.full(len(at), xxhash.xxh3_64_intdigest(h.tobytes()), np.uint64).view(np.int64),
                            at.astype(np.int32), run[at].view(np.int64), more[at].view(np.int64))
@@ -148,7 +148,7 @@ def repeated_passages(df: DataFrame, length: int = LENGTH, period: int = PERIOD,
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.frombuffer(sent.value, np.uint8)
-        return emitted(batches, lambda h, run: _candidates(h, own, bits, length, period))
+        return emitted(batches, lambda h: _candidates(h, own, bits, length, period))
 
     schema = "id bigint, print bigint, place int, run bigint, more bigint"
     # Written first: a join of two plain inputs can have a very common run split over tasks.
@@ -160,7 +160,7 @@ def repeated_passages(df: DataFrame, length: int = LENGTH, period: int = PERIOD,
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.frombuffer(sent_runs.value, np.uint8)
-        return emitted(batches, lambda h, run: np.nonzero(_passing(run, own, known_bits))[0])
+        return emitted(batches, lambda h: np.nonzero(_passing(windows(h, length), own, known_bits))[0])
 
     repeats = rows.mapInArrow(releasing(repeated), schema).join(first, ["run", "more"]).where("id > low")
     spans = repeats.groupBy("id", "print").agg(F.collect_set("place").alias("places"))  # at most one per word of the document
