@@ -9,6 +9,7 @@ import struct
 import zlib
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -23,6 +24,7 @@ from meterstar.llm import (
     importance,
     mixing,
     near_dup,
+    oracles,
     outliers,
     packing,
     queries,
@@ -469,6 +471,18 @@ def test_shards_are_stable_and_even(spark):
     assert shards.assign(df.limit(0), weights).count() == 0
 
 
+def test_shards_against_sql(spark, tmp_path):
+    df = spark.range(3000).selectExpr("id * 7 - 500 AS doc_id", "if(id % 50 = 0, NULL, repeat('é', cast(id % 9 AS int))) AS text")
+    placed = shards.assign(df.repartition(5), queries.SHARDS, {**queries.SHARDS, 16: 1.0}).collect()
+    df.write.parquet(str(tmp_path / "documents"))
+    with duckdb.connect() as db:
+        db.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents/*.parquet')")
+        wanted = db.sql(oracles.SHARDING).fetchall()
+    assert sorted((r.doc_id, r.size, "key", r.shard, r.grown_shard, r.slot) for r in placed) == sorted(wanted)
+    sums = {r.doc_id: zlib.crc32((r.text or "").encode()) for r in df.collect()}
+    assert all(r.text_crc32 == sums[r.doc_id] for r in placed)
+
+
 @pytest.mark.parametrize("compression", ["none", "gzip"])
 def test_archives_round_trip(spark, tmp_path, compression):
     html = ["x" * 200, "x" * 200, "short", "short", None, "é" * 60, "a\r\n\r\nWARC/1.1\r\n" * 20]
