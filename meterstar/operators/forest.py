@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from meterstar.operators.ranking import ordered_prefix
 from meterstar.session import materialise, ship_package
 
-GROUP_ROWS = 100_000             # rows of a node that one task finishes
+GROUP_ROWS = 500_000             # rows of a node that one task finishes
+BATCH_TREES = 10                 # trees grown by one task from the same rows, if it may hold them all
 BROADCAST_BYTES = 64 << 20       # a forest up to this size goes to all tasks; a larger one meets the rows by key
 LEAST_LEAF = 2
 _EQUAL = 1e-24                   # rows whose squares around their mean are such a part of their squares are equal
@@ -63,7 +64,9 @@ def _best_of_feature(x: np.ndarray, node: np.ndarray, w: np.ndarray, s: np.ndarr
     """
     weight, total, rows, square = totals
     parent = total**2 / weight
-    o = order[np.argsort(node[order], kind="stable")]
+    named = node[order]
+    # Numbers of 16 bits are sorted by radix, several times faster than wider ones.
+    o = order[np.argsort(named.astype(np.uint16) if len(weight) <= 1 << 16 else named, kind="stable")]
     nd, v = node[o], x[o]
     first = np.flatnonzero(np.concatenate([[True], (nd[1:] != nd[:-1]) | (v[1:] != v[:-1])]))
     run_node, run_value = nd[first], v[first]
@@ -89,16 +92,23 @@ def _best_of_feature(x: np.ndarray, node: np.ndarray, w: np.ndarray, s: np.ndarr
     return best, limit
 
 
-def grown(x: np.ndarray, y: np.ndarray, w: np.ndarray, numeric: int, leaf: int = LEAST_LEAF, depth: int | None = None) -> Tree:
+def _sorted(x: np.ndarray) -> list[np.ndarray]:
+    """Per feature the rows by value."""
+    return [np.argsort(x[:, f], kind="stable") for f in range(x.shape[1])]
+
+
+def grown(x: np.ndarray, y: np.ndarray, w: np.ndarray, numeric: int, leaf: int = LEAST_LEAF, depth: int | None = None,
+          order: list[np.ndarray] | None = None) -> Tree:
     """One tree on all given rows: least squares, every boundary tried, until leaves are pure or have too few rows.
 
     The first ``numeric`` columns are numbers, the others categories, split one against the rest. Equal gains go to the
-    first feature, then to the smallest value.
+    first feature, then to the smallest value. ``order`` is ``_sorted(x)``, if the caller has it.
     """
     held = w > 0
+    place = np.cumsum(held) - 1
+    order = [place[o[held[o]]] for o in (_sorted(x) if order is None else order)]
     x, y, w = x[held], y[held], w[held].astype(float)
     middle = float((w * y).sum() / w.sum()) if len(y) else 0.0
-    order = [np.argsort(x[:, f], kind="stable") for f in range(x.shape[1])]
     out: list[list] = [[-1], [0.0], [0], [0], [middle]]
     node, names = np.zeros(len(y), np.int64), np.zeros(1, np.int64)
     level = 0
@@ -150,12 +160,48 @@ class Forest:
         return self.subtrees.agg(F.coalesce(F.sum(28 * F.size("feature")), F.lit(0))).first()[0]
 
 
+def _weight(tree: Column | str) -> Column:
+    """How often a tree's bootstrap sample has a row: a Poisson draw by a hash of the tree and ``_h``, the hashed key."""
+    draw = F.shiftrightunsigned(F.xxhash64("_h", tree), 11).cast("double") / float(1 << 53)
+    return reduce(lambda a, b: a + b, [(draw >= F.lit(float(p))).cast("int") for p in _POISSON])
+
+
 def _members(rows: DataFrame, trees: int, key: str, seed: int) -> DataFrame:
-    """The rows of each tree's bootstrap sample with their weights: as often as a Poisson draw by a hash of tree and key says."""
+    """The rows of each tree's bootstrap sample with their weights."""
     every = rows.select(F.xxhash64(F.lit(seed), key).alias("_h"), "y", "x", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-    draw = F.shiftrightunsigned(F.xxhash64("_h", "tree"), 11).cast("double") / float(1 << 53)
-    weight = reduce(lambda a, b: a + b, [(draw >= F.lit(float(p))).cast("int") for p in _POISSON])
-    return every.withColumn("w", weight).where("w > 0").select("tree", F.lit("").alias("node"), "w", "y", "x")
+    return every.withColumn("w", _weight("tree")).where("w > 0").select("tree", F.lit("").alias("node"), "w", "y", "x")
+
+
+def _features(group: pa.Table) -> np.ndarray:
+    return group.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(group.num_rows, -1)
+
+
+def _stored(trees: list[tuple[int, str, Tree]]) -> pa.Table:
+    """Subtrees (tree, way to the root, nodes) as rows of ``_TREE``."""
+    names = [c.split(" ")[0] for c in _TREE.split(", ")]
+    kinds = [pa.int32(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.float64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.float64())]
+    columns = [[t for t, _, _ in trees], [n for _, n, _ in trees], *[[getattr(g, c).tolist() for _, _, g in trees] for c in names[2:]]]
+    return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+
+def _whole_trees(rows: DataFrame, numeric: int, trees: int, leaf: int, depth: int | None, key: str, seed: int) -> DataFrame:
+    """All trees on rows that one task may hold: each task gets the rows once, with their weights in each of its trees."""
+    batches = -(-trees // BATCH_TREES)
+    hashed = rows.select(F.xxhash64(F.lit(seed), key).alias("_h"), "y", "x").withColumn("batch", F.explode(F.sequence(F.lit(0), F.lit(batches - 1))))
+    drawn = hashed.select("batch", "y", "x", *[_weight(F.col("batch") + F.lit(batches * i)).cast("tinyint").alias(f"w{i}") for i in range(BATCH_TREES)])
+
+    def finish(key: tuple, group: pa.Table) -> pa.Table:
+        x, y = _features(group), group.column("y").to_numpy()
+        weights = [group.column(f"w{i}").to_numpy() for i in range(BATCH_TREES)]
+        # The order of arrival must not decide between sums that differ in rounding only.
+        order = np.lexsort([*weights, y, *x.T])
+        x, y = x[order], y[order]
+        by_value = _sorted(x)
+        numbered = [(key[0].as_py() + batches * i, w[order]) for i, w in enumerate(weights)]
+        return _stored([(tree, "", grown(x, y, w, numeric, leaf, depth, by_value)) for tree, w in numbered if tree < trees and w.any()])
+
+    # Each batch is a task of its own.
+    return drawn.repartition(batches, "batch").groupBy("batch").applyInArrow(finish, _TREE)
 
 
 def _goes_right(numeric: int) -> Column:
@@ -201,6 +247,9 @@ def fit_forest(rows: DataFrame, numeric: int, trees: int = 250, leaf: int = LEAS
     and the driver holds none. Samples depend on keys alone, so partitioning changes nothing.
     """
     ship_package(rows.sparkSession)
+    rows = materialise(rows.select(key, "y", "x"))
+    if rows.count() <= group_rows:
+        return Forest(materialise(_whole_trees(rows, numeric, trees, leaf, depth, key, seed)), None, numeric, trees)
     members = materialise(_members(rows, trees, key, seed))
     done, splits, level = [], [], 0
     while True:
@@ -223,17 +272,11 @@ def fit_forest(rows: DataFrame, numeric: int, trees: int = 250, leaf: int = LEAS
         members = materialise(moved.where("feature IS NOT NULL").select("tree", child.alias("node"), "w", "y", "x"))
 
     def finish(key: tuple, group: pa.Table) -> pa.Table:
-        features = len(group.column("x")[0])
-        x = group.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, features)
         # The order of arrival must not decide between sums that differ in rounding only.
-        y, w = group.column("y").to_numpy(), group.column("w").to_numpy()
+        x, y, w = _features(group), group.column("y").to_numpy(), group.column("w").to_numpy()
         order = np.lexsort([y, w, *x.T])
         left = None if depth is None else depth - len(key[1].as_py())
-        tree = grown(x[order], y[order], w[order], numeric, leaf, left)
-        cells = [key[0].as_py(), key[1].as_py(), *[a.tolist() for a in (tree.feature, tree.threshold, tree.left, tree.right, tree.value)]]
-        kinds = [pa.int32(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.float64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.float64())]
-        names = [c.split(" ")[0] for c in _TREE.split(", ")]
-        return pa.Table.from_arrays([pa.array([c], k) for c, k in zip(cells, kinds)], names)
+        return _stored([(key[0].as_py(), key[1].as_py(), grown(x[order], y[order], w[order], numeric, leaf, left))])
 
     small = reduce(DataFrame.unionByName, done)
     subtrees = materialise(small.groupBy(*_NODE).applyInArrow(finish, _TREE))
@@ -277,9 +320,7 @@ def predict_forest(model: Forest, df: DataFrame, x: str = "x", name: str = "pred
     right = model.subtrees.join(parts, _NODE).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
 
     def values(key: tuple, rows: pa.Table, tree: pa.Table) -> pa.Table:
-        x_rows = rows.column("x").combine_chunks()
-        x_rows = x_rows.flatten().to_numpy(zero_copy_only=False).reshape(rows.num_rows, -1)
-        found = _as_tree(tree.to_pylist()[0]).predict(x_rows, numeric)
+        found = _as_tree(tree.to_pylist()[0]).predict(_features(rows), numeric)
         return pa.table({"_rid": rows.column("_rid"), "_v": pa.array(found)})
 
     keys = (*_NODE, "part")
