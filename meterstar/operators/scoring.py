@@ -9,7 +9,6 @@ from functools import reduce
 from pyspark.ml import Transformer
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +38,11 @@ class RiskModel:
         """Add the probability of the positive class."""
         if self.classifier is None:
             return df.withColumn(name, F.lit(float(self.constant)))
-        scored = self.classifier.transform(_assembled(df, self.scaling))
-        return scored.withColumn(name, vector_to_array("probability")[1]).select(*df.columns, name)
+        # Plain arithmetic: the model's own transform runs functions whose encoders Spark at times cannot send to its tasks.
+        weights = [v for _, v in self.coefficients()]
+        margin = reduce(lambda a, b: a + b, [z * F.lit(v) for z, v in zip(_standardised(self.scaling).values(), weights)])
+        margin = margin + F.lit(float(self.classifier.intercept))
+        return df.withColumn(name, F.lit(1.0) / (F.lit(1.0) + F.exp(-margin)))
 
     def coefficients(self) -> list[tuple[str, float]]:
         if self.classifier is None:
@@ -61,9 +63,13 @@ def _scaling(df: DataFrame) -> dict[str, tuple[float, float]]:
     return {c: (figures[f"m_{c}"], figures[f"s_{c}"] or 1.0) for c in CHURN_FEATURES}
 
 
+def _standardised(scaling: Mapping[str, tuple[float, float]]) -> dict[str, Column]:
+    return {f"_z_{c}": (F.col(c) - F.lit(m)) / F.lit(s) for c, (m, s) in scaling.items()}
+
+
 def _assembled(df: DataFrame, scaling: Mapping[str, tuple[float, float]]) -> DataFrame:
-    scaled = df.withColumns({f"_z_{c}": (F.col(c) - F.lit(m)) / F.lit(s) for c, (m, s) in scaling.items()})
-    return VectorAssembler(inputCols=[f"_z_{c}" for c in scaling], outputCol="_features").transform(scaled)
+    scaled = _standardised(scaling)
+    return VectorAssembler(inputCols=list(scaled), outputCol="_features").transform(df.withColumns(scaled))
 
 
 def fit_risk_model(labelled: DataFrame) -> RiskModel:

@@ -77,6 +77,19 @@ def test_logistic_fit_matches_its_objective(spark):
     np.testing.assert_allclose([c for _, c in model.coefficients()], w[1:], atol=2e-3)
 
 
+def test_probabilities_are_those_of_the_model_without_its_functions(spark, capsys):
+    """Scoring plans hold no user-defined function, and repeat what the fitted classifier says."""
+    labelled = scoring._filled(churn_rows(spark, 80))
+    model = scoring.fit_risk_model(labelled)
+    scored = model.probability(labelled)
+    scored.explain(True)
+    assert "UDF" not in capsys.readouterr().out
+    own = model.classifier.transform(scoring._assembled(labelled, model.scaling)).select("ClientKey", "probability").collect()
+    wanted = {r["ClientKey"]: r["probability"][1] for r in own}
+    got = {r["ClientKey"]: r["Probability"] for r in scored.collect()}
+    assert got == pytest.approx(wanted, rel=1e-12) and scored.columns == [*labelled.columns, "Probability"]
+
+
 def test_single_class_gives_a_constant_score(spark):
     result = scoring.score_risk(churn_rows(spark).withColumn("DaysSinceLastRequest", F.lit(1)))
     assert {r["ChurnRiskScore"] for r in result.scores.collect()} == {0.0}
