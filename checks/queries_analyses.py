@@ -3,7 +3,7 @@
 from meterstar.operators import analyses
 from meterstar.sources import samples
 
-from checks.registry import register, requested, rounded, shipped
+from checks.registry import item_parts, register, requested, rounded, shipped
 
 
 @register("q1_rolling_cost")
@@ -33,7 +33,8 @@ def _(spark, sf_dir):
 
 @register("q6_upsell")
 def _(spark, sf_dir):
-    return rounded(analyses.upsell_candidates(shipped(spark, sf_dir, "client", "subscription")))
+    usage = shipped(spark, sf_dir, "client", "subscription")
+    return rounded(analyses.upsell_candidates(usage, parts=item_parts(spark, sf_dir)))
 
 
 @register("q7_model_substitution")

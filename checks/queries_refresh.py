@@ -10,7 +10,7 @@ from meterstar.operators import members
 from meterstar.plans import refresh
 from meterstar.session import fresh_folder, materialise
 
-from checks.registry import register, rounded, shipped, with_efficiency
+from checks.registry import item_parts, register, rounded, shipped, with_efficiency
 
 LATE = "1997-01"  # months from here on arrive after the others
 
@@ -25,7 +25,7 @@ def _numbered(usage: DataFrame) -> DataFrame:
 def _(spark, sf_dir):
     """Clients per feature and month, and per feature over all months from the same sets."""
     usage = shipped(spark, sf_dir, "client", "feature")
-    sets = materialise(members.member_sets(usage, ["FeatureKey", "Month"], "ClientKey", _numbered(usage)))
+    sets = materialise(members.member_sets(usage, ["FeatureKey", "Month"], "ClientKey", _numbered(usage), item_parts(spark, sf_dir)))
     months = members.count_members(sets, ["FeatureKey", "Month"], "Clients")
     return months.unionByName(members.count_members(sets, ["FeatureKey"], "Clients").withColumn("Month", F.lit(None).cast("string")))
 
@@ -33,7 +33,7 @@ def _(spark, sf_dir):
 @register("q4_funnel_from_sets")
 def _(spark, sf_dir):
     usage = shipped(spark, sf_dir, "client", "feature")
-    sets = members.member_sets(usage, ["FeatureKey", "FeatureName", "Month"], "ClientKey", _numbered(usage))
+    sets = members.member_sets(usage, ["FeatureKey", "FeatureName", "Month"], "ClientKey", _numbered(usage), item_parts(spark, sf_dir))
     return rounded(members.adoption_funnel(sets))
 
 
@@ -41,7 +41,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     usage = shipped(spark, sf_dir, "client")
     numbers = _numbered(usage)
-    return rounded(members.retention(members.member_sets(usage, ["Month"], "ClientKey", numbers), numbers))
+    return rounded(members.retention(members.member_sets(usage, ["Month"], "ClientKey", numbers, item_parts(spark, sf_dir)), numbers))
 
 
 def _refreshed(spark, sf_dir: str, name: str, *dimensions: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterstar.functions import columns as C
+from meterstar.session import task_parts
 from meterstar.sources import samples
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +50,11 @@ def requested(spark: SparkSession, sf_dir: str, *dimensions: str) -> DataFrame:
     return samples.usage(spark, sf_dir, "requests", *dimensions)
 
 
+def item_parts(spark: SparkSession, sf_dir: str) -> int:
+    """Tasks for as many rows as there are line items."""
+    return task_parts(spark, samples.fact_table(spark, sf_dir, "lineitem").count())
+
+
 def with_efficiency(usage: DataFrame) -> DataFrame:
     """Add the token efficiency that the aggregates average."""
     efficiency = F.when(F.col("TokensInput") != 0, C.ratio("TokensOutput", "TokensInput")).otherwise(0.0)

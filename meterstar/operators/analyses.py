@@ -91,15 +91,17 @@ def region_growth(usage: DataFrame) -> DataFrame:
     })
 
 
-def upsell_candidates(usage: DataFrame, above_pct: float = 80, except_tier: str = "Enterprise") -> DataFrame:
+def upsell_candidates(usage: DataFrame, above_pct: float = 80, except_tier: str = "Enterprise", parts: int | None = None) -> DataFrame:
     """Client-months above a share of their quota, outside one tier.
 
     Works on client-month-tier totals: the month's tokens are their sum, so no
     value is joined back to the requests. One client-month has few tiers.
+    ``parts`` (see ``session.task_parts``) is the number of tasks for the windows, for many client-months.
     """
     totals = usage.groupBy("ClientKey", "ClientName", "Month", "TierName", "MonthlyQuotaTokens").agg(
         F.sum("TotalTokens").alias("_tokens")
     )
+    totals = totals.repartition(parts, "ClientKey", "Month") if parts else totals
     month = W.partitionBy("ClientKey", "Month")
     used = totals.withColumn("MonthlyTokensUsed", F.sum("_tokens").over(month).cast("bigint"))
     pct = C.ratio("MonthlyTokensUsed", "MonthlyQuotaTokens") * 100.0

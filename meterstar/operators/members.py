@@ -34,13 +34,16 @@ def number_members(members: DataFrame, order: Sequence[Column], known: DataFrame
     return new.withColumn(NUMBER, F.col(NUMBER) + last.scalar())
 
 
-def member_sets(rows: DataFrame, groups: Sequence[str], member: str, numbers: DataFrame) -> DataFrame:
+def member_sets(rows: DataFrame, groups: Sequence[str], member: str, numbers: DataFrame, parts: int | None = None) -> DataFrame:
     """Sets of the members seen in each group: ``groups, Bucket, Members``.
 
     Pairs become distinct before they are shuffled on, so neither a frequent member nor a large group meets in
     one task as raw rows. Rows without a member, or with one that has no number, belong to no set.
+    ``parts`` (see ``session.task_parts``) is the number of tasks that pairs meet their numbers in, for many pairs.
     """
     pairs = rows.select(*groups, member).where(F.col(member).isNotNull()).distinct()
+    if parts:
+        pairs = pairs.repartition(parts, member)
     return pairs.join(numbers.select(member, NUMBER), member).groupBy(
         *groups, F.bitmap_bucket_number(NUMBER).alias(BUCKET)
     ).agg(F.bitmap_construct_agg(F.bitmap_bit_position(NUMBER)).alias(MEMBERS))

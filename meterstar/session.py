@@ -21,6 +21,8 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
+TASK_ROWS = 500_000
+
 _local_folders: dict[str, str] = {}
 _shipped: set[str] = set()
 
@@ -75,6 +77,14 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def task_parts(spark: SparkSession, rows: int) -> int:
+    """Number of partitions that gives a task about ``TASK_ROWS`` of ``rows``.
+
+    Adaptive execution sizes partitions by compressed bytes; rows that compress to a few bytes then fill a task's memory.
+    """
+    return max(spark.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+
+
 def drop_materialised(spark: SparkSession) -> None:
     """Delete this application's intermediate tables; frames that read them are then unusable."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))

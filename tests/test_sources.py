@@ -108,3 +108,23 @@ def test_model_without_tokens_ranks_last(spark):
 def test_correlation_without_variance_is_null(spark):
     usage = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0)], "CostUSD double, SatisfactionScore double")
     assert analyses.cost_satisfaction_correlation(usage).first()[0] is None
+
+
+def test_line_items_move_once_and_by_order_alone(spark, capsys):
+    """Whatever the sizes: no join deals the fact out by the few keys of a small table or by its clients."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        usage = samples.usage(spark, "/root/testdata/sf0.001", "shipments", "client", "feature", "subscription")
+        usage.select("UsageID", "ClientName", "FeatureName", "TierName", "Month").explain()
+        plan = capsys.readouterr().out
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "hashpartitioning(FeatureKey" not in plan and "hashpartitioning(SubscriptionTierKey" not in plan
+    assert plan.count("hashpartitioning(l_orderkey") == 1
+    top = plan[: plan.index("hashpartitioning(l_orderkey")]
+    assert "hashpartitioning(ClientKey" not in top and "hashpartitioning(c_custkey" not in top
+
+
+def test_tasks_hold_a_bounded_number_of_rows(spark):
+    assert session.task_parts(spark, 216_000_000) == 432 and session.task_parts(spark, 0) == spark.sparkContext.defaultParallelism
