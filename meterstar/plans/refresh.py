@@ -26,6 +26,14 @@ TABLES = ("agg_client_monthly", "agg_model_performance", "agg_region_monthly", "
 MODEL_MEANS = {"AvgLatency": "LatencyMs", "SuccessRate": "SuccessFlag", "AvgSatisfaction": "SatisfactionScore",
                "AvgTokenEfficiency": "TokenEfficiencyRatio"}
 FEATURE_MEANS = {"AvgSatisfactionByFeature": "SatisfactionScore"}
+# Columns of the master that each reporting table reads besides the month.
+_VOLUME = ("CostUSD", "TotalTokens", "UsageID", "LatencyMs", "SuccessFlag")
+READS = {
+    "agg_client_monthly": ("ClientKey", "ClientName", *_VOLUME, "SatisfactionScore", "ModelKey", "IsPremium"),
+    "agg_region_monthly": ("RegionKey", "RegionName", *_VOLUME),
+    "agg_model_performance": (*MODEL, *MODEL_MEANS.values(), "CostUSD", "UsageID"),
+    "agg_feature_adoption": (*FEATURE, *FEATURE_MEANS.values(), "UsageID", "ClientKey"),
+}
 
 
 def _sums(means: dict[str, str]) -> list[Column]:
@@ -96,7 +104,7 @@ def refresh(spark: SparkSession, folder: str, master: DataFrame, removed: Iterab
         staged.append(rows)
         master = rows.read(spark)
     else:
-        master = materialise(master)
+        master = materialise(master.select(*dict.fromkeys(["Month", *[c for name in tables for c in READS[name]]])))
     # One row per month.
     changed = {r[0] for r in master.select(F.coalesce("Month", F.lit(NO_MONTH))).distinct().collect()} | set(removed)
     if "agg_client_monthly" in tables:

@@ -133,3 +133,25 @@ def test_cost_anomalies_are_named_after_the_limit(spark, make_star):
     usage = star.fact.join(star["date"].select("DateKey", "Date"), "DateKey")
     rows = analyses.cost_anomalies(usage, star["client"], star["model"]).collect()
     assert [(r["UsageID"], r["ClientName"], r["ModelName"]) for r in rows] == [(21, "N2", "Heron")]
+
+
+def test_only_the_columns_of_the_wanted_tables_are_stored(spark, usage_star, tmp_path, monkeypatch):
+    stored = []
+    monkeypatch.setattr(refresh, "materialise", lambda df, real=refresh.materialise: stored.append(df.columns) or real(df))
+    master = enrich.enrich(usage_star)
+    for name in refresh.TABLES:
+        stored.clear()
+        snapshot = refresh.refresh(spark, str(tmp_path / name), master, tables=[name], keep_master=False)
+        assert stored[0] == ["Month", *[c for c in refresh.READS[name]]] and len(stored[0]) < 13
+        wanted, got = aggregates.build_aggregates(master)[name], refresh.reporting_tables(snapshot, [name])[name]
+        columns = sorted(wanted.columns)
+        assert plain(got.select(columns).collect()) == plain(wanted.select(columns).collect())
+
+
+def test_sets_and_upsell_in_a_given_number_of_tasks(spark, usage_star):
+    usage = enrich.enrich(usage_star).drop("MonthlyTokensUsed")
+    numbers = members.number_members(usage.select("ClientKey").distinct(), [F.asc("ClientKey")])
+    sets = [members.member_sets(usage, ["FeatureKey"], "ClientKey", numbers, parts=parts) for parts in (None, 7)]
+    assert sets[0].exceptAll(sets[1]).isEmpty() and sets[1].exceptAll(sets[0]).isEmpty()
+    found = [analyses.upsell_candidates(usage, parts=parts) for parts in (None, 7)]
+    assert not found[0].isEmpty() and plain(found[0].collect()) == plain(found[1].collect())
