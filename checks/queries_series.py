@@ -11,7 +11,8 @@ IDS = [*KEYS, "Metric"]
 
 
 def regional_daily(spark, sf_dir):
-    return series.daily_usage(shipped(spark, sf_dir, "region"), KEYS)
+    # Written, because checks and windows read it more than once.
+    return materialise(series.daily_usage(shipped(spark, sf_dir, "region"), KEYS))
 
 
 def regional_series(spark, sf_dir):

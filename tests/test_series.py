@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from checks.registered import QUERIES
 from meterstar.operators import forecast, series
 
 START = dt.date(2025, 1, 1)
@@ -225,3 +226,10 @@ def test_chart_frames(spark):
     assert both.count() == 70 and set(both.columns) == {"Metric", "Date", "Value", "Lower", "Upper", "Part"}
     dates = [r["Date"] for r in series.forecast_chart(future).collect()]
     assert dates == sorted(dates)
+
+
+def test_the_daily_series_is_made_once(spark, capsys):
+    """The decomposition checks its days and runs its windows on stored days, not on the line items."""
+    QUERIES["f15_decomposition"](spark, "/root/testdata/sf0.001").explain()
+    plan = capsys.readouterr().out
+    assert "parquet" in plan and "lineitem" not in plan
