@@ -178,18 +178,18 @@ def group_metrics(df: DataFrame, model: str, actual: str, predicted: str,
 def label_coverage(df: DataFrame, score: str = "SatisfactionScore",
                    dimensions: Sequence[str] = GROUP_DIMENSIONS) -> DataFrame:
     """Rated and unrated requests per group of each dimension, and overall."""
-    total, rated = F.count(F.lit(1)), F.count(score)
-    figures = [
-        total.alias("TotalRequests"),
-        rated.alias("LabeledRequests"),
-        (total - rated).alias("UnlabeledRequests"),
-        (C.ratio(rated, total) * 100.0).alias("LabelCoveragePct"),
-        C.mean(score).alias("ObservedSatisfactionMean"),
-    ]
     narrow = df.select(*dimensions, score)
-    groups = by_dimension(narrow, dimensions, ("Dimension", "Group")).groupBy("Dimension", "Group").agg(*figures)
-    overall = narrow.agg(F.lit("Overall").alias("Dimension"), F.lit("All requests").alias("Group"), *figures)
-    return groups.unionByName(overall)
+    sums = [F.count(F.lit(1)).alias("_total"), F.count(score).alias("_rated"), F.sum(C.as_double(score)).alias("_sum")]
+    # The rows are read once: every dimension's groups cover them all, so the first one's add up to the overall figures.
+    groups = materialise(by_dimension(narrow, dimensions, ("Dimension", "Group")).groupBy("Dimension", "Group").agg(*sums))
+    overall = groups.where(F.col("Dimension") == dimensions[0]).agg(
+        F.lit("Overall").alias("Dimension"), F.lit("All requests").alias("Group"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("_total", "_rated")], F.sum("_sum").alias("_sum"))
+    return groups.unionByName(overall).select(
+        "Dimension", "Group", F.col("_total").alias("TotalRequests"), F.col("_rated").alias("LabeledRequests"),
+        (F.col("_total") - F.col("_rated")).alias("UnlabeledRequests"),
+        (C.ratio("_rated", "_total") * 100.0).alias("LabelCoveragePct"), C.ratio("_sum", "_rated").alias("ObservedSatisfactionMean"),
+    )
 
 
 def population_summary(df: DataFrame, observed: str, predicted: str, low: float = 1.0, high: float = 5.0) -> DataFrame:

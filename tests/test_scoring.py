@@ -267,3 +267,16 @@ def test_whole_run(spark, usage_star, tmp_path):
     assert tables["cost forecast"].count() == 30 and tables["anomaly summary"].count() >= 10
     per_region = run_forecasting(spark, out, keys=["FeatureName"])
     assert per_region.select("FeatureName").distinct().count() == 3
+
+
+def test_label_coverage_reads_its_rows_once(spark, capsys):
+    rows = [(1 + k % 2, k % 3, 1, None if k == 4 else k % 2, "A", float(k) if k % 4 else None) for k in range(12)]
+    df = spark.createDataFrame(rows, "ModelKey int, ClientKey int, RegionKey int, FeatureKey int, RequestType string, SatisfactionScore double")
+    covered = evaluate.label_coverage(df)
+    covered.explain()
+    assert "ExistingRDD" not in capsys.readouterr().out
+    found = {(r["Dimension"], r["Group"]): tuple(r)[2:] for r in covered.collect()}
+    scores = [r[5] for r in rows if r[5] is not None]
+    assert found["Overall", "All requests"] == found["RequestType", "A"] == (12, 9, 3, 75.0, sum(scores) / 9)
+    assert found["FeatureKey", "nan"] == (1, 0, 1, 0.0, None)
+    assert [tuple(r) for r in evaluate.label_coverage(df.limit(0)).collect()] == [("Overall", "All requests", 0, 0, 0, None, None)]
