@@ -39,14 +39,17 @@ def member_sets(rows: DataFrame, groups: Sequence[str], member: str, numbers: Da
 
     Pairs become distinct before they are shuffled on, so neither a frequent member nor a large group meets in
     one task as raw rows. Rows without a member, or with one that has no number, belong to no set.
-    ``parts`` (see ``session.task_parts``) is the number of tasks that pairs meet their numbers in, for many pairs.
+    ``parts`` (see ``session.task_parts``) is the number of tasks for many pairs.
     """
     pairs = rows.select(*groups, member).where(F.col(member).isNotNull()).distinct()
     if parts:
         pairs = pairs.repartition(parts, member)
-    return pairs.join(numbers.select(member, NUMBER), member).groupBy(
-        *groups, F.bitmap_bucket_number(NUMBER).alias(BUCKET)
-    ).agg(F.bitmap_construct_agg(F.bitmap_bit_position(NUMBER)).alias(MEMBERS))
+    placed = pairs.join(numbers.select(member, NUMBER), member).select(
+        *groups, F.bitmap_bucket_number(NUMBER).alias(BUCKET), F.bitmap_bit_position(NUMBER).alias("_bit"))
+    if parts:
+        # At most a bitmap's bits meet in a group's bucket, and no half-filled bitmaps of every task are sent.
+        placed = placed.repartition(parts, *groups, BUCKET)
+    return placed.groupBy(*groups, BUCKET).agg(F.bitmap_construct_agg("_bit").alias(MEMBERS))
 
 
 def merge_sets(sets: DataFrame, groups: Sequence[str] = ()) -> DataFrame:

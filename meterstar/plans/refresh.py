@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from meterstar.functions import columns as C
 from meterstar.operators import aggregates, members
 from meterstar.operators.enrich import enrich
-from meterstar.session import materialise
+from meterstar.session import materialise, task_parts
 from meterstar.sources.snapshots import NO_MONTH, Snapshot
 from meterstar.sources.star import StarTables, typed
 
@@ -116,7 +116,7 @@ def refresh(spark: SparkSession, folder: str, master: DataFrame, removed: Iterab
     if "agg_feature_adoption" in tables:
         numbers, new = _clients(snapshot, master)
         staged.append(snapshot.stage("feature_month", feature_months(master)))
-        sets = members.member_sets(master, [*FEATURE, "Month"], "ClientKey", numbers)
+        sets = members.member_sets(master, [*FEATURE, "Month"], "ClientKey", numbers, task_parts(spark, master.count()))
         staged.append(snapshot.stage("feature_clients", sets))
         # Numbers only grow: each refresh adds those of its new clients, under a label of its own.
         label = f"numbered-{snapshot.number + 1:08d}"
