@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from checks.registry import register, requested, rounded, shipped
+from checks.registry import item_parts, register, requested, rounded, shipped
 from meterstar.functions import columns as C
 from meterstar.operators import enrich, evaluate, features, isolation, scoring
 from meterstar.operators.ranking import tukey_fences
@@ -15,7 +15,7 @@ def with_quota(spark, sf_dir):
     usage = enrich.month_tokens(shipped(spark, sf_dir, "feature", "subscription").select(
         "ClientKey", "Date", "Month", "CostUSD", "SatisfactionScore", "SuccessFlag", "IsPremium", "TotalTokens",
         "MonthlyQuotaTokens",
-    ))
+    ), item_parts(spark, sf_dir))
     used = C.ratio("MonthlyTokensUsed", "MonthlyQuotaTokens") * 100.0
     return materialise(usage.withColumn("QuotaUtilizationPct", used).drop("MonthlyTokensUsed", "TotalTokens"))
 

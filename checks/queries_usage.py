@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from checks.registry import register, requested, rounded, shipped, with_efficiency
+from checks.registry import item_parts, register, requested, rounded, shipped, with_efficiency
 from meterstar.functions import columns as C
 from meterstar.functions.holidays import is_us_holiday
 from meterstar.operators import aggregates, enrich, kpis, ranking
@@ -56,7 +56,7 @@ def _(spark, sf_dir):
 @register("e14b_month_tokens")
 def _(spark, sf_dir):
     usage = shipped(spark, sf_dir).select("UsageID", "ClientKey", "Month", "TotalTokens")
-    return enrich.month_tokens(usage).select("UsageID", "ClientKey", "Month", "TotalTokens", "MonthlyTokensUsed")
+    return enrich.month_tokens(usage, item_parts(spark, sf_dir)).select("UsageID", "ClientKey", "Month", "TotalTokens", "MonthlyTokensUsed")
 
 
 @register("e15_e17_effective_cost")

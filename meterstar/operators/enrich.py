@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from meterstar.functions import columns as C
 from meterstar.operators.ranking import PARTITION_SHIFT
-from meterstar.session import materialise
+from meterstar.session import TASK_ROWS, materialise, task_parts
 from meterstar.sources.contracts import DIMENSION_KEYS
 from meterstar.sources.star import StarTables
 
@@ -143,16 +143,25 @@ def enrich(tables: StarTables, validate: bool = True, zero_quota_is_over: bool =
     return quota_columns(derive(joined), zero_quota_is_over)
 
 
-def month_tokens(df: DataFrame) -> DataFrame:
+def month_tokens(df: DataFrame, parts: int | None = None) -> DataFrame:
     """Add each client's tokens of the whole month to every row.
 
-    The totals are written first; they are then broadcast if small, and joined
-    with hot keys split if not. A window would put a client-month in one task.
+    There are nearly as many totals as rows, so both are dealt out by client-month in ``parts`` (see ``session.task_parts``; without it the
+    rows are counted), and a task holds only its totals while its rows stream by. Rows of a client-month
+    too large for a task go to several, which all get its total. A window would put a client-month in one task.
     """
-    totals = materialise(
-        df.groupBy("ClientKey", "Month").agg(F.sum("TotalTokens").cast("bigint").alias("MonthlyTokensUsed"))
-    )
-    return df.join(totals, ["ClientKey", "Month"], "inner")
+    keys = ["ClientKey", "Month"]
+    parts = parts or task_parts(df.sparkSession, df.count())
+    totals = materialise(df.repartition(parts, *keys).groupBy(*keys).agg(
+        F.sum("TotalTokens").cast("bigint").alias("MonthlyTokensUsed"), F.ceil(F.count(F.lit(1)) / TASK_ROWS).alias("_slices")
+    ))
+    split = F.broadcast(totals.where("_slices > 1").select(*keys, "_slices"))  # at most one per TASK_ROWS rows
+    drawn = F.xxhash64(*[F.col(f"`{c}`") for c in (["UsageID"] if "UsageID" in df.columns else df.columns)])
+    rows = df.join(split, keys, "left").withColumn("_slice", F.coalesce(F.pmod(drawn, "_slices"), F.lit(0).cast("bigint")))
+    totals = totals.withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_slices") - 1))).drop("_slices")
+    placed = [*keys, "_slice"]
+    joined = rows.repartition(parts, *placed).join(totals.repartition(parts, *placed).hint("shuffle_hash"), placed)
+    return joined.select(*keys, *[F.col(f"`{c}`") for c in df.columns if c not in keys], "MonthlyTokensUsed")
 
 
 VIEW_COLUMNS = (
@@ -169,7 +178,7 @@ def fact_view(tables: StarTables) -> DataFrame:
     rows = joined.select(*fact.columns, *VIEW_COLUMNS).withColumns(
         {"Date": F.col("UsageDate"), "Month": C.month_label("UsageDate")}
     )
-    rows = month_tokens(rows)
+    rows = month_tokens(rows, task_parts(fact.sparkSession, fact.count()))
     return rows.withColumn("QuotaUtilizationPct", C.ratio("MonthlyTokensUsed", "MonthlyQuotaTokens") * 100.0)
 
 

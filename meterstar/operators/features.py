@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterstar.functions import columns as C
+from meterstar.session import task_parts
 
 # The model's inputs.
 CHURN_FEATURES = (
@@ -25,14 +26,15 @@ def churn_features(master: DataFrame, recent_days: int = 30) -> DataFrame:
     """One row per client: recency, monthly trends, success rates, quota use, premium share.
 
     One pass combines the requests to client-months and a second those to
-    clients. Recent means counted back from the newest date of the whole data,
+    clients. There are nearly as many client-months as requests, so both passes are dealt out
+    by the number of requests. Recent means counted back from the newest date of the whole data,
     the first and last day included.
     """
-    end = F.lit(master.agg(F.max("Date")).first()[0]).cast("date")
+    whole = master.agg(F.max("Date").alias("end"), F.count(F.lit(1)).alias("rows")).first()
+    end, parts = F.lit(whole["end"]).cast("date"), task_parts(master.sparkSession, whole["rows"])
     recent = F.col("Date") >= F.date_sub(end, recent_days)
-    monthly = master.na.drop(subset=["ClientKey"]).groupBy(
-        "ClientKey", C.month_number("Date").alias("_month")
-    ).agg(
+    placed = master.na.drop(subset=["ClientKey"]).withColumn("_month", C.month_number("Date")).repartition(parts, "ClientKey", "_month")
+    monthly = placed.groupBy("ClientKey", "_month").agg(
         F.max("Date").alias("_last"),
         C.total("CostUSD").alias("_cost"),
         C.mean("SatisfactionScore").alias("_satisfaction"),
@@ -44,7 +46,7 @@ def churn_features(master: DataFrame, recent_days: int = 30) -> DataFrame:
         F.sum(F.col("IsPremium").cast("int")).alias("_premium"),
         F.count("IsPremium").alias("_premium_n"),
     )
-    return monthly.groupBy("ClientKey").agg(
+    return monthly.repartition(parts, "ClientKey").groupBy("ClientKey").agg(
         F.datediff(end, F.max("_last")).alias("DaysSinceLastRequest"),
         slope("_cost", "_month").alias("AvgMonthlyCostTrend"),
         slope("_satisfaction", "_month").alias("SatisfactionTrend"),

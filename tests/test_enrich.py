@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from meterstar import session
 from meterstar.functions import columns as C
 from meterstar.functions.holidays import is_us_holiday
 from meterstar.operators import aggregates, enrich, kpis
@@ -109,6 +110,25 @@ def test_rows_without_a_client_have_no_running_total(make_star):
     assert rows == {1: None, 2: None, 3: 320}
 
 
+@pytest.mark.parametrize("with_id", [True, False])
+def test_month_totals_reach_all_slices_of_a_large_month(spark, monkeypatch, with_id):
+    """Rows and totals are dealt out by their number; a client-month above a task's rows is split, and loses none."""
+    rows = [(i, 1, "2025-01", i % 50) for i in range(1000)] + [(i, i, "2025-02", 7) for i in range(1000, 1400)]
+    rows += [(2000, 1, "2025-01", None), (2001, None, "2025-01", 5), (2002, 5, None, 5), (2003, 9, "2025-03", None), (3, 1, "2025-01", 3)]
+    usage = spark.createDataFrame(rows, "UsageID int, ClientKey int, Month string, TotalTokens int")
+    usage = usage if with_id else usage.drop("UsageID")
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    monkeypatch.setattr(enrich, "TASK_ROWS", 100, raising=False)
+    used = enrich.month_tokens(usage)
+    whole = sum(i % 50 for i in range(1000)) + 3
+    want = [("2025-01", 1, whole)] * 1002 + [("2025-02", i, 7) for i in range(1000, 1400)] + [("2025-03", 9, None)]
+    got = [(r["Month"], r["ClientKey"], r["MonthlyTokensUsed"]) for r in used.collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert used.columns == ["ClientKey", "Month", *(["UsageID"] if with_id else []), "TotalTokens", "MonthlyTokensUsed"]
+    tasks = used.where("Month = '2025-01'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 4 and max(r["count"] for r in tasks) < 501
+
+
 def test_missing_time_sorts_last_in_the_day(make_star):
     rows = master(make_star([{"TimeKey": None}, {"TimeKey": 2359}])).orderBy("UsageID").collect()
     assert [r["MonthlyTokensUsed"] for r in rows] == [640, 320]

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from meterstar import session
 from meterstar.functions import columns as C
 from meterstar.operators import enrich, evaluate, features, isolation, scoring
 from meterstar.plans.master import build_master
@@ -39,6 +40,21 @@ def test_client_features_match_pandas(usage_star):
         assert row["PremiumFeatureUsagePct"] == pytest.approx(part["IsPremium"].mean() * 100)
 
 
+def test_client_features_are_dealt_out_by_the_number_of_requests(spark, monkeypatch):
+    """Partitions follow the rows, so that no task's groups grow with the input, whatever the session's number of partitions."""
+    master = spark.range(3000).select(
+        (F.col("id") % 700).alias("ClientKey"), F.date_add(F.lit("2025-01-01").cast("date"), (F.col("id") % 90).cast("int")).alias("Date"),
+        F.lit(1.0).alias("CostUSD"), F.lit(3.0).alias("SatisfactionScore"), F.lit(1).alias("SuccessFlag"),
+        F.lit(True).alias("IsPremium"), F.col("id").cast("double").alias("QuotaUtilizationPct"),
+    )
+    want = {r["ClientKey"]: pytest.approx(list(r), abs=1e-9) for r in features.churn_features(master).collect()}
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    dealt = features.churn_features(master)
+    assert {r["ClientKey"]: list(r) for r in dealt.collect()} == want and len(want) == 700
+    tasks = dealt.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 20 and max(r["count"] for r in tasks) < 100
+
+
 def test_slope_of_one_point_and_of_one_period_is_zero(spark):
     df = spark.createDataFrame([("a", 1, 5.0), ("b", 2, 1.0), ("b", 2, 9.0), ("c", 1, None), ("c", 2, 3.0)], "k string, x int, y double")
     assert {r["s"] for r in df.groupBy("k").agg(features.slope("y", "x").alias("s")).collect()} == {0.0}

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -128,3 +129,12 @@ def test_line_items_move_once_and_by_order_alone(spark, capsys):
 
 def test_tasks_hold_a_bounded_number_of_rows(spark):
     assert session.task_parts(spark, 216_000_000) == 432 and session.task_parts(spark, 0) == spark.sparkContext.defaultParallelism
+
+
+def test_orders_meet_their_clients_in_bounded_tasks(spark, monkeypatch, capsys):
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
+    usage = samples.usage(spark, "/root/testdata/sf0.001", "shipments", "subscription")
+    usage.select("UsageID", "TierName").explain()
+    dealt = re.findall(r"hashpartitioning\(ClientKey#\d+L?, (\d+)\), REPARTITION_BY_NUM", capsys.readouterr().out)
+    assert dealt == [str(-(-orders // 100))] * 2 and orders > 400
