@@ -128,3 +128,71 @@ def test_forest_beats_the_mean_on_rows_it_has_not_seen(spark):
     got = np.array(predicted(model, rows_of(spark, x[600:], y[600:])))
     error, plain = np.mean((got - y[600:]) ** 2), np.mean((y[:600].mean() - y[600:]) ** 2)
     assert error < 0.4 * plain
+
+
+def walked(tree, x, numeric):
+    out = []
+    for row in x:
+        at = 0
+        while tree.feature[at] >= 0:
+            f = tree.feature[at]
+            right = row[f] > tree.threshold[at] if f < numeric else row[f] == tree.threshold[at]
+            at = tree.right[at] if right else tree.left[at]
+        out.append(tree.value[at])
+    return np.array(out)
+
+
+@pytest.mark.parametrize("few_values", [1 << 16, 20])
+@pytest.mark.parametrize("seed, leaf, depth, scale", [(1, 2, None, 1.0), (2, 1, None, 1e-4), (3, 5, None, 1.0), (4, 2, 4, 1.0)])
+def test_large_nodes_split_by_themselves_are_exact(monkeypatch, few_values, seed, leaf, depth, scale):
+    """Sums taken from the parent's, sorted features and a part with far smaller differences give the plain search's tree."""
+    monkeypatch.setattr(forest, "FEW_NODE_ROWS", 12)
+    monkeypatch.setattr(forest, "FEW_VALUES", few_values)
+    monkeypatch.setattr(forest, "FEW_ROWS", 9)
+    x, y, w = sample(seed)
+    y = np.where(x[:, 1] > 2, 40 + y, y * scale)
+    tree = forest.grown(x, y, w, 3, leaf, depth)
+    held = w > 0
+    wanted = brute(x[held], y[held], w[held], 3, leaf, depth)
+    np.testing.assert_allclose(tree.predict(x, 3), [brute_value(wanted, row, 3) for row in x], rtol=1e-9)
+    np.testing.assert_array_equal(tree.predict(x, 3), walked(tree, x, 3))
+
+
+def test_labels_split_off_one_by_one_do_not_sum_all_rows_again(monkeypatch):
+    """Of each split only the smaller side is summed, so a long chain of splits costs few passes over the rows."""
+    rng = np.random.default_rng(5)
+    label = rng.integers(0, 40, 60_000)
+    x = np.column_stack([rng.normal(size=len(label)), label]).astype(float)
+    summed, real = [], forest._Sums.of.__func__
+    monkeypatch.setattr(forest._Sums, "of", classmethod(lambda cls, rows, *rest: summed.append(len(rows)) or real(cls, rows, *rest)))
+    tree = forest.grown(x, (label % 3).astype(float), np.ones(len(label)), 1)
+    assert (tree.feature >= 0).sum() > 15
+    assert sum(summed) < 2.5 * len(label)
+    np.testing.assert_array_equal(tree.predict(x, 1), label % 3)
+
+
+def test_training_sets_of_several_groups_stay_whole(spark, rows, monkeypatch):
+    monkeypatch.setattr(forest, "_level_splits", lambda *_: pytest.fail("the cluster split rows that one task may hold"))
+    whole = forest.fit_forest(rows, 3, trees=2, group_rows=60)
+    assert whole.splits is None and whole.subtrees.count() == 2
+    assert forest.WHOLE * forest.GROUP_ROWS >= 1_700_000     # the training rows of 1 GB
+
+
+def test_each_batch_of_trees_has_a_task_of_its_own(spark, rows):
+    grown = forest._whole_trees(forest.materialise(rows), 3, 24, 2, None, "UsageID", 42)
+    counts = [r["count"] for r in grown.groupBy(F.spark_partition_id()).count().collect()]
+    assert counts == [6] * 4
+
+
+def test_rows_with_the_same_key_may_arrive_in_any_order(spark):
+    x, y, _ = sample(11, 120)
+    twice = rows_of(spark, x, y).withColumn("UsageID", F.col("UsageID") % 15)
+    one, other = (forest.fit_forest(df, 3, trees=3).subtrees for df in (twice.repartition(5), twice.orderBy(F.desc("y")).coalesce(1)))
+    assert [r.asDict() for r in one.orderBy("tree").collect()] == [r.asDict() for r in other.orderBy("tree").collect()]
+
+
+def test_a_large_forest_scores_rows_pack_by_pack(spark, rows):
+    model = forest.fit_forest(rows, 3, trees=5)
+    wanted = predicted(model, rows)
+    np.testing.assert_allclose(predicted(model, rows.repartition(3), broadcast_bytes=model.bytes() // 2), wanted, rtol=1e-12)
+    np.testing.assert_allclose(predicted(model, rows, broadcast_bytes=0), wanted, rtol=1e-12)
