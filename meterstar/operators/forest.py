@@ -101,7 +101,7 @@ class Ranked:
         for column in columns:
             values, codes = np.unique(column, return_inverse=True)
             small = np.uint8 if len(values) <= 1 << 8 else np.uint16 if len(values) <= 1 << 16 else np.int32
-            out.values.append(values)
+            out.values.append(values.astype(float))
             out.codes.append(codes.astype(small))
         return out
 
@@ -331,7 +331,7 @@ def grown(x: np.ndarray | None, y: np.ndarray, w: np.ndarray, numeric: int, leaf
     A node with many rows is split by itself, by sums per value; smaller ones are finished together.
     """
     ranked = Ranked.of(x.T) if ranked is None else ranked
-    y, w = y.astype(float), w.astype(float)
+    y, w = y.astype(float, copy=False), w.astype(float)
     out, rows = _Nodes(), np.flatnonzero(w > 0)
     if not len(rows):
         out.add([0.0])
@@ -419,6 +419,12 @@ def _stored(trees: list[tuple[int, str, Tree]]) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
+def _narrow(a: np.ndarray) -> np.ndarray:
+    """A copy in the smallest kind of numbers that has the same values."""
+    with np.errstate(invalid="ignore", over="ignore"):
+        return next((b for b in map(a.astype, (np.int8, np.int16, np.float32)) if (b == a).all()), a.copy())
+
+
 def _drawn(hashed: np.ndarray, tree: int) -> np.ndarray:
     """``_weight`` of one tree for rows whose ``xxhash64(_h)`` is given."""
     h = (hashed + np.uint64(_P5 + 4)) ^ np.uint64(tree * _P1 & _ALL)
@@ -443,16 +449,17 @@ def _whole_trees(rows: DataFrame, numeric: int, trees: int, leaf: int, depth: in
     hashed = rows.select(F.xxhash64(F.xxhash64(F.lit(seed), key)).alias("h"), "y", "x", every.alias("batch"))
 
     def finish(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-        parts = [(b.column("batch")[0].as_py(), b.column("h").to_numpy(), b.column("y").to_numpy(), _features(b)) for b in tables if b.num_rows]
+        parts = [(b.column("batch")[0].as_py(), b.column("h").to_numpy().copy(), _narrow(b.column("y").to_numpy()), [_narrow(c) for c in _features(b).T]) for b in tables if b.num_rows]
         if not parts:
             return
         hashed, y = (np.concatenate([p[i] for p in parts]) for i in (1, 2))
         # The order of arrival must not decide between sums that differ in rounding only.
         order = np.argsort(hashed, kind="stable")
+        columns = range(len(parts[0][3]))
         if (np.diff(hashed[order]) == 0).any():
-            order = np.lexsort([*np.concatenate([p[3] for p in parts]).T, y, hashed])
-        y, hashed = y[order], hashed[order].view(np.uint64)
-        ranked = Ranked.of(np.concatenate([p[3][:, f] for p in parts])[order] for f in range(parts[0][3].shape[1]))
+            order = np.lexsort([*(np.concatenate([p[3][f] for p in parts]) for f in columns), y, hashed])
+        y, hashed = y[order].astype(float), hashed[order].view(np.uint64)
+        ranked = Ranked.of(np.concatenate([p[3][f] for p in parts])[order] for f in columns)
         batch = parts[0][0]
         del parts
         for tree in range(batch, trees, batches):
