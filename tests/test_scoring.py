@@ -1,4 +1,5 @@
 import math
+import threading
 
 import numpy as np
 import pandas as pd
@@ -232,6 +233,23 @@ def test_registered_satisfaction_is_the_whole_job(spark, monkeypatch):
     assert asked[0][2] == asked[1][2] == rated - math.ceil(rated * 0.2) and sum(a[2] for a in asked[2:]) == 4 * rated
 
 
+def test_folds_are_fitted_side_by_side(spark, monkeypatch):
+    """Two fits wait for each other, which ends only if both run; errors are those of folds fitted one by one."""
+    rated = satisfaction_rows(spark).where("SatisfactionScore IS NOT NULL").cache()
+    monkeypatch.setattr(scoring, "FOLDS_AT_ONCE", 1, raising=False)
+    alone = scoring.cross_validated_rmse(rated, "UsageID", 4, 3, 3)
+    met = threading.Barrier(2, timeout=60)
+
+    def fit(*args, real=scoring.fit_satisfaction):
+        met.wait()
+        return real(*args)
+
+    monkeypatch.setattr(scoring, "fit_satisfaction", fit)
+    monkeypatch.setattr(scoring, "FOLDS_AT_ONCE", 2, raising=False)
+    assert scoring.cross_validated_rmse(rated, "UsageID", 4, 3, 3) == alone
+    rated.unpersist()
+
+
 def anomaly_rows(spark, rows=4000):
     df = spark.range(rows).select(
         F.col("id").alias("UsageID"), (1 + F.col("id") * 7919 % 101 / 100).alias("CostUSD"),
